@@ -1,0 +1,49 @@
+"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
+
+Each query reads the given tables (or tables Spark derives from them)
+in full and ends in ``finish`` (doubles rounded, -0.0 removed) so the
+DuckDB oracle can compare values exactly.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridcast.functions.numeric import round_doubles
+from gridcast.sources import bindings as B
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(name: str, digits: int = 6):
+    def deco(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return round_doubles(fn(spark, sf_dir), digits)
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        return fn
+    return deco
+
+
+def _train_frame(spark, sf_dir, **kw):
+    from gridcast.plans.train_features import train_features
+    return train_features(B.train_input(spark, sf_dir), **kw)
+
+
+# --------------------------------------------------------------------------
+# aggregations / windows (first slice)
+# --------------------------------------------------------------------------
+@query("resample_hourly")
+def q_resample_hourly(spark, sf_dir):
+    """G1: sub-hourly readings -> hourly means per series."""
+    return B.demand_hourly(spark, sf_dir)
+
+
+@query("features_train")
+def q_features_train(spark, sf_dir):
+    """the whole training frame per series."""
+    return _train_frame(spark, sf_dir)

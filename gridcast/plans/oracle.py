@@ -1,0 +1,288 @@
+"""DuckDB oracle SQL for the registered queries (the correctness gate).
+
+Written independently of the Spark code, in plain windowed SQL over the
+pre-registered views. Shared conventions with the Spark side: UTC
+wall-clock timestamps, Monday = 0 (`isodow - 1`), NULL as the only
+missing marker, half-even rounding via `round_even`, doubles rounded
+(`round(x, 6) + 0.0`), every output aliased and cast.
+"""
+
+from __future__ import annotations
+
+import math
+
+from gridcast.operators.calendar_ops import HOLIDAY_RULES
+from gridcast.sources.bindings import LOAD_SCALE, REVISION_DAYS, REVISION_FACTOR
+
+TWO_PI = repr(2 * math.pi)
+
+
+def D(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def R(expr: str, name: str, digits: int = 6) -> str:
+    return f"round(CAST({expr} AS DOUBLE), {digits}) + CAST(0.0 AS DOUBLE) AS {name}"
+
+
+def I(expr: str, name: str) -> str:
+    return f"CAST({expr} AS INTEGER) AS {name}"
+
+
+def dst_summer(ts: str) -> str:
+    return (f"((month({ts}) > 3 AND month({ts}) < 10) OR (month({ts}) = 3 AND day({ts}) >= 25)"
+            f" OR (month({ts}) = 10 AND day({ts}) < 25))")
+
+
+def flag(cond: str) -> str:
+    return f"CAST(coalesce({cond}, false) AS INTEGER)"
+
+
+def dflag(cond: str) -> str:
+    return f"CAST(coalesce({cond}, false) AS DOUBLE)"
+
+
+def clip(x: str, lo=None, hi=None) -> str:
+    out = x
+    if lo is not None and hi is not None:
+        return f"(CASE WHEN {x} < {D(lo)} THEN {D(lo)} WHEN {x} > {D(hi)} THEN {D(hi)} ELSE {x} END)"
+    if lo is not None:
+        out = f"(CASE WHEN {x} < {D(lo)} THEN {D(lo)} ELSE {x} END)"
+    if hi is not None:
+        out = f"(CASE WHEN {x} > {D(hi)} THEN {D(hi)} ELSE {x} END)"
+    return out
+
+
+K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+_RULE_VALUES = ", ".join(f"({m}, {d}, {str(g).lower()}, {i})"
+                         for i, (m, d, g, _t, _c) in enumerate(HOLIDAY_RULES))
+_RULE_COUNTIES = ", ".join(f"({i}, {len(c) if c else 0})" for i, (_m, _d, _g, _t, c) in enumerate(HOLIDAY_RULES))
+
+# name -> (sql, dependencies). Order matters: dependencies first.
+CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
+
+
+def cte(name: str, sql: str, *deps: str) -> None:
+    CTES[name] = (sql, deps)
+
+
+cte("demand_raw", f"""
+SELECT event_type AS series_id, CAST(ts AS TIMESTAMP) AS ts, event_id AS reading_id,
+       value * {D(LOAD_SCALE)} AS load, CAST({K} AS DOUBLE) * {D(LOAD_SCALE)} AS forecast,
+       {K} AS k, user_id
+FROM events""")
+cte("demand_feed", f"""
+SELECT *, CAST(reading_id * 2 + delivery AS BIGINT) AS rid FROM (
+  SELECT series_id, ts, reading_id, load, forecast, k, user_id, 0 AS delivery FROM demand_raw
+  UNION ALL
+  SELECT series_id, ts, reading_id, load * {D(REVISION_FACTOR)}, forecast, k, user_id, 1 AS delivery
+  FROM demand_raw WHERE ts >= (SELECT max(ts) FROM demand_raw) - INTERVAL {REVISION_DAYS} DAY)""",
+    "demand_raw")
+cte("demand_hourly", f"""
+SELECT series_id, date_trunc('hour', ts) AS ts, avg(load) AS actual_demand, avg(forecast) AS demand_forecast,
+       NOT {dst_summer("date_trunc('hour', ts)")} AS daylight_savings_winter,
+       {dst_summer("date_trunc('hour', ts)")} AS daylight_savings_summer
+FROM demand_raw GROUP BY 1, 2""", "demand_raw")
+cte("demand_total", f"""
+SELECT 'all' AS series_id, date_trunc('hour', ts) AS ts, avg(load) AS actual_demand,
+       avg(forecast) AS demand_forecast,
+       NOT {dst_summer("date_trunc('hour', ts)")} AS daylight_savings_winter,
+       {dst_summer("date_trunc('hour', ts)")} AS daylight_savings_summer
+FROM demand_raw GROUP BY 1, 2""", "demand_raw")
+cte("weather_hourly", f"""
+SELECT date_trunc('hour', ts) AS ts,
+       avg({K}) * {D(0.6)} - {D(20.0)} AS temperature,
+       CAST(max({K}) AS DOUBLE) AS relative_humidity,
+       CAST(min({K}) AS DOUBLE) / {D(10.0)} AS rain,
+       {D(0.0)} AS snow_depth,
+       CAST(count(*) % 3 AS DOUBLE) AS snowfall,
+       NOT {dst_summer("date_trunc('hour', ts)")} AS daylight_savings_winter,
+       {dst_summer("date_trunc('hour', ts)")} AS daylight_savings_summer
+FROM events GROUP BY 1""")
+cte("daily_series", """
+SELECT o_orderpriority AS series_id, CAST(o_orderdate AS TIMESTAMP) AS ts, avg(o_totalprice) AS demand
+FROM orders GROUP BY 1, 2""")
+cte("large_daily_series", """
+SELECT l_returnflag || l_linestatus AS series_id, CAST(l_shipdate AS TIMESTAMP) AS ts,
+       avg(l_extendedprice) AS demand
+FROM lineitem GROUP BY 1, 2""")
+cte("holiday_rules", f"SELECT * FROM (VALUES {_RULE_VALUES}) r(m, d, is_global, ordinal)")
+cte("rule_counties", f"SELECT * FROM (VALUES {_RULE_COUNTIES}) r(ordinal, counties)")
+cte("train_join", """
+SELECT d.series_id, d.ts AS timestamp, d.actual_demand AS demand, w.temperature AS temperature_2m
+FROM demand_hourly d JOIN weather_hourly w ON d.ts = w.ts""", "demand_hourly", "weather_hourly")
+cte("train_holidays", """
+SELECT DISTINCT make_date(CAST(y AS BIGINT), m, d) AS hd
+FROM (SELECT DISTINCT year(timestamp) AS y FROM train_join) yrs, holiday_rules""",
+    "train_join", "holiday_rules")
+cte("train_input", """
+SELECT j.*, CASE WHEN h.hd IS NULL THEN 0 ELSE 1 END AS is_public_holiday
+FROM train_join j LEFT JOIN train_holidays h ON CAST(j.timestamp AS DATE) = h.hd""",
+    "train_join", "train_holidays")
+
+
+def with_ctes(body: str, *needed: str) -> str:
+    order: list[str] = []
+
+    def visit(n: str) -> None:
+        if n in order:
+            return
+        for dep in CTES[n][1]:
+            visit(dep)
+        order.append(n)
+
+    for n in needed:
+        visit(n)
+    if not order:
+        return body
+    parts = ",\n".join(f"{n} AS ({CTES[n][0]})" for n in order)
+    return f"WITH {parts}\n{body}"
+
+
+# --------------------------------------------------------------------------
+# train profile
+# --------------------------------------------------------------------------
+_W = "PARTITION BY series_id ORDER BY timestamp"
+_ALL = f"(PARTITION BY series_id ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+_RUN = f"(PARTITION BY series_id ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _ffbf(x: str) -> str:
+    return f"coalesce(last_value({x} IGNORE NULLS) OVER {_RUN}, first_value({x} IGNORE NULLS) OVER {_ALL})"
+
+
+cte("train_base", f"""
+SELECT t.series_id, t.timestamp, t.demand, t.temperature_2m, t.is_public_holiday,
+       s.mu_d, s.sd_d, s.mu_t, s.sd_t,
+       CAST(hour(t.timestamp) AS INTEGER) AS h, CAST(isodow(t.timestamp) - 1 AS INTEGER) AS dw,
+       CAST(month(t.timestamp) AS INTEGER) AS mo,
+       (t.demand - s.mu_d) / nullif(s.sd_d, 0) AS z
+FROM train_input t JOIN (
+  SELECT series_id, avg(demand) AS mu_d, stddev_samp(demand) AS sd_d,
+         avg(temperature_2m) AS mu_t, stddev_samp(temperature_2m) AS sd_t
+  FROM train_input GROUP BY series_id) s USING (series_id)""", "train_input")
+cte("train_lagged", f"""
+SELECT *,
+  lag(temperature_2m, 24) OVER ({_W}) AS tl24,
+  lag(z, 24) OVER ({_W}) AS zl24, lag(z, 168) OVER ({_W}) AS zl168,
+  z - lag(z, 24) OVER ({_W}) AS zd24,
+  CASE WHEN lag(demand, 24) OVER ({_W}) IS NOT NULL THEN 1.0 ELSE 0.0 END AS v24,
+  CASE WHEN lag(demand, 168) OVER ({_W}) IS NOT NULL THEN 1.0 ELSE 0.0 END AS v168,
+  {flag(f"lag(isodow(timestamp) - 1, 1) OVER ({_W}) IN (5, 6)")} AS lag_24h_was_weekend,
+  {flag(f"lag(isodow(timestamp) - 1, 7) OVER ({_W}) IN (5, 6)")} AS lag_168h_was_weekend,
+  CASE WHEN count(demand) OVER ({_W} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) >= 24
+       THEN stddev_samp(demand) OVER ({_W} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END AS rstd
+FROM train_base""", "train_base")
+_heat = clip(f"{D(18.0)} - temperature_2m", lo=0.0)
+cte("train_filled", f"""
+SELECT *, {_heat} AS heat,
+  {_ffbf('tl24')} AS temp_lag_24h, {_ffbf('zl24')} AS l24, {_ffbf('zl168')} AS l168,
+  {_ffbf('zd24')} AS demand_delta_24h, {_ffbf('rstd')} AS rstd_f,
+  CAST(dw >= 5 AS INTEGER) AS wk
+FROM train_lagged""", "train_lagged")
+
+_RATIO = clip(f"l24 / {clip('l168', lo=0.01)}", -5.0, 5.0)
+_TRAIN_EXPR = {
+    "timestamp": ("timestamp", "ts"),
+    "target_demand": ("demand", "d"),
+    "season": ("CASE WHEN mo IN (12, 1, 2) THEN 'winter' WHEN mo IN (3, 4, 5) THEN 'spring' "
+               "WHEN mo IN (6, 7, 8) THEN 'summer' WHEN mo IN (9, 10, 11) THEN 'autumn' END", "s"),
+    "hour_sin": (f"sin({TWO_PI} * h / 24)", "d"),
+    "hour_cos": (f"cos({TWO_PI} * h / 24)", "d"),
+    "dow_sin": (f"sin({TWO_PI} * dw / 7)", "d"),
+    "month_cos": (f"cos({TWO_PI} * mo / 12)", "d"),
+    **{f"dow_{i}": (flag(f"dw = {i}"), "i") for i in range(7)},
+    "is_weekend": (flag("dw >= 5"), "i"),
+    "is_weekday": (flag("dw < 5"), "i"),
+    "is_public_holiday": ("is_public_holiday", "i"),
+    "is_monday_after_weekend": (flag("dw = 0 AND h < 12"), "i"),
+    "is_friday_before_weekend": (flag("dw = 4 AND h >= 12"), "i"),
+    "is_early_morning": (flag("h >= 5 AND h < 8"), "i"),
+    "is_morning_ramp": (flag("h >= 6 AND h < 10"), "i"),
+    "is_night": (flag("h >= 22 OR h < 6"), "i"),
+    "day_transition_type": (f"CASE WHEN dw = 6 THEN {D(1.0)} WHEN dw = 4 THEN {D(2.0)} ELSE {D(0.0)} END", "d"),
+    "is_peak_hour": (flag("h >= 9 AND h < 20"), "i"),
+    "is_valley_hour": (flag("h >= 0 AND h < 5"), "i"),
+    "hour_squared": (f"h * h / {D(576.0)}", "d"),
+    "daylight_savings_winter": (flag("mo IN (11, 12, 1, 2, 3)"), "i"),
+    "daylight_savings_summer": (flag("mo IN (4, 5, 6, 7, 8, 9, 10)"), "i"),
+    "temperature": ("temperature_2m", "d"),
+    "heating_demand": ("heat", "d"),
+    "heating_demand_sq": ("heat * heat", "d"),
+    "temp_severity": ("abs(temperature_2m - mu_t) / nullif(sd_t, 0)", "d"),
+    "heating_demand_log": ("ln(1 + heat)", "d"),
+    "monday_cold_multiplier": (clip(f"{flag('dw = 0')} * heat", hi=20.0), "d"),
+    "is_cold": (flag("temperature_2m < 5"), "i"),
+    "regime_0": (flag("temperature_2m < 0"), "i"),
+    "regime_1": (flag("temperature_2m >= 0 AND temperature_2m < 10"), "i"),
+    "regime_2": (flag("temperature_2m >= 10 AND temperature_2m < 20"), "i"),
+    "regime_3": (flag("temperature_2m >= 20"), "i"),
+    "demand_lag_24h_norm": ("l24", "d"),
+    "demand_lag_168h_norm": ("l168", "d"),
+    "demand_delta_24h": ("demand_delta_24h", "d"),
+    "demand_lag_ratio": (_RATIO, "d"),
+    "lag_reliability": (f"v24 * {D(0.7)} + v168 * {D(0.3)}", "d"),
+    "demand_lag_adjusted": (f"CAST(lag_24h_was_weekend = wk AS DOUBLE) * l24 + "
+                            f"({D(1.0)} - CAST(lag_24h_was_weekend = wk AS DOUBLE)) * {D(0.5)} * (l24 + l168)", "d"),
+    "transition_adjustment": (f"{flag('dw = 0 AND h < 12')} * {D(0.1)} - {flag('dw = 4 AND h >= 12')} * {D(0.05)}", "d"),
+    "demand_rolling_std_7d": ("rstd_f / nullif(sd_d, 0)", "d"),
+    "lag_24h_was_weekend": ("lag_24h_was_weekend", "i"),
+    "lag_168h_was_weekend": ("lag_168h_was_weekend", "i"),
+    "demand_lag_24h_sq": ("l24 * l24", "d"),
+    "demand_lag_168h_sq": ("l168 * l168", "d"),
+    "demand_lag_24h_log": (f"ln(1 + {clip('l24', lo=0.0)})", "d"),
+    "temp_lag_24h": ("temp_lag_24h", "d"),
+    "peak_lag_interaction": (f"{flag('h >= 9 AND h < 20')} * l24", "d"),
+    "peak_heating_interaction": (f"{flag('h >= 9 AND h < 20')} * heat", "d"),
+    "weekend_temp_interaction": (f"{flag('dw >= 5')} * temperature_2m", "d"),
+    "heating_hour_cos_product": (f"heat * cos({TWO_PI} * h / 24)", "d"),
+    "temp_lag_ratio_interaction": (f"temperature_2m * {_RATIO}", "d"),
+    "night_temp_interaction": (f"{flag('h >= 22 OR h < 6')} * temperature_2m", "d"),
+    "weekend_transition_temp": (f"CASE WHEN dw = 6 THEN {D(1.0)} WHEN dw = 4 THEN {D(2.0)} ELSE {D(0.0)} END"
+                                f" * temperature_2m * {flag('dw >= 5')}", "d"),
+    "dow_sin_temp": (f"sin({TWO_PI} * dw / 7) * temperature_2m", "d"),
+}
+
+
+def typed(expr: str, kind: str, name: str, digits: int = 6) -> str:
+    if kind == "d":
+        return R(expr, name, digits)
+    if kind == "i":
+        return I(expr, name)
+    if kind == "l":
+        return f"CAST({expr} AS BIGINT) AS {name}"
+    if kind == "b":
+        return f"CAST({expr} AS BOOLEAN) AS {name}"
+    if kind == "ts":
+        return f"CAST({expr} AS TIMESTAMP) AS {name}"
+    return f"{expr} AS {name}"
+
+
+def train_features_sql(columns=None, drop_incomplete: bool = True) -> str:
+    from gridcast.plans.train_features import TRAIN_COLUMNS
+    names = TRAIN_COLUMNS
+    sel = ",\n  ".join(typed(_TRAIN_EXPR[c][0], _TRAIN_EXPR[c][1], c) for c in names)
+    inner = f"SELECT series_id,\n  {sel}\nFROM train_filled"
+    outer_cols = ["series_id"] + list(columns or names)
+    where = ""
+    if drop_incomplete:
+        where = " WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in names)
+    body = f"SELECT {', '.join(outer_cols)} FROM ({inner}) q{where}"
+    return with_ctes(body, "train_filled")
+
+
+# --------------------------------------------------------------------------
+# registry: query key -> SQL
+# --------------------------------------------------------------------------
+ORACLE: dict[str, str] = {}
+
+
+def oracle(name: str, sql: str) -> None:
+    ORACLE[name] = sql
+
+
+oracle("resample_hourly", with_ctes("""
+SELECT series_id, CAST(ts AS TIMESTAMP) AS ts, round(actual_demand, 6) + 0.0 AS actual_demand,
+       round(demand_forecast, 6) + 0.0 AS demand_forecast, daylight_savings_winter, daylight_savings_summer
+FROM demand_hourly""", "demand_hourly"))
+oracle("features_train", train_features_sql())
