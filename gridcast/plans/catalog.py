@@ -47,3 +47,21 @@ def q_resample_hourly(spark, sf_dir):
 def q_features_train(spark, sf_dir):
     """the whole training frame per series."""
     return _train_frame(spark, sf_dir)
+
+
+def _serve_frame(spark, sf_dir, **kw):
+    from gridcast.plans.serve_features import serve_features
+    return serve_features(B.serve_input(spark, sf_dir), **kw)
+
+
+@query("features_serve")
+def q_features_serve(spark, sf_dir):
+    """the whole serving frame per series over its full history."""
+    return _serve_frame(spark, sf_dir)
+
+
+@query("future_features")
+def q_future_features(spark, sf_dir):
+    """24 future rows per series after the serving history."""
+    from gridcast.plans.future import future_features
+    return future_features(_serve_frame(spark, sf_dir, keep_pos=True), hours=24)

@@ -271,6 +271,189 @@ def train_features_sql(columns=None, drop_incomplete: bool = True) -> str:
     return with_ctes(body, "train_filled")
 
 
+
+# --------------------------------------------------------------------------
+# calendar + serve profile
+# --------------------------------------------------------------------------
+def calendar_sql(years_cte: str, ts: str = "ts") -> str:
+    return f"""
+SELECT CAST(g.date AS DATE) AS date,
+       coalesce(hh.is_public_holiday, false) AS is_public_holiday,
+       coalesce(hh.is_national, false) AS is_national,
+       coalesce(hh.holiday_type, '') AS holiday_type,
+       CAST(coalesce(hh.counties_affected, 0) AS INTEGER) AS counties_affected,
+       NOT {dst_summer('g.date')} AS daylight_savings_winter, {dst_summer('g.date')} AS daylight_savings_summer
+FROM (SELECT unnest(generate_series(make_date(CAST(min(year({ts})) AS BIGINT), 1, 1),
+                                    make_date(CAST(max(year({ts})) AS BIGINT), 12, 31), INTERVAL 1 DAY)) AS date
+      FROM {years_cte}) g
+LEFT JOIN (
+  SELECT make_date(CAST(y.y AS BIGINT), r.m, r.d) AS date, bool_or(true) AS is_public_holiday,
+         bool_or(r.is_global) AS is_national, arg_min('Public', r.ordinal) AS holiday_type,
+         max(c.counties) AS counties_affected
+  FROM (SELECT DISTINCT year({ts}) AS y FROM {years_cte}) y, holiday_rules r
+  JOIN rule_counties c ON r.ordinal = c.ordinal
+  GROUP BY 1) hh ON CAST(g.date AS DATE) = hh.date"""
+
+
+cte("hourly_calendar", calendar_sql("demand_hourly"), "demand_hourly", "holiday_rules", "rule_counties")
+cte("serve_input", """
+SELECT d.series_id, d.ts AS timestamp, d.actual_demand AS target_demand, d.daylight_savings_winter,
+       d.daylight_savings_summer, coalesce(c.is_public_holiday, false) AS is_public_holiday, w.temperature
+FROM demand_hourly d JOIN weather_hourly w ON d.ts = w.ts
+LEFT JOIN hourly_calendar c ON CAST(d.ts AS DATE) = c.date""", "demand_hourly", "weather_hourly", "hourly_calendar")
+cte("serve_base", """
+SELECT t.*, s.mu, s.sd,
+       CAST(hour(t.timestamp) AS INTEGER) AS h, CAST(isodow(t.timestamp) - 1 AS INTEGER) AS dw,
+       CAST(month(t.timestamp) AS INTEGER) AS mo, CAST(year(t.timestamp) AS INTEGER) AS yr,
+       row_number() OVER (PARTITION BY t.series_id ORDER BY t.timestamp) - 1 AS pos
+FROM serve_input t JOIN (SELECT series_id, avg(target_demand) AS mu, stddev_samp(target_demand) AS sd
+                         FROM serve_input GROUP BY series_id) s USING (series_id)""", "serve_input")
+cte("serve_lagged", f"""
+SELECT *,
+  coalesce(lag(target_demand, 24) OVER ({_W}), mu) AS l24,
+  coalesce(lag(target_demand, 168) OVER ({_W}), mu) AS l168,
+  lag(dw, 24) OVER ({_W}) AS pdow,
+  coalesce(lag(temperature, 24) OVER ({_W}), temperature) AS temp_lag_24h,
+  CASE WHEN count(target_demand) OVER ({_W} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) >= 24
+       THEN stddev_samp(target_demand) OVER ({_W} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END AS rstd,
+  CASE WHEN temperature IS NULL THEN NULL ELSE greatest({D(18.0)} - temperature, {D(0.0)}) END AS heat,
+  coalesce(lag(dw, 24) OVER ({_W}), dw) AS prev
+FROM serve_base""", "serve_base")
+
+
+def _serve_common(T: str = "temperature") -> dict:
+    peak = dflag("h >= 9 AND h <= 12")
+    return {
+        "hour": ("h", "i"), "dow": ("dw", "i"), "month": ("mo", "i"), "year": ("yr", "i"),
+        "hour_sin": (f"sin({TWO_PI} * h / 24)", "d"), "hour_cos": (f"cos({TWO_PI} * h / 24)", "d"),
+        "dow_sin": (f"sin({TWO_PI} * dw / 7)", "d"), "dow_cos": (f"cos({TWO_PI} * dw / 7)", "d"),
+        "month_sin": (f"sin({TWO_PI} * (mo - 1) / 12)", "d"),
+        "month_cos": (f"cos({TWO_PI} * (mo - 1) / 12)", "d"),
+        **{f"dow_{i}": (dflag(f"dw = {i}"), "d") for i in range(7)},
+        "is_weekend": (dflag("dw >= 5"), "d"), "is_weekday": (dflag("dw < 5"), "d"),
+        "is_monday_after_weekend": (dflag("dw = 0"), "d"),
+        "is_early_morning": (dflag("h >= 0 AND h <= 4"), "d"),
+        "is_morning_ramp": (dflag("h >= 4 AND h <= 10"), "d"),
+        "is_night": (dflag("h >= 22 OR h <= 4"), "d"),
+        "is_peak_hour": (peak, "d"), "is_peak_period": (peak, "d"),
+        "is_valley_hour": (dflag("h = 2 OR h = 3"), "d"),
+        "hour_squared": ("(CAST(h AS DOUBLE) / 24) * (CAST(h AS DOUBLE) / 24)", "d"),
+        "season": ("CASE WHEN mo IN (12, 1, 2) THEN 'Winter' WHEN mo IN (3, 4, 5) THEN 'Spring' "
+                   "WHEN mo IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END", "s"),
+        "regime_0": (dflag("yr = 2019"), "d"), "regime_1": (dflag("yr = 2020"), "d"),
+        "regime_2": (dflag("yr IN (2021, 2022)"), "d"), "regime_3": (dflag("yr >= 2023"), "d"),
+        "heating_demand": ("heat", "d"), "heating_demand_sq": ("heat * heat", "d"),
+        "heating_demand_log": ("ln(1 + heat)", "d"),
+        "temp_severity": (clip(f"({D(18.0)} - {T}) / {D(28.0)}", 0.0, 1.0), "d"),
+        "is_cold": (dflag(f"{T} < 5"), "d"),
+        "heating_evening_impact": (f"heat * {dflag('h >= 17 AND h <= 20')}", "d"),
+        "monday_cold_multiplier": (f"{dflag('dw = 0')} * heat", "d"),
+        "demand_lag_24h": ("l24", "d"), "demand_lag_168h": ("l168", "d"),
+        "demand_lag_24h_norm": (f"l24 / {D(10000.0)}", "d"), "demand_lag_168h_norm": (f"l168 / {D(10000.0)}", "d"),
+        "lag_168h_was_weekend": (dflag("dw >= 5"), "d"),
+        "baseline_demand_norm": (f"mu / {D(10000.0)}", "d"),
+        "demand_lag_24h_dampened": (f"l24 / {D(10000.0)} * {D(0.8)}", "d"),
+        "demand_lag_168h_dampened": (f"l168 / {D(10000.0)} * {D(0.8)}", "d"),
+        "demand_lag_adjusted": (f"l24 / {D(10000.0)}", "d"),
+        "demand_lag_24h_sq": (f"(l24 / {D(10000.0)}) * (l24 / {D(10000.0)})", "d"),
+        "demand_lag_168h_sq": (f"(l168 / {D(10000.0)}) * (l168 / {D(10000.0)})", "d"),
+        "demand_lag_24h_log": (f"ln(1 + l24 / {D(10000.0)})", "d"),
+        "seasonal_weekly_pattern": (f"l168 / {D(10000.0)}", "d"),
+        "peak_lag_interaction": (f"{peak} * (l24 / {D(10000.0)})", "d"),
+        "peak_heating_interaction": (f"{peak} * heat", "d"),
+        "weekend_temp_interaction": (f"{dflag('dw >= 5')} * {T}", "d"),
+        "heating_hour_cos_product": (f"heat * cos({TWO_PI} * h / 24)", "d"),
+        "temp_peak_interaction": (f"{T} * {peak}", "d"),
+        "temp_morning_ramp_interaction": (f"{T} * {dflag('h >= 4 AND h <= 10')}", "d"),
+        "temp_night_interaction": (f"{T} * {dflag('h >= 22 OR h <= 4')}", "d"),
+        "monday_morning_heating": (f"{dflag('dw = 0 AND h <= 10')} * heat", "d"),
+        "evening_heating_interaction": (f"{dflag('h >= 17 AND h <= 20')} * heat", "d"),
+        "dow_sin_temp": (f"sin({TWO_PI} * dw / 7) * {T}", "d"),
+        **{z: (D(0.0), "d") for z in ["expected_transition_delta", "transition_lag_penalty",
+                                      "morning_ramp_lag_adjustment", "demand_lag_correction",
+                                      "is_week_after_holiday"]},
+    }
+
+
+def _serve_expr() -> dict:
+    ratio = clip(f"l24 / CASE WHEN l168 = 0 THEN {D(1.0)} ELSE l168 END", 0.7, 1.3)
+    lw = dflag("pdow >= 5")
+    dtt = f"CASE WHEN prev >= 5 AND dw < 5 THEN {D(1.0)} WHEN prev < 5 AND dw >= 5 THEN {D(2.0)} ELSE {D(0.0)} END"
+    e = _serve_common()
+    e.update({
+        "timestamp": ("timestamp", "ts"), "target_demand": ("target_demand", "d"),
+        "daylight_savings_winter": ("daylight_savings_winter", "b"),
+        "daylight_savings_summer": ("daylight_savings_summer", "b"),
+        "is_public_holiday": ("CAST(is_public_holiday AS DOUBLE)", "d"), "temperature": ("temperature", "d"),
+        "day_transition_type": (dtt, "d"),
+        "demand_lag_ratio": (ratio, "d"),
+        "demand_rolling_std_7d": (f"coalesce(rstd, sd) / {D(10000.0)}", "d"),
+        "lag_24h_was_weekend": (lw, "d"), "lag_24h_was_saturday": (dflag("pdow = 5"), "d"),
+        "lag_24h_was_sunday": (dflag("pdow = 6"), "d"),
+        "lag_reliability": (f"CASE WHEN {dflag('dw >= 5')} = {lw} THEN {D(1.0)} ELSE {D(0.5)} END", "d"),
+        "ignore_lag_signal": (dflag(f"(dw = 0 AND {lw} = 1) OR (dw = 5 AND {lw} = 0)"), "d"),
+        "demand_vs_baseline": (f"(target_demand - mu) / {D(10000.0)}", "d"),
+        "demand_delta_24h": (f"(target_demand - l24) / {D(10000.0)}", "d"),
+        "temp_lag_ratio_interaction": (f"temperature * {ratio}", "d"),
+        "weekend_transition_temp": (f"{dtt} * temperature", "d"),
+        "temp_lag_24h": ("temp_lag_24h", "d"),
+    })
+    return e
+
+
+def serve_features_sql(columns=None) -> str:
+    from gridcast.plans.serve_features import SERVE_COLUMNS
+    e = _serve_expr()
+    sel = ",\n  ".join(typed(e[c][0], e[c][1], c) for c in SERVE_COLUMNS)
+    inner = f"SELECT series_id, pos,\n  {sel}\nFROM serve_lagged"
+    cols = ["series_id"] + list(columns or SERVE_COLUMNS)
+    return with_ctes(f"SELECT {', '.join(cols)} FROM ({inner}) q", "serve_lagged")
+
+
+def future_features_sql(hours: int = 24) -> str:
+    from gridcast.plans.serve_features import SERVE_COLUMNS
+    T = "last_t"
+    e = _serve_common(T)
+    ratio = clip(f"CASE WHEN l168 = 0 THEN {D(1.0)} ELSE l24 / l168 END", 0.7, 1.3)
+    e.update({
+        "timestamp": ("timestamp", "ts"), "target_demand": ("mu", "d"),
+        "daylight_savings_winter": ("last_w", "b"), "daylight_savings_summer": ("last_s", "b"),
+        "is_public_holiday": (D(0.0), "d"), "temperature": (T, "d"),
+        "day_transition_type": (D(0.0), "d"), "demand_lag_ratio": (ratio, "d"),
+        "demand_rolling_std_7d": (f"sd / {D(10000.0)}", "d"),
+        "lag_24h_was_weekend": (dflag("prev >= 5"), "d"), "lag_24h_was_saturday": (dflag("prev = 5"), "d"),
+        "lag_24h_was_sunday": (dflag("prev = 6"), "d"),
+        "lag_reliability": (f"CASE WHEN (dw = 0 AND h <= 10) OR (dw = 5 AND h <= 10) THEN {D(0.5)} ELSE {D(1.0)} END", "d"),
+        "ignore_lag_signal": (dflag("(dw = 0 AND prev = 6) OR (dw = 5 AND prev = 4)"), "d"),
+        "demand_vs_baseline": (D(0.0), "d"), "demand_delta_24h": (D(0.0), "d"),
+        "temp_lag_ratio_interaction": (f"{T} * {ratio}", "d"),
+        "weekend_transition_temp": (f"{D(0.0)} * {T}", "d"),
+        "temp_lag_24h": (T, "d"),
+    })
+    sel = ",\n  ".join(typed(e[c][0], e[c][1], c) for c in SERVE_COLUMNS)
+    body = f"""
+SELECT series_id, CAST(hz AS INTEGER) AS horizon,
+  {sel}
+FROM (
+  SELECT f.*, CAST(hour(timestamp) AS INTEGER) AS h, CAST(isodow(timestamp) - 1 AS INTEGER) AS dw,
+         CAST(month(timestamp) AS INTEGER) AS mo, CAST(year(timestamp) AS INTEGER) AS yr,
+         CAST(isodow(timestamp - INTERVAL 24 HOUR) - 1 AS INTEGER) AS prev,
+         CASE WHEN last_t IS NULL THEN NULL ELSE greatest({D(18.0)} - last_t, {D(0.0)}) END AS heat,
+         CASE WHEN i24 >= 0 AND i24 < n THEN h24.target_demand ELSE mu END AS l24,
+         CASE WHEN i168 >= 0 AND i168 < n THEN h168.target_demand ELSE mu END AS l168
+  FROM (
+    SELECT s.*, hz, s.last_ts + hz * INTERVAL 1 HOUR AS timestamp, n - 24 + hz - 1 AS i24, n - 168 + hz - 1 AS i168
+    FROM (SELECT series_id, arg_max(timestamp, pos) AS last_ts, arg_max(temperature, pos) AS last_t,
+                 arg_max(daylight_savings_winter, pos) AS last_w, arg_max(daylight_savings_summer, pos) AS last_s,
+                 avg(target_demand) AS mu, stddev_samp(target_demand) AS sd, count(*) AS n
+          FROM serve_base GROUP BY series_id) s, range(1, {hours + 1}) r(hz)) f
+  LEFT JOIN (SELECT series_id AS sid, pos AS p, target_demand FROM serve_base) h24
+         ON h24.sid = f.series_id AND h24.p = f.i24
+  LEFT JOIN (SELECT series_id AS sid, pos AS p, target_demand FROM serve_base) h168
+         ON h168.sid = f.series_id AND h168.p = f.i168) q"""
+    return with_ctes(body, "serve_base")
+
+
 # --------------------------------------------------------------------------
 # registry: query key -> SQL
 # --------------------------------------------------------------------------
@@ -286,3 +469,5 @@ SELECT series_id, CAST(ts AS TIMESTAMP) AS ts, round(actual_demand, 6) + 0.0 AS
        round(demand_forecast, 6) + 0.0 AS demand_forecast, daylight_savings_winter, daylight_savings_summer
 FROM demand_hourly""", "demand_hourly"))
 oracle("features_train", train_features_sql())
+oracle("features_serve", serve_features_sql())
+oracle("future_features", future_features_sql(24))
