@@ -176,7 +176,7 @@ def time_gaps(df: DataFrame, series="series_id", ts: str = "ts") -> DataFrame:
     prev = p.select(*series, (F.col("_p") + 1).alias("_p"), F.col(ts).alias("prev_ts"))
     j = p.join(prev, series + ["_p"], "left")
     return j.select(*series, "prev_ts", ts,
-                    F.timestampdiff("SECOND", F.col("prev_ts"), F.col(ts)).alias("diff_seconds"))
+                    F.expr(f"timestampdiff(SECOND, prev_ts, {ts})").alias("diff_seconds"))
 
 
 def sequence_windows(df: DataFrame, value: str, encoder: int = 48, horizon: int = 24,
@@ -198,3 +198,53 @@ def sequence_windows(df: DataFrame, value: str, encoder: int = 48, horizon: int
     x = x.where((F.size("encoder") == encoder) & (F.size("decoder") == horizon))
     return x.select(*series, F.col(pos).alias("origin_pos"), F.col(ts).alias("origin_ts"),
                     "encoder", "decoder")
+
+
+def _stats_join(df: DataFrame, series, col: str) -> DataFrame:
+    st = df.groupBy(*_cols(series)).agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
+    return df.join(st, _cols(series))
+
+
+def seasonal_delta(df: DataFrame, col: str, k: int = 24, series="series_id", pos: str = "pos",
+                   out: str = "delta", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """x - x[k rows earlier], then ffill / bfill."""
+    w = block_window(series, pos)
+    x = core_only(halo_blocks(df, pos, before=k, block_rows=block_rows)
+                  .select("*", (F.col(col) - F.lag(col, k).over(w)).alias(out)))
+    return ffill_bfill(x, [out], series, pos).drop(BLK)
+
+
+def rolling_std_train(df: DataFrame, col: str, series="series_id", pos: str = "pos",
+                      rows: int = 168, min_periods: int = 24, out: str = "rolling_std",
+                      block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Rolling sample std, ffill / bfill, divided by the frame std."""
+    x = _stats_join(df, series, col)
+    w = block_window(series, pos)
+    x = core_only(halo_blocks(x, pos, before=rows - 1, block_rows=block_rows)
+                  .select("*", rolling_std(F.col(col), w, rows, min_periods).alias(out)))
+    x = ffill_bfill(x, [out], series, pos)
+    return x.withColumn(out, F.try_divide(F.col(out), F.col("_sd"))).drop(BLK, "_mu", "_sd")
+
+
+def rolling_std_serve(df: DataFrame, col: str, series="series_id", pos: str = "pos",
+                      rows: int = 168, min_periods: int = 24, scale: float = 10_000.0,
+                      out: str = "rolling_std", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Rolling sample std, missing -> frame std, divided by a scale."""
+    x = _stats_join(df, series, col)
+    w = block_window(series, pos)
+    x = core_only(halo_blocks(x, pos, before=rows - 1, block_rows=block_rows)
+                  .select("*", rolling_std(F.col(col), w, rows, min_periods).alias(out)))
+    return x.withColumn(out, F.coalesce(F.col(out), F.col("_sd")) / F.lit(scale)).drop(BLK, "_mu", "_sd")
+
+
+def day_transition(df: DataFrame, ts: str = "ts", series="series_id", pos: str = "pos",
+                   k: int = 24, out: str = "day_transition_type",
+                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """1 weekend->weekday, 2 weekday->weekend vs the weekday k rows earlier."""
+    w = block_window(series, pos)
+    d = F.weekday(ts)
+    x = core_only(halo_blocks(df, pos, before=k, block_rows=block_rows)
+                  .select("*", F.coalesce(F.lag(d, k).over(w), d).alias("_prev")))
+    prev = F.col("_prev")
+    return x.withColumn(out, F.when((prev >= 5) & (d < 5), 1.0).when((prev < 5) & (d >= 5), 2.0)
+                        .otherwise(0.0)).drop("_prev", BLK)

@@ -65,3 +65,153 @@ def q_future_features(spark, sf_dir):
     """24 future rows per series after the serving history."""
     from gridcast.plans.future import future_features
     return future_features(_serve_frame(spark, sf_dir, keep_pos=True), hours=24)
+
+
+# --------------------------------------------------------------------------
+# feature blocks
+# --------------------------------------------------------------------------
+def _train_block(cols):
+    def fn(spark, sf_dir):
+        return _train_frame(spark, sf_dir, drop_incomplete=False).select("series_id", "timestamp", *cols)
+    return fn
+
+
+def _serve_block(cols):
+    def fn(spark, sf_dir):
+        return _serve_frame(spark, sf_dir).select("series_id", "timestamp", *cols)
+    return fn
+
+
+def _register_blocks():
+    from gridcast.plans import serve_features as S
+    from gridcast.plans import train_features as T
+    query("feat_train_temporal")(_train_block(T.TEMPORAL_BLOCK + ["is_public_holiday"]))
+    query("feat_train_weather")(_train_block(T.WEATHER_BLOCK))
+    query("feat_train_regime")(_train_block(T.REGIME_BLOCK))
+    query("feat_train_lags")(_train_block(T.LAG_BLOCK))
+    query("feat_train_interactions")(_train_block(T.INTERACTION_BLOCK))
+    query("select_training_columns")(_train_block(T.TRAIN_COLUMNS[1:]))
+    query("feat_serve_temporal")(_serve_block(S.TEMPORAL_BLOCK))
+    query("feat_serve_weather")(_serve_block(S.WEATHER_BLOCK))
+    query("feat_serve_lags")(_serve_block(S.LAG_BLOCK))
+    query("feat_serve_interactions")(_serve_block(S.INTERACTION_BLOCK))
+
+
+_register_blocks()
+
+
+@query("season_of")
+def q_season_of(spark, sf_dir):
+    """both season maps over the multi-year daily series."""
+    from gridcast.functions.calendar import season_serve, season_train
+    d = B.daily_series(spark, sf_dir)
+    return d.select("series_id", "ts", season_train(F.month("ts")).alias("season_train"),
+                    season_serve(F.month("ts")).alias("season_serve"))
+
+
+# --------------------------------------------------------------------------
+# series windows
+# --------------------------------------------------------------------------
+def _hourly_pos(spark, sf_dir):
+    from gridcast.operators.series import position_index
+    return position_index(B.demand_hourly(spark, sf_dir).select("series_id", "ts", "actual_demand"),
+                          "series_id", "ts")
+
+
+@query("position_index")
+def q_position_index(spark, sf_dir):
+    """Dense 0..n-1 position per series."""
+    return _hourly_pos(spark, sf_dir)
+
+
+@query("lag_rows")
+def q_lag_rows(spark, sf_dir):
+    """Positional lags 1, 7, 24, 168 rows."""
+    from gridcast.operators.series import lag_rows
+    return lag_rows(_hourly_pos(spark, sf_dir), "actual_demand")
+
+
+@query("lag_ffill_bfill")
+def q_lag_ffill_bfill(spark, sf_dir):
+    """Lags filled forward then backward."""
+    from gridcast.operators.series import lag_rows
+    return lag_rows(_hourly_pos(spark, sf_dir), "actual_demand", lags=(24, 168), fill="ffill_bfill")
+
+
+@query("lag_fill_value")
+def q_lag_fill_value(spark, sf_dir):
+    """Lags filled with the frame mean."""
+    from gridcast.operators.series import lag_rows
+    x = _hourly_pos(spark, sf_dir)
+    mu = x.groupBy("series_id").agg(F.avg("actual_demand").alias("_mu"))
+    out = lag_rows(x.join(mu, "series_id"), "actual_demand", lags=(24, 168), fill="value",
+                   fill_value=F.col("_mu"))
+    return out.drop("_mu")
+
+
+@query("seasonal_delta")
+def q_seasonal_delta(spark, sf_dir):
+    """X - x 24 rows earlier, ffill / bfill."""
+    from gridcast.operators.series import seasonal_delta
+    return seasonal_delta(_hourly_pos(spark, sf_dir), "actual_demand", 24)
+
+
+@query("rolling_std_train")
+def q_rolling_std_train(spark, sf_dir):
+    """168-row rolling std (>= 24 obs), ffill / bfill, / frame std."""
+    from gridcast.operators.series import rolling_std_train
+    return rolling_std_train(_hourly_pos(spark, sf_dir), "actual_demand")
+
+
+@query("rolling_std_serve")
+def q_rolling_std_serve(spark, sf_dir):
+    """168-row rolling std, missing -> frame std, / 10 000."""
+    from gridcast.operators.series import rolling_std_serve
+    return rolling_std_serve(_hourly_pos(spark, sf_dir), "actual_demand")
+
+
+@query("day_transition")
+def q_day_transition(spark, sf_dir):
+    """Day-transition type from the weekday 24 rows earlier."""
+    from gridcast.operators.series import day_transition
+    return day_transition(_hourly_pos(spark, sf_dir), "ts")
+
+
+@query("time_gaps")
+def q_time_gaps(spark, sf_dir):
+    """Gaps > 1 h to the previous row, 2 h flagged DST-like."""
+    from gridcast.operators.series import time_gaps
+    g = time_gaps(B.demand_hourly(spark, sf_dir))
+    return (g.where(F.col("diff_seconds") > 3600)
+            .withColumn("is_dst_like", F.col("diff_seconds") == 7200))
+
+
+@query("sequence_windows")
+def q_sequence_windows(spark, sf_dir):
+    """48-row encoder / 24-row decoder target windows, stride 1."""
+    from gridcast.operators.series import sequence_windows
+    tf = _train_frame(spark, sf_dir, keep_pos=True)
+    from gridcast.operators.series import position_index
+    tf = position_index(tf.drop("pos"), "series_id", "timestamp")
+    s = sequence_windows(tf, "target_demand", 48, 24, ts="timestamp")
+
+    def txt(c):
+        return F.array_join(F.transform(c, lambda v: F.round(v, 3).cast("decimal(20,3)").cast("string")), ",")
+    return s.select("series_id", "origin_pos", "origin_ts", txt(F.col("encoder")).alias("encoder"),
+                    txt(F.col("decoder")).alias("decoder"))
+
+
+@query("tail_slice")
+def q_tail_slice(spark, sf_dir):
+    """Last encoder + horizon = 72 positions per series."""
+    from gridcast.operators.series import tail_slice
+    return tail_slice(_hourly_pos(spark, sf_dir), 72)
+
+
+@query("chronological_split")
+def q_chronological_split(spark, sf_dir):
+    """Train / val / test label by int(n*0.8), int(n*0.9)."""
+    from gridcast.operators.series import chronological_split, position_index
+    tf = position_index(_train_frame(spark, sf_dir).select("series_id", "timestamp", "target_demand"),
+                        "series_id", "timestamp")
+    return chronological_split(tf)

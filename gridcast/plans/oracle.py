@@ -471,3 +471,115 @@ FROM demand_hourly""", "demand_hourly"))
 oracle("features_train", train_features_sql())
 oracle("features_serve", serve_features_sql())
 oracle("future_features", future_features_sql(24))
+
+
+def _blocks():
+    from gridcast.plans import serve_features as S
+    from gridcast.plans import train_features as T
+    for key, cols in [("feat_train_temporal", T.TEMPORAL_BLOCK + ["is_public_holiday"]),
+                      ("feat_train_weather", T.WEATHER_BLOCK), ("feat_train_regime", T.REGIME_BLOCK),
+                      ("feat_train_lags", T.LAG_BLOCK), ("feat_train_interactions", T.INTERACTION_BLOCK),
+                      ("select_training_columns", T.TRAIN_COLUMNS[1:])]:
+        oracle(key, train_features_sql(["timestamp"] + cols, drop_incomplete=False))
+    for key, cols in [("feat_serve_temporal", S.TEMPORAL_BLOCK), ("feat_serve_weather", S.WEATHER_BLOCK),
+                      ("feat_serve_lags", S.LAG_BLOCK), ("feat_serve_interactions", S.INTERACTION_BLOCK)]:
+        oracle(key, serve_features_sql(["timestamp"] + cols))
+
+
+_blocks()
+
+oracle("season_of", with_ctes("""
+SELECT series_id, ts,
+  CASE WHEN month(ts) IN (12, 1, 2) THEN 'winter' WHEN month(ts) IN (3, 4, 5) THEN 'spring'
+       WHEN month(ts) IN (6, 7, 8) THEN 'summer' WHEN month(ts) IN (9, 10, 11) THEN 'autumn' END AS season_train,
+  CASE WHEN month(ts) IN (12, 1, 2) THEN 'Winter' WHEN month(ts) IN (3, 4, 5) THEN 'Spring'
+       WHEN month(ts) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS season_serve
+FROM daily_series""", "daily_series"))
+
+cte("hourly_pos", """
+SELECT series_id, ts, actual_demand, CAST(row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS BIGINT) AS pos
+FROM demand_hourly""", "demand_hourly")
+_HW = "PARTITION BY series_id ORDER BY pos"
+_HALL = f"({_HW} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+_HRUN = f"({_HW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _hffbf(x: str) -> str:
+    return f"coalesce(last_value({x} IGNORE NULLS) OVER {_HRUN}, first_value({x} IGNORE NULLS) OVER {_HALL})"
+
+
+oracle("position_index", with_ctes(f"SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos FROM hourly_pos", "hourly_pos"))
+oracle("lag_rows", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos,
+  {', '.join(R(f'lag(actual_demand, {k}) OVER ({_HW})', f'actual_demand_lag_{k}') for k in (1, 7, 24, 168))}
+FROM hourly_pos""", "hourly_pos"))
+oracle("lag_ffill_bfill", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos,
+  {', '.join(R(_hffbf(f'l{k}'), f'actual_demand_lag_{k}') for k in (24, 168))}
+FROM (SELECT *, lag(actual_demand, 24) OVER ({_HW}) AS l24, lag(actual_demand, 168) OVER ({_HW}) AS l168
+      FROM hourly_pos) q""", "hourly_pos"))
+oracle("lag_fill_value", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos,
+  {', '.join(R(f'coalesce(lag(actual_demand, {k}) OVER ({_HW}), avg(actual_demand) OVER (PARTITION BY series_id))', f'actual_demand_lag_{k}') for k in (24, 168))}
+FROM hourly_pos""", "hourly_pos"))
+oracle("seasonal_delta", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos, {R(_hffbf('d0'), 'delta')}
+FROM (SELECT *, actual_demand - lag(actual_demand, 24) OVER ({_HW}) AS d0 FROM hourly_pos) q""", "hourly_pos"))
+_RS = (f"CASE WHEN count(actual_demand) OVER ({_HW} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) >= 24 "
+       f"THEN stddev_samp(actual_demand) OVER ({_HW} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END")
+oracle("rolling_std_train", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos, {R(f"{_hffbf('rs')} / nullif(sd, 0)", 'rolling_std')}
+FROM (SELECT *, {_RS} AS rs, stddev_samp(actual_demand) OVER (PARTITION BY series_id) AS sd FROM hourly_pos) q""",
+    "hourly_pos"))
+oracle("rolling_std_serve", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos,
+  {R(f"coalesce(rs, sd) / {D(10000.0)}", 'rolling_std')}
+FROM (SELECT *, {_RS} AS rs, stddev_samp(actual_demand) OVER (PARTITION BY series_id) AS sd FROM hourly_pos) q""",
+    "hourly_pos"))
+oracle("day_transition", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos,
+  {R(f"CASE WHEN prev >= 5 AND dw < 5 THEN {D(1.0)} WHEN prev < 5 AND dw >= 5 THEN {D(2.0)} ELSE {D(0.0)} END", 'day_transition_type')}
+FROM (SELECT *, isodow(ts) - 1 AS dw, coalesce(lag(isodow(ts) - 1, 24) OVER ({_HW}), isodow(ts) - 1) AS prev
+      FROM hourly_pos) q""", "hourly_pos"))
+cte("gaps", """
+SELECT series_id, lag(ts) OVER (PARTITION BY series_id ORDER BY ts) AS prev_ts, ts,
+       CAST(date_diff('second', lag(ts) OVER (PARTITION BY series_id ORDER BY ts), ts) AS BIGINT) AS diff_seconds
+FROM demand_hourly""", "demand_hourly")
+oracle("time_gaps", with_ctes("""
+SELECT series_id, prev_ts, ts, diff_seconds, diff_seconds = 7200 AS is_dst_like FROM gaps WHERE diff_seconds > 3600""",
+    "gaps"))
+
+def _train_frame_ctes():
+    from gridcast.plans.train_features import TRAIN_COLUMNS
+    sel = ",\n  ".join(typed(_TRAIN_EXPR[c][0], _TRAIN_EXPR[c][1], c) for c in TRAIN_COLUMNS)
+    cte("train_frame_all", f"SELECT series_id,\n  {sel}\nFROM train_filled", "train_filled")
+    where = " AND ".join(f"{c} IS NOT NULL" for c in TRAIN_COLUMNS)
+    cte("train_frame", f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY series_id ORDER BY timestamp) - 1 AS BIGINT) AS pos,
+       count(*) OVER (PARTITION BY series_id) AS n
+FROM train_frame_all WHERE {where}""", "train_frame_all")
+
+
+_train_frame_ctes()
+
+_TW = "PARTITION BY series_id ORDER BY pos"
+
+
+def _seq_txt(x: str) -> str:
+    return f"array_to_string(list_transform({x}, lambda v: CAST(CAST(round(v, 3) AS DECIMAL(20,3)) AS VARCHAR)), ',')"
+
+
+oracle("sequence_windows", with_ctes(f"""
+SELECT series_id, origin_pos, origin_ts, {_seq_txt('enc')} AS encoder, {_seq_txt('dec')} AS decoder
+FROM (SELECT series_id, pos AS origin_pos, timestamp AS origin_ts, n,
+             list(target_demand) OVER ({_TW} ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING) AS enc,
+             list(target_demand) OVER ({_TW} ROWS BETWEEN CURRENT ROW AND 23 FOLLOWING) AS dec
+      FROM train_frame) q
+WHERE origin_pos >= 48 AND origin_pos <= n - 24""", "train_frame"))
+oracle("tail_slice", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos FROM hourly_pos
+WHERE pos > (SELECT max(pos) FROM hourly_pos h2 WHERE h2.series_id = hourly_pos.series_id) - 72""", "hourly_pos"))
+oracle("chronological_split", with_ctes(f"""
+SELECT series_id, timestamp, {R('target_demand', 'target_demand')}, pos,
+  CASE WHEN pos < floor(n * 0.8) THEN 'train' WHEN pos < floor(n * 0.9) THEN 'val' ELSE 'test' END AS split
+FROM train_frame""", "train_frame"))
