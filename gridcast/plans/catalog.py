@@ -215,3 +215,176 @@ def q_chronological_split(spark, sf_dir):
     tf = position_index(_train_frame(spark, sf_dir).select("series_id", "timestamp", "target_demand"),
                         "series_id", "timestamp")
     return chronological_split(tf)
+
+
+# --------------------------------------------------------------------------
+# scoring (M5, M6, G6-G18, J6-J8, M8-M10, F14)
+# --------------------------------------------------------------------------
+def _train_pos(spark, sf_dir):
+    from gridcast.operators.series import position_index
+    return position_index(_train_frame(spark, sf_dir), "series_id", "timestamp")
+
+
+def _preds(spark, sf_dir):
+    from gridcast.operators.scoring import explode_predictions
+    return explode_predictions(_train_pos(spark, sf_dir))
+
+
+@query("forecast_seasonal_naive")
+def q_forecast_seasonal_naive(spark, sf_dir):
+    """M5: value 24 and 168 rows earlier as forecasts."""
+    from gridcast.operators.scoring import forecast_seasonal_naive
+    return forecast_seasonal_naive(_hourly_pos(spark, sf_dir), "actual_demand")
+
+
+@query("explode_predictions")
+def q_explode_predictions(spark, sf_dir):
+    """M6: long prediction frame over the test split."""
+    return _preds(spark, sf_dir)
+
+
+@query("score_overall", digits=4)
+def q_score_overall(spark, sf_dir):
+    """MAE, RMSE, bias."""
+    from gridcast.operators.scoring import score_overall
+    return score_overall(_preds(spark, sf_dir))
+
+
+def _score_key(key, with_std=False):
+    def fn(spark, sf_dir):
+        from gridcast.operators.scoring import score_by
+        return score_by(_preds(spark, sf_dir), key, with_std=with_std)
+    return fn
+
+
+query("score_by_hour")(_score_key("hour"))
+query("score_by_month")(_score_key("month"))
+query("score_by_week")(_score_key("week"))
+query("score_by_horizon")(_score_key("horizon", with_std=True))
+
+
+@query("score_by_dow")
+def q_score_by_dow(spark, sf_dir):
+    """Error by weekday over the full 0..6 domain."""
+    from gridcast.operators.scoring import score_by_dow
+    return score_by_dow(_preds(spark, sf_dir))
+
+
+@query("complete_dow_domain")
+def q_complete_dow_domain(spark, sf_dir):
+    """Prediction rows per weekday 0..6 (zero when absent)."""
+    from gridcast.operators.scoring import complete_dow_domain
+    return complete_dow_domain(_preds(spark, sf_dir))
+
+
+@query("pivot_mae", digits=4)
+def q_pivot_mae(spark, sf_dir):
+    """Hour x weekday mean absolute error."""
+    from gridcast.operators.scoring import pivot_hour_dow
+    return pivot_hour_dow(_preds(spark, sf_dir), "abs_error")
+
+
+@query("pivot_bias", digits=4)
+def q_pivot_bias(spark, sf_dir):
+    """Hour x weekday mean error."""
+    from gridcast.operators.scoring import pivot_hour_dow
+    return pivot_hour_dow(_preds(spark, sf_dir), "error")
+
+
+@query("bias_symmetric_range", digits=4)
+def q_bias_symmetric_range(spark, sf_dir):
+    """Symmetric colour range of the bias pivot."""
+    from gridcast.operators.scoring import bias_symmetric_range
+    return bias_symmetric_range(_preds(spark, sf_dir))
+
+
+@query("best_worst_hour")
+def q_best_worst_hour(spark, sf_dir):
+    """Best / worst hour on the rounded hourly table."""
+    from gridcast.operators.scoring import best_worst_hour, score_by
+    return best_worst_hour(score_by(_preds(spark, sf_dir), "hour"))
+
+
+@query("fit_bias_table", digits=4)
+def q_fit_bias_table(spark, sf_dir):
+    """M8: learned (hour, weekday) bias table per series."""
+    from gridcast.operators.scoring import fit_bias_table
+    return fit_bias_table(_preds(spark, sf_dir))
+
+
+def _naive_forecast(spark, sf_dir):
+    """Seasonal-naive forecasts of the test split as a forecast frame."""
+    from gridcast.operators.scoring import forecast_seasonal_naive
+    from gridcast.operators.series import chronological_split
+    tp = _train_pos(spark, sf_dir).select("series_id", "pos", "timestamp", "target_demand")
+    f = chronological_split(forecast_seasonal_naive(tp, "target_demand"))
+    return f.where(F.col("split") == "test").select(
+        "series_id", "timestamp", F.col("naive_24").alias("predicted_demand"))
+
+
+@query("apply_bias", digits=4)
+def q_apply_bias(spark, sf_dir):
+    """Shipped (hour, weekday) correction applied to forecasts."""
+    from gridcast.operators.scoring import apply_bias, shipped_bias_table
+    return apply_bias(_naive_forecast(spark, sf_dir), shipped_bias_table(spark))
+
+
+@query("forecast_range", digits=4)
+def q_forecast_range(spark, sf_dir):
+    """Raw and corrected forecast range."""
+    from gridcast.operators.scoring import apply_bias, forecast_range, shipped_bias_table
+    return forecast_range(apply_bias(_naive_forecast(spark, sf_dir), shipped_bias_table(spark)))
+
+
+@query("score_report")
+def q_score_report(spark, sf_dir):
+    """Overall / hour / weekday / best / worst rows."""
+    from gridcast.operators.scoring import score_report
+    return score_report(_preds(spark, sf_dir))
+
+
+@query("join_predictions_features")
+def q_join_predictions_features(spark, sf_dir):
+    """Predictions LEFT feature frame on (series, timestamp)."""
+    from gridcast.operators.joins import join_predictions_features
+    feats = _train_frame(spark, sf_dir).select("series_id", "timestamp", "temperature", "is_weekend",
+                                               "demand_lag_24h_norm")
+    return join_predictions_features(_preds(spark, sf_dir), feats)
+
+
+def _correlations(spark, sf_dir):
+    from gridcast.operators.scoring import feature_correlations
+    from gridcast.operators.series import chronological_split
+    from gridcast.plans.train_features import TRAIN_FEATURES
+    test = chronological_split(_train_pos(spark, sf_dir)).where(F.col("split") == "test")
+    return feature_correlations(test, TRAIN_FEATURES)
+
+
+@query("feature_correlations")
+def q_feature_correlations(spark, sf_dir):
+    """|r| and r of each training feature with the target, test slice."""
+    return _correlations(spark, sf_dir)
+
+
+@query("categorize_feature")
+def q_categorize_feature(spark, sf_dir):
+    """category of every feature name present in the scored frame."""
+    from gridcast.operators.scoring import categorize_feature
+    c = _correlations(spark, sf_dir)
+    return c.select("series_id", "feature", categorize_feature(F.col("feature")).alias("category"))
+
+
+@query("category_importance")
+def q_category_importance(spark, sf_dir):
+    """Importance roll-up by category (importance = |r| share)."""
+    from gridcast.operators.scoring import category_importance, correlation_importance
+    return category_importance(correlation_importance(_correlations(spark, sf_dir)))
+
+
+@query("join_importance_correlation")
+def q_join_importance_correlation(spark, sf_dir):
+    """Importance LEFT correlation by feature."""
+    from gridcast.operators.joins import join_importance_correlation
+    from gridcast.operators.scoring import correlation_importance
+    c = _correlations(spark, sf_dir)
+    return join_importance_correlation(correlation_importance(c), c)

@@ -244,9 +244,9 @@ _TRAIN_EXPR = {
 }
 
 
-def typed(expr: str, kind: str, name: str, digits: int = 6) -> str:
+def typed(expr: str, kind: str, name: str, digits: int | None = 6) -> str:
     if kind == "d":
-        return R(expr, name, digits)
+        return R(expr, name, digits) if digits is not None else f"CAST({expr} AS DOUBLE) AS {name}"
     if kind == "i":
         return I(expr, name)
     if kind == "l":
@@ -551,7 +551,7 @@ SELECT series_id, prev_ts, ts, diff_seconds, diff_seconds = 7200 AS is_dst_like
 
 def _train_frame_ctes():
     from gridcast.plans.train_features import TRAIN_COLUMNS
-    sel = ",\n  ".join(typed(_TRAIN_EXPR[c][0], _TRAIN_EXPR[c][1], c) for c in TRAIN_COLUMNS)
+    sel = ",\n  ".join(typed(_TRAIN_EXPR[c][0], _TRAIN_EXPR[c][1], c, None) for c in TRAIN_COLUMNS)
     cte("train_frame_all", f"SELECT series_id,\n  {sel}\nFROM train_filled", "train_filled")
     where = " AND ".join(f"{c} IS NOT NULL" for c in TRAIN_COLUMNS)
     cte("train_frame", f"""
@@ -581,5 +581,171 @@ SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos FROM hourly_pos
 WHERE pos > (SELECT max(pos) FROM hourly_pos h2 WHERE h2.series_id = hourly_pos.series_id) - 72""", "hourly_pos"))
 oracle("chronological_split", with_ctes(f"""
 SELECT series_id, timestamp, {R('target_demand', 'target_demand')}, pos,
-  CASE WHEN pos < floor(n * 0.8) THEN 'train' WHEN pos < floor(n * 0.9) THEN 'val' ELSE 'test' END AS split
+  CASE WHEN pos < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' WHEN pos < floor(n * (CAST(0.8 AS DOUBLE) + CAST(0.1 AS DOUBLE))) THEN 'val' ELSE 'test' END AS split
 FROM train_frame""", "train_frame"))
+
+
+# --------------------------------------------------------------------------
+# scoring
+# --------------------------------------------------------------------------
+_VEND = "floor(n * (CAST(0.8 AS DOUBLE) + CAST(0.1 AS DOUBLE)))"
+cte("train_naive", f"""
+SELECT *, lag(target_demand, 24) OVER (PARTITION BY series_id ORDER BY pos) AS naive FROM train_frame""",
+    "train_frame")
+cte("preds", f"""
+SELECT o.series_id, CAST(o.pos AS BIGINT) AS origin_pos,
+       CAST(o.timestamp + (r.h - 1) * INTERVAL 1 HOUR AS TIMESTAMP) AS timestamp,
+       CAST(r.h AS INTEGER) AS horizon, t.naive AS predicted, t.target_demand AS actual,
+       t.naive - t.target_demand AS error, abs(t.naive - t.target_demand) AS abs_error
+FROM train_naive o CROSS JOIN range(1, 25) r(h)
+JOIN train_naive t ON t.series_id = o.series_id AND t.pos = o.pos + r.h - 1
+WHERE o.pos >= 48 AND o.pos <= o.n - 24 AND o.pos >= {_VEND.replace('n *', 'o.n *')}""", "train_naive")
+cte("preds_x", """
+SELECT *, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(isodow(timestamp) - 1 AS INTEGER) AS dow,
+       CAST(month(timestamp) AS INTEGER) AS month, CAST(week(timestamp) AS INTEGER) AS week FROM preds""", "preds")
+
+oracle("forecast_seasonal_naive", with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, pos,
+  {R(f'lag(actual_demand, 24) OVER ({_HW})', 'naive_24')}, {R(f'lag(actual_demand, 168) OVER ({_HW})', 'naive_168')}
+FROM hourly_pos""", "hourly_pos"))
+oracle("explode_predictions", with_ctes(f"""
+SELECT series_id, origin_pos, timestamp, hour, dow, month, week, horizon,
+  {R('predicted', 'predicted')}, {R('actual', 'actual')}, {R('error', 'error')}, {R('abs_error', 'abs_error')}
+FROM preds_x""", "preds_x"))
+oracle("score_overall", with_ctes(f"""
+SELECT series_id, {R('avg(abs_error)', 'mae', 4)}, {R('sqrt(avg(error * error))', 'rmse', 4)},
+  {R('avg(error)', 'bias', 4)}, count(*) AS n
+FROM preds_x GROUP BY series_id""", "preds_x"))
+
+
+def _by(key: str, std: bool = False) -> str:
+    extra = f"{R('round_even(stddev_samp(abs_error), 0)', 'std')}, " if std else ""
+    return with_ctes(f"""
+SELECT series_id, {key}, {R('round_even(avg(abs_error), 0)', 'mae')}, {extra}{R('round_even(avg(error), 0)', 'bias')}
+FROM preds_x GROUP BY series_id, {key}""", "preds_x")
+
+
+oracle("score_by_hour", _by("hour"))
+oracle("score_by_month", _by("month"))
+oracle("score_by_week", _by("week"))
+oracle("score_by_horizon", _by("horizon", std=True))
+oracle("score_by_dow", with_ctes(f"""
+SELECT s.series_id, CAST(d.dow AS INTEGER) AS dow, {R('round_even(a.m, 0)', 'mae')}, {R('round_even(a.b, 0)', 'bias')}
+FROM (SELECT DISTINCT series_id FROM preds_x) s CROSS JOIN range(7) d(dow)
+LEFT JOIN (SELECT series_id, dow, avg(abs_error) AS m, avg(error) AS b FROM preds_x GROUP BY 1, 2) a
+  ON a.series_id = s.series_id AND a.dow = d.dow""", "preds_x"))
+oracle("complete_dow_domain", with_ctes("""
+SELECT s.series_id, CAST(d.dow AS INTEGER) AS dow, CAST(coalesce(a.c, 0) AS BIGINT) AS rows
+FROM (SELECT DISTINCT series_id FROM preds_x) s CROSS JOIN range(7) d(dow)
+LEFT JOIN (SELECT series_id, dow, count(*) AS c FROM preds_x GROUP BY 1, 2) a
+  ON a.series_id = s.series_id AND a.dow = d.dow""", "preds_x"))
+
+
+def _pivot(v: str) -> str:
+    cols = ", ".join(R(f"avg(CASE WHEN dow = {d} THEN {v} END)", f"dow_{d}", 4) for d in range(7))
+    return with_ctes(f"SELECT series_id, hour, {cols} FROM preds_x GROUP BY series_id, hour", "preds_x")
+
+
+oracle("pivot_mae", _pivot("abs_error"))
+oracle("pivot_bias", _pivot("error"))
+oracle("bias_symmetric_range", with_ctes(f"""
+SELECT series_id, {R('greatest(abs(min(c)), abs(max(c)))', 'max_abs_bias', 4)}
+FROM (SELECT series_id, hour, dow, avg(error) AS c FROM preds_x GROUP BY 1, 2, 3) q GROUP BY series_id""", "preds_x"))
+cte("by_hour", """
+SELECT series_id, hour, round_even(avg(abs_error), 0) + 0.0 AS mae, round_even(avg(error), 0) + 0.0 AS bias
+FROM preds_x GROUP BY series_id, hour""", "preds_x")
+cte("best_worst", """
+SELECT series_id,
+  max(CASE WHEN rb = 1 THEN hour END) AS best_hour, min(mae) AS best_mae,
+  max(CASE WHEN rw = 1 THEN hour END) AS worst_hour, max(mae) AS worst_mae
+FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY mae, hour) AS rb,
+             row_number() OVER (PARTITION BY series_id ORDER BY mae DESC, hour) AS rw FROM by_hour) q
+GROUP BY series_id""", "by_hour")
+oracle("best_worst_hour", with_ctes(f"""
+SELECT series_id, CAST(best_hour AS INTEGER) AS best_hour, {R('best_mae', 'best_mae')},
+       CAST(worst_hour AS INTEGER) AS worst_hour, {R('worst_mae', 'worst_mae')} FROM best_worst""", "best_worst"))
+oracle("fit_bias_table", with_ctes(f"""
+SELECT series_id, hour, dow, {R('avg(error)', 'bias', 4)}, count(*) AS n FROM preds_x GROUP BY 1, 2, 3""", "preds_x"))
+
+
+def _shipped_values() -> str:
+    from gridcast.operators.scoring import SHIPPED_BIAS
+    return ", ".join(f"({h}, {d}, {v})" for h, row in enumerate(SHIPPED_BIAS) for d, v in enumerate(row))
+
+
+cte("shipped_bias", f"SELECT CAST(h AS INTEGER) AS hour, CAST(d AS INTEGER) AS dow, CAST(b AS DOUBLE) AS bias "
+                    f"FROM (VALUES {_shipped_values()}) t(h, d, b)")
+cte("naive_forecast", f"""
+SELECT series_id, timestamp, naive AS predicted_demand FROM train_naive
+WHERE pos >= {_VEND}""", "train_naive")
+cte("bias_applied", """
+SELECT f.series_id, f.timestamp, f.predicted_demand, -coalesce(b.bias, 0.0) AS bias_correction,
+       f.predicted_demand - coalesce(b.bias, 0.0) AS corrected_demand
+FROM naive_forecast f LEFT JOIN shipped_bias b
+  ON b.hour = hour(f.timestamp) AND b.dow = isodow(f.timestamp) - 1""", "naive_forecast", "shipped_bias")
+oracle("apply_bias", with_ctes(f"""
+SELECT series_id, timestamp, {R('predicted_demand', 'predicted_demand', 4)}, {R('bias_correction', 'bias_correction', 4)},
+       {R('corrected_demand', 'corrected_demand', 4)} FROM bias_applied""", "bias_applied"))
+oracle("forecast_range", with_ctes(f"""
+SELECT series_id, {R('min(predicted_demand)', 'raw_min', 4)}, {R('max(predicted_demand)', 'raw_max', 4)},
+       {R('min(corrected_demand)', 'corrected_min', 4)}, {R('max(corrected_demand)', 'corrected_max', 4)}
+FROM bias_applied GROUP BY series_id""", "bias_applied"))
+oracle("score_report", with_ctes(f"""
+SELECT series_id, 'overall' AS section, CAST(NULL AS INTEGER) AS item, {R('round_even(avg(abs_error), 0)', 'mae')},
+       {R('round_even(avg(error), 0)', 'bias')}, {R('round_even(sqrt(avg(error * error)), 0)', 'rmse')}
+FROM preds_x GROUP BY series_id
+UNION ALL SELECT series_id, 'hour', hour, {R('mae', 'mae')}, {R('bias', 'bias')}, CAST(NULL AS DOUBLE) FROM by_hour
+UNION ALL SELECT series_id, 'dow', dow, {R('round_even(avg(abs_error), 0)', 'mae')}, {R('round_even(avg(error), 0)', 'bias')},
+       CAST(NULL AS DOUBLE) FROM preds_x GROUP BY series_id, dow
+UNION ALL SELECT series_id, 'best_hour', CAST(best_hour AS INTEGER), {R('best_mae', 'mae')}, CAST(NULL AS DOUBLE),
+       CAST(NULL AS DOUBLE) FROM best_worst
+UNION ALL SELECT series_id, 'worst_hour', CAST(worst_hour AS INTEGER), {R('worst_mae', 'mae')}, CAST(NULL AS DOUBLE),
+       CAST(NULL AS DOUBLE) FROM best_worst""", "preds_x", "by_hour", "best_worst"))
+oracle("join_predictions_features", with_ctes(f"""
+SELECT p.series_id, p.origin_pos, p.timestamp, p.hour, p.dow, p.month, p.week, p.horizon,
+  {R('p.predicted', 'predicted')}, {R('p.actual', 'actual')}, {R('p.error', 'error')}, {R('p.abs_error', 'abs_error')},
+  {R('f.temperature', 'temperature')}, f.is_weekend, {R('f.demand_lag_24h_norm', 'demand_lag_24h_norm')}
+FROM preds_x p LEFT JOIN train_frame f ON f.series_id = p.series_id AND f.timestamp = p.timestamp""",
+    "preds_x", "train_frame"))
+
+
+def _corr_sql() -> None:
+    from gridcast.plans.train_features import TRAIN_FEATURES
+    unp = " UNION ALL ".join(
+        f"SELECT series_id, '{f}' AS feature, CAST({f} AS DOUBLE) AS x, target_demand AS y FROM test_slice"
+        for f in TRAIN_FEATURES)
+    cte("test_slice", f"SELECT * FROM train_frame WHERE pos >= {_VEND}", "train_frame")
+    cte("corr_long", f"""
+SELECT series_id, feature,
+       covar_pop(x, y) / CASE WHEN stddev_pop(x) * stddev_pop(y) <> 0 THEN stddev_pop(x) * stddev_pop(y) END AS r
+FROM ({unp}) u GROUP BY series_id, feature""", "test_slice")
+    cte("importance", """
+SELECT series_id, feature, abs(r) / sum(abs(r)) OVER (PARTITION BY series_id) AS importance FROM corr_long""",
+        "corr_long")
+
+
+_corr_sql()
+oracle("feature_correlations", with_ctes(f"""
+SELECT series_id, feature, {R('abs(r)', 'correlation')}, {R('r', 'correlation_raw')} FROM corr_long""", "corr_long"))
+
+
+def _category_case(x: str) -> str:
+    from gridcast.operators.scoring import CATEGORY_RULES
+    parts = []
+    for cat, needles in CATEGORY_RULES:
+        cond = " OR ".join(f"contains({x}, '{n}')" for n in needles)
+        parts.append(f"WHEN {cond} THEN '{cat}'")
+    return "CASE " + " ".join(parts) + " ELSE 'Other' END"
+
+
+oracle("categorize_feature", with_ctes(f"""
+SELECT series_id, feature, {_category_case('feature')} AS category FROM corr_long""", "corr_long"))
+oracle("category_importance", with_ctes(f"""
+SELECT series_id, {_category_case('feature')} AS category,
+  {R('round_even(sum(importance), 4)', 'total_importance')}, {R('round_even(avg(importance), 4)', 'avg_importance')},
+  count(*) AS count
+FROM importance GROUP BY 1, 2""", "importance"))
+oracle("join_importance_correlation", with_ctes(f"""
+SELECT i.series_id, i.feature, {R('i.importance', 'importance')}, {R('abs(c.r)', 'correlation')}, {R('c.r', 'correlation_raw')}
+FROM importance i LEFT JOIN corr_long c ON c.series_id = i.series_id AND c.feature = i.feature""",
+    "importance", "corr_long"))

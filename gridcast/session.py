@@ -28,6 +28,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", "12g")
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
