@@ -248,3 +248,17 @@ def day_transition(df: DataFrame, ts: str = "ts", series="series_id", pos: str =
     prev = F.col("_prev")
     return x.withColumn(out, F.when((prev >= 5) & (d < 5), 1.0).when((prev < 5) & (d >= 5), 2.0)
                         .otherwise(0.0)).drop("_prev", BLK)
+
+
+def latest_n_asof(df: DataFrame, as_of: str, n: int = 1000, series="series_id", ts: str = "timestamp") -> DataFrame:
+    """Latest n rows per series with ts <= as_of.
+
+    ``as_of`` is day-first text in one of four formats (A4). The
+    rank-limited window lets Spark keep only the top n per series before
+    the shuffle (window group limit).
+    """
+    from gridcast.sources.files import parse_multi_format_date
+    cut = parse_multi_format_date(F.lit(as_of))
+    w = Window.partitionBy(*_cols(series)).orderBy(F.col(ts).desc())
+    return (df.where(F.col(ts) <= cut).withColumn("_rk", F.row_number().over(w))
+            .where(F.col("_rk") <= n).drop("_rk"))

@@ -388,3 +388,341 @@ def q_join_importance_correlation(spark, sf_dir):
     from gridcast.operators.scoring import correlation_importance
     c = _correlations(spark, sf_dir)
     return join_importance_correlation(correlation_importance(c), c)
+
+
+# --------------------------------------------------------------------------
+# sources and sinks (A1-A19) -- landed files under the shared folder
+# --------------------------------------------------------------------------
+def _path(spark, name):
+    from gridcast.session import shared_path
+    return shared_path(spark, name)
+
+
+def _landed_demand_csv(spark, sf_dir):
+    from gridcast.sources.files import land_demand_csv
+    p = _path(spark, "demand-csv")
+    land_demand_csv(B.demand_raw(spark, sf_dir), p)
+    return p
+
+
+@query("scan_demand_csv")
+def q_scan_demand_csv(spark, sf_dir):
+    """A1: 15-minute demand CSV files -> typed rows."""
+    from gridcast.sources.files import scan_demand_csv
+    return scan_demand_csv(spark, _landed_demand_csv(spark, sf_dir))
+
+
+@query("parse_interval_timestamp")
+def q_parse_interval_timestamp(spark, sf_dir):
+    """A3: MTU interval text -> start timestamp."""
+    from gridcast.sources.files import parse_interval_timestamp
+    raw = spark.read.option("header", True).csv(_landed_demand_csv(spark, sf_dir))
+    return raw.select(F.col("`MTU (CET/CEST)`").alias("mtu"), parse_interval_timestamp("`MTU (CET/CEST)`").alias("ts"))
+
+
+@query("scan_weather_csv")
+def q_scan_weather_csv(spark, sf_dir):
+    """A2: weather CSV files with metadata lines -> typed hourly rows."""
+    from gridcast.sources.files import land_weather_csv, scan_weather_csv
+    p = _path(spark, "weather-csv")
+    land_weather_csv(B.weather_hourly(spark, sf_dir), p)
+    return scan_weather_csv(spark, p)
+
+
+@query("parse_multi_format_date")
+def q_parse_multi_format_date(spark, sf_dir):
+    """A4: four day-first formats (plus an invalid one) parsed back."""
+    from gridcast.sources.files import parse_multi_format_date
+    d = B.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("timestamp_ntz").alias("d")).distinct()
+    fmts = ["dd/MM/yyyy", "dd-MM-yyyy", "dd/MM/yyyy HH:mm:ss", "dd-MM-yyyy HH:mm:ss", "yyyy/MM/dd"]
+    texts = d.select(F.explode(F.array(*[F.date_format("d", f) for f in fmts])).alias("text")).distinct()
+    p = parse_multi_format_date("text")
+    return texts.select("text", p.alias("parsed"), p.isNull().alias("invalid"))
+
+
+def _offset_texts(spark, sf_dir):
+    ev = B.table(spark, sf_dir, "events")
+    return ev.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:00")).alias("text"))
+
+
+@query("normalize_utc")
+def q_normalize_utc(spark, sf_dir):
+    """A5: offset text -> UTC wall clock."""
+    from gridcast.sources.files import normalize_utc
+    t = _offset_texts(spark, sf_dir)
+    return t.select("event_id", "text", normalize_utc("text").alias("ts"))
+
+
+@query("normalize_wallclock")
+def q_normalize_wallclock(spark, sf_dir):
+    """Offset text -> local wall clock, offset dropped."""
+    from gridcast.sources.files import normalize_wallclock
+    t = _offset_texts(spark, sf_dir)
+    return t.select("event_id", "text", normalize_wallclock("text").alias("ts"))
+
+
+@query("flatten_holiday_json")
+def q_flatten_holiday_json(spark, sf_dir):
+    """Landed holiday JSON payloads (years of orders) -> holiday rows."""
+    from gridcast.operators.calendar_ops import holiday_set_for
+    from gridcast.sources.files import flatten_holiday_json, land_holiday_json
+    p = _path(spark, "holidays-json")
+    land_holiday_json(holiday_set_for(spark, B.daily_series(spark, sf_dir), "ts"), p)
+    return flatten_holiday_json(spark, p)
+
+
+@query("flatten_weather_arrays")
+def q_flatten_weather_arrays(spark, sf_dir):
+    """Landed weather array payloads -> hourly rows, incomplete hours dropped."""
+    from gridcast.sources.files import flatten_weather_arrays, land_weather_json
+    p = _path(spark, "weather-json")
+    land_weather_json(B.weather_hourly(spark, sf_dir), p)
+    return flatten_weather_arrays(spark, p)
+
+
+@query("append_table")
+def q_append_table(spark, sf_dir):
+    """Two appends of the hourly demand, read back."""
+    from gridcast.sources.files import append_table
+    p = _path(spark, "append")
+    d = B.demand_hourly(spark, sf_dir)
+    append_table(d, p)
+    append_table(d, p)
+    return spark.read.parquet(p)
+
+
+def _hourly_total(df):
+    from gridcast.operators.resample import resample_hourly
+    return resample_hourly(df.withColumn("series_id", F.lit("all")), values={"load": "actual_demand"}, dst=False)
+
+
+@query("replace_range")
+def q_replace_range(spark, sf_dir):
+    """A10: revised trailing window replaces its key range in a day-partitioned table."""
+    from gridcast.sources.files import replace_range
+    feed = B.demand_feed(spark, sf_dir)
+    first = _hourly_total(feed.where("delivery = 0")).withColumn("day", F.to_date("ts"))
+    batch = _hourly_total(feed.where("delivery = 1"))
+    p = _path(spark, "replace-target")
+    first.write.partitionBy("day").parquet(p)
+    replace_range(spark, p, batch, key="ts")
+    return spark.read.parquet(p).drop("day")
+
+
+@query("missing_years")
+def q_missing_years(spark, sf_dir):
+    """Of {last year, next year} of the data, the years the calendar lacks."""
+    from gridcast.operators.calendar_ops import holiday_calendar, holiday_set_for, missing_years
+    d = B.demand_hourly(spark, sf_dir)
+    p = _path(spark, "calendar")
+    holiday_calendar(spark, holiday_set_for(spark, d, "ts"), d, "ts").write.parquet(p)
+    last = d.select(F.max(F.year("ts"))).first()[0]
+    return missing_years(spark.read.parquet(p), "date", [last, last + 1])
+
+
+@query("dedupe_keep_last")
+def q_dedupe_keep_last(spark, sf_dir):
+    """One row per (series, ts): the latest delivery."""
+    from gridcast.operators.dedupe import dedupe_keep_last
+    return dedupe_keep_last(B.demand_feed(spark, sf_dir), ["series_id", "ts"], "delivery")
+
+
+@query("dedupe_keep_first")
+def q_dedupe_keep_first(spark, sf_dir):
+    """One row per (series, ts): the first delivery."""
+    from gridcast.operators.dedupe import dedupe_keep_first
+    return dedupe_keep_first(B.demand_feed(spark, sf_dir), ["series_id", "ts"], "delivery")
+
+
+@query("zero_unavailability")
+def q_zero_unavailability(spark, sf_dir):
+    """Zero-filled unavailability rows per demand hour."""
+    from gridcast.operators.dedupe import zero_unavailability
+    return zero_unavailability(B.demand_hourly(spark, sf_dir))
+
+
+@query("load_sources")
+def q_load_sources(spark, sf_dir):
+    """Demand, weather, public holidays loaded, renamed, joined."""
+    return B.train_input(spark, sf_dir)
+
+
+def _versioned_train(spark, sf_dir, times=1):
+    from gridcast.sources.files import write_versioned
+    tf = _train_frame(spark, sf_dir)
+    base = _path(spark, "training-data")
+    for _ in range(times):
+        write_versioned(spark, tf, base)
+    return base, tf.schema
+
+
+@query("load_training_frame")
+def q_load_training_frame(spark, sf_dir):
+    """Newest versioned training file -> frame with time_idx."""
+    from gridcast.sources.files import load_training_frame
+    base, schema = _versioned_train(spark, sf_dir, times=2)
+    return load_training_frame(spark, base, schema=schema)
+
+
+@query("write_versioned")
+def q_write_versioned(spark, sf_dir):
+    """Three writes -> versions 1, 2, 3 with their row counts."""
+    from gridcast.sources.files import list_versions
+    base, schema = _versioned_train(spark, sf_dir, times=3)
+    parts = [spark.read.schema(schema).option("header", True).csv(f"{base}/v={v}")
+             .agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("rows")) for v in list_versions(spark, base)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("write_results")
+def q_write_results(spark, sf_dir):
+    """Predictions written as CSV and read back."""
+    from gridcast.sources.files import write_results
+    preds = _preds(spark, sf_dir)
+    p = _path(spark, "predictions-csv")
+    write_results(preds, p)
+    return spark.read.schema(preds.schema).option("header", True).csv(p)
+
+
+@query("feed_summary")
+def q_feed_summary(spark, sf_dir):
+    """Rows, first/last timestamp, min/max demand per series."""
+    from gridcast.sources.files import feed_summary
+    return feed_summary(B.demand_hourly(spark, sf_dir), "ts", "actual_demand")
+
+
+# --------------------------------------------------------------------------
+# calendar, spines, resampling, joins, dedupe probes
+# --------------------------------------------------------------------------
+@query("date_spine")
+def q_date_spine(spark, sf_dir):
+    """B1: every date of the years covered by orders."""
+    from gridcast.operators.resample import date_spine
+    return date_spine(B.daily_series(spark, sf_dir), "ts")
+
+
+@query("hour_spine")
+def q_hour_spine(spark, sf_dir):
+    """B2: hourly spine over the events span."""
+    from gridcast.operators.resample import hour_spine_of
+    return hour_spine_of(B.table(spark, sf_dir, "events"), "ts")
+
+
+@query("holiday_calendar")
+def q_holiday_calendar(spark, sf_dir):
+    """Date spine LEFT holidays for the years of the orders series."""
+    from gridcast.operators.calendar_ops import holiday_calendar, holiday_set_for
+    d = B.daily_series(spark, sf_dir)
+    return holiday_calendar(spark, holiday_set_for(spark, d, "ts"), d, "ts")
+
+
+@query("dst_flags_day25")
+def q_dst_flags_day25(spark, sf_dir):
+    """DST flags by the day-25 rule for every order date."""
+    from gridcast.operators.calendar_ops import dst_frame_day25
+    return dst_frame_day25(B.daily_series(spark, sf_dir).select("ts").distinct(), "ts")
+
+
+@query("dst_flags_month")
+def q_dst_flags_month(spark, sf_dir):
+    """DST flags by the month rule for every order date."""
+    from gridcast.operators.calendar_ops import dst_frame_month
+    return dst_frame_month(B.daily_series(spark, sf_dir).select("ts").distinct(), "ts")
+
+
+@query("resample_grid")
+def q_resample_grid(spark, sf_dir):
+    """Per-series regular hourly grid, empty hours NULL."""
+    from gridcast.operators.resample import resample_grid
+    return resample_grid(B.demand_hourly(spark, sf_dir).select("series_id", "ts", "actual_demand"))
+
+
+@query("resample_drop_empty")
+def q_resample_drop_empty(spark, sf_dir):
+    """Grid with the empty hours dropped."""
+    from gridcast.operators.resample import resample_drop_empty, resample_grid
+    g = resample_grid(B.demand_hourly(spark, sf_dir).select("series_id", "ts", "actual_demand"))
+    return resample_drop_empty(g, "actual_demand")
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    """First five duplicated (series, ts) keys of the feed, key order."""
+    from gridcast.operators.dedupe import duplicate_keys
+    return duplicate_keys(B.demand_feed(spark, sf_dir), ["series_id", "ts"], 5)
+
+
+@query("series_stats")
+def q_series_stats(spark, sf_dir):
+    """Frame mean and sample std of demand and temperature per series."""
+    from gridcast.operators.series import series_stats
+    return series_stats(B.train_input(spark, sf_dir), cols=("demand", "temperature_2m"))
+
+
+@query("join_demand_weather")
+def q_join_demand_weather(spark, sf_dir):
+    """Hourly demand x weather on the exact timestamp."""
+    from gridcast.operators.joins import join_demand_weather
+    return join_demand_weather(B.demand_hourly(spark, sf_dir).select("series_id", "ts", "actual_demand"),
+                               B.weather_hourly(spark, sf_dir).select("ts", "temperature", "relative_humidity"))
+
+
+@query("holiday_membership")
+def q_holiday_membership(spark, sf_dir):
+    """0/1 public-holiday flag on the multi-year daily series."""
+    from gridcast.operators.calendar_ops import holiday_set_for
+    from gridcast.operators.joins import holiday_membership
+    d = B.daily_series(spark, sf_dir)
+    return holiday_membership(d, holiday_set_for(spark, d, "ts"), ts="ts")
+
+
+@query("join_serving_history")
+def q_join_serving_history(spark, sf_dir):
+    """Demand x weather, calendar left-joined, holiday flag coalesced."""
+    return B.serve_input(spark, sf_dir)
+
+
+@query("forecasting_view")
+def q_forecasting_view(spark, sf_dir):
+    """15-minute demand LEFT hourly weather LEFT calendar."""
+    from gridcast.operators.calendar_ops import holiday_calendar, holiday_set_for
+    from gridcast.operators.joins import forecasting_view
+    from gridcast.sources.files import quarter_hour
+    raw = B.demand_raw(spark, sf_dir)
+    q = raw.groupBy("series_id", quarter_hour("ts").alias("ts")).agg(F.avg("load").alias("actual_demand"))
+    d = B.demand_hourly(spark, sf_dir)
+    cal = holiday_calendar(spark, holiday_set_for(spark, d, "ts"), d, "ts")
+    return forecasting_view(q, B.weather_hourly(spark, sf_dir), cal)
+
+
+@query("join_actual_forecast")
+def q_join_actual_forecast(spark, sf_dir):
+    """Actual LEFT day-ahead (previous day's value) forecast, missing -> 0."""
+    from gridcast.operators.joins import join_actual_forecast
+    d = B.demand_hourly(spark, sf_dir)
+    actual = d.select("series_id", "ts", "actual_demand")
+    fc = d.select("series_id", (F.col("ts") + F.expr("INTERVAL 24 HOURS")).alias("ts"),
+                  F.col("actual_demand").alias("demand_forecast"))
+    return join_actual_forecast(actual, fc)
+
+
+@query("latest_n_asof")
+def q_latest_n_asof(spark, sf_dir):
+    """Latest 248 rows per series as of 20/01/2024 (rank-limited window)."""
+    from gridcast.operators.series import latest_n_asof
+    return latest_n_asof(B.serve_input(spark, sf_dir), "20/01/2024", 248)
+
+
+@query("sort_by_time")
+def q_sort_by_time(spark, sf_dir):
+    """Hourly demand sorted by series and time (sort at the sink)."""
+    return B.demand_hourly(spark, sf_dir).orderBy("series_id", "ts")
+
+
+@query("drop_incomplete")
+def q_drop_incomplete(spark, sf_dir):
+    """Forecasting-view rows with any NULL dropped."""
+    return q_forecasting_view(spark, sf_dir).na.drop("any")

@@ -749,3 +749,168 @@ oracle("join_importance_correlation", with_ctes(f"""
 SELECT i.series_id, i.feature, {R('i.importance', 'importance')}, {R('abs(c.r)', 'correlation')}, {R('c.r', 'correlation_raw')}
 FROM importance i LEFT JOIN corr_long c ON c.series_id = i.series_id AND c.feature = i.feature""",
     "importance", "corr_long"))
+
+
+# --------------------------------------------------------------------------
+# sources and sinks
+# --------------------------------------------------------------------------
+_QH = "date_trunc('hour', ts) + CAST(minute(ts) // 15 * 15 AS INTEGER) * INTERVAL 1 MINUTE"
+cte("quarter_all", f"""
+SELECT {_QH} AS q, avg(load) AS a, avg(forecast) AS f FROM demand_raw GROUP BY 1""", "demand_raw")
+oracle("scan_demand_csv", with_ctes(f"""
+SELECT CAST(q AS TIMESTAMP) AS ts, {R('a', 'actual_load')}, {R('f', 'forecast_load')} FROM quarter_all""",
+    "quarter_all"))
+oracle("parse_interval_timestamp", with_ctes("""
+SELECT strftime(q, '%d/%m/%Y %H:%M') || ' - ' || strftime(q + INTERVAL 15 MINUTE, '%d/%m/%Y %H:%M') || ' (CET)' AS mtu,
+       CAST(q AS TIMESTAMP) AS ts FROM quarter_all""", "quarter_all"))
+oracle("scan_weather_csv", with_ctes(f"""
+SELECT ts, {R('temperature', 'temperature')}, {R('relative_humidity', 'relative_humidity')}, {R('rain', 'rain')},
+       {R('snow_depth', 'snow_depth')}, {R('snowfall', 'snowfall')}, daylight_savings_winter, daylight_savings_summer
+FROM weather_hourly""", "weather_hourly"))
+_PFMT = ["%d/%m/%Y", "%d-%m-%Y", "%d/%m/%Y %H:%M:%S", "%d-%m-%Y %H:%M:%S"]
+oracle("parse_multi_format_date", f"""
+SELECT text, p AS parsed, p IS NULL AS invalid FROM (
+  SELECT text, CAST(coalesce({', '.join(f"try_strptime(text, '{f}')" for f in _PFMT)}) AS TIMESTAMP) AS p
+  FROM (SELECT DISTINCT unnest([strftime(d, '%d/%m/%Y'), strftime(d, '%d-%m-%Y'), strftime(d, '%d/%m/%Y %H:%M:%S'),
+                                strftime(d, '%d-%m-%Y %H:%M:%S'), strftime(d, '%Y/%m/%d')]) AS text
+        FROM (SELECT DISTINCT CAST(o_orderdate AS TIMESTAMP) AS d FROM orders) o) t) q""")
+oracle("normalize_utc", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+01:00' AS text,
+       CAST(date_trunc('second', ts) - INTERVAL 1 HOUR AS TIMESTAMP) AS ts FROM events""")
+oracle("normalize_wallclock", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+01:00' AS text,
+       CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts FROM events""")
+oracle("flatten_holiday_json", with_ctes("""
+SELECT make_date(CAST(y.y AS BIGINT), r.m, r.d) AS date, true AS is_public_holiday, r.is_global AS is_national,
+       'Public' AS holiday_type, CAST(c.counties AS INTEGER) AS counties_affected
+FROM (SELECT DISTINCT year(ts) AS y FROM daily_series) y CROSS JOIN holiday_rules r
+JOIN rule_counties c ON c.ordinal = r.ordinal""", "daily_series", "holiday_rules", "rule_counties"))
+oracle("flatten_weather_arrays", with_ctes(f"""
+SELECT ts, {R('temperature', 'temperature_2m')}, {R('relative_humidity', 'relative_humidity_2m')}, {R('rain', 'rain')},
+       {R('snowfall', 'snowfall')}, {R('snow_depth', 'snow_depth')}, daylight_savings_winter, daylight_savings_summer
+FROM weather_hourly""", "weather_hourly"))
+_DH = f"""SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, {R('demand_forecast', 'demand_forecast')},
+       daylight_savings_winter, daylight_savings_summer FROM demand_hourly"""
+oracle("append_table", with_ctes(f"{_DH} UNION ALL {_DH}", "demand_hourly"))
+cte("feed_hourly", """
+SELECT delivery, date_trunc('hour', ts) AS ts, avg(load) AS actual_demand FROM demand_feed GROUP BY 1, 2""", "demand_feed")
+oracle("replace_range", with_ctes(f"""
+SELECT 'all' AS series_id, ts, {R('actual_demand', 'actual_demand')} FROM feed_hourly
+WHERE delivery = 0 AND ts NOT BETWEEN (SELECT min(ts) FROM feed_hourly WHERE delivery = 1)
+                                  AND (SELECT max(ts) FROM feed_hourly WHERE delivery = 1)
+UNION ALL
+SELECT 'all', ts, {R('actual_demand', 'actual_demand')} FROM feed_hourly WHERE delivery = 1""", "feed_hourly"))
+oracle("missing_years", with_ctes("""
+SELECT CAST(y AS INTEGER) AS year FROM (
+  SELECT max(year(ts)) AS y FROM demand_hourly UNION ALL SELECT max(year(ts)) + 1 FROM demand_hourly) w
+WHERE y NOT IN (SELECT DISTINCT year(ts) FROM demand_hourly)""", "demand_hourly"))
+
+
+def _dedupe(order: str) -> str:
+    return with_ctes(f"""
+SELECT series_id, ts, reading_id, {R('load', 'load')}, {R('forecast', 'forecast')}, k, user_id, delivery, rid FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id, ts ORDER BY delivery {order}) AS rk FROM demand_feed) q
+WHERE rk = 1""", "demand_feed")
+
+
+oracle("dedupe_keep_last", _dedupe("DESC"))
+oracle("dedupe_keep_first", _dedupe("ASC"))
+oracle("zero_unavailability", with_ctes(f"""
+SELECT series_id, ts, {D(0.0)} AS planned_unavailability, {D(0.0)} AS actual_unavailability,
+       {D(0.0)} AS total_unavailability, daylight_savings_winter, daylight_savings_summer FROM demand_hourly""",
+    "demand_hourly"))
+oracle("load_sources", with_ctes(f"""
+SELECT series_id, timestamp, {R('demand', 'demand')}, {R('temperature_2m', 'temperature_2m')},
+       CAST(is_public_holiday AS INTEGER) AS is_public_holiday FROM train_input""", "train_input"))
+
+
+def _train_frame_out(extra: str = "", src: str = "train_frame") -> str:
+    from gridcast.plans.train_features import TRAIN_COLUMNS
+    cols = ", ".join(typed(c, _TRAIN_EXPR[c][1], c) for c in TRAIN_COLUMNS)
+    return f"SELECT series_id, {cols}{extra} FROM {src}"
+
+
+oracle("load_training_frame", with_ctes(_train_frame_out(", pos AS time_idx"), "train_frame"))
+oracle("write_versioned", with_ctes("""
+SELECT CAST(v AS INTEGER) AS version, (SELECT count(*) FROM train_frame) AS rows FROM range(1, 4) r(v)""",
+    "train_frame"))
+oracle("write_results", with_ctes(f"""
+SELECT series_id, origin_pos, timestamp, hour, dow, month, week, horizon,
+  {R('predicted', 'predicted')}, {R('actual', 'actual')}, {R('error', 'error')}, {R('abs_error', 'abs_error')}
+FROM preds_x""", "preds_x"))
+oracle("feed_summary", with_ctes(f"""
+SELECT series_id, count(*) AS rows, min(ts) AS first_ts, max(ts) AS last_ts,
+       {R('min(actual_demand)', 'min_value')}, {R('max(actual_demand)', 'max_value')}
+FROM demand_hourly GROUP BY series_id""", "demand_hourly"))
+
+# --------------------------------------------------------------------------
+# calendar, spines, resampling, joins, dedupe probes
+# --------------------------------------------------------------------------
+oracle("date_spine", with_ctes("""
+SELECT CAST(unnest(generate_series(make_date(CAST(min(year(ts)) AS BIGINT), 1, 1),
+                                   make_date(CAST(max(year(ts)) AS BIGINT), 12, 31), INTERVAL 1 DAY)) AS DATE) AS date
+FROM daily_series""", "daily_series"))
+oracle("hour_spine", """
+SELECT CAST(unnest(generate_series(min(date_trunc('hour', ts)), max(date_trunc('hour', ts)), INTERVAL 1 HOUR))
+            AS TIMESTAMP) AS ts FROM events""")
+cte("daily_calendar", calendar_sql("daily_series"), "daily_series", "holiday_rules", "rule_counties")
+oracle("holiday_calendar", with_ctes("SELECT * FROM daily_calendar", "daily_calendar"))
+oracle("dst_flags_day25", with_ctes(f"""
+SELECT ts, NOT {dst_summer('ts')} AS daylight_savings_winter, {dst_summer('ts')} AS daylight_savings_summer
+FROM (SELECT DISTINCT ts FROM daily_series) d""", "daily_series"))
+oracle("dst_flags_month", with_ctes(f"""
+SELECT ts, {flag('month(ts) IN (11, 12, 1, 2, 3)')} AS daylight_savings_winter,
+       {flag('month(ts) IN (4, 5, 6, 7, 8, 9, 10)')} AS daylight_savings_summer
+FROM (SELECT DISTINCT ts FROM daily_series) d""", "daily_series"))
+cte("hourly_grid", """
+SELECT g.series_id, g.ts, d.actual_demand FROM (
+  SELECT series_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM demand_hourly GROUP BY 1) g
+LEFT JOIN demand_hourly d ON d.series_id = g.series_id AND d.ts = g.ts""", "demand_hourly")
+oracle("resample_grid", with_ctes(f"SELECT series_id, CAST(ts AS TIMESTAMP) AS ts, {R('actual_demand', 'actual_demand')} FROM hourly_grid",
+                                  "hourly_grid"))
+oracle("resample_drop_empty", with_ctes(f"""
+SELECT series_id, CAST(ts AS TIMESTAMP) AS ts, {R('actual_demand', 'actual_demand')} FROM hourly_grid
+WHERE actual_demand IS NOT NULL""", "hourly_grid"))
+oracle("duplicate_keys", with_ctes("""
+SELECT series_id, ts, count(*) AS count FROM demand_feed GROUP BY 1, 2 HAVING count(*) > 1
+ORDER BY series_id, ts LIMIT 5""", "demand_feed"))
+oracle("series_stats", with_ctes(f"""
+SELECT series_id, count(*) AS n, {R('avg(demand)', 'demand_mean')}, {R('stddev_samp(demand)', 'demand_std')},
+       {R('avg(temperature_2m)', 'temperature_2m_mean')}, {R('stddev_samp(temperature_2m)', 'temperature_2m_std')}
+FROM train_input GROUP BY series_id""", "train_input"))
+oracle("join_demand_weather", with_ctes(f"""
+SELECT d.series_id, d.ts, {R('d.actual_demand', 'actual_demand')}, {R('w.temperature', 'temperature')},
+       {R('w.relative_humidity', 'relative_humidity')}
+FROM demand_hourly d JOIN weather_hourly w ON d.ts = w.ts""", "demand_hourly", "weather_hourly"))
+oracle("holiday_membership", with_ctes(f"""
+SELECT series_id, ts, {R('demand', 'demand')},
+       CASE WHEN CAST(ts AS DATE) IN (SELECT make_date(CAST(y AS BIGINT), m, d)
+                                      FROM (SELECT DISTINCT year(ts) AS y FROM daily_series) yy, holiday_rules)
+            THEN 1 ELSE 0 END AS is_public_holiday
+FROM daily_series""", "daily_series", "holiday_rules"))
+oracle("join_serving_history", with_ctes(f"""
+SELECT series_id, timestamp, {R('target_demand', 'target_demand')}, daylight_savings_winter, daylight_savings_summer,
+       is_public_holiday, {R('temperature', 'temperature')} FROM serve_input""", "serve_input"))
+cte("fview", f"""
+SELECT q.series_id, q.ts, q.actual_demand, w.temperature AS temperature_2m, w.relative_humidity AS relative_humidity_2m,
+       w.rain, w.snow_depth, c.is_public_holiday, c.is_national, c.holiday_type
+FROM (SELECT series_id, {_QH} AS ts, avg(load) AS actual_demand FROM demand_raw GROUP BY 1, 2) q
+LEFT JOIN weather_hourly w ON date_trunc('hour', q.ts) = w.ts
+LEFT JOIN hourly_calendar c ON CAST(q.ts AS DATE) = c.date""", "demand_raw", "weather_hourly", "hourly_calendar")
+_FV = f"""SELECT series_id, CAST(ts AS TIMESTAMP) AS ts, {R('actual_demand', 'actual_demand')},
+       {R('temperature_2m', 'temperature_2m')}, {R('relative_humidity_2m', 'relative_humidity_2m')},
+       {R('rain', 'rain')}, {R('snow_depth', 'snow_depth')}, is_public_holiday, is_national, holiday_type FROM fview"""
+oracle("forecasting_view", with_ctes(_FV, "fview"))
+oracle("drop_incomplete", with_ctes(_FV + """ WHERE actual_demand IS NOT NULL AND temperature_2m IS NOT NULL
+  AND relative_humidity_2m IS NOT NULL AND rain IS NOT NULL AND snow_depth IS NOT NULL
+  AND is_public_holiday IS NOT NULL AND is_national IS NOT NULL AND holiday_type IS NOT NULL""", "fview"))
+oracle("join_actual_forecast", with_ctes(f"""
+SELECT a.series_id, a.ts, {R('a.actual_demand', 'actual_demand')}, {R('coalesce(f.actual_demand, 0.0)', 'demand_forecast')}
+FROM demand_hourly a LEFT JOIN demand_hourly f ON f.series_id = a.series_id AND f.ts + INTERVAL 24 HOUR = a.ts""",
+    "demand_hourly"))
+oracle("latest_n_asof", with_ctes(f"""
+SELECT series_id, timestamp, {R('target_demand', 'target_demand')}, daylight_savings_winter, daylight_savings_summer,
+       is_public_holiday, {R('temperature', 'temperature')} FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY timestamp DESC) AS rk FROM serve_input
+  WHERE timestamp <= TIMESTAMP '2024-01-20 00:00:00') q WHERE rk <= 248""", "serve_input"))
+oracle("sort_by_time", with_ctes(_DH + " ORDER BY series_id, ts", "demand_hourly"))
