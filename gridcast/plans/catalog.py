@@ -726,3 +726,122 @@ def q_sort_by_time(spark, sf_dir):
 def q_drop_incomplete(spark, sf_dir):
     """Forecasting-view rows with any NULL dropped."""
     return q_forecasting_view(spark, sf_dir).na.drop("any")
+
+
+# --------------------------------------------------------------------------
+# validation (V1-V10, S7) and frame assembly
+# --------------------------------------------------------------------------
+def _readings(spark, sf_dir):
+    return B.demand_feed(spark, sf_dir).select("series_id", "ts", "rid", "load", "forecast", "user_id")
+
+
+def _pairs(spark, sf_dir):
+    from gridcast.operators.validation import near_duplicate_pairs
+    return near_duplicate_pairs(_readings(spark, sf_dir), "rid", "ts", ["load", "forecast", "user_id"],
+                                series="series_id", target="load")
+
+
+@query("near_duplicate_pairs")
+def q_near_duplicate_pairs(spark, sf_dir):
+    """Near-duplicate reading pairs within (series, floor hour)."""
+    return _pairs(spark, sf_dir)
+
+
+@query("near_duplicate_remove")
+def q_near_duplicate_remove(spark, sf_dir):
+    """V2: readings left after dropping every second member of a pair."""
+    from gridcast.operators.validation import near_duplicate_remove
+    return near_duplicate_remove(_readings(spark, sf_dir), _pairs(spark, sf_dir), "rid")
+
+
+def _validation_frame(spark, sf_dir):
+    return B.validation_input(spark, sf_dir).withColumn("series_id", F.lit("all"))
+
+
+@query("check_missing")
+def q_check_missing(spark, sf_dir):
+    """V3: NULLs per column of the per-series hourly grid."""
+    from gridcast.operators.resample import resample_grid
+    from gridcast.operators.validation import check_missing
+    g = resample_grid(B.demand_hourly(spark, sf_dir).select("series_id", "ts", "actual_demand", "demand_forecast"))
+    return check_missing(g, ["ts", "actual_demand", "demand_forecast"], "series_id")
+
+
+@query("check_continuity")
+def q_check_continuity(spark, sf_dir):
+    """V4: gaps > 1 h (except 2 h) per series."""
+    from gridcast.operators.validation import check_continuity
+    return check_continuity(B.demand_hourly(spark, sf_dir))
+
+
+@query("check_infinite")
+def q_check_infinite(spark, sf_dir):
+    """V5: infinite values per numeric column of the training frame."""
+    from gridcast.operators.validation import check_infinite
+    return check_infinite(_train_frame(spark, sf_dir), series="series_id")
+
+
+@query("check_duplicate_ts")
+def q_check_duplicate_ts(spark, sf_dir):
+    """V6: timestamp uniqueness of the two-delivery feed per series."""
+    from gridcast.operators.dedupe import duplicate_timestamps
+    return duplicate_timestamps(B.demand_feed(spark, sf_dir), "series_id", "ts")
+
+
+@query("check_ranges")
+def q_check_ranges(spark, sf_dir):
+    """V7: expected-range rules on total demand x weather."""
+    from gridcast.operators.validation import check_ranges
+    return check_ranges(_validation_frame(spark, sf_dir), series="series_id")
+
+
+@query("check_leakage")
+def q_check_leakage(spark, sf_dir):
+    """V8: lag columns vs current columns of the serving frame."""
+    from gridcast.operators.validation import LEAKAGE_PAIRS, check_leakage
+    pairs = LEAKAGE_PAIRS + [("demand_lag_24h", "target_demand"), ("demand_lag_168h", "target_demand"),
+                             ("temp_lag_24h", "temperature")]
+    return check_leakage(_serve_frame(spark, sf_dir), pairs, "series_id")
+
+
+@query("check_target_distribution")
+def q_check_target_distribution(spark, sf_dir):
+    """V9: target distribution and 3-sigma outliers."""
+    from gridcast.operators.validation import check_target_distribution
+    return check_target_distribution(_validation_frame(spark, sf_dir), "target_demand", "series_id")
+
+
+@query("validation_report")
+def q_validation_report(spark, sf_dir):
+    """All checks on the total demand x weather frame."""
+    from gridcast.operators.validation import validation_report
+    return validation_report(_validation_frame(spark, sf_dir))
+
+
+@query("sample_issues")
+def q_sample_issues(spark, sf_dir):
+    """First gaps, repeated timestamps and near-duplicate pairs per series."""
+    from gridcast.operators.dedupe import duplicate_keys
+    from gridcast.operators.validation import check_continuity, sample_issues
+    gaps = check_continuity(B.demand_hourly(spark, sf_dir))
+    dups = duplicate_keys(B.demand_feed(spark, sf_dir), ["series_id", "ts"], None)
+    return sample_issues(gaps, dups, _pairs(spark, sf_dir))
+
+
+@query("concat_history_future")
+def q_concat_history_future(spark, sf_dir):
+    """S3: last 248 history rows + 24 future rows, one time_idx."""
+    from gridcast.plans.future import concat_history_future, future_features
+    hist = _serve_frame(spark, sf_dir, keep_pos=True)
+    fut = future_features(hist, 24)
+    c = concat_history_future(hist, fut, 248)
+    return c.select("series_id", "time_idx", "timestamp", "target_demand", "temperature", "horizon")
+
+
+@query("align_features")
+def q_align_features(spark, sf_dir):
+    """Serving frame aligned to the training feature list (absent -> 0.0)."""
+    from gridcast.plans.future import align_features
+    from gridcast.plans.train_features import TRAIN_FEATURES
+    a = align_features(_serve_frame(spark, sf_dir), TRAIN_FEATURES)
+    return a.select("series_id", "timestamp", *TRAIN_FEATURES)

@@ -914,3 +914,159 @@ SELECT series_id, timestamp, {R('target_demand', 'target_demand')}, daylight_sav
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY timestamp DESC) AS rk FROM serve_input
   WHERE timestamp <= TIMESTAMP '2024-01-20 00:00:00') q WHERE rk <= 248""", "serve_input"))
 oracle("sort_by_time", with_ctes(_DH + " ORDER BY series_id, ts", "demand_hourly"))
+
+
+# --------------------------------------------------------------------------
+# validation
+# --------------------------------------------------------------------------
+def _sim_sql(cols) -> str:
+    total, count = [], []
+    for c in cols:
+        x, y = f"CAST(a.{c} AS DOUBLE)", f"CAST(b.{c} AS DOUBLE)"
+        diff = (f"(CASE WHEN {x} IS NULL AND {y} IS NULL THEN NULL WHEN {x} IS NULL OR {y} IS NULL THEN {D(1.0)} "
+                f"ELSE abs({x} - {y}) / greatest(abs({x}), abs({y}), {D(1e-10)}) END)")
+        total.append(f"coalesce({diff}, {D(0.0)})")
+        count.append(f"(CASE WHEN {diff} IS NULL THEN 0 ELSE 1 END)")
+    t = "(" + D(0.0) + " + " + " + ".join(total) + ")"
+    n = "(0 + " + " + ".join(count) + ")"
+    return f"CASE WHEN {n} = 0 THEN {D(1.0)} ELSE {D(1.0)} - {t} / {n} END"
+
+
+cte("readings", "SELECT series_id, ts, rid, load, forecast, user_id FROM demand_feed", "demand_feed")
+cte("pairs", f"""
+SELECT * FROM (
+  SELECT a.series_id, a.rid AS index1, b.rid AS index2, a.ts AS timestamp1, b.ts AS timestamp2,
+         {_sim_sql(['load', 'forecast', 'user_id'])} AS similarity, a.load AS demand1, b.load AS demand2
+  FROM readings a JOIN readings b
+    ON a.series_id = b.series_id AND date_trunc('hour', a.ts) = date_trunc('hour', b.ts) AND a.rid < b.rid) q
+WHERE similarity >= {D(0.999)}""", "readings")
+oracle("near_duplicate_pairs", with_ctes(f"""
+SELECT series_id, index1, index2, timestamp1, timestamp2, {R('similarity', 'similarity')},
+       {R('demand1', 'demand1')}, {R('demand2', 'demand2')} FROM pairs""", "pairs"))
+oracle("near_duplicate_remove", with_ctes(f"""
+SELECT series_id, ts, rid, {R('load', 'load')}, {R('forecast', 'forecast')}, user_id FROM readings
+WHERE rid NOT IN (SELECT index2 FROM pairs)""", "readings", "pairs"))
+oracle("check_missing", with_ctes(f"""
+SELECT series_id, col AS "column", CAST(m AS BIGINT) AS missing, {R('m / n * 100', 'missing_pct')} FROM (
+  SELECT g.series_id, count(*) AS n, sum(CAST(g.ts IS NULL AS BIGINT)) AS m_ts,
+         sum(CAST(d.actual_demand IS NULL AS BIGINT)) AS m_a, sum(CAST(d.demand_forecast IS NULL AS BIGINT)) AS m_f
+  FROM (SELECT series_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM demand_hourly GROUP BY 1) g
+  LEFT JOIN demand_hourly d ON d.series_id = g.series_id AND d.ts = g.ts GROUP BY g.series_id) w
+CROSS JOIN LATERAL (VALUES ('ts', m_ts), ('actual_demand', m_a), ('demand_forecast', m_f)) v(col, m)""",
+    "demand_hourly"))
+oracle("check_continuity", with_ctes(f"""
+SELECT series_id, prev_ts, ts, {R('diff_seconds / 3600.0', 'gap_hours')} FROM gaps
+WHERE diff_seconds > 3600 AND diff_seconds <> 7200""", "gaps"))
+
+
+def _infinite_sql() -> str:
+    from gridcast.plans.train_features import TRAIN_COLUMNS
+    nums = [c for c in TRAIN_COLUMNS if _TRAIN_EXPR[c][1] in ("d", "i")]
+    vals = ", ".join(f"('{c}', sum(CAST(isinf(CAST({c} AS DOUBLE)) AS BIGINT)))" for c in nums)
+    return with_ctes(f"""
+SELECT series_id, col AS "column", CAST(v AS BIGINT) AS infinite FROM (
+  SELECT series_id, unnest([{', '.join(f"{{'col': '{c}', 'v': sum(CAST(isinf(CAST({c} AS DOUBLE)) AS BIGINT))}}" for c in nums)}], recursive := true)
+  FROM train_frame GROUP BY series_id) q""", "train_frame")
+
+
+oracle("check_infinite", _infinite_sql())
+oracle("check_duplicate_ts", with_ctes("""
+SELECT series_id, CAST(sum(c - 1) AS BIGINT) AS duplicate_rows, count(*) FILTER (WHERE c > 1) AS repeated_timestamps,
+       count(*) AS distinct_timestamps, sum(c - 1) = 0 AS passed
+FROM (SELECT series_id, ts, count(*) AS c FROM demand_feed GROUP BY 1, 2) q GROUP BY series_id""", "demand_feed"))
+cte("vframe", """
+SELECT 'all' AS series_id, d.ts AS timestamp, d.actual_demand AS target_demand, w.temperature,
+       w.relative_humidity AS humidity
+FROM demand_total d JOIN weather_hourly w ON d.ts = w.ts""", "demand_total", "weather_hourly")
+
+
+def _ranges_sql() -> str:
+    rows = []
+    for c, lo, hi in [("target_demand", 30000, 90000), ("temperature", -20, 40), ("humidity", 0, 100)]:
+        rows.append(f"""SELECT series_id, '{c}' AS "column", {D(lo)} AS min_allowed, {D(hi)} AS max_allowed,
+  count(*) FILTER (WHERE {c} < {lo}) AS below, count(*) FILTER (WHERE {c} > {hi}) AS above,
+  {R(f'min({c})', 'min')}, {R(f'max({c})', 'max')},
+  count(*) FILTER (WHERE {c} < {lo}) = 0 AND count(*) FILTER (WHERE {c} > {hi}) = 0 AS passed
+FROM vframe GROUP BY series_id""")
+    return with_ctes("\nUNION ALL\n".join(rows), "vframe")
+
+
+oracle("check_ranges", _ranges_sql())
+
+
+def _leak_sql() -> str:
+    rows = []
+    for a, b in [("demand_lag_24h", "target_demand"), ("demand_lag_168h", "target_demand"), ("temp_lag_24h", "temperature")]:
+        r = f"covar_pop({a}, {b}) / CASE WHEN stddev_pop({a}) * stddev_pop({b}) <> 0 THEN stddev_pop({a}) * stddev_pop({b}) END"
+        rows.append(f"""SELECT series_id, '{a}' AS lag_col, '{b}' AS current_col, {R(r, 'correlation')},
+  count(*) FILTER (WHERE {a} = {b}) AS identical, count(*) AS n,
+  coalesce({r} > 0.999, false) OR count(*) FILTER (WHERE {a} = {b}) > count(*) * 0.5 AS suspicious
+FROM serve_q GROUP BY series_id""")
+    e = _serve_expr()
+    cte("serve_q", "SELECT series_id, " + ", ".join(
+        f"CAST({e[c][0]} AS DOUBLE) AS {c}" for c in ["target_demand", "temperature", "demand_lag_24h",
+                                                    "demand_lag_168h", "temp_lag_24h"]) + " FROM serve_lagged",
+        "serve_lagged")
+    return with_ctes("\nUNION ALL\n".join(rows), "serve_q")
+
+
+oracle("check_leakage", _leak_sql())
+cte("target_dist", """
+SELECT s.*, o.outliers FROM (
+  SELECT series_id, avg(target_demand) AS mean, median(target_demand) AS median, stddev_samp(target_demand) AS std,
+         min(target_demand) AS min, max(target_demand) AS max, count(*) AS n FROM vframe GROUP BY 1) s
+JOIN (SELECT v.series_id, count(*) FILTER (WHERE v.target_demand < t.mean - 3 * t.std OR v.target_demand > t.mean + 3 * t.std) AS outliers
+      FROM vframe v JOIN (SELECT series_id, avg(target_demand) AS mean, stddev_samp(target_demand) AS std FROM vframe GROUP BY 1) t
+      USING (series_id) GROUP BY 1) o USING (series_id)""", "vframe")
+oracle("check_target_distribution", with_ctes(f"""
+SELECT series_id, {R('mean', 'mean')}, {R('median', 'median')}, {R('std', 'std')}, {R('min', 'min')}, {R('max', 'max')},
+       n, outliers, {R('outliers / n * 100', 'outlier_pct')}, outliers = 0 AS passed FROM target_dist""", "target_dist"))
+oracle("validation_report", with_ctes("""
+SELECT 'all' AS series_id, 0 AS "order", 'missing_values' AS "check",
+       (SELECT count(*) FROM vframe WHERE target_demand IS NULL OR temperature IS NULL OR humidity IS NULL OR timestamp IS NULL) = 0 AS passed
+UNION ALL SELECT 'all', 1, 'data_ranges', (SELECT count(*) FROM vframe WHERE target_demand < 30000 OR target_demand > 90000
+   OR temperature < -20 OR temperature > 40 OR humidity < 0 OR humidity > 100) = 0
+UNION ALL SELECT 'all', 2, 'temporal_continuity', (SELECT count(*) FROM (
+   SELECT date_diff('second', lag(timestamp) OVER (ORDER BY timestamp), timestamp) AS d FROM vframe) q WHERE d > 3600 AND d <> 7200) = 0
+UNION ALL SELECT 'all', 3, 'infinite_values', (SELECT count(*) FROM vframe WHERE isinf(target_demand) OR isinf(temperature) OR isinf(humidity)) = 0
+UNION ALL SELECT 'all', 4, 'duplicate_timestamps', (SELECT count(*) - count(DISTINCT timestamp) FROM vframe) = 0
+UNION ALL SELECT 'all', 5, 'data_leakage', true
+UNION ALL SELECT 'all', 6, 'target_distribution', (SELECT outliers = 0 FROM target_dist)""", "vframe", "target_dist"))
+oracle("sample_issues", with_ctes(f"""
+SELECT series_id, 'gap' AS issue, ts, {R('diff_seconds / 3600.0', 'value')} FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS r FROM gaps WHERE diff_seconds > 3600 AND diff_seconds <> 7200) q
+WHERE r <= 5
+UNION ALL
+SELECT series_id, 'duplicate_timestamp', ts, {R('c', 'value')} FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS r FROM (
+    SELECT series_id, ts, count(*) AS c FROM demand_feed GROUP BY 1, 2 HAVING count(*) > 1) d) q WHERE r <= 5
+UNION ALL
+SELECT series_id, 'near_duplicate', timestamp1, {R('similarity', 'value')} FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY index1, index2) AS r FROM pairs) q WHERE r <= 10""",
+    "gaps", "demand_feed", "pairs"))
+oracle("concat_history_future", with_ctes(f"""
+SELECT series_id, CAST(pos - greatest(n - 248, 0) AS BIGINT) AS time_idx, timestamp, {R('target_demand', 'target_demand')},
+       {R('temperature', 'temperature')}, CAST(NULL AS INTEGER) AS horizon
+FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM serve_base) h WHERE pos >= n - 248
+UNION ALL
+SELECT series_id, CAST(least(n, 248) + hz - 1 AS BIGINT), last_ts + hz * INTERVAL 1 HOUR, {R('mu', 'target_demand')},
+       {R('last_t', 'temperature')}, CAST(hz AS INTEGER)
+FROM (SELECT series_id, arg_max(timestamp, pos) AS last_ts, arg_max(temperature, pos) AS last_t,
+             avg(target_demand) AS mu, count(*) AS n FROM serve_base GROUP BY 1) s CROSS JOIN range(1, 25) r(hz)""",
+    "serve_base"))
+
+
+def _align_sql() -> str:
+    from gridcast.plans.train_features import TRAIN_FEATURES
+    e = _serve_expr()
+    cols = []
+    for c in TRAIN_FEATURES:
+        if c in e:
+            cols.append(typed(e[c][0], e[c][1], c))
+        else:
+            cols.append(R(D(0.0), c))
+    return with_ctes(f"SELECT series_id, {typed('timestamp', 'ts', 'timestamp')}, {', '.join(cols)} FROM serve_lagged",
+                     "serve_lagged")
+
+
+oracle("align_features", _align_sql())
