@@ -222,7 +222,8 @@ def q_chronological_split(spark, sf_dir):
 # --------------------------------------------------------------------------
 def _train_pos(spark, sf_dir):
     from gridcast.operators.series import position_index
-    return position_index(_train_frame(spark, sf_dir), "series_id", "timestamp")
+    from gridcast.session import materialize
+    return materialize(position_index(_train_frame(spark, sf_dir), "series_id", "timestamp"), "train-frame")
 
 
 def _preds(spark, sf_dir):
@@ -845,3 +846,92 @@ def q_align_features(spark, sf_dir):
     from gridcast.plans.train_features import TRAIN_FEATURES
     a = align_features(_serve_frame(spark, sf_dir), TRAIN_FEATURES)
     return a.select("series_id", "timestamp", *TRAIN_FEATURES)
+
+
+# --------------------------------------------------------------------------
+# forecasting on Spark ML (M1-M4, M7)
+# --------------------------------------------------------------------------
+@query("normalize_target")
+def q_normalize_target(spark, sf_dir):
+    """M1: per-series centre/scale of the inverse-softplus target, and inverse."""
+    from gridcast.operators.ml import normalize_target
+    return normalize_target(_train_frame(spark, sf_dir).select("series_id", "timestamp", "target_demand"))
+
+
+@query("supervised_frame")
+def q_supervised_frame(spark, sf_dir):
+    """M2: direct-horizon rows (origin, horizon 1..24) with target-time features."""
+    from gridcast.operators.ml import supervised_frame
+    return supervised_frame(_train_pos(spark, sf_dir), ["temperature", "hour_sin", "is_weekend"])
+
+
+def _fit(spark, sf_dir):
+    from gridcast.operators.ml import fit_forecaster
+    from gridcast.operators.series import chronological_split
+    from gridcast.plans.train_features import TRAIN_FEATURES
+    from gridcast.session import materialize
+    tf = materialize(chronological_split(_train_pos(spark, sf_dir)), "train-split")
+    model = fit_forecaster(tf.where(F.col("split") == "train"), TRAIN_FEATURES)
+    return model, tf, TRAIN_FEATURES
+
+
+@query("fit_forecaster")
+def q_fit_forecaster(spark, sf_dir):
+    """M3: linear forecaster over all series; MAE per split."""
+    from gridcast.operators.ml import predict
+    model, tf, feats = _fit(spark, sf_dir)
+    p = predict(model, tf, feats)
+    return p.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
+                                  F.avg(F.abs(F.col("prediction") - F.col("target_demand"))).alias("mae"))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """M7: model-based importance (|coef x std| share)."""
+    from gridcast.operators.ml import feature_importance
+    model, tf, feats = _fit(spark, sf_dir)
+    return feature_importance(model, tf.where(F.col("split") == "train"), feats)
+
+
+@query("forecast")
+def q_forecast(spark, sf_dir):
+    """M4: 24 h forecast per series from 20/01/2024, bias-corrected."""
+    from gridcast.plans.forecast_flow import forecast
+    model, _tf, feats = _fit(spark, sf_dir)
+    return forecast(spark, B.serve_input(spark, sf_dir), model, feats, hours=24, forecast_from_date="20/01/2024")
+
+
+# --------------------------------------------------------------------------
+# streaming
+# --------------------------------------------------------------------------
+def _land(spark, df, name):
+    p = _path(spark, name)
+    df.withColumn("_day", F.to_date("ts")).repartition(8, "_day").drop("_day").write.parquet(p)
+    return p, df.schema
+
+
+@query("stream_hourly_rollup")
+def q_stream_hourly_rollup(spark, sf_dir):
+    """Streaming hourly means per series with a 2 h watermark."""
+    from gridcast.streaming.feeds import stream_hourly_rollup
+    src, schema = _land(spark, B.demand_raw(spark, sf_dir), "stream-readings")
+    return stream_hourly_rollup(spark, src, schema, _path(spark, "stream-rollup-out"))
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """R2: streaming dedupe of the two-delivery feed on (series, ts)."""
+    from gridcast.streaming.feeds import stream_dedupe
+    src, schema = _land(spark, B.demand_feed(spark, sf_dir).select("series_id", "ts", "reading_id"), "stream-feed")
+    return stream_dedupe(spark, src, schema, _path(spark, "stream-dedupe-out"))
+
+
+@query("stream_replace_range")
+def q_stream_replace_range(spark, sf_dir):
+    """Streamed revision window upserted into the day-partitioned hourly table."""
+    from gridcast.streaming.feeds import stream_replace_range
+    feed = B.demand_feed(spark, sf_dir)
+    target = _path(spark, "stream-target")
+    _hourly_total(feed.where("delivery = 0")).withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(target)
+    src, schema = _land(spark, feed.where("delivery = 1").select("series_id", "ts", "load"), "stream-revisions")
+    return stream_replace_range(spark, src, schema, target, prepare=_hourly_total).drop("day")

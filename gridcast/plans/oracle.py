@@ -1070,3 +1070,28 @@ def _align_sql() -> str:
 
 
 oracle("align_features", _align_sql())
+
+
+# --------------------------------------------------------------------------
+# forecasting / streaming
+# --------------------------------------------------------------------------
+oracle("normalize_target", with_ctes(f"""
+SELECT series_id, timestamp, {R('target_demand', 'target_demand')}, {R('c', 'target_center')}, {R('s', 'target_scale')},
+       {R('(t - c) / nullif(s, 0)', 'target_norm')},
+       {R(f'greatest(((t - c) / nullif(s, 0)) * s + c, {D(0.0)}) + ln(1 + exp(-abs(((t - c) / nullif(s, 0)) * s + c)))', 'target_restored')}
+FROM (SELECT *, avg(t) OVER (PARTITION BY series_id) AS c, stddev_samp(t) OVER (PARTITION BY series_id) AS s FROM (
+  SELECT series_id, timestamp, target_demand,
+         CASE WHEN target_demand > 0 THEN target_demand + ln(1 - exp(-target_demand)) END AS t FROM train_frame) a) b""",
+    "train_frame"))
+oracle("supervised_frame", with_ctes(f"""
+SELECT o.series_id, o.pos AS origin_pos, {R('o.target_demand', 'origin_target')}, CAST(r.h AS INTEGER) AS horizon,
+       t.timestamp, {R('t.target_demand', 'target_demand')}, {R('t.temperature', 'temperature')},
+       {R('t.hour_sin', 'hour_sin')}, CAST(t.is_weekend AS INTEGER) AS is_weekend
+FROM train_frame o CROSS JOIN range(1, 25) r(h)
+JOIN train_frame t ON t.series_id = o.series_id AND t.pos = o.pos + r.h
+WHERE o.pos >= 47 AND o.pos + 24 <= o.n - 1""", "train_frame"))
+oracle("stream_hourly_rollup", with_ctes(f"""
+SELECT series_id, date_trunc('hour', ts) AS ts, {R('avg(load)', 'actual_demand')} FROM demand_raw GROUP BY 1, 2
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM demand_raw) - INTERVAL 2 HOUR""", "demand_raw"))
+oracle("stream_dedupe", with_ctes("SELECT DISTINCT series_id, ts, reading_id FROM demand_feed", "demand_feed"))
+oracle("stream_replace_range", ORACLE["replace_range"])

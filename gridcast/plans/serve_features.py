@@ -130,9 +130,16 @@ def interaction_columns() -> list[Column]:
 
 
 def serve_features(df: DataFrame, series: str = "series_id", ts: str = "timestamp",
-                   block_rows: int = DEFAULT_BLOCK_ROWS, keep_pos: bool = False) -> DataFrame:
+                   block_rows: int = DEFAULT_BLOCK_ROWS, keep_pos: bool = False, stage: bool = True) -> DataFrame:
     """Serving frame per series (F11) from (series, timestamp, target_demand,
-    daylight_savings_winter/summer, is_public_holiday, temperature)."""
+    daylight_savings_winter/summer, is_public_holiday, temperature).
+
+    With ``stage`` the input is written once to the shared folder so the
+    stats / position / window branches do not recompute it.
+    """
+    if stage:
+        from gridcast.session import materialize
+        df = materialize(df, "serve-input")
     stats = df.groupBy(series).agg(F.avg("target_demand").alias("_mu"),
                                    F.stddev_samp("target_demand").alias("_sd"))
     base = position_index(df, series, ts).join(stats, series)

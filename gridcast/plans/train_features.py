@@ -92,12 +92,18 @@ def temporal_columns(ts: str):
 def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestamp",
                    demand: str = "demand", temperature: str = "temperature_2m",
                    holiday: str = "is_public_holiday", block_rows: int = DEFAULT_BLOCK_ROWS,
-                   drop_incomplete: bool = True, keep_pos: bool = False) -> DataFrame:
+                   drop_incomplete: bool = True, keep_pos: bool = False, stage: bool = True) -> DataFrame:
     """Training frame per series: F1..F5, projected to TRAIN_COLUMNS (S5), nulls dropped.
 
     Frame-global mean/std are per series over the given frame (the load
-    window decides them, as in the reference).
+    window decides them, as in the reference). With ``stage`` the input is
+    written once to the shared folder, so the stats, position and window
+    branches read that table instead of recomputing the raw aggregation.
     """
+    df = df.select(series, ts, demand, temperature, holiday)
+    if stage:
+        from gridcast.session import materialize
+        df = materialize(df, "train-input")
     stats = df.groupBy(series).agg(
         F.avg(demand).alias("_mu_d"), F.stddev_samp(demand).alias("_sd_d"),
         F.avg(temperature).alias("_mu_t"), F.stddev_samp(temperature).alias("_sd_t"))

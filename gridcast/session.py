@@ -14,6 +14,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # wide feature plans (60-90 columns, not-null filters across joins) make
+    # constraint inference super-linear; the plans do not rely on it
+    "spark.sql.constraintPropagation.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -42,6 +45,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+RUNTIME_SQL_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings to a session built elsewhere."""
+    for k, v in RUNTIME_SQL_CONF.items():
+        spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
@@ -66,3 +83,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/gridcast-data/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write df as parquet under the shared folder, read it back.
+
+    Used where a frame feeds several passes (model fitting, scoring):
+    survives executor loss, unlike cache() or localCheckpoint().
+    """
+    spark = df.sparkSession
+    p = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(p)
+    return spark.read.parquet(p)
