@@ -167,13 +167,15 @@ def apply_bias(forecast: DataFrame, table: DataFrame, ts: str = "timestamp",
                pred: str = "predicted_demand", keys=()) -> DataFrame:
     """correction = -bias(hour, weekday), default 0; corrected = predicted + correction (M9).
 
-    The table is bounded (24 x 7 cells per key) and broadcast.
+    A global table is bounded (24 x 7 cells) and broadcast; a table keyed
+    by series grows with the series count, so it is joined normally and
+    AQE broadcasts it only if its runtime size allows.
     """
     keys = list(keys)
     t = table.select(*keys, F.col("hour").alias("_h"), F.col("dow").alias("_d"), F.col("bias").alias("_bias"))
     cond = [F.hour(F.col(ts)) == F.col("_h"), F.weekday(F.col(ts)) == F.col("_d")]
     cond += [forecast[k] == t[k] for k in keys]
-    j = forecast.join(F.broadcast(t), cond, "left")
+    j = forecast.join(t if keys else F.broadcast(t), cond, "left")
     corr = (-F.coalesce(F.col("_bias"), F.lit(0.0))).alias("bias_correction")
     j = j.select(*[forecast[c] for c in forecast.columns], corr)
     return j.withColumn("corrected_demand", F.col(pred) + F.col("bias_correction"))
