@@ -935,3 +935,25 @@ def q_stream_replace_range(spark, sf_dir):
     _hourly_total(feed.where("delivery = 0")).withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(target)
     src, schema = _land(spark, feed.where("delivery = 1").select("series_id", "ts", "load"), "stream-revisions")
     return stream_replace_range(spark, src, schema, target, prepare=_hourly_total).drop("day")
+
+
+@query("profile_skew_audit")
+def q_profile_skew_audit(spark, sf_dir):
+    """D12 audit: for every column name the train and serve profiles share,
+    how many rows differ and by how much on the same (series, timestamp)."""
+    from gridcast.plans.serve_features import SERVE_COLUMNS
+    from gridcast.plans.train_features import TRAIN_COLUMNS
+    shared = [c for c in TRAIN_COLUMNS if c in SERVE_COLUMNS and c not in ("timestamp", "season")]
+    t = _train_frame(spark, sf_dir, drop_incomplete=False).select(
+        "series_id", "timestamp", *[F.col(c).cast("double").alias(f"t_{c}") for c in shared])
+    s = _serve_frame(spark, sf_dir).select(
+        "series_id", "timestamp", *[F.col(c).cast("double").alias(f"s_{c}") for c in shared])
+    j = t.join(s, ["series_id", "timestamp"])
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(shared):
+        d = F.abs(F.col(f"t_{c}") - F.col(f"s_{c}"))
+        aggs += [F.count(F.when(d > 1e-9, 1)).alias(f"_d{i}"), F.avg(d).alias(f"_m{i}")]
+    wide = j.agg(*aggs)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_d{i}").alias("differing"),
+                               F.col(f"_m{i}").alias("mean_abs_diff")) for i, c in enumerate(shared)])
+    return wide.select(F.col("_n").alias("rows"), F.inline(cells))

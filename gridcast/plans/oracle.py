@@ -1095,3 +1095,22 @@ SELECT series_id, date_trunc('hour', ts) AS ts, {R('avg(load)', 'actual_demand')
 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM demand_raw) - INTERVAL 2 HOUR""", "demand_raw"))
 oracle("stream_dedupe", with_ctes("SELECT DISTINCT series_id, ts, reading_id FROM demand_feed", "demand_feed"))
 oracle("stream_replace_range", ORACLE["replace_range"])
+
+
+def _skew_sql() -> str:
+    from gridcast.plans.serve_features import SERVE_COLUMNS
+    from gridcast.plans.train_features import TRAIN_COLUMNS
+    shared = [c for c in TRAIN_COLUMNS if c in SERVE_COLUMNS and c not in ("timestamp", "season")]
+    e = _serve_expr()
+    cte("serve_raw", "SELECT series_id, timestamp, " + ", ".join(
+        f"CAST({e[c][0]} AS DOUBLE) AS {c}" for c in shared) + " FROM serve_lagged", "serve_lagged")
+    parts = []
+    for c in shared:
+        d = f"abs(CAST(t.{c} AS DOUBLE) - s.{c})"
+        parts.append(f"""SELECT count(*) AS rows, '{c}' AS "column", count(*) FILTER (WHERE {d} > 1e-9) AS differing,
+  {R(f'avg({d})', 'mean_abs_diff')} FROM train_frame_all t JOIN serve_raw s
+  ON t.series_id = s.series_id AND t.timestamp = s.timestamp""")
+    return with_ctes("\nUNION ALL\n".join(parts), "train_frame_all", "serve_raw")
+
+
+oracle("profile_skew_audit", _skew_sql())

@@ -14,7 +14,7 @@ def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
-    assert len(q) >= 100
+    assert len(q) >= 107
 
 
 def test_entry_runs(spark):
