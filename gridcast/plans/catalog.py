@@ -54,6 +54,12 @@ def _serve_frame(spark, sf_dir, **kw):
     return serve_features(B.serve_input(spark, sf_dir), **kw)
 
 
+def _serve_staged(spark, sf_dir):
+    """Serving frame with positions, written once: it feeds several branches."""
+    from gridcast.session import materialize
+    return materialize(_serve_frame(spark, sf_dir, keep_pos=True), "serve-frame")
+
+
 @query("features_serve")
 def q_features_serve(spark, sf_dir):
     """the whole serving frame per series over its full history."""
@@ -64,7 +70,7 @@ def q_features_serve(spark, sf_dir):
 def q_future_features(spark, sf_dir):
     """24 future rows per series after the serving history."""
     from gridcast.plans.future import future_features
-    return future_features(_serve_frame(spark, sf_dir, keep_pos=True), hours=24)
+    return future_features(_serve_staged(spark, sf_dir), hours=24)
 
 
 # --------------------------------------------------------------------------
@@ -190,10 +196,7 @@ def q_time_gaps(spark, sf_dir):
 def q_sequence_windows(spark, sf_dir):
     """48-row encoder / 24-row decoder target windows, stride 1."""
     from gridcast.operators.series import sequence_windows
-    tf = _train_frame(spark, sf_dir, keep_pos=True)
-    from gridcast.operators.series import position_index
-    tf = position_index(tf.drop("pos"), "series_id", "timestamp")
-    s = sequence_windows(tf, "target_demand", 48, 24, ts="timestamp")
+    s = sequence_windows(_train_pos(spark, sf_dir), "target_demand", 48, 24, ts="timestamp")
 
     def txt(c):
         return F.array_join(F.transform(c, lambda v: F.round(v, 3).cast("decimal(20,3)").cast("string")), ",")
@@ -341,7 +344,8 @@ def q_forecast_range(spark, sf_dir):
 def q_score_report(spark, sf_dir):
     """Overall / hour / weekday / best / worst rows."""
     from gridcast.operators.scoring import score_report
-    return score_report(_preds(spark, sf_dir))
+    from gridcast.session import materialize
+    return score_report(materialize(_preds(spark, sf_dir), "predictions"))
 
 
 @query("join_predictions_features")
@@ -833,7 +837,7 @@ def q_sample_issues(spark, sf_dir):
 def q_concat_history_future(spark, sf_dir):
     """S3: last 248 history rows + 24 future rows, one time_idx."""
     from gridcast.plans.future import concat_history_future, future_features
-    hist = _serve_frame(spark, sf_dir, keep_pos=True)
+    hist = _serve_staged(spark, sf_dir)
     fut = future_features(hist, 24)
     c = concat_history_future(hist, fut, 248)
     return c.select("series_id", "time_idx", "timestamp", "target_demand", "temperature", "horizon")

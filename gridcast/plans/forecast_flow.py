@@ -26,7 +26,8 @@ def forecast(spark: SparkSession, history: DataFrame, model: PipelineModel, feat
         raise ValueError("hours must be within 1..168")
     keep = encoder + 200
     hist = latest_n_asof(history, forecast_from_date, keep) if forecast_from_date else history
-    feats = serve_features(hist, keep_pos=True)
+    from gridcast.session import materialize
+    feats = materialize(serve_features(hist, keep_pos=True), "forecast-history")
     fut = future_features(feats, hours)
     combined = align_features(concat_history_future(feats, fut, keep), features)
     pred = predict(model, combined.where(F.col("horizon").isNotNull()), features, "predicted_demand")

@@ -144,7 +144,13 @@ def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
         flag(F.lag("_dow", 7).over(w).isin(5, 6)).alias("lag_168h_was_weekend"),
         rolling_std(F.col("_D"), w, 168, 24).alias("_rstd"),
     )
-    filled = ffill_bfill(core_only(lagged),
+    lagged = core_only(lagged)
+    if stage:
+        # the fill reads the lagged frame twice (in-block fill, per-block carry):
+        # write it once rather than recompute positions and windows per branch
+        from gridcast.session import materialize
+        lagged = materialize(lagged, "train-lagged")
+    filled = ffill_bfill(lagged,
                          ["temp_lag_24h", "demand_lag_24h_norm", "demand_lag_168h_norm",
                           "demand_delta_24h", "_rstd"], series, "pos")
 
