@@ -74,3 +74,16 @@ def test_leakage_and_distribution(spark):
     d = V.check_target_distribution(df.withColumn("target_demand", F.when(F.col("lagged") == 0, 1e6)
                                                   .otherwise(F.col("target_demand")))).first()
     assert d.outliers == 1 and d.passed is False
+
+
+def test_exact_median_matches_percentile(spark):
+    random.seed(11)
+    rows = [("a", float(random.randint(0, 50))) for _ in range(5001)]        # many ties, odd n
+    rows += [("b", random.gauss(0, 1)) for _ in range(4000)]                   # distinct, even n
+    rows += [("c", 7.0) for _ in range(300)] + [("d", 1.0), ("d", 2.0)]       # constant; two values
+    df = spark.createDataFrame(rows, "s string, v double")
+    got = {r.s: r.median for r in V.exact_median(df, "v", ["s"], accuracy=200).collect()}
+    want = {r.s: r.m for r in df.groupBy("s").agg(F.median("v").alias("m")).collect()}
+    assert set(got) == set(want)
+    for k in want:
+        assert abs(got[k] - want[k]) < 1e-12, (k, got[k], want[k])
