@@ -85,6 +85,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/gridcast-data/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_STAGED: list[str] = []
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage: write df as parquet under the shared folder, read it back.
 
@@ -94,4 +97,18 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     p = shared_path(spark, name)
     df.write.mode("overwrite").parquet(p)
+    _STAGED.append(p)
     return spark.read.parquet(p)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the staged tables this process wrote (call when results are final)."""
+    jvm = spark._jvm
+    n = 0
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            fs.delete(path, True)
+            n += 1
+    return n

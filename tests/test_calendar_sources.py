@@ -104,3 +104,12 @@ def test_year_regimes(spark):
     assert reg[0] == (0.0, 0.0, 0.0, 0.0)
     assert reg[1] == (1.0, 0.0, 0.0, 0.0) and reg[2] == (0.0, 1.0, 0.0, 0.0)
     assert reg[3] == reg[4] == (0.0, 0.0, 1.0, 0.0) and reg[5] == reg[7] == (0.0, 0.0, 0.0, 1.0)
+
+
+def test_staged_tables_are_dropped(spark):
+    from gridcast.session import _STAGED, drop_staged, materialize
+    _STAGED.clear()
+    df = materialize(spark.range(5), "t-stage")
+    p = _STAGED[-1]
+    assert df.count() == 5 and os.path.exists(p.replace("file:", ""))
+    assert drop_staged(spark) == 1 and not os.path.exists(p.replace("file:", ""))
