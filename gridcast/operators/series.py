@@ -56,7 +56,7 @@ def halo_blocks(df: DataFrame, pos: str = "pos", before: int = 0, after: int = 0
     r = F.col(pos) - b * F.lit(c)
     empty = F.array().cast("array<bigint>")
     blocks = F.concat(
-        F.when(r < F.lit(after), F.array(b - 1)).otherwise(empty) if after else empty,
+        F.when((r < F.lit(after)) & (b > 0), F.array(b - 1)).otherwise(empty) if after else empty,
         F.array(b),
         F.when(r >= F.lit(c - before), F.array(b + 1)).otherwise(empty) if before else empty,
     )
@@ -262,3 +262,34 @@ def latest_n_asof(df: DataFrame, as_of: str, n: int = 1000, series="series_id",
     w = Window.partitionBy(*_cols(series)).orderBy(F.col(ts).desc())
     return (df.where(F.col(ts) <= cut).withColumn("_rk", F.row_number().over(w))
             .where(F.col("_rk") <= n).drop("_rk"))
+
+
+def positioned_blocks(df: DataFrame, series="series_id", order: str = "ts", pos: str = "pos",
+                      before: int = 0, after: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS,
+                      tiebreak=None, bucket: str = "day") -> DataFrame:
+    """``halo_blocks(position_index(df))`` with a single full-row shuffle.
+
+    A small (series, day) table gives each day its first position o_d and
+    row count n_d; the day's rows are sent to every block their positions
+    or halos touch, [floor((o_d - after) / C), floor((o_d + n_d - 1 + before) / C)],
+    and positions are numbered inside the (series, block) partition by a
+    row_number per day (same partitioning, no second shuffle).
+    """
+    series, tiebreak = _cols(series), _cols(tiebreak)
+    c = int(block_rows)
+    if before > c or after > c:
+        raise ValueError("halo larger than block")
+    x = df.withColumn("_bkt", F.date_trunc(bucket, F.col(order)).cast("timestamp_ntz"))
+    counts = x.groupBy(*series, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    prev = Window.partitionBy(*series).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    days = counts.select(*series, "_bkt", "_n", F.coalesce(F.sum("_n").over(prev), F.lit(0)).alias("_off"))
+    lo = F.floor(F.greatest(F.col("_off") - after, F.lit(0)) / c)
+    hi = F.floor((F.col("_off") + F.col("_n") - 1 + before) / c)
+    days = days.select(*series, "_bkt", "_off", F.sequence(lo, hi).cast("array<bigint>").alias("_blks"))
+    x = x.join(days, series + ["_bkt"]).withColumn(BLK, F.explode("_blks")).drop("_blks")
+    x = x.repartition(*[F.col(s) for s in series], F.col(BLK))
+    rn = F.row_number().over(Window.partitionBy(*series, BLK, "_bkt").orderBy(order, *tiebreak))
+    x = x.withColumn(pos, (F.col("_off") + rn - 1).cast("long"))
+    return (x.withColumn(CORE, F.floor(F.col(pos) / c) == F.col(BLK)).drop("_bkt", "_off")
+            .where(F.col(pos) >= F.col(BLK) * c - before)
+            .where(F.col(pos) < (F.col(BLK) + 1) * c + after))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridcast.functions.calendar import season_serve
 from gridcast.functions.numeric import clip, flag
 from gridcast.operators.series import (
-    DEFAULT_BLOCK_ROWS, block_window, core_only, halo_blocks, position_index, rolling_std,
+    DEFAULT_BLOCK_ROWS, block_window, core_only, positioned_blocks, rolling_std,
 )
 
 SCALE = 10_000.0
@@ -142,15 +142,15 @@ def serve_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
         df = materialize(df, "serve-input")
     stats = df.groupBy(series).agg(F.avg("target_demand").alias("_mu"),
                                    F.stddev_samp("target_demand").alias("_sd"))
-    base = position_index(df, series, ts).join(stats, series)
+    base = df.join(stats, series)
     T, D = F.col("temperature"), F.col("target_demand")
     h, d = F.hour(ts), F.weekday(ts)
     layer1 = base.select(
-        series, "pos", ts, "target_demand", "daylight_savings_winter", "daylight_savings_summer",
+        series, ts, "target_demand", "daylight_savings_winter", "daylight_savings_summer",
         F.col("is_public_holiday").cast("double").alias("is_public_holiday"), "temperature",
         "_mu", "_sd", *calendar_columns(ts), *weather_columns(T, h, d))
     w = block_window(series, "pos")
-    blk = halo_blocks(layer1, "pos", before=168, block_rows=block_rows)
+    blk = positioned_blocks(layer1, series, ts, "pos", before=168, block_rows=block_rows)
     lagged = core_only(blk.select(
         "*",
         F.lag("target_demand", 24).over(w).alias("_l24"),

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from gridcast.functions.calendar import season_train
 from gridcast.functions.numeric import clip, flag
 from gridcast.operators.series import (
-    BLK, DEFAULT_BLOCK_ROWS, block_window, core_only, ffill_bfill, halo_blocks, position_index,
-    rolling_std,
+    DEFAULT_BLOCK_ROWS, block_window, core_only, ffill_bfill, positioned_blocks, rolling_std,
 )
 
 # Column names and order of the training frame.
@@ -107,14 +106,13 @@ def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
     stats = df.groupBy(series).agg(
         F.avg(demand).alias("_mu_d"), F.stddev_samp(demand).alias("_sd_d"),
         F.avg(temperature).alias("_mu_t"), F.stddev_samp(temperature).alias("_sd_t"))
-    base = position_index(df.select(series, ts, demand, temperature, holiday), series, ts)
-    x = base.join(stats, series)
+    x = df.join(stats, series)
 
     T = F.col(temperature)
     heating = clip(F.lit(18.0) - T, lower=0.0)
     d = F.weekday(ts)
     layer1 = x.select(
-        series, ts, "pos", F.col(demand).alias("target_demand"), F.col(demand).alias("_D"),
+        series, ts, F.col(demand).alias("target_demand"), F.col(demand).alias("_D"),
         F.col(holiday).cast("int").alias("is_public_holiday"), d.alias("_dow"),
         *temporal_columns(ts),
         T.alias("temperature"), heating.alias("heating_demand"),
@@ -131,7 +129,7 @@ def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
 
     # one blocked window stage: every lag and the 168-row rolling std
     w = block_window(series, "pos")
-    blk = halo_blocks(layer1, "pos", before=168, block_rows=block_rows)
+    blk = positioned_blocks(layer1, series, ts, "pos", before=168, block_rows=block_rows)
     lagged = blk.select(
         "*",
         F.lag("temperature", 24).over(w).alias("temp_lag_24h"),

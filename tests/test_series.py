@@ -113,3 +113,22 @@ def test_gap_series_continuity(spark):
         "series_id", F.col("t").cast("timestamp_ntz").alias("ts"))
     gaps = check_continuity(df).collect()
     assert len(gaps) == 1 and gaps[0].gap_hours == 3.0
+
+
+def test_positioned_blocks_equals_two_step(spark):
+    random.seed(5)
+    rows = []
+    for s, n in (("hot", 900), ("b", 130), ("c", 7)):
+        t = 0
+        for _ in range(n):
+            t += random.choice([1, 1, 1, 2, 5, 30])
+            rows.append((s, t, random.random()))
+    df = spark.createDataFrame(rows, "series_id string, h int, x double").select(
+        "series_id", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(hours=F.col("h"))).alias("ts"), "x")
+    for before, after, c in ((168, 0, 170), (24, 23, 50), (0, 0, 64)):
+        a = S.halo_blocks(S.position_index(df, "series_id", "ts"), "pos", before, after, c)
+        b = S.positioned_blocks(df, "series_id", "ts", "pos", before, after, c)
+        key = lambda r: (r.series_id, r._blk, r.pos)
+        ra = sorted((key(r), r._core, r.x) for r in a.collect())
+        rb = sorted((key(r), r._core, r.x) for r in b.collect())
+        assert ra == rb, (before, after, c)
