@@ -1,3 +1,128 @@
-"""DuckDB SQL of the training-data queries that SQL can express."""
+"""DuckDB SQL of the training-data queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The constants below are written out here on purpose: an oracle that imported
+them from the code under test could not tell a wrong one.
+"""
+
+_OP5 = r"""
+WITH RECURSIVE names AS (SELECT DISTINCT coalesce(source, '') AS source FROM documents),
+bits AS (  -- crc32 of a name, bit by bit
+  SELECT source, 4294967295::BIGINT AS crc, 0 AS i, 0 AS b FROM names
+  UNION ALL
+  SELECT source,
+         CASE WHEN (CASE WHEN b = 0 THEN xor(crc, ascii(source[i + 1])::BIGINT) ELSE crc END) & 1 = 1
+              THEN xor((CASE WHEN b = 0 THEN xor(crc, ascii(source[i + 1])::BIGINT) ELSE crc END) >> 1, 3988292384::BIGINT)
+              ELSE (CASE WHEN b = 0 THEN xor(crc, ascii(source[i + 1])::BIGINT) ELSE crc END) >> 1 END,
+         CASE WHEN b = 7 THEN i + 1 ELSE i END, (b + 1) % 8
+  FROM bits WHERE i < length(source)
+),
+crcs AS (SELECT source, xor(crc, 4294967295::BIGINT) AS crc FROM bits WHERE i = length(source) AND b = 0),
+sized AS (
+  SELECT doc_id, 'd' || (c.crc % 4)::VARCHAR AS domain, coalesce(lang, '') AS lang, coalesce(d.source, '') AS source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS tokens
+  FROM documents d JOIN crcs c ON c.source = coalesce(d.source, '')
+),
+leaves AS (
+  SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, 3 * sum(tokens)::BIGINT AS cap FROM sized GROUP BY ALL
+),
+d0 AS (
+  SELECT domain, sum(cap)::BIGINT AS cap, (SELECT sum(tokens)::BIGINT FROM leaves) AS budget,
+         CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 3 WHEN 'd3' THEN 2 ELSE 1 END AS weight
+  FROM leaves GROUP BY domain
+),
+d1 AS (
+  SELECT *, budget - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / weight, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
+         sum(weight) OVER (ORDER BY cap::DOUBLE / weight, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM d0
+),
+d2 AS (SELECT *, max((lft::HUGEINT * weight < cap::HUGEINT * rest)::INT) OVER (ORDER BY cap::DOUBLE / weight, domain ROWS UNBOUNDED PRECEDING) AS op FROM d1),
+d3 AS (
+  SELECT domain, CASE WHEN op = 0 THEN cap ELSE greatest(0, (max(CASE WHEN op = 1 THEN lft END) OVER ())::HUGEINT * weight
+         // (max(CASE WHEN op = 1 THEN rest END) OVER ())::HUGEINT) END AS budget FROM d2
+),
+l0 AS (
+  SELECT domain, lang, sum(cap)::BIGINT AS cap, any_value(budget) AS budget,
+         CASE lang WHEN 'de' THEN 3 WHEN 'en' THEN 6 WHEN 'es' THEN 2 WHEN 'fr' THEN 3 ELSE 1 END AS weight
+  FROM leaves JOIN d3 USING (domain) GROUP BY domain, lang
+),
+l1 AS (
+  SELECT *, budget - coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap::DOUBLE / weight, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
+         sum(weight) OVER (PARTITION BY domain ORDER BY cap::DOUBLE / weight, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM l0
+),
+l2 AS (SELECT *, max((lft::HUGEINT * weight < cap::HUGEINT * rest)::INT) OVER (PARTITION BY domain ORDER BY cap::DOUBLE / weight, lang ROWS UNBOUNDED PRECEDING) AS op FROM l1),
+l3 AS (
+  SELECT domain, lang, CASE WHEN op = 0 THEN cap ELSE greatest(0, (max(CASE WHEN op = 1 THEN lft END) OVER (PARTITION BY domain))::HUGEINT * weight
+         // (max(CASE WHEN op = 1 THEN rest END) OVER (PARTITION BY domain))::HUGEINT) END AS budget FROM l2
+),
+s0 AS (SELECT domain, lang, source, tokens, cap, budget, 1 AS weight FROM leaves JOIN l3 USING (domain, lang)),
+s1 AS (
+  SELECT *, budget - coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap::DOUBLE / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
+         sum(weight) OVER (PARTITION BY domain, lang ORDER BY cap::DOUBLE / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM s0
+),
+s2 AS (SELECT *, max((lft::HUGEINT * weight < cap::HUGEINT * rest)::INT) OVER (PARTITION BY domain, lang ORDER BY cap::DOUBLE / weight, source ROWS UNBOUNDED PRECEDING) AS op FROM s1),
+plan AS (
+  SELECT domain, lang, source, CASE WHEN tokens > 0 THEN given // tokens ELSE 0 END AS full_epochs, CASE WHEN tokens > 0 THEN given % tokens ELSE 0 END AS part
+  FROM (SELECT *, CASE WHEN op = 0 THEN cap ELSE greatest(0, (max(CASE WHEN op = 1 THEN lft END) OVER (PARTITION BY domain, lang))::HUGEINT * weight
+         // (max(CASE WHEN op = 1 THEN rest END) OVER (PARTITION BY domain, lang))::HUGEINT) END AS given FROM s2)
+),
+keyed AS (
+  SELECT s.*, full_epochs, part, md5('17:' || full_epochs::BIGINT::VARCHAR || ':' || coalesce(doc_id::VARCHAR, '')) AS k
+  FROM sized s JOIN plan USING (domain, lang, source)
+),
+run AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY k RANGE UNBOUNDED PRECEDING) AS upto FROM keyed),
+counted AS (SELECT *, full_epochs + CASE WHEN part > 0 AND upto <= part THEN 1 ELSE 0 END AS n FROM run)
+SELECT doc_id, unnest(range(n::BIGINT))::BIGINT AS epoch, domain, lang, source, tokens FROM counted
+"""
+
+_OP9 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents),
+kinds(kind, name, re) AS (VALUES
+  (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'), (3, 'generic', '[A-Za-z0-9+/_=-]{20,}')),
+m AS (
+  SELECT r, doc_id, owner, text, 0 AS kind, 'assign' AS name,
+         regexp_extract_all(text, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS ms,
+         regexp_extract_all(text, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) AS vs,
+         string_split_regex(text, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS ps FROM d
+  UNION ALL SELECT r, doc_id, owner, text, 1, 'access', regexp_extract_all(text, 'AKIA[A-Z0-9]+'),
+         regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT r, doc_id, owner, text, 2, 'hex', regexp_extract_all(text, '[0-9a-f]{24,}'),
+         regexp_extract_all(text, '[0-9a-f]{24,}'), string_split_regex(text, '[0-9a-f]{24,}') FROM d
+  UNION ALL SELECT r, doc_id, owner, text, 3, 'generic', regexp_extract_all(text, '[A-Za-z0-9+/_=-]{20,}'),
+         regexp_extract_all(text, '[A-Za-z0-9+/_=-]{20,}'), string_split_regex(text, '[A-Za-z0-9+/_=-]{20,}') FROM d
+),
+e AS (SELECT r, doc_id, owner, kind, name, unnest(range(1, len(ms) + 1)) AS i, ms, vs, ps FROM m WHERE len(ms) > 0),
+o AS (
+  SELECT r, doc_id, owner, kind, name, vs[i] AS v,
+         sum(length(ps[i]) + length(ms[i])) OVER (PARTITION BY r, kind ORDER BY i) AS en, length(ms[i]) AS n FROM e
+),
+f AS (
+  SELECT r, doc_id, owner, kind, name, v, (en - n)::BIGINT AS st, en::BIGINT AS en FROM o
+  WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(v) >= 20) OR (kind = 2 AND length(v) >= 24)
+     OR (kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]'))
+),
+own AS (SELECT v, count(DISTINCT owner) <= 2 AS live FROM f GROUP BY v),
+j AS (
+  SELECT f.*, live, max(CASE WHEN kind < 3 THEN en END) OVER (PARTITION BY r ORDER BY st, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe,
+         min(CASE WHEN kind < 3 THEN st END) OVER (PARTITION BY r ORDER BY st, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ns
+  FROM f JOIN own USING (v)
+),
+s AS (
+  SELECT *, name || ':' || st || ':' || en AS said FROM j
+  WHERE kind < 3 OR (live AND coalesce(pe <= st, true) AND coalesce(ns >= en, true))
+),
+g AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+         count(*) FILTER (kind = 3) AS n_generic, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example,
+         coalesce(string_agg(said, ',' ORDER BY st, kind) FILTER (kind < 3), '') AS base, string_agg(said, ',' ORDER BY st, kind) AS spans
+  FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_generic, 0) AS n_generic, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN g USING (r)
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_mix_sources": _OP5,
+    "op9_secret_ownership": _OP9,
+}

@@ -3,10 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridcast.llm.common import table
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents chosen under the hierarchical budget: a row per document and epoch that takes it."""
+    from gridcast.llm.mixing import mix_documents
+    rows, added = mix_documents(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", *(F.col(added[c]).alias(c) for c in ("epoch", "domain", "lang", "source", "tokens")))
+
+
+def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text of documents; a source is an owner, a document a repository."""
+    from gridcast.llm.secrets import secrets
+    return secrets(table(spark, sf_dir, "documents"))
+
+
 def op10_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition coverage and quality rules over every whole text of documents."""
     from gridcast.llm.quality import quality
@@ -14,5 +28,7 @@ def op10_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_mix_sources": op5_mix_sources,
+    "op9_secret_ownership": op9_secret_ownership,
     "op10_repetition_quality": op10_repetition_quality,
 }
