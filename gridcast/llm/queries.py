@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from gridcast.llm.common import table
 
 
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of documents as token ids in grammar-compressed shards, read back."""
+    from gridcast.llm.tokens import default_tokenizer, tokenize
+    return tokenize(table(spark, sf_dir, "documents"), default_tokenizer())
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents chosen under the hierarchical budget: a row per document and epoch that takes it."""
     from gridcast.llm.mixing import mix_documents
@@ -28,6 +34,7 @@ def op10_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_shards": op1_token_shards,
     "op5_mix_sources": op5_mix_sources,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_repetition_quality": op10_repetition_quality,
