@@ -75,12 +75,12 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 class Words:
     """The words of several texts, as ids into a vocabulary, end to end.
 
-    ids: int32 per word; starts: first word of each text (and the total);
-    vocab: distinct words; hashes: a 64-bit hash per word position.
+    flat: the words; ids: int32 per word; starts: first word of each text (and
+    the total); vocab: distinct words; hashes: a 64-bit hash per word position.
     """
 
     def __init__(self, texts: list[bytes]):
-        flat: list[bytes] = []
+        self.flat = flat = []
         self.starts = np.zeros(len(texts) + 1, np.int64)
         for i, t in enumerate(texts):
             flat += t.split()

@@ -4,6 +4,19 @@ The constants below are written out here on purpose: an oracle that imported
 them from the code under test could not tell a wrong one.
 """
 
+_OP3 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS t
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(20)) AS i FROM late),
+each AS (SELECT w.doc_id, p.i, ws[p.i] AS word FROM w, LATERAL (SELECT unnest(range(1, len(ws) + 1)) AS i) p),
+kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS t, count(*) AS n
+         FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, len(ws)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 _OP5 = r"""
 WITH RECURSIVE names AS (SELECT DISTINCT coalesce(source, '') AS source FROM documents),
 bits AS (  -- crc32 of a name, bit by bit
@@ -123,6 +136,7 @@ FROM d LEFT JOIN g USING (r)
 """
 
 ORACLE: dict[str, str] = {
+    "op3_substring_dedup": _OP3,
     "op5_mix_sources": _OP5,
     "op9_secret_ownership": _OP9,
 }

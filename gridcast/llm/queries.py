@@ -14,6 +14,12 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents left when every 20-word window with an earlier equal one is removed."""
+    from gridcast.llm.substrings import dedup_substrings, digest
+    return digest(dedup_substrings(table(spark, sf_dir, "documents")))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents chosen under the hierarchical budget: a row per document and epoch that takes it."""
     from gridcast.llm.mixing import mix_documents
@@ -35,6 +41,7 @@ def op10_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_repetition_quality": op10_repetition_quality,
