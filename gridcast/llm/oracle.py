@@ -86,6 +86,21 @@ counted AS (SELECT *, full_epochs + CASE WHEN part > 0 AND upto <= part THEN 1 E
 SELECT doc_id, unnest(range(n::BIGINT))::BIGINT AS epoch, domain, lang, source, tokens FROM counted
 """
 
+_OP7 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+"""
+
 _OP9 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents),
 kinds(kind, name, re) AS (VALUES
@@ -138,5 +153,6 @@ FROM d LEFT JOIN g USING (r)
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": _OP3,
     "op5_mix_sources": _OP5,
+    "op7_ngram_jaccard": _OP7,
     "op9_secret_ownership": _OP9,
 }

@@ -27,6 +27,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(F.col(added[c]).alias(c) for c in ("epoch", "domain", "lang", "source", "tokens")))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under 5-word shingle Jaccard links of 0.8 or more."""
+    from gridcast.llm.jaccard import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text of documents; a source is an owner, a document a repository."""
     from gridcast.llm.secrets import secrets
@@ -43,6 +49,7 @@ QUERIES = {
     "op1_token_shards": op1_token_shards,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_repetition_quality": op10_repetition_quality,
 }
