@@ -17,6 +17,19 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, len(ws)::BIGINT - coalesce(n, 0) AS
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+_OP4 = r"""
+WITH t AS (
+  SELECT conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1::BIGINT, 0::BIGINT, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS formatted_chars,
+       sum(len(regexp_extract_all(text, '\S+')))::BIGINT AS n_tokens
+FROM t GROUP BY conv_id
+"""
+
 _OP5 = r"""
 WITH RECURSIVE names AS (SELECT DISTINCT coalesce(source, '') AS source FROM documents),
 bits AS (  -- crc32 of a name, bit by bit
@@ -152,6 +165,7 @@ FROM d LEFT JOIN g USING (r)
 
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": _OP3,
+    "op4_format_chat": _OP4,
     "op5_mix_sources": _OP5,
     "op7_ngram_jaccard": _OP7,
     "op9_secret_ownership": _OP9,
