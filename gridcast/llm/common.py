@@ -26,6 +26,8 @@ CHUNK_BYTES = 6 << 20
 ARROW_ROWS = 1000
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
+#: Stands for a null id where ids are ordered: before all others.
+NULL_ID = -(1 << 63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

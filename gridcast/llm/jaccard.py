@@ -26,16 +26,16 @@ columns are not looked at.
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from gridcast.llm.common import U64, Words, as_bytes, doc_text, rolling, scramble, small_batches, text_slices
+from gridcast.llm.common import (
+    NULL_ID, U64, WORD_RE, Words, as_bytes, doc_text, free_name, rolling, scramble, small_batches, text_slices)
 from gridcast.llm.components import components
 from gridcast.session import materialize
 
@@ -208,16 +208,17 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, proof): set sizes and digests."""
+    """(doc_id, mark, n, node, proof): set sizes and digests. mark tells rows of one doc_id apart by their texts."""
     def digest(batches):
         for b in text_slices(batches, "text"):
             sets = shingle_sets(as_bytes(b.column("text")))
             keys = [_node(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()),
-                 pa.array([k[1] for k in keys], pa.int64())], names=["doc_id", "n", "node", "proof"])
+                [b.column("doc_id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())],
+                names=["doc_id", "mark", "n", "node", "proof"])
 
-    return docs.mapInArrow(digest, "doc_id long, n long, node long, proof long")
+    return docs.withColumn("mark", F.xxhash64("text")).mapInArrow(digest, "doc_id long, mark long, n long, node long, proof long")
 
 
 def _prefixes(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
@@ -337,19 +338,38 @@ def links(docs: DataFrame, sized: DataFrame, percent: int = PERCENT, block_nodes
     return first.union(more)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                       block_nodes: int = BLOCK_NODES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def _rooted(docs: DataFrame, percent: int, block_nodes: int) -> DataFrame:
+    """(doc_id, mark, n, root) of each document; root is null where the set is empty."""
     small_batches(docs.sparkSession)
-    docs = doc_text(docs, id_col, text_col)
     sized = materialize(_sized(docs), "jaccard-sizes")
-    nodes = sized.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("proof").alias("p"), F.max("proof").alias("q"))
+    nodes = sized.where("n > 0").groupBy("node").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
     if not nodes.where("p <> q").isEmpty():
         raise RuntimeError("two shingle sets share a 64-bit digest")
     root = materialize(components(links(docs, sized.where("n > 0"), percent, block_nodes)), "jaccard-roots")
-    label = nodes.select("node", "least").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = label.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = label.join(least, "root").select("node", "component_id")
-    return sized.join(label, "node", "left").select(
+    return sized.join(root, "node", "left").select(
+        "doc_id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("root"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+                       block_nodes: int = BLOCK_NODES) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    rows = _rooted(doc_text(docs, id_col, text_col), percent, block_nodes)
+    least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+             block_nodes: int = BLOCK_NODES) -> DataFrame:
+    """One document of each component, the least by (id, text hash), with all its columns; documents without words all stay."""
+    rows = materialize(_rooted(doc_text(docs, id_col, text_col), percent, block_nodes), "jaccard-rows")
+    chosen = rows.where("n > 0").groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    key, mark, at = (free_name(docs, c) for c in ("kept_id", "kept_mark", "kept_at"))
+    chosen = chosen.select(F.coalesce("first.doc_id", F.lit(NULL_ID)).alias(key), F.col("first.mark").alias(mark))
+    has_word = F.coalesce(F.col(text_col).cast("string").rlike(WORD_RE), F.lit(False))
+    keyed = docs.where(has_word).withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))).withColumn(
+        mark, F.xxhash64(F.col(text_col).cast("string")))
+    only = Window.partitionBy(key, mark).orderBy(F.lit(0))
+    kept = keyed.join(chosen, [key, mark], "left_semi").withColumn(at, F.row_number().over(only)).where(F.col(at) == 1)
+    return kept.select(*docs.columns).union(docs.where(~has_word))

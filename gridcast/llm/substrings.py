@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import Words, as_bytes, doc_text, rolling, scramble, sliding_min, small_batches, text_slices
+from gridcast.llm.common import NULL_ID, Words, as_bytes, doc_text, rolling, scramble, sliding_min, small_batches, text_slices
 
 WINDOW, MINIMISER = 20, 3
 #: Windows that a bucket should hold.
@@ -41,7 +41,6 @@ SLICE_BYTES = 8 << 20
 SLOTS = 1 << 16
 #: A slot this many times as full as the mean is frequent.
 FREQUENT = 8
-NULL_ID = -(1 << 63)
 
 
 def _mmers(words: Words, m: int) -> np.ndarray:
