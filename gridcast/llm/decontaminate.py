@@ -120,7 +120,7 @@ def align(items: list[np.ndarray], regions: list[np.ndarray]) -> tuple[np.ndarra
     order = sorted(range(len(items)), key=lambda i: (len(items[i]), len(regions[i])))
     lo = 0
     while lo < len(order):
-        hi, wide = lo, 0
+        hi, wide = lo, 1
         while hi < len(order) and (hi == lo or max(wide, len(regions[order[hi]])) * (hi - lo + 1) <= CELLS // 8):
             wide = max(wide, len(regions[order[hi]]))
             hi += 1

@@ -73,7 +73,7 @@ class Trees:
         for k in range(1, ORDER + 1):
             self.row = np.tile(self.row, a)
             self.row[contexts[k]] = start[k] + np.arange(len(contexts[k]))
-        self.bits = np.concatenate([t.reshape(-1, n_lang) for t in table] + [np.zeros((1, n_lang))]).astype(np.float32)
+        self.bits = np.concatenate([t.reshape(len(t) * a, n_lang) for t in table] + [np.zeros((1, n_lang))]).astype(np.float32)
 
     def _grams(self, texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Codes of (k context symbols, symbol) and their counts; START is context only."""

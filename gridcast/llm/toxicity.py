@@ -27,7 +27,7 @@ from gridcast.llm.common import Words, as_bytes, rolling, small_batches, text_sl
 
 #: Labelled rows of each class in the example set; terms in the vocabulary; neighbours that vote.
 MAX_PER_CLASS, MAX_TERMS, NEIGHBOURS = 2000, 256, 15
-MIN_TEXTS, MIN_Z = 5, 4.0
+MIN_TEXTS, MIN_G = 5, 20.0
 #: A text is a copy if a larger share of its shingles stands in texts before it.
 SHINGLE, COPIED = 5, 0.3
 #: Cosine weight of the prior in a vote.
@@ -64,7 +64,7 @@ def originals(words: Words) -> np.ndarray:
 
 
 def choose_terms(texts: list[bytes], label: np.ndarray) -> list[str]:
-    """Terms that tell toxic texts apart, by a z-score of smoothed log-odds over texts that are no copies."""
+    """Terms that more toxic texts hold than expected, by a G-test over texts that are no copies."""
     words = Words(texts)
     names = [normal(w) for w in words.vocab]
     number = {w: i for i, w in enumerate(dict.fromkeys(names))}
@@ -75,9 +75,13 @@ def choose_terms(texts: list[bytes], label: np.ndarray) -> list[str]:
     doc, term = pairs // max(1, len(number)), pairs % max(1, len(number))
     size = np.bincount(label[new], minlength=2)
     b, a = (np.bincount(term[label[doc] == y], minlength=len(number)) for y in (0, 1))
-    odds = np.log((a + 0.5) / (size[1] - a + 0.5)) - np.log((b + 0.5) / (size[0] - b + 0.5))
-    z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    scored = [(-z[i], w) for w, i in number.items() if w and a[i] >= MIN_TEXTS and z[i] >= MIN_Z]
+    g, both = np.zeros(len(number)), a + b
+    for y, held in ((1, a), (0, b)):
+        for seen, total in ((held, both), (size[y] - held, size.sum() - both)):
+            expected = total * size[y] / max(1, size.sum())
+            g += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+    more = a * size[0] > b * size[1]
+    scored = [(-g[i], w) for w, i in number.items() if w and a[i] >= MIN_TEXTS and more[i] and g[i] >= MIN_G]
     return [w for _, w in sorted(scored)[:MAX_TERMS]]
 
 
