@@ -13,21 +13,22 @@ from pyspark.sql import functions as F
 from gridcast.functions.calendar import dst_summer_day25
 
 
-def _keep(df: DataFrame, key, seq: str, last: bool) -> DataFrame:
+def _keep(df: DataFrame, key, seq, last: bool) -> DataFrame:
     key = [key] if isinstance(key, str) else list(key)
+    seq = [seq] if isinstance(seq, str) else list(seq)
     rest = [c for c in df.columns if c not in key]
     pick = F.max_by if last else F.min_by
-    agg = df.groupBy(*key).agg(pick(F.struct(*rest), F.col(seq)).alias("_r"))
+    agg = df.groupBy(*key).agg(pick(F.struct(*rest), F.struct(*seq)).alias("_r"))
     return agg.select(*key, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
 
 
-def dedupe_keep_last(df: DataFrame, key, seq: str) -> DataFrame:
-    """One row per key: the one with the highest sequence."""
+def dedupe_keep_last(df: DataFrame, key, seq) -> DataFrame:
+    """One row per key: the one with the highest sequence, a column or several."""
     return _keep(df, key, seq, last=True)
 
 
-def dedupe_keep_first(df: DataFrame, key, seq: str) -> DataFrame:
-    """One row per key: the one with the lowest sequence."""
+def dedupe_keep_first(df: DataFrame, key, seq) -> DataFrame:
+    """One row per key: the one with the lowest sequence, a column or several."""
     return _keep(df, key, seq, last=False)
 
 

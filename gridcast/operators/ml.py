@@ -74,11 +74,6 @@ def predict(model: PipelineModel, df: DataFrame, features, out: str = "predictio
     return p.select(*[c for c in p.columns if c not in ("prediction", "features")], F.col("prediction").alias(out))
 
 
-def evaluate_mae(model: PipelineModel, df: DataFrame, features, label: str = "target_demand") -> DataFrame:
-    p = predict(model, df, features)
-    return p.agg(F.count(F.lit(1)).alias("rows"), F.avg(F.abs(F.col("prediction") - F.col(label))).alias("mae"))
-
-
 def feature_importance(model: PipelineModel, frame: DataFrame, features) -> DataFrame:
     """|coefficient x feature std| normalised to sum 1 (M7)."""
     lr = model.stages[-1]

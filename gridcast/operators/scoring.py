@@ -68,15 +68,21 @@ def forecast_seasonal_naive(frame: DataFrame, value: str, series: str = "series_
 def explode_predictions(frame: DataFrame, target: str = "target_demand", ts: str = "timestamp",
                         encoder: int = 48, horizon: int = 24, season: int = 24,
                         series: str = "series_id", pos: str = "pos",
-                        train: float = 0.8, val: float = 0.1) -> DataFrame:
-    """Long prediction frame on the test split (M6) with the seasonal-naive model.
+                        train: float = 0.8, val: float = 0.1, predicted: str | None = None) -> DataFrame:
+    """Long prediction frame on the test split (M6).
+
+    ``predicted`` names the column of model predictions (per target row);
+    without it the seasonal-naive value is scored.
 
     Origins are decoder starts s with a full encoder and decoder and
     s >= int(n*(train+val)); per horizon h the row's timestamp is
     ts[s] + (h-1) hours (positional rows, as in the reference).
     """
     n = frame.groupBy(series).agg(F.count(F.lit(1)).alias("_n"))
-    lagged = lag_rows(frame.select(series, pos, ts, target), target, lags=(season,), series=series, pos=pos)
+    if predicted:
+        lagged, said = frame.select(series, pos, ts, target, predicted), predicted
+    else:
+        lagged, said = lag_rows(frame.select(series, pos, ts, target), target, lags=(season,), series=series, pos=pos), f"{target}_lag_{season}"
     x = lagged.join(n, series)
     v_end = F.floor(F.col("_n").cast("double") * F.lit(train + val))
     origins = x.where((F.col(pos) >= encoder) & (F.col(pos) <= F.col("_n") - horizon) & (F.col(pos) >= v_end))
@@ -84,7 +90,7 @@ def explode_predictions(frame: DataFrame, target: str = "target_demand", ts: str
                              F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
     origins = origins.withColumn("_p", F.col("origin_pos") + F.col("horizon") - 1)
     tgt = lagged.select(series, F.col(pos).alias("_p"), F.col(target).alias("actual"),
-                        F.col(f"{target}_lag_{season}").alias("predicted"))
+                        F.col(said).alias("predicted"))
     j = origins.join(tgt, [series, "_p"])
     t = (F.col("_t0") + F.make_interval(hours=F.col("horizon") - 1)).cast("timestamp_ntz")
     j = j.select(series, "origin_pos", t.alias("timestamp"), "horizon", "predicted", "actual")
@@ -167,11 +173,14 @@ def apply_bias(forecast: DataFrame, table: DataFrame, ts: str = "timestamp",
                pred: str = "predicted_demand", keys=()) -> DataFrame:
     """correction = -bias(hour, weekday), default 0; corrected = predicted + correction (M9).
 
-    A global table is bounded (24 x 7 cells) and broadcast; a table keyed
-    by series grows with the series count, so it is joined normally and
-    AQE broadcasts it only if its runtime size allows.
+    A table with the series column is joined on it too. A global table is
+    bounded (24 x 7 cells, more raise) and broadcast; a keyed one grows with
+    the series count, so it is joined normally and AQE broadcasts it only if
+    its runtime size allows.
     """
-    keys = list(keys)
+    keys = list(keys) or [c for c in ("series_id",) if c in table.columns and c in forecast.columns]
+    if not keys and table.limit(24 * 7 + 1).count() > 24 * 7:
+        raise ValueError("a table without a series has one cell per hour and weekday")
     t = table.select(*keys, F.col("hour").alias("_h"), F.col("dow").alias("_d"), F.col("bias").alias("_bias"))
     cond = [F.hour(F.col(ts)) == F.col("_h"), F.weekday(F.col(ts)) == F.col("_d")]
     cond += [forecast[k] == t[k] for k in keys]

@@ -15,6 +15,8 @@ rows, so nothing here windows over a whole series in one task:
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -250,18 +252,27 @@ def day_transition(df: DataFrame, ts: str = "ts", series="series_id", pos: str =
                         .otherwise(0.0)).drop("_prev", BLK)
 
 
-def latest_n_asof(df: DataFrame, as_of: str, n: int = 1000, series="series_id", ts: str = "timestamp") -> DataFrame:
-    """Latest n rows per series with ts <= as_of.
+def latest_n_asof(df: DataFrame, as_of: str | None, n: int = 1000, series="series_id", ts: str = "timestamp") -> DataFrame:
+    """Latest n rows per series, with ts <= as_of if that is given.
 
-    ``as_of`` is day-first text in one of four formats (A4). The
-    rank-limited window lets Spark keep only the top n per series before
-    the shuffle (window group limit).
+    ``as_of`` is day-first text in one of four formats (A4); other text
+    raises. The rank-limited window lets Spark keep only the top n per series
+    before the shuffle (window group limit).
     """
-    from gridcast.sources.files import parse_multi_format_date
-    cut = parse_multi_format_date(F.lit(as_of))
     w = Window.partitionBy(*_cols(series)).orderBy(F.col(ts).desc())
-    return (df.where(F.col(ts) <= cut).withColumn("_rk", F.row_number().over(w))
-            .where(F.col("_rk") <= n).drop("_rk"))
+    if as_of is not None:
+        df = df.where(F.col(ts) <= F.lit(parse_as_of(as_of)).cast("timestamp_ntz"))
+    return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= n).drop("_rk")
+
+
+def parse_as_of(text: str) -> str:
+    """A day-first date text as ISO text; ValueError when no format fits."""
+    for f in ("%d/%m/%Y", "%d-%m-%Y", "%d/%m/%Y %H:%M:%S", "%d-%m-%Y %H:%M:%S"):
+        try:
+            return datetime.strptime(text, f).isoformat(sep=" ")
+        except ValueError:
+            pass
+    raise ValueError(f"not a day-first date: {text!r}")
 
 
 def positioned_blocks(df: DataFrame, series="series_id", order: str = "ts", pos: str = "pos",

@@ -11,22 +11,39 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.operators.ml import predict
+from gridcast.operators.ml import fit_forecaster, predict
 from gridcast.operators.scoring import apply_bias, shipped_bias_table
 from gridcast.operators.series import latest_n_asof
 from gridcast.plans.future import align_features, concat_history_future, future_features
 from gridcast.plans.serve_features import serve_features
+from gridcast.session import materialize
+
+
+# Columns of the serving profile that mean the same in history and in future
+# rows and are not computed from the row's own target.
+FORECAST_FEATURES = [
+    "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos", "is_weekend", "is_morning_ramp",
+    "is_night", "is_peak_hour", "hour_squared", "temperature", "heating_demand", "is_cold",
+    "demand_lag_24h", "demand_lag_168h",
+]
+
+
+def fit_served(frame: DataFrame) -> PipelineModel:
+    """The forecaster, fitted on the profile that is served (M3)."""
+    return fit_forecaster(frame, FORECAST_FEATURES)
 
 
 def forecast(spark: SparkSession, history: DataFrame, model: PipelineModel, features,
              hours: int = 24, forecast_from_date: str | None = None, apply_bias_correction: bool = True,
              encoder: int = 48, bias_table: DataFrame | None = None) -> DataFrame:
-    """timestamp, predicted_demand[, bias_correction, corrected_demand] per series."""
+    """timestamp, predicted_demand[, bias_correction, corrected_demand] per series.
+
+    The history is always its latest encoder + 200 rows, up to the date if one is given.
+    """
     if not 1 <= int(hours) <= 168:
         raise ValueError("hours must be within 1..168")
     keep = encoder + 200
-    hist = latest_n_asof(history, forecast_from_date, keep) if forecast_from_date else history
-    from gridcast.session import materialize
+    hist = latest_n_asof(history, forecast_from_date, keep)
     feats = materialize(serve_features(hist, keep_pos=True), "forecast-history")
     fut = future_features(feats, hours)
     combined = align_features(concat_history_future(feats, fut, keep), features)

@@ -793,13 +793,34 @@ _DH = f"""SELECT series_id, ts, {R('actual_demand', 'actual_demand')}, {R('deman
        daylight_savings_winter, daylight_savings_summer FROM demand_hourly"""
 oracle("append_table", with_ctes(f"{_DH} UNION ALL {_DH}", "demand_hourly"))
 cte("feed_hourly", """
-SELECT delivery, date_trunc('hour', ts) AS ts, avg(load) AS actual_demand FROM demand_feed GROUP BY 1, 2""", "demand_feed")
-oracle("replace_range", with_ctes(f"""
-SELECT 'all' AS series_id, ts, {R('actual_demand', 'actual_demand')} FROM feed_hourly
-WHERE delivery = 0 AND ts NOT BETWEEN (SELECT min(ts) FROM feed_hourly WHERE delivery = 1)
-                                  AND (SELECT max(ts) FROM feed_hourly WHERE delivery = 1)
+SELECT delivery, series_id, date_trunc('hour', ts) AS ts, avg(load) AS actual_demand FROM demand_feed
+WHERE delivery = 0 OR (series_id < (SELECT max(series_id) FROM demand_feed)
+                       AND CAST(ts AS DATE) <> CAST((SELECT max(ts) FROM demand_feed) AS DATE) - 5)
+GROUP BY 1, 2, 3""", "demand_feed")
+
+
+def _replaced(by_day: bool) -> str:
+    """Rows of the first delivery outside the second one's ranges per series (and day)."""
+    day = ", CAST(ts AS DATE) AS day" if by_day else ""
+    match = " AND CAST(f.ts AS DATE) = r.day" if by_day else ""
+    return f"""SELECT f.series_id, f.ts, f.actual_demand FROM feed_hourly f WHERE delivery = 0 AND NOT EXISTS (
+  SELECT 1 FROM (SELECT series_id{day}, min(ts) AS lo, max(ts) AS hi FROM feed_hourly WHERE delivery = 1 GROUP BY ALL) r
+  WHERE r.series_id = f.series_id AND f.ts BETWEEN r.lo AND r.hi{match})"""
+
+
+def _replace_sql(by_day: bool) -> str:
+    return with_ctes(f"""
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')} FROM ({_replaced(by_day)}) k
 UNION ALL
-SELECT 'all', ts, {R('actual_demand', 'actual_demand')} FROM feed_hourly WHERE delivery = 1""", "feed_hourly"))
+SELECT series_id, ts, {R('actual_demand', 'actual_demand')} FROM feed_hourly WHERE delivery = 1""", "feed_hourly")
+
+
+oracle("replace_range", _replace_sql(False))
+oracle("replace_range_report", with_ctes(f"""
+SELECT (SELECT count(*) FROM feed_hourly WHERE delivery = 1) AS inserted,
+       (SELECT count(*) FROM feed_hourly WHERE delivery = 0) - (SELECT count(*) FROM ({_replaced(False)}) k) AS deleted,
+       (SELECT count(*) FROM ({_replaced(False)}) k) + (SELECT count(*) FROM feed_hourly WHERE delivery = 1) AS rows_after""",
+    "feed_hourly"))
 oracle("missing_years", with_ctes("""
 SELECT CAST(y AS INTEGER) AS year FROM (
   SELECT max(year(ts)) AS y FROM demand_hourly UNION ALL SELECT max(year(ts)) + 1 FROM demand_hourly) w
@@ -809,7 +830,7 @@ WHERE y NOT IN (SELECT DISTINCT year(ts) FROM demand_hourly)""", "demand_hourly"
 def _dedupe(order: str) -> str:
     return with_ctes(f"""
 SELECT series_id, ts, reading_id, {R('load', 'load')}, {R('forecast', 'forecast')}, k, user_id, delivery, rid FROM (
-  SELECT *, row_number() OVER (PARTITION BY series_id, ts ORDER BY delivery {order}) AS rk FROM demand_feed) q
+  SELECT *, row_number() OVER (PARTITION BY series_id, ts ORDER BY delivery {order}, reading_id {order}) AS rk FROM demand_feed) q
 WHERE rk = 1""", "demand_feed")
 
 
@@ -839,9 +860,13 @@ SELECT series_id, origin_pos, timestamp, hour, dow, month, week, horizon,
   {R('predicted', 'predicted')}, {R('actual', 'actual')}, {R('error', 'error')}, {R('abs_error', 'abs_error')}
 FROM preds_x""", "preds_x"))
 oracle("feed_summary", with_ctes(f"""
-SELECT series_id, count(*) AS rows, min(ts) AS first_ts, max(ts) AS last_ts,
-       {R('min(actual_demand)', 'min_value')}, {R('max(actual_demand)', 'max_value')}
-FROM demand_hourly GROUP BY series_id""", "demand_hourly"))
+SELECT d.*, (SELECT count(*) FROM hourly_calendar c WHERE c.is_public_holiday AND EXISTS (
+               SELECT 1 FROM demand_hourly h WHERE h.series_id = d.series_id AND year(h.ts) = year(c.date))) AS public_holidays,
+       (SELECT count(*) FROM hourly_calendar c WHERE c.is_national AND EXISTS (
+               SELECT 1 FROM demand_hourly h WHERE h.series_id = d.series_id AND year(h.ts) = year(c.date))) AS national_holidays
+FROM (SELECT series_id, count(*) AS rows, min(ts) AS first_ts, max(ts) AS last_ts,
+             {R('min(actual_demand)', 'min_value')}, {R('max(actual_demand)', 'max_value')}
+      FROM demand_hourly GROUP BY series_id) d""", "demand_hourly", "hourly_calendar"))
 
 # --------------------------------------------------------------------------
 # calendar, spines, resampling, joins, dedupe probes
@@ -1091,10 +1116,27 @@ FROM train_frame o CROSS JOIN range(1, 25) r(h)
 JOIN train_frame t ON t.series_id = o.series_id AND t.pos = o.pos + r.h
 WHERE o.pos >= 47 AND o.pos + 24 <= o.n - 1""", "train_frame"))
 oracle("stream_hourly_rollup", with_ctes(f"""
-SELECT series_id, date_trunc('hour', ts) AS ts, {R('avg(load)', 'actual_demand')} FROM demand_raw GROUP BY 1, 2
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM demand_raw) - INTERVAL 2 HOUR""", "demand_raw"))
-oracle("stream_dedupe", with_ctes("SELECT DISTINCT series_id, ts, reading_id FROM demand_feed", "demand_feed"))
-oracle("stream_replace_range", ORACLE["replace_range"])
+SELECT series_id, date_trunc('hour', ts) AS ts, {R('avg(load)', 'actual_demand')} FROM demand_raw GROUP BY 1, 2""", "demand_raw"))
+oracle("stream_dedupe", with_ctes("""
+SELECT series_id, ts, reading_id, delivery FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id, ts ORDER BY delivery, reading_id) AS rk FROM demand_feed) q WHERE rk = 1""",
+    "demand_feed"))
+oracle("stream_replace_range", _replace_sql(True))
+
+# model outputs: row keys, times, split sizes and checks that must hold
+oracle("fit_forecaster", with_ctes("""
+SELECT split, count(*) AS rows, true AS has_error FROM (
+  SELECT CASE WHEN pos < floor(n * 0.8) THEN 'train' WHEN pos < floor(n * 0.9) THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT pos, CAST(count(*) OVER (PARTITION BY series_id) AS DOUBLE) AS n FROM serve_base) b) q GROUP BY split""", "serve_base"))
+oracle("forecast_backtest", "SELECT unnest(['train', 'val', 'test']) AS split, true AS not_worse_than_naive")
+oracle("feature_importance", """
+SELECT unnest(['hour_sin', 'hour_cos', 'dow_sin', 'dow_cos', 'month_sin', 'month_cos', 'is_weekend', 'is_morning_ramp',
+               'is_night', 'is_peak_hour', 'hour_squared', 'temperature', 'heating_demand', 'is_cold',
+               'demand_lag_24h', 'demand_lag_168h']) AS feature, true AS is_share, true AS shares_sum_to_1""")
+oracle("forecast", with_ctes("""
+SELECT series_id, CAST(last + h * INTERVAL 1 HOUR AS TIMESTAMP) AS timestamp, true AS adds_up, true AS in_range
+FROM (SELECT series_id, max(timestamp) AS last FROM serve_input WHERE timestamp <= TIMESTAMP '2024-01-20' GROUP BY 1) l
+CROSS JOIN range(1, 25) r(h)""", "serve_input"))
 
 
 def _skew_sql() -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -63,8 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
     On a cluster this is the shared folder the operator configured; it is
-    read from the session. Only when it is unset (unit tests on one
-    machine) a private folder is created and registered.
+    read from the session, and a session without it raises. Only under a
+    local master (one machine, as in tests) a private folder is created.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -72,20 +73,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="gridcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    return f"{base}/gridcast-data/{name}-{uuid.uuid4().hex[:12]}"
+_STAGED: list[str] = []
 
 
-_STAGED: list[str] = []
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared checkpoint folder; drop_staged deletes what is there."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/gridcast-data/{name}-{uuid.uuid4().hex[:12]}"
+    _STAGED.append(path)
+    return path
 
 
 def materialize(df, name: str = "stage"):
@@ -97,12 +101,11 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     p = shared_path(spark, name)
     df.write.mode("overwrite").parquet(p)
-    _STAGED.append(p)
     return spark.read.parquet(p)
 
 
 def drop_staged(spark: SparkSession) -> int:
-    """Delete the staged tables this process wrote (call when results are final)."""
+    """Delete all staged tables, landings, sinks and checkpoints this process wrote (call when results are final)."""
     jvm = spark._jvm
     n = 0
     while _STAGED:

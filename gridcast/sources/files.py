@@ -1,7 +1,7 @@
 """File sources and sinks.
 
 Readers are declarative Spark scans; the only driver-side reads are of
-schema-sized things (a CSV header, a version listing). Landing writers
+schema-sized things (the different CSV headers, a version listing). Landing writers
 build feed files in the reference's formats from the test tables so the
 readers have real inputs; every file set is written in parallel, one
 file per day / year, never funnelled through one task.
@@ -9,12 +9,14 @@ file per day / year, never funnelled through one task.
 
 from __future__ import annotations
 
+import csv
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions.calendar import dst_flags_day25
+from gridcast.functions.numeric import nan_to_null
 
 # Input formats.
 DEMAND_TS_FORMAT = "dd/MM/yyyy HH:mm"
@@ -49,45 +51,87 @@ def parse_multi_format_date(col) -> "F.Column":
 
 
 def normalize_utc(col) -> "F.Column":
-    """Offset-aware text -> the UTC instant as wall-clock timestamp_ntz (A5)."""
+    """Offset-aware text -> the UTC instant as wall-clock timestamp_ntz; NULL when it does not parse (A5)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.to_timestamp(c).cast("timestamp_ntz")   # session time zone is UTC
+    return F.try_to_timestamp(c).cast("timestamp_ntz")   # session time zone is UTC
 
 
 def normalize_wallclock(col) -> "F.Column":
-    """Offset-aware text -> its local wall clock, offset dropped."""
+    """Offset-aware text -> its local wall clock, offset dropped; NULL when it does not parse."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.to_timestamp_ntz(F.regexp_replace(c, r"(Z|[+-]\d{2}:?\d{2})$", ""))
+    local = F.regexp_replace(c, r"(Z|[+-]\d{2}:?\d{2})$", "")
+    return local.try_cast("timestamp_ntz")
 
 
 # --------------------------------------------------------------------------
 # readers (A1, A2, A7, A8)
 # --------------------------------------------------------------------------
+#: Different headers that the files of one set may have.
+MAX_LAYOUTS = 64
+
+
+def _scan_by_header(spark: SparkSession, path: str, is_header, needed) -> DataFrame:
+    """Rows of CSV files as a map column -> text, each file read by its own header line.
+
+    A file's header is its line that `is_header` accepts, wherever it stands;
+    the lines of files with one header are parsed together. Raises where a
+    file set has no header or a header lacks a needed column.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    heads = lines.where(is_header(F.col("value"))).distinct()
+    layouts = [r["value"] for r in heads.select("value").distinct().orderBy("value").limit(MAX_LAYOUTS + 1).collect()]
+    if not layouts or len(layouts) > MAX_LAYOUTS:
+        raise ValueError(f"{path}: {'no' if not layouts else 'too many different'} header lines")
+    out = None
+    for text in layouts:
+        names = next(csv.reader([text]))
+        if missing := [c for c in needed(names) if c not in names]:
+            raise ValueError(f"{path}: header without {missing}")
+        own = lines.where(F.col("value") != text)
+        if len(layouts) > 1:
+            own = own.join(heads.where(F.col("value") == text).select("file"), "file", "left_semi")
+        schema = ", ".join(f"c{i} string" for i in range(len(names)))
+        cells = own.select(F.from_csv("value", schema).alias("r"))
+        rows = cells.select(F.create_map(*(x for i, c in enumerate(names) for x in (F.lit(c), F.col(f"r.c{i}")))).alias("row"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _number(col) -> "F.Column":
+    """Text -> double; NULL for bad text and for NaN (NULL is the only missing marker)."""
+    return nan_to_null(col.try_cast("double"))
+
+
 def scan_demand_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Demand CSV: the timestamp column is the first whose name has MTU or Time (A1)."""
-    raw = spark.read.option("header", True).csv(path)
-    ts_col = [c for c in raw.columns if "MTU" in c or "Time" in c][0]
-    return raw.select(parse_interval_timestamp(F.col(f"`{ts_col}`")).alias("ts"),
-                      F.col(f"`{DEMAND_ACTUAL}`").cast("double").alias("actual_load"),
-                      F.col(f"`{DEMAND_FORECAST}`").cast("double").alias("forecast_load"))
+    """Demand CSV: the timestamp column is the first whose name has MTU or Time (A1).
+
+    Each file is read by its own header; cells that do not parse are NULL.
+    """
+    def ts_name(names):
+        return next((c for c in names if "MTU" in c or "Time" in c), "MTU")
+
+    def needed(names):
+        return [ts_name(names), DEMAND_ACTUAL, DEMAND_FORECAST]
+
+    rows = _scan_by_header(spark, path, lambda v: v.contains(DEMAND_ACTUAL), needed)
+    ts = F.element_at(F.map_values(F.map_filter("row", lambda k, _: k.contains("MTU") | k.contains("Time"))), 1)
+    return rows.select(parse_interval_timestamp(ts).alias("ts"),
+                       _number(F.col("row")[DEMAND_ACTUAL]).alias("actual_load"),
+                       _number(F.col("row")[DEMAND_FORECAST]).alias("forecast_load"))
 
 
 def scan_weather_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Weather CSV with metadata lines before the header, one or many files (A2).
+    """Weather CSV with metadata lines of any number before the header (A2).
 
-    The header is located on the driver from the first lines only; data
-    rows are the lines whose first field parses as a timestamp, which
-    drops metadata and header lines in every file of a file set.
+    Each file is read by its own header, so column orders may differ; data
+    rows are the lines whose time parses, cells that do not parse are NULL.
     """
-    head = [r.value for r in spark.read.text(path).limit(16).collect()]
-    header = next(h for h in head if h.startswith("time,"))
-    names = header.split(",")
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    rows = spark.read.schema(schema).csv(path)
-    t = F.try_to_timestamp(F.col("c0"))
+    rows = _scan_by_header(spark, path, lambda v: v.startswith("time,") | v.contains(",time,") | v.endswith(",time"),
+                           lambda names: ["time", *WEATHER_COLUMNS])
+    t = F.try_to_timestamp(F.col("row")["time"])
     out = rows.where(t.isNotNull()).select(
         t.cast("timestamp_ntz").alias("ts"),
-        *[F.col(f"c{names.index(src)}").cast("double").alias(dst) for src, dst in WEATHER_COLUMNS.items()])
+        *[_number(F.col("row")[src]).alias(dst) for src, dst in WEATHER_COLUMNS.items()])
     return out.select("*", *dst_flags_day25("ts"))
 
 
@@ -123,31 +167,41 @@ def append_table(df: DataFrame, path: str, partition_by=None, fmt: str = "parque
 
 
 def replace_range(spark: SparkSession, target_path: str, batch: DataFrame, key: str = "ts",
-                  day_col: str = "day", staging: str | None = None) -> DataFrame:
-    """Delete target rows with key in [min, max] of the batch, then add the batch (A10).
+                  day_col: str = "day", by=("series_id",), staging: str | None = None) -> DataFrame:
+    """Per group `by`, delete target rows with key in [min, max] of the batch, then add the batch (A10).
 
-    The target is partitioned by day; only the days the batch touches are
-    rewritten, with dynamic partition overwrite, from a staged copy (so a
-    failure mid-way never loses the range). Returns one row
+    The target is partitioned by day. Only days inside the batch's ranges are
+    rewritten, from a staged copy and with dynamic partition overwrite; days
+    that the deletion leaves empty are removed. Returns one row
     (inserted, deleted); an empty batch gives (0, 0) and writes nothing.
     """
     from gridcast.session import shared_path
-    rng = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if rng["n"] == 0:
+    by = [by] if isinstance(by, str) else list(by)
+    batch = batch.withColumn(day_col, F.to_date(key))
+    whole = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if whole["n"] == 0:
         return spark.createDataFrame([(0, 0)], "inserted long, deleted long")
-    lo, hi = rng["lo"], rng["hi"]
+    ranges = batch.groupBy(*by).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
     target = spark.read.parquet(target_path)
-    days = F.col(day_col).between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi)))
-    in_range = F.col(key).between(F.lit(lo), F.lit(hi))
-    affected = target.where(days)
-    deleted = affected.where(in_range).count()
-    b = batch.withColumn(day_col, F.to_date(key)).select(*target.columns)
-    staged = affected.where(~in_range).unionByName(b)
+    affected = target.where(F.col(day_col).between(F.to_date(F.lit(whole["lo"])), F.to_date(F.lit(whole["hi"]))))
+    ranged = affected.join(ranges, by, "left")
+    gone = F.coalesce(F.col(key).between(F.col("_lo"), F.col("_hi")), F.lit(False))
+    counts = ranged.groupBy(day_col).agg(F.count_if(gone).alias("gone"), F.count_if(~gone).alias("kept"))
+    days = counts.join(batch.groupBy(day_col).agg(F.count(F.lit(1)).alias("new")), day_col, "left").collect()  # a row per day
+    staged = ranged.where(~gone).select(*target.columns).unionByName(batch.select(*target.columns))
     stage_path = staging or shared_path(spark, "replace-stage")
     staged.write.mode("overwrite").partitionBy(day_col).parquet(stage_path)
     (spark.read.parquet(stage_path).select(*target.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(target_path))
-    return spark.createDataFrame([(int(rng["n"]), int(deleted))], "inserted long, deleted long")
+    for r in days:
+        if not r["kept"] and not r["new"]:
+            _delete(spark, f"{target_path.rstrip('/')}/{day_col}={r[day_col]}")
+    return spark.createDataFrame([(int(whole["n"]), int(sum(r["gone"] for r in days)))], "inserted long, deleted long")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def list_versions(spark: SparkSession, base: str) -> list[int]:
@@ -196,11 +250,23 @@ def write_results(df: DataFrame, path: str, fmt: str = "csv") -> None:
     w.save(path)
 
 
-def feed_summary(df: DataFrame, ts: str, value: str, series: str = "series_id") -> DataFrame:
-    """Rows, first / last timestamp, min / max value per series."""
-    return df.groupBy(series).agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"),
-                                  F.max(ts).alias("last_ts"), F.min(value).alias("min_value"),
-                                  F.max(value).alias("max_value"))
+def feed_summary(df: DataFrame, ts: str, value: str, series: str = "series_id", calendar: DataFrame | None = None) -> DataFrame:
+    """Rows, first / last timestamp, min / max value per series.
+
+    With a calendar (one row per date), also the public and the national
+    holidays of the years that a series covers.
+    """
+    out = df.groupBy(series).agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"),
+                                 F.max(ts).alias("last_ts"), F.min(value).alias("min_value"),
+                                 F.max(value).alias("max_value"))
+    if calendar is None:
+        return out
+    per_year = calendar.groupBy(F.year("date").alias("_y")).agg(
+        F.count_if("is_public_holiday").alias("_p"), F.count_if("is_national").alias("_n"))
+    years = df.select(series, F.year(ts).alias("_y")).distinct().join(per_year, "_y", "left").groupBy(series).agg(
+        F.coalesce(F.sum("_p"), F.lit(0)).cast("long").alias("public_holidays"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("national_holidays"))
+    return out.join(years, series)
 
 
 # --------------------------------------------------------------------------

@@ -1,74 +1,91 @@
 """Streaming counterparts of the polling feeds.
 
-Sources are file streams over landed parquet; event time is cast to LTZ
-``timestamp`` (session zone UTC) because watermarks need it. Sinks are
-parquet (append) or ``foreachBatch`` for the range-replacing upsert.
-Checkpoints live under the shared checkpoint folder.
+Sources are file streams over landed parquet. Results do not depend on how
+files fall into micro-batches, or on their order: each micro-batch writes
+what it adds through ``foreachBatch``, keyed by its batch id, and a retried
+batch writes the same again. Nothing is dropped as late and no open hour is
+held back at the end. Checkpoints live under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from gridcast.session import shared_path
 
+#: Files in one micro-batch.
+MAX_FILES = 8
 
-def _source(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema)
+
+def _run(spark: SparkSession, path: str, schema, name: str, step, max_files: int | None) -> None:
+    reader = spark.readStream.schema(schema)
     if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(path)
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    query = (reader.parquet(path).writeStream.foreachBatch(step)
+             .option("checkpointLocation", shared_path(spark, name)).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
+
+
+def stream_hourly_rollup(spark: SparkSession, src: str, schema, sink: str, value: str = "load",
+                         out: str = "actual_demand", max_files: int | None = MAX_FILES) -> DataFrame:
+    """Hourly means per series over all readings of the stream.
 
+    A micro-batch adds partial sums per (series, hour) as its own partition of
+    the sink; reading folds the partials, so late readings and open hours count.
+    """
+    def add(batch: DataFrame, epoch: int) -> None:
+        hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+        parts = batch.groupBy("series_id", hour.alias("ts")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+        parts.write.mode("overwrite").parquet(f"{sink}/batch={epoch}")
 
-def _run(q) -> None:
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    partial = "series_id string, ts timestamp_ntz, total double, n long"
+    spark.createDataFrame([], partial).write.mode("append").parquet(sink)  # a stream without files has an empty result
+    _run(spark, src, schema, "ckpt-rollup", add, max_files)
+    parts = spark.read.schema(partial).parquet(sink)
+    return parts.groupBy("series_id", "ts").agg(F.try_divide(F.sum("total"), F.sum("n")).alias(out))
 
 
-def stream_hourly_rollup(spark: SparkSession, src: str, schema, sink: str, delay: str = "2 hours",
-                         value: str = "load", out: str = "actual_demand",
-                         max_files: int | None = None) -> DataFrame:
-    """Tumbling 1 h means per series, late data bounded by a watermark.
+def stream_dedupe(spark: SparkSession, src: str, schema, sink: str, keys=("series_id", "ts"), order=("reading_id",),
+                  max_files: int | None = MAX_FILES) -> DataFrame:
+    """One row per key: the first micro-batch's, and within it the least by `order` (R2).
 
-    Append mode: an hour is emitted once the watermark passes its end.
+    The sink is partitioned by day; a micro-batch is held against the days it
+    touches only. A batch that is run again finds its keys there and adds nothing.
     """
-    s = _source(spark, src, schema, max_files).withColumn("_et", F.col("ts").cast("timestamp"))
-    agg = (s.withWatermark("_et", delay).groupBy("series_id", F.window("_et", "1 hour"))
-           .agg(F.avg(value).alias(out)))
-    res = agg.select("series_id", F.col("window.start").cast("timestamp_ntz").alias("ts"), out)
-    q = (res.writeStream.format("parquet").outputMode("append").option("path", sink)
-         .option("checkpointLocation", shared_path(spark, "ckpt-rollup")).trigger(availableNow=True).start())
-    _run(q)
-    return spark.read.parquet(sink)
-
-
-def stream_dedupe(spark: SparkSession, src: str, schema, sink: str, keys=("series_id", "ts"),
-                  delay: str = "2 hours", max_files: int | None = None) -> DataFrame:
-    """Drop repeated keys within the watermark (R2)."""
-    s = _source(spark, src, schema, max_files).withColumn("_et", F.col("ts").cast("timestamp"))
-    d = s.withWatermark("_et", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
-    q = (d.writeStream.format("parquet").outputMode("append").option("path", sink)
-         .option("checkpointLocation", shared_path(spark, "ckpt-dedupe")).trigger(availableNow=True).start())
-    _run(q)
-    return spark.read.parquet(sink)
+    keys = list(keys)
+    kept = StructType([*schema.fields, StructField("day", DateType())])
+
+    def add(batch: DataFrame, epoch: int) -> None:
+        rest = [c for c in batch.columns if c not in keys]
+        first = batch.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
+        first = first.select(*batch.columns, F.to_date("ts").alias("day"))
+        days = [r[0] for r in batch.select(F.to_date("ts")).distinct().collect()]  # days of one micro-batch
+        seen = spark.read.schema(kept).parquet(sink).where(F.col("day").isin(days))
+        first = first.join(seen.select(*keys), keys, "left_anti")
+        staged = shared_path(spark, "dedupe-stage")  # the sink is read and written
+        first.write.parquet(staged)
+        spark.read.schema(kept).parquet(staged).write.mode("append").partitionBy("day").parquet(sink)
+
+    spark.createDataFrame([], kept).write.mode("append").partitionBy("day").parquet(sink)
+    _run(spark, src, schema, "ckpt-dedupe", add, max_files)
+    return spark.read.schema(kept).parquet(sink).drop("day")
 
 
 def stream_replace_range(spark: SparkSession, src: str, schema, target: str, prepare=None,
-                         key: str = "ts", max_files: int | None = None) -> DataFrame:
-    """Each micro-batch replaces its key range in the target table.
+                         key: str = "ts", by=("series_id", "day"), max_files: int | None = MAX_FILES) -> DataFrame:
+    """Each micro-batch replaces its key range per group in the target table.
 
-    ``prepare`` maps a micro-batch to target rows (e.g. an hourly roll-up);
-    the replace stages then overwrites only the touched day partitions.
+    ``prepare`` maps a micro-batch to target rows (e.g. an hourly roll-up).
+    Ranges are per series and day, so days in other micro-batches stay as they are.
     """
     from gridcast.sources.files import replace_range
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        rows = prepare(batch) if prepare else batch
-        replace_range(batch.sparkSession, target, rows, key=key)
+        replace_range(batch.sparkSession, target, prepare(batch) if prepare else batch, key=key, by=by)
 
-    q = (_source(spark, src, schema, max_files).writeStream.foreachBatch(upsert)
-         .option("checkpointLocation", shared_path(spark, "ckpt-upsert")).trigger(availableNow=True).start())
-    _run(q)
+    _run(spark, src, schema, "ckpt-upsert", upsert, max_files)
     return spark.read.parquet(target)

@@ -7,14 +7,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
 
-ROWS_ONLY = {"fit_forecaster", "feature_importance", "forecast"}
+from gridcast.plans.catalog import QUERIES  # noqa: E402
+from gridcast.plans.oracle import ORACLE  # noqa: E402
 
 
 def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
-    assert len(q) >= 107
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(q)
+    assert len(QUERIES) >= 109
 
 
 def test_entry_runs(spark):

@@ -1,37 +1,89 @@
-"""Streaming == batch over several micro-batches."""
+"""Streaming equals batch, however files fall into micro-batches."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from gridcast.operators.resample import resample_hourly
 from gridcast.session import shared_path
 from gridcast.sources import bindings as B
-from gridcast.streaming.feeds import stream_dedupe, stream_hourly_rollup
+from gridcast.sources.files import replace_range
+from gridcast.streaming.feeds import stream_dedupe, stream_hourly_rollup, stream_replace_range
 
 SF = "/root/testdata/sf0.001"
 
 
-def _land_by_day(spark, df, name, days):
+def _land(spark, df, name, shuffled):
+    """A few files, in day order or with days mixed and out of order."""
     src = shared_path(spark, name)
-    for d in days:      # one file per day, in time order -> one micro-batch each
-        df.where(F.to_date("ts") == F.lit(d).cast("date")).coalesce(1).write.mode("append").parquet(src)
-    return src
+    days = [r[0] for r in df.select(F.to_date("ts")).distinct().orderBy(F.to_date("ts")).collect()][:6]
+    df = df.where(F.to_date("ts").isin(days))
+    if shuffled:
+        random.Random(1).shuffle(days)
+    for pair in zip(days[::2], days[1::2]):
+        df.where(F.to_date("ts").isin(list(pair))).coalesce(1).write.mode("append").parquet(src)
+    return src, df
 
 
-def test_rollup_stream_equals_batch(spark):
-    raw = B.demand_raw(spark, SF).where(F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz"))
-    days = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
-    src = _land_by_day(spark, raw, "t-stream-src", days)
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_rollup_stream_equals_batch(spark, shuffled):
+    src, raw = _land(spark, B.demand_raw(spark, SF), "t-stream-src", shuffled)
     out = stream_hourly_rollup(spark, src, raw.schema, shared_path(spark, "t-stream-out"), max_files=1)
-    max_ts = raw.agg(F.max("ts")).first()[0]
-    batch = resample_hourly(raw, dst=False).where(
-        F.col("ts") + F.expr("INTERVAL 3 HOURS") <= F.lit(max_ts))
-    got = sorted(((r.series_id, r.ts, round(r.actual_demand, 6)) for r in out.collect()))
-    want = sorted(((r.series_id, r.ts, round(r.actual_demand, 6)) for r in batch.collect()))
-    assert got == want and len(got) > 50
-
-
-def test_dedupe_stream_keys(spark):
-    feed = B.demand_feed(spark, SF).select("series_id", "ts", "reading_id")
-    src = _land_by_day(spark, feed, "t-stream-feed", [f"2024-01-{d:02d}" for d in range(1, 31)])
-    out = stream_dedupe(spark, src, feed.schema, shared_path(spark, "t-stream-dd"), max_files=3)
-    assert out.count() == feed.select("series_id", "ts").distinct().count()
+    batch = resample_hourly(raw, dst=False)
+    rows = lambda d: sorted((r.series_id, r.ts, round(r.actual_demand, 6)) for r in d.collect())
+    assert rows(out) == rows(batch) and batch.count() > 50
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_dedupe_stream_keeps_one_row_per_key(spark, shuffled):
+    feed = B.demand_feed(spark, SF).select("series_id", "ts", "reading_id", "delivery")
+    last = feed.agg(F.max(F.to_date("ts"))).first()[0]
+    feed = feed.where(F.to_date("ts") > F.date_sub(F.lit(last), 6))
+    src, feed = _land(spark, feed, "t-stream-feed", shuffled)
+    out = stream_dedupe(spark, src, feed.schema, shared_path(spark, "t-stream-dd"), order=("delivery", "reading_id"), max_files=1)
+    assert out.count() == feed.select("series_id", "ts").distinct().count() < feed.count()
+    assert out.where("delivery <> 0").isEmpty()
+
+
+def test_empty_stream(spark):
+    raw = B.demand_raw(spark, SF).limit(0)
+    src = shared_path(spark, "t-empty")
+    raw.write.parquet(src)
+    assert stream_hourly_rollup(spark, src, raw.schema, shared_path(spark, "t-empty-out")).count() == 0
+
+
+def _table(spark, rows, path):
+    df = spark.createDataFrame(rows, "series_id string, ts string, v double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    df.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(path)
+    return df
+
+
+def test_replace_range_is_per_series_and_empties_days(spark):
+    hours = [f"2024-01-0{d} {h:02d}:00:00" for d in (1, 2, 3) for h in range(24)]
+    path = shared_path(spark, "t-replace")
+    _table(spark, [(s, t, 1.0) for s in "ab" for t in hours], path)
+    batch = spark.createDataFrame([("a", t, 2.0) for t in hours if "-02 " not in t], "series_id string, ts string, v double")
+    batch = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    report = replace_range(spark, path, batch).first()
+    assert (report.inserted, report.deleted) == (48, 72)
+    got = {(r.series_id, r.v): r.n for r in spark.read.parquet(path).groupBy("series_id", "v").agg(F.count("*").alias("n")).collect()}
+    assert got == {("a", 2.0): 48, ("b", 1.0): 72}
+    only = shared_path(spark, "t-replace-one")
+    _table(spark, [("a", t, 1.0) for t in hours], only)
+    report = replace_range(spark, only, batch).first()
+    assert (report.inserted, report.deleted) == (48, 72) and spark.read.parquet(only).count() == 48
+    assert tuple(replace_range(spark, only, batch.limit(0)).first()) == (0, 0)
+
+
+def test_replace_stream_does_not_depend_on_batches(spark):
+    hours = [f"2024-01-0{d} {h:02d}:00:00" for d in (1, 2, 3, 4) for h in range(24)]
+    rows = []
+    for order in ((0, 1, 2, 3), (3, 0, 2, 1)):
+        path, src = shared_path(spark, "t-upsert"), shared_path(spark, "t-upsert-src")
+        df = _table(spark, [(s, t, 1.0) for s in "ab" for t in hours], path)
+        for d in order:
+            df.where((F.dayofmonth("ts") == d + 1) & (F.col("series_id") == "a")).withColumn("v", F.lit(2.0)).coalesce(1).write.mode("append").parquet(src)
+        out = stream_replace_range(spark, src, df.schema, path, max_files=1)
+        rows.append(sorted(tuple(r) for r in out.select("series_id", "ts", "v").collect()))
+    assert rows[0] == rows[1] and len(rows[0]) == 192 and sum(v == 2.0 for _, _, v in rows[0]) == 96
