@@ -46,16 +46,6 @@ def softplus(x) -> Column:
     return F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
 
 
-def safe_ratio(num, den) -> Column:
-    """num / den with NULL for a zero or NULL denominator (ANSI-safe)."""
-    return F.try_divide(_c(num), _c(den))
-
-
-def sq(x) -> Column:
-    x = _c(x)
-    return x * x
-
-
 def round_doubles(df: DataFrame, digits: int = 6, per_column: dict | None = None) -> DataFrame:
     """Round every floating column (and remove -0.0) for stable comparison."""
     per_column = per_column or {}

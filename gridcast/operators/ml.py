@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.numeric import softplus
+from gridcast.operators.series import CORE, DEFAULT_BLOCK_ROWS, block_window, core_only, halo_blocks, join_stats
 
 
 def normalize_target(df: DataFrame, target: str = "target_demand", series: str = "series_id") -> DataFrame:
@@ -27,7 +28,7 @@ def normalize_target(df: DataFrame, target: str = "target_demand", series: str =
     t = F.when(y > 0, y + F.log1p(-F.exp(-y)))
     x = df.withColumn("_t", t)
     st = x.groupBy(series).agg(F.avg("_t").alias("target_center"), F.stddev_samp("_t").alias("target_scale"))
-    x = x.join(st, series)
+    x = join_stats(x, st, series, "_t")
     norm = F.try_divide(F.col("_t") - F.col("target_center"), F.col("target_scale"))
     x = x.withColumn("target_norm", norm)
     restored = softplus(F.col("target_norm") * F.col("target_scale") + F.col("target_center"))
@@ -36,21 +37,20 @@ def normalize_target(df: DataFrame, target: str = "target_demand", series: str =
 
 def supervised_frame(frame: DataFrame, features, encoder: int = 48, horizon: int = 24,
                      series: str = "series_id", pos: str = "pos", ts: str = "timestamp",
-                     target: str = "target_demand") -> DataFrame:
+                     target: str = "target_demand", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """One row per (series, origin, horizon 1..H): known features at target time + target (M2).
 
     Origins o have a full encoder (o >= E-1) and a full horizon (o + H <= n-1).
-    The target rows are fetched with an equi-join on (series, o + h), which
-    spreads evenly however long a series is.
+    A window over blocks that hold the next H rows collects the targets, so the
+    rows are shuffled once and only then taken apart.
     """
-    n = frame.groupBy(series).agg(F.count(F.lit(1)).alias("_n"))
-    o = (frame.select(series, pos, F.col(target).alias("origin_target")).join(n, series)
-         .where((F.col(pos) >= encoder - 1) & (F.col(pos) + horizon <= F.col("_n") - 1)))
-    o = o.select(series, F.col(pos).alias("origin_pos"), "origin_target",
-                 F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
-    o = o.withColumn("_p", F.col("origin_pos") + F.col("horizon"))
-    t = frame.select(series, F.col(pos).alias("_p"), ts, target, *features)
-    return o.join(t, [series, "_p"]).drop("_p").withColumn("horizon", F.col("horizon").cast("int"))
+    rows = frame.select(series, pos, ts, target, *features)
+    blk = halo_blocks(rows, pos, after=horizon, block_rows=block_rows)
+    ahead = F.collect_list(F.struct(ts, target, *features)).over(block_window(series, pos).rowsBetween(1, horizon))
+    o = core_only(blk.select(series, pos, F.col(target).alias("origin_target"), CORE, ahead.alias("_ahead")))
+    o = o.where((F.col(pos) >= encoder - 1) & (F.size("_ahead") == horizon))
+    o = o.select(series, F.col(pos).alias("origin_pos"), "origin_target", F.posexplode("_ahead").alias("horizon", "_t"))
+    return o.select(series, "origin_pos", "origin_target", (F.col("horizon") + 1).cast("int").alias("horizon"), "_t.*")
 
 
 def assembler(features) -> VectorAssembler:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.operators.series import lag_rows
+from gridcast.operators.series import DEFAULT_BLOCK_ROWS, block_window, core_only, halo_blocks, join_stats, lag_rows
 
 # The shipped bias table, MW by (hour, weekday Mon=0),
 # rows are hours 0..23, columns weekdays 0..6.
@@ -68,7 +68,8 @@ def forecast_seasonal_naive(frame: DataFrame, value: str, series: str = "series_
 def explode_predictions(frame: DataFrame, target: str = "target_demand", ts: str = "timestamp",
                         encoder: int = 48, horizon: int = 24, season: int = 24,
                         series: str = "series_id", pos: str = "pos",
-                        train: float = 0.8, val: float = 0.1, predicted: str | None = None) -> DataFrame:
+                        train: float = 0.8, val: float = 0.1, predicted: str | None = None,
+                        block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Long prediction frame on the test split (M6).
 
     ``predicted`` names the column of model predictions (per target row);
@@ -83,15 +84,14 @@ def explode_predictions(frame: DataFrame, target: str = "target_demand", ts: str
         lagged, said = frame.select(series, pos, ts, target, predicted), predicted
     else:
         lagged, said = lag_rows(frame.select(series, pos, ts, target), target, lags=(season,), series=series, pos=pos), f"{target}_lag_{season}"
-    x = lagged.join(n, series)
+    blk = halo_blocks(lagged, pos, after=horizon - 1, block_rows=block_rows)
+    rows = F.collect_list(F.struct(F.col(target).alias("actual"), F.col(said).alias("predicted"))).over(
+        block_window(series, pos).rowsBetween(0, horizon - 1))
+    x = join_stats(core_only(blk.select("*", rows.alias("_rows"))), n, series, pos)
     v_end = F.floor(F.col("_n").cast("double") * F.lit(train + val))
-    origins = x.where((F.col(pos) >= encoder) & (F.col(pos) <= F.col("_n") - horizon) & (F.col(pos) >= v_end))
-    origins = origins.select(series, F.col(pos).alias("origin_pos"), F.col(ts).alias("_t0"),
-                             F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
-    origins = origins.withColumn("_p", F.col("origin_pos") + F.col("horizon") - 1)
-    tgt = lagged.select(series, F.col(pos).alias("_p"), F.col(target).alias("actual"),
-                        F.col(said).alias("predicted"))
-    j = origins.join(tgt, [series, "_p"])
+    origins = x.where((F.col(pos) >= encoder) & (F.size("_rows") == horizon) & (F.col(pos) >= v_end))
+    j = origins.select(series, F.col(pos).alias("origin_pos"), F.col(ts).alias("_t0"), F.posexplode("_rows").alias("_h", "_r"))
+    j = j.select(series, "origin_pos", "_t0", (F.col("_h") + 1).alias("horizon"), "_r.*")
     t = (F.col("_t0") + F.make_interval(hours=F.col("horizon") - 1)).cast("timestamp_ntz")
     j = j.select(series, "origin_pos", t.alias("timestamp"), "horizon", "predicted", "actual")
     err = F.col("predicted") - F.col("actual")

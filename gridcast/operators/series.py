@@ -114,6 +114,20 @@ def ffill_bfill(df: DataFrame, cols, series="series_id", pos: str = "pos",
     return x.select(*keep, *filled).select(*df.columns)
 
 
+#: Salts of a join to a table of one row per series.
+SALTS = 32
+
+
+def join_stats(df: DataFrame, stats: DataFrame, series="series_id", spread="pos") -> DataFrame:
+    """Join a table of a row per series, a hot series being spread over SALTS keys by another column.
+
+    AQE broadcasts the table when its runtime size allows.
+    """
+    series = _cols(series)
+    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("_salt", F.pmod(F.hash(spread), F.lit(SALTS))).join(salted, series + ["_salt"]).drop("_salt")
+
+
 def series_stats(df: DataFrame, series="series_id", cols=("demand",)) -> DataFrame:
     """Frame-global mean, sample std and count per series.
 
@@ -150,7 +164,7 @@ def chronological_split(df: DataFrame, series="series_id", pos: str = "pos",
     x = df
     if n_col is None:
         counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
-        x = df.join(counts, series)
+        x = join_stats(df, counts, series, pos)
         n_col = "_n"
     n = F.col(n_col).cast("double")
     t_end = F.floor(n * F.lit(train))
@@ -164,21 +178,19 @@ def tail_slice(df: DataFrame, k: int, series="series_id", pos: str = "pos") -> D
     """Last k positions of each series."""
     series = _cols(series)
     counts = df.groupBy(*series).agg(F.max(pos).alias("_last"))
-    return df.join(counts, series).where(F.col(pos) > F.col("_last") - F.lit(k)).drop("_last")
+    return join_stats(df, counts, series, pos).where(F.col(pos) > F.col("_last") - F.lit(k)).drop("_last")
 
 
-def time_gaps(df: DataFrame, series="series_id", ts: str = "ts") -> DataFrame:
+def time_gaps(df: DataFrame, series="series_id", ts: str = "ts", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Time difference to the previous row per series, in seconds.
 
-    The previous timestamp comes from the position index (equi-join on
-    pos - 1), so no single task sorts a whole series.
+    A lag inside blocks that hold the last row of the block before, so no
+    single task sorts a whole series.
     """
     series = _cols(series)
-    p = position_index(df.select(*series, ts), series, ts, "_p")
-    prev = p.select(*series, (F.col("_p") + 1).alias("_p"), F.col(ts).alias("prev_ts"))
-    j = p.join(prev, series + ["_p"], "left")
-    return j.select(*series, "prev_ts", ts,
-                    F.expr(f"timestampdiff(SECOND, prev_ts, {ts})").alias("diff_seconds"))
+    blk = positioned_blocks(df.select(*series, ts), series, ts, "_p", before=1, block_rows=block_rows)
+    x = core_only(blk.select("*", F.lag(ts, 1).over(block_window(series, "_p")).alias("prev_ts")))
+    return x.select(*series, "prev_ts", ts, F.expr(f"timestampdiff(SECOND, prev_ts, {ts})").alias("diff_seconds"))
 
 
 def sequence_windows(df: DataFrame, value: str, encoder: int = 48, horizon: int = 24,
@@ -277,14 +289,15 @@ def parse_as_of(text: str) -> str:
 
 def positioned_blocks(df: DataFrame, series="series_id", order: str = "ts", pos: str = "pos",
                       before: int = 0, after: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS,
-                      tiebreak=None, bucket: str = "day") -> DataFrame:
+                      tiebreak=None, bucket: str = "day", stats: DataFrame | None = None) -> DataFrame:
     """``halo_blocks(position_index(df))`` with a single full-row shuffle.
 
     A small (series, day) table gives each day its first position o_d and
     row count n_d; the day's rows are sent to every block their positions
     or halos touch, [floor((o_d - after) / C), floor((o_d + n_d - 1 + before) / C)],
     and positions are numbered inside the (series, block) partition by a
-    row_number per day (same partitioning, no second shuffle).
+    row_number per day (same partitioning, no second shuffle). ``stats``, a
+    table of a row per series, comes along in the day table.
     """
     series, tiebreak = _cols(series), _cols(tiebreak)
     c = int(block_rows)
@@ -297,6 +310,8 @@ def positioned_blocks(df: DataFrame, series="series_id", order: str = "ts", pos:
     lo = F.floor(F.greatest(F.col("_off") - after, F.lit(0)) / c)
     hi = F.floor((F.col("_off") + F.col("_n") - 1 + before) / c)
     days = days.select(*series, "_bkt", "_off", F.sequence(lo, hi).cast("array<bigint>").alias("_blks"))
+    if stats is not None:
+        days = days.join(stats, series)
     x = x.join(days, series + ["_bkt"]).withColumn(BLK, F.explode("_blks")).drop("_blks")
     x = x.repartition(*[F.col(s) for s in series], F.col(BLK))
     rn = F.row_number().over(Window.partitionBy(*series, BLK, "_bkt").orderBy(order, *tiebreak))

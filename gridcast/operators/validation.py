@@ -62,41 +62,54 @@ def _bin(x: Column, width: float) -> Column:
     return F.when(x.isNull(), F.lit(NULL_BIN)).otherwise(F.floor(g / F.lit(width))).cast("long")
 
 
+def _sides(df: DataFrame, id_col: str, ts: str, cols, series, threshold: float, left: str, right: str):
+    """Two aliased sides of the blocked self-join and its condition: same bucket, near bins, first id < second id.
+
+    A pair reaches the threshold only if every column's relative difference is
+    within a width, so rows meet in log-scale bins of the first column (the
+    right side stands in three) and the second column's bins must be near too.
+    A threshold so low that no single column bounds a pair raises.
+    """
+    delta = len(cols) * (1.0 - threshold)
+    if not cols or delta >= 1.0:
+        raise ValueError("threshold too low: no column bounds a pair, so rows cannot be blocked")
+    width = -math.log(1.0 - delta)
+    x = df.withColumn("_bucket", hour_floor(ts)).select(
+        "*", *[_bin(F.col(c).cast("double"), width).alias(f"_bin{i}") for i, c in enumerate(cols[:2])])
+    own = F.col("_bin0")
+    near = F.when(own == NULL_BIN, F.array(own)).otherwise(F.array(own - 1, own, own + 1))
+    one, other = x.alias(left), x.withColumn("_bin0", F.explode(near)).alias(right)
+    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*series, "_bucket", "_bin0"]]
+    if len(cols) > 1:
+        p, q = F.col("a._bin1"), F.col("b._bin1")
+        cond.append((p == NULL_BIN) | (q == NULL_BIN) | (F.abs(p - q) <= 1))
+    return one, other, [*cond, F.col(f"a.{id_col}") < F.col(f"b.{id_col}")]
+
+
 def near_duplicate_pairs(df: DataFrame, id_col: str, ts: str, cols=None, series=None,
                          threshold: float = DUPLICATE_SIMILARITY_THRESHOLD,
                          target: str | None = None) -> DataFrame:
     """Pairs (i < j) in the same floor-hour bucket with similarity >= threshold."""
     series = [series] if isinstance(series, str) else list(series or [])
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=[id_col, ts])
-    keys = series + ["_bucket"]
-    x = df.withColumn("_bucket", hour_floor(ts))
-    delta = len(cols) * (1.0 - threshold)
-    if cols and delta < 1.0:
-        width = -math.log(1.0 - delta)
-        x = x.withColumn("_bin", _bin(F.col(cols[0]).cast("double"), width))
-        nb = F.col("_bin")
-        near = F.when(nb == NULL_BIN, F.array(nb)).otherwise(F.array(nb - 1, nb, nb + 1))
-    else:
-        x = x.withColumn("_bin", F.lit(0).cast("long"))
-        near = F.array(F.col("_bin"))
-    a = x.alias("a")
-    b = x.withColumn("_bin", F.explode(near)).alias("b")
-    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys + ["_bin"]]
-    cond.append(F.col(f"a.{id_col}") < F.col(f"b.{id_col}"))
-    j = a.join(b, cond)
-    sim = row_similarity("a", "b", cols)
-    out = j.select(*[F.col(f"a.{s}").alias(s) for s in series],
-                   F.col(f"a.{id_col}").alias("index1"), F.col(f"b.{id_col}").alias("index2"),
-                   F.col(f"a.{ts}").alias("timestamp1"), F.col(f"b.{ts}").alias("timestamp2"),
-                   sim.alias("similarity"),
-                   *([F.col(f"a.{target}").alias("demand1"), F.col(f"b.{target}").alias("demand2")] if target else []))
+    a, b, cond = _sides(df, id_col, ts, cols, series, threshold, "a", "b")
+    out = a.join(b, cond).select(
+        *[F.col(f"a.{s}").alias(s) for s in series],
+        F.col(f"a.{id_col}").alias("index1"), F.col(f"b.{id_col}").alias("index2"),
+        F.col(f"a.{ts}").alias("timestamp1"), F.col(f"b.{ts}").alias("timestamp2"),
+        row_similarity("a", "b", cols).alias("similarity"),
+        *([F.col(f"a.{target}").alias("demand1"), F.col(f"b.{target}").alias("demand2")] if target else []))
     return out.where(F.col("similarity") >= F.lit(threshold))
 
 
-def near_duplicate_remove(df: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
-    """Drop every row that appears as the second member of a pair (V2)."""
-    drop = pairs.select(F.col("index2").alias(id_col)).distinct()
-    return df.join(drop, id_col, "left_anti")
+def near_duplicate_remove(df: DataFrame, id_col: str, ts: str, cols=None, series=None,
+                          threshold: float = DUPLICATE_SIMILARITY_THRESHOLD) -> DataFrame:
+    """Drop every row that is the second member of a pair (V2). An anti join: no pair is made."""
+    series = [series] if isinstance(series, str) else list(series or [])
+    cols = list(cols) if cols is not None else numeric_columns(df, exclude=[id_col, ts])
+    b, a, cond = _sides(df, id_col, ts, cols, series, threshold, "b", "a")
+    similar = row_similarity("a", "b", cols) >= F.lit(threshold)
+    return b.join(a, [*cond, similar], "left_anti").select(*df.columns)
 
 
 def check_missing(df: DataFrame, cols=None, series=None) -> DataFrame:

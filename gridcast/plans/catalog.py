@@ -54,10 +54,12 @@ def _serve_frame(spark, sf_dir, **kw):
     return serve_features(B.serve_input(spark, sf_dir), **kw)
 
 
-def _serve_staged(spark, sf_dir):
-    """Serving frame with positions, written once: it feeds several branches."""
+def _serve_positions(spark, sf_dir):
+    """Serving history with positions and no features, written once: it feeds several branches."""
+    from gridcast.operators.series import position_index
     from gridcast.session import materialize
-    return materialize(_serve_frame(spark, sf_dir, keep_pos=True), "serve-frame")
+    hist = B.serve_input(spark, sf_dir).withColumn("is_public_holiday", F.col("is_public_holiday").cast("double"))
+    return materialize(position_index(hist, "series_id", "timestamp"), "serve-positions")
 
 
 @query("features_serve")
@@ -70,7 +72,7 @@ def q_features_serve(spark, sf_dir):
 def q_future_features(spark, sf_dir):
     """24 future rows per series after the serving history."""
     from gridcast.plans.future import future_features
-    return future_features(_serve_staged(spark, sf_dir), hours=24)
+    return future_features(_serve_positions(spark, sf_dir), hours=24)
 
 
 # --------------------------------------------------------------------------
@@ -91,14 +93,26 @@ def _serve_block(cols):
 def _register_blocks():
     from gridcast.plans import serve_features as S
     from gridcast.plans import train_features as T
-    query("feat_train_temporal")(_train_block(T.TEMPORAL_BLOCK + ["is_public_holiday"]))
+
+    def train_rows(spark, sf_dir, cols):  # row by row: no lags, no statistics
+        return B.train_input(spark, sf_dir).select("series_id", "timestamp", F.col("is_public_holiday").cast("int").alias(
+            "is_public_holiday"), *cols)
+
+    def serve_weather(spark, sf_dir):
+        t, ts = F.col("temperature"), "timestamp"
+        cols = {c: x for c, x in zip(S.WEATHER_BLOCK[:7], S.weather_columns(t, F.hour(ts), F.weekday(ts)))}
+        x = B.serve_input(spark, sf_dir).select("series_id", ts, *cols.values(), *S.calendar_columns(ts))
+        return x.select("series_id", ts, *S.WEATHER_BLOCK)
+
+    query("feat_train_temporal")(lambda spark, sf_dir: train_rows(spark, sf_dir, T.temporal_columns("timestamp")))
     query("feat_train_weather")(_train_block(T.WEATHER_BLOCK))
-    query("feat_train_regime")(_train_block(T.REGIME_BLOCK))
+    query("feat_train_regime")(lambda spark, sf_dir: train_rows(
+        spark, sf_dir, T.regime_columns(F.col("temperature_2m"))).drop("is_public_holiday"))
     query("feat_train_lags")(_train_block(T.LAG_BLOCK))
     query("feat_train_interactions")(_train_block(T.INTERACTION_BLOCK))
     query("select_training_columns")(_train_block(T.TRAIN_COLUMNS[1:]))
     query("feat_serve_temporal")(_serve_block(S.TEMPORAL_BLOCK))
-    query("feat_serve_weather")(_serve_block(S.WEATHER_BLOCK))
+    query("feat_serve_weather")(serve_weather)
     query("feat_serve_lags")(_serve_block(S.LAG_BLOCK))
     query("feat_serve_interactions")(_serve_block(S.INTERACTION_BLOCK))
 
@@ -192,6 +206,64 @@ def q_time_gaps(spark, sf_dir):
             .withColumn("is_dst_like", F.col("diff_seconds") == 7200))
 
 
+# The same operators over blocks of 200 rows (halo 168), so that lags, fills and
+# windows cross many block borders even on the short series of the test tables.
+SMALL_BLOCKS = 200
+
+
+@query("features_train_small_blocks")
+def q_features_train_small_blocks(spark, sf_dir):
+    """F6 over many blocks."""
+    return _train_frame(spark, sf_dir, block_rows=SMALL_BLOCKS)
+
+
+@query("features_serve_small_blocks")
+def q_features_serve_small_blocks(spark, sf_dir):
+    """F11 over many blocks."""
+    return _serve_frame(spark, sf_dir, block_rows=SMALL_BLOCKS)
+
+
+@query("lag_ffill_bfill_small_blocks")
+def q_lag_ffill_bfill_small_blocks(spark, sf_dir):
+    """W3 over many blocks."""
+    from gridcast.operators.series import lag_rows
+    return lag_rows(_hourly_pos(spark, sf_dir), "actual_demand", lags=(24, 168), fill="ffill_bfill", block_rows=SMALL_BLOCKS)
+
+
+@query("time_gaps_small_blocks")
+def q_time_gaps_small_blocks(spark, sf_dir):
+    """W8 over many blocks."""
+    from gridcast.operators.series import time_gaps
+    g = time_gaps(B.demand_hourly(spark, sf_dir), block_rows=SMALL_BLOCKS)
+    return (g.where(F.col("diff_seconds") > 3600)
+            .withColumn("is_dst_like", F.col("diff_seconds") == 7200))
+
+
+@query("supervised_frame_small_blocks")
+def q_supervised_frame_small_blocks(spark, sf_dir):
+    """M2 over many blocks."""
+    from gridcast.operators.ml import supervised_frame
+    return supervised_frame(_train_pos(spark, sf_dir), ["temperature", "hour_sin", "is_weekend"], block_rows=SMALL_BLOCKS)
+
+
+@query("explode_predictions_small_blocks")
+def q_explode_predictions_small_blocks(spark, sf_dir):
+    """M6 over many blocks."""
+    from gridcast.operators.scoring import explode_predictions
+    return explode_predictions(_train_pos(spark, sf_dir), block_rows=SMALL_BLOCKS)
+
+
+@query("long_series_windows")
+def q_long_series_windows(spark, sf_dir):
+    """W2 / W7 on the multi-year daily series of lineitem: lags and the 168-row std over many blocks."""
+    from gridcast.operators.series import block_window, core_only, positioned_blocks, rolling_std
+    w = block_window("series_id", "pos")
+    blk = positioned_blocks(B.large_daily_series(spark, sf_dir), "series_id", "ts", before=168, block_rows=512)
+    return core_only(blk.select(
+        "*", *[F.lag("demand", k).over(w).alias(f"lag_{k}") for k in (1, 7, 168)],
+        rolling_std(F.col("demand"), w, 168, 24).alias("std_168"))).drop("_blk")
+
+
 @query("sequence_windows")
 def q_sequence_windows(spark, sf_dir):
     """48-row encoder / 24-row decoder target windows, stride 1."""
@@ -781,7 +853,7 @@ def q_near_duplicate_pairs(spark, sf_dir):
 def q_near_duplicate_remove(spark, sf_dir):
     """V2: readings left after dropping every second member of a pair."""
     from gridcast.operators.validation import near_duplicate_remove
-    return near_duplicate_remove(_readings(spark, sf_dir), _pairs(spark, sf_dir), "rid")
+    return near_duplicate_remove(_readings(spark, sf_dir), "rid", "ts", ["load", "forecast", "user_id"], series="series_id")
 
 
 def _validation_frame(spark, sf_dir):
@@ -862,7 +934,7 @@ def q_sample_issues(spark, sf_dir):
 def q_concat_history_future(spark, sf_dir):
     """S3: last 248 history rows + 24 future rows, one time_idx."""
     from gridcast.plans.future import concat_history_future, future_features
-    hist = _serve_staged(spark, sf_dir)
+    hist = _serve_positions(spark, sf_dir)
     fut = future_features(hist, 24)
     c = concat_history_future(hist, fut, 248)
     return c.select("series_id", "time_idx", "timestamp", "target_demand", "temperature", "horizon")

@@ -1156,3 +1156,11 @@ def _skew_sql() -> str:
 
 
 oracle("profile_skew_audit", _skew_sql())
+
+for _name in ("features_train", "features_serve", "lag_ffill_bfill", "time_gaps", "supervised_frame", "explode_predictions"):
+    oracle(f"{_name}_small_blocks", ORACLE[_name])
+oracle("long_series_windows", with_ctes(f"""
+SELECT series_id, ts, {R('demand', 'demand')}, row_number() OVER w - 1 AS pos, {R('lag(demand, 1) OVER w', 'lag_1')},
+       {R('lag(demand, 7) OVER w', 'lag_7')}, {R('lag(demand, 168) OVER w', 'lag_168')},
+       {R('CASE WHEN row_number() OVER w >= 24 THEN stddev_samp(demand) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END', 'std_168')}
+FROM large_daily_series WINDOW w AS (PARTITION BY series_id ORDER BY ts)""", "large_daily_series"))

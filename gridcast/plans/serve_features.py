@@ -142,22 +142,20 @@ def serve_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
         df = materialize(df, "serve-input")
     stats = df.groupBy(series).agg(F.avg("target_demand").alias("_mu"),
                                    F.stddev_samp("target_demand").alias("_sd"))
-    base = df.join(stats, series)
     T, D = F.col("temperature"), F.col("target_demand")
     h, d = F.hour(ts), F.weekday(ts)
-    layer1 = base.select(
-        series, ts, "target_demand", "daylight_savings_winter", "daylight_savings_summer",
-        F.col("is_public_holiday").cast("double").alias("is_public_holiday"), "temperature",
-        "_mu", "_sd", *calendar_columns(ts), *weather_columns(T, h, d))
+    base = df.select(series, ts, "target_demand", "daylight_savings_winter", "daylight_savings_summer",
+                     F.col("is_public_holiday").cast("double").alias("is_public_holiday"), "temperature")
     w = block_window(series, "pos")
-    blk = positioned_blocks(layer1, series, ts, "pos", before=168, block_rows=block_rows)
+    blk = positioned_blocks(base, series, ts, "pos", before=168, block_rows=block_rows, stats=stats)
     lagged = core_only(blk.select(
         "*",
         F.lag("target_demand", 24).over(w).alias("_l24"),
         F.lag("target_demand", 168).over(w).alias("_l168"),
-        F.lag("dow", 24).over(w).alias("_pdow"),
+        F.lag(d, 24).over(w).alias("_pdow"),
         F.lag("temperature", 24).over(w).alias("_t24"),
         rolling_std(D, w, 168, 24).alias("_rstd")))
+    lagged = lagged.select("*", *calendar_columns(ts), *weather_columns(T, h, d))
     mu, sd = F.col("_mu"), F.col("_sd")
     l24 = F.coalesce(F.col("_l24"), mu)
     l168 = F.coalesce(F.col("_l168"), mu)

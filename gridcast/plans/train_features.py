@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.calendar import season_train
@@ -88,6 +88,21 @@ def temporal_columns(ts: str):
     return cols
 
 
+def weather_columns(T: Column, d: Column):
+    """F2 without the lag: heating terms, and severity against the series' temperature statistics."""
+    heating = clip(F.lit(18.0) - T, lower=0.0)
+    return [heating.alias("heating_demand"), (heating * heating).alias("heating_demand_sq"),
+            F.try_divide(F.abs(T - F.col("_mu_t")), F.col("_sd_t")).alias("temp_severity"),
+            F.log1p(heating).alias("heating_demand_log"), flag(T < 5).alias("is_cold"),
+            clip(flag(d == 0) * heating, upper=20.0).alias("monday_cold_multiplier")]
+
+
+def regime_columns(T: Column):
+    """temperature regimes, row by row."""
+    return [flag(T < 0).alias("regime_0"), flag((T >= 0) & (T < 10)).alias("regime_1"),
+            flag((T >= 10) & (T < 20)).alias("regime_2"), flag(T >= 20).alias("regime_3")]
+
+
 def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestamp",
                    demand: str = "demand", temperature: str = "temperature_2m",
                    holiday: str = "is_public_holiday", block_rows: int = DEFAULT_BLOCK_ROWS,
@@ -106,31 +121,14 @@ def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
     stats = df.groupBy(series).agg(
         F.avg(demand).alias("_mu_d"), F.stddev_samp(demand).alias("_sd_d"),
         F.avg(temperature).alias("_mu_t"), F.stddev_samp(temperature).alias("_sd_t"))
-    x = df.join(stats, series)
-
-    T = F.col(temperature)
-    heating = clip(F.lit(18.0) - T, lower=0.0)
-    d = F.weekday(ts)
-    layer1 = x.select(
-        series, ts, F.col(demand).alias("target_demand"), F.col(demand).alias("_D"),
-        F.col(holiday).cast("int").alias("is_public_holiday"), d.alias("_dow"),
-        *temporal_columns(ts),
-        T.alias("temperature"), heating.alias("heating_demand"),
-        (heating * heating).alias("heating_demand_sq"),
-        F.try_divide(F.abs(T - F.col("_mu_t")), F.col("_sd_t")).alias("temp_severity"),
-        F.log1p(heating).alias("heating_demand_log"),
-        flag(T < 5).alias("is_cold"),
-        clip(flag(d == 0) * heating, upper=20.0).alias("monday_cold_multiplier"),
-        flag(T < 0).alias("regime_0"), flag((T >= 0) & (T < 10)).alias("regime_1"),
-        flag((T >= 10) & (T < 20)).alias("regime_2"), flag(T >= 20).alias("regime_3"),
-        F.try_divide(F.col(demand) - F.col("_mu_d"), F.col("_sd_d")).alias("_z"),
-        F.col("_sd_d"),
-    )
-
-    # one blocked window stage: every lag and the 168-row rolling std
+    # one blocked window stage over the base columns: every lag and the 168-row rolling std
     w = block_window(series, "pos")
-    blk = positioned_blocks(layer1, series, ts, "pos", before=168, block_rows=block_rows)
-    lagged = blk.select(
+    base = df.select(series, ts, F.col(demand).alias("_D"), F.col(temperature).alias("temperature"),
+                     F.col(holiday).cast("int").alias("is_public_holiday"))
+    blk = positioned_blocks(base, series, ts, "pos", before=168, block_rows=block_rows, stats=stats)
+    z = F.try_divide(F.col("_D") - F.col("_mu_d"), F.col("_sd_d"))
+    dow = F.weekday(ts)
+    lagged = core_only(blk.withColumn("_z", z).select(
         "*",
         F.lag("temperature", 24).over(w).alias("temp_lag_24h"),
         F.lag("_z", 24).over(w).alias("demand_lag_24h_norm"),
@@ -138,19 +136,20 @@ def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
         (F.col("_z") - F.lag("_z", 24).over(w)).alias("demand_delta_24h"),
         flag(F.lag("_D", 24).over(w).isNotNull(), "double").alias("_v24"),
         flag(F.lag("_D", 168).over(w).isNotNull(), "double").alias("_v168"),
-        flag(F.lag("_dow", 1).over(w).isin(5, 6)).alias("lag_24h_was_weekend"),
-        flag(F.lag("_dow", 7).over(w).isin(5, 6)).alias("lag_168h_was_weekend"),
+        flag(F.lag(dow, 1).over(w).isin(5, 6)).alias("lag_24h_was_weekend"),
+        flag(F.lag(dow, 7).over(w).isin(5, 6)).alias("lag_168h_was_weekend"),
         rolling_std(F.col("_D"), w, 168, 24).alias("_rstd"),
-    )
-    lagged = core_only(lagged)
+    )).drop("_z")
     if stage:
         # the fill reads the lagged frame twice (in-block fill, per-block carry):
-        # write it once rather than recompute positions and windows per branch
+        # write the base columns and lags once rather than recompute them per branch
         from gridcast.session import materialize
         lagged = materialize(lagged, "train-lagged")
     filled = ffill_bfill(lagged,
                          ["temp_lag_24h", "demand_lag_24h_norm", "demand_lag_168h_norm",
                           "demand_delta_24h", "_rstd"], series, "pos")
+    filled = filled.select("*", F.col("_D").alias("target_demand"), *temporal_columns(ts),
+                           *weather_columns(F.col("temperature"), dow), *regime_columns(F.col("temperature")))
 
     l24, l168 = F.col("demand_lag_24h_norm"), F.col("demand_lag_168h_norm")
     same = (F.col("lag_24h_was_weekend") == F.col("is_weekend")).cast("double")

@@ -101,14 +101,32 @@ def large_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.avg("l_extendedprice").alias("demand")))
 
 
+def hourly_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """demand_hourly and weather_hourly from one scan of the readings.
+
+    Partial aggregates per (series, hour) are written once; both tables and
+    the years they cover come from that small table.
+    """
+    from gridcast.session import materialize
+    hour = hour_floor("ts").alias("ts")
+    parts = materialize(demand_raw(spark, sf_dir).groupBy("series_id", hour).agg(
+        F.avg("load").alias("actual_demand"), F.avg("forecast").alias("demand_forecast"), F.sum("k").alias("k_sum"),
+        F.count("k").alias("k_count"), F.min("k").alias("k_min"), F.max("k").alias("k_max"), F.count(F.lit(1)).alias("n")), "hourly-parts")
+    demand = parts.select("series_id", "ts", "actual_demand", "demand_forecast", *dst_flags_day25("ts"))
+    weather = parts.groupBy("ts").agg(
+        (F.try_divide(F.sum("k_sum"), F.sum("k_count")) * F.lit(0.6) - F.lit(20.0)).alias("temperature"),
+        F.max("k_max").cast("double").alias("relative_humidity"), (F.min("k_min") / F.lit(10.0)).alias("rain"),
+        F.lit(0.0).alias("snow_depth"), (F.sum("n") % 3).cast("double").alias("snowfall"))
+    return demand, weather.select("*", *dst_flags_day25("ts"))
+
+
 def train_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """demand_hourly x weather x public holidays: the training-frame load."""
     from gridcast.operators.joins import join_demand_weather, holiday_membership
     from gridcast.operators.calendar_ops import holiday_set_for
-    d = demand_hourly(spark, sf_dir).select("series_id", F.col("ts").alias("timestamp"),
-                                            F.col("actual_demand").alias("demand"))
-    w = weather_hourly(spark, sf_dir).select(F.col("ts").alias("timestamp"),
-                                             F.col("temperature").alias("temperature_2m"))
+    d, w = hourly_inputs(spark, sf_dir)
+    d = d.select("series_id", F.col("ts").alias("timestamp"), F.col("actual_demand").alias("demand"))
+    w = w.select(F.col("ts").alias("timestamp"), F.col("temperature").alias("temperature_2m"))
     j = join_demand_weather(d, w, on="timestamp")
     hol = holiday_set_for(spark, d, "timestamp")
     return holiday_membership(j, hol, ts="timestamp")
@@ -118,8 +136,7 @@ def serve_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The serving history: demand x weather, holidays left-joined."""
     from gridcast.operators.joins import join_serving_history
     from gridcast.operators.calendar_ops import holiday_calendar, holiday_set_for
-    d = demand_hourly(spark, sf_dir)
-    w = weather_hourly(spark, sf_dir)
+    d, w = hourly_inputs(spark, sf_dir)
     cal = holiday_calendar(spark, holiday_set_for(spark, d, "ts"), years_from=d, ts="ts")
     return join_serving_history(d, w, cal)
 

@@ -49,7 +49,7 @@ def test_remove_second_members(spark):
     rows = [(1, "2024-01-01 00:00:00", 1.0, 1.0), (2, "2024-01-01 00:20:00", 1.0, 1.0),
             (3, "2024-01-01 00:40:00", 1.0, 1.0), (4, "2024-01-01 00:50:00", 9.0, 1.0)]
     df = _frame(spark, rows)
-    kept = V.near_duplicate_remove(df, V.near_duplicate_pairs(df, "rid", "ts", ["a", "b"]), "rid")
+    kept = V.near_duplicate_remove(df, "rid", "ts", ["a", "b"])
     assert sorted(r.rid for r in kept.collect()) == [1, 4]     # chain 1-2-3 keeps the first
 
 
