@@ -12,7 +12,8 @@ from __future__ import annotations
 import math
 
 from gridcast.operators.calendar_ops import HOLIDAY_RULES
-from gridcast.sources.bindings import LOAD_SCALE, REVISION_DAYS, REVISION_FACTOR
+
+LOAD_SCALE, REVISION_DAYS, REVISION_FACTOR = 1000.0, 10, 1.0004  # fixed values of the test-table bindings
 
 TWO_PI = repr(2 * math.pi)
 
@@ -668,8 +669,45 @@ oracle("fit_bias_table", with_ctes(f"""
 SELECT series_id, hour, dow, {R('avg(error)', 'bias', 4)}, count(*) AS n FROM preds_x GROUP BY 1, 2, 3""", "preds_x"))
 
 
+# Fixed values, written out again here: an oracle that imported them from the
+# code under test could not tell a wrong one. Shipped bias table, MW by (hour,
+# weekday Mon=0); then feature-name categories, first matching rule wins.
+SHIPPED_BIAS = [
+    [84, -224, 26, 55, -308, -514, 251],
+    [206, 89, 103, 177, -264, -307, 336],
+    [122, 355, 150, 290, -236, -307, 118],
+    [140, 359, 283, 214, -295, -394, 3],
+    [-6, 434, 261, 252, -350, -361, -107],
+    [290, 342, 246, 516, -141, 130, 82],
+    [871, 225, 228, 108, -95, 514, 14],
+    [60, 88, 370, -224, 90, 485, 50],
+    [-782, 104, 290, -630, 157, 97, -27],
+    [-216, 316, 142, -770, 123, -300, -348],
+    [114, 228, 162, -1060, 269, -533, -712],
+    [-1, 404, 154, -989, 576, -419, -784],
+    [-24, 555, -58, -783, 246, -54, -548],
+    [-172, 608, -129, -562, 621, 305, -121],
+    [-218, 601, -244, -518, 662, 510, 156],
+    [-306, 601, -510, -426, 568, 291, 305],
+    [-619, 331, -602, -518, 240, -255, -56],
+    [-1249, -15, -653, -814, 78, -947, -539],
+    [-1385, 9, -674, -889, 167, -1093, -691],
+    [-950, 172, -629, -759, 140, -618, -682],
+    [-780, 308, -536, -509, 81, -206, -611],
+    [-440, 460, -402, -483, -152, -240, -789],
+    [-715, 498, -176, -337, -111, -205, -698],
+    [-158, 498, 101, -326, -199, -69, -716],
+]
+CATEGORY_RULES = [
+    ("Demand Lags", ["lag", "rolling"]),
+    ("Weather", ["temp", "heat", "cold"]),
+    ("Temporal", ["hour", "dow", "month", "day_", "weekend", "weekday", "holiday"]),
+    ("Regime", ["regime"]),
+    ("Interactions", ["interaction", "product"]),
+]
+
+
 def _shipped_values() -> str:
-    from gridcast.operators.scoring import SHIPPED_BIAS
     return ", ".join(f"({h}, {d}, {v})" for h, row in enumerate(SHIPPED_BIAS) for d, v in enumerate(row))
 
 
@@ -730,7 +768,6 @@ SELECT series_id, feature, {R('abs(r)', 'correlation')}, {R('r', 'correlation_ra
 
 
 def _category_case(x: str) -> str:
-    from gridcast.operators.scoring import CATEGORY_RULES
     parts = []
     for cat, needles in CATEGORY_RULES:
         cond = " OR ".join(f"contains({x}, '{n}')" for n in needles)
