@@ -157,3 +157,29 @@ def covered(positions: np.ndarray, n: int, total: int) -> np.ndarray:
 def doc_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator works on, under fixed names."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+#: Slots of the sketch of n-gram counts, whatever the corpus; a slot this many
+#: times as full as the mean is frequent.
+SLOTS, FREQUENT = 1 << 16, 8
+
+
+def frequent_slots(docs: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """Which slots of scrambled n-gram hashes are frequent over all documents, and how many n-grams there are.
+
+    The sketch only orders work; no result depends on it.
+    """
+    def count(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for b in text_slices(batches, "text"):
+            words = Words(as_bytes(b.column("text")))
+            h = scramble(rolling(words.hashes, n))[words.window_starts(n)]
+            total += np.bincount((h & U64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["slot", "n"])
+
+    full = np.zeros(SLOTS, np.int64)
+    rows = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    for b in rows.toArrow().to_batches():  # a row per slot at most
+        full[b.column(0).to_numpy(zero_copy_only=False)] = b.column(1).to_numpy(zero_copy_only=False)
+    return full > FREQUENT * max(1.0, full.mean()), int(full.sum())

@@ -5,16 +5,17 @@ documents link when 100 * |intersection| >= 80 * |union|.
 
 1. Documents with equal sets are one node (a 64-bit digest, checked by another).
 2. Linked sets share one of their first |s| - ceil(0.8 |s|) + 1 shingles in a
-   common order. The order is by hash, with shingles of frequent slots (a sketch
-   over the whole corpus) last. A shingle's *anchor* is the least node that has
-   it in its prefix; nodes with one anchor form a block, so any two linked nodes
-   meet in a block.
+   common order: rarer before more frequent ones, as a sketch of all shingle
+   counts (2^18 slots, whatever the corpus) tells them, then by hash. Of the nodes that have a shingle in their prefix,
+   those stay whose size and position of it allow a link to another one; the
+   least is the shingle's *anchor*. Nodes with one anchor form a block, so any two
+   linked nodes meet in a block.
 3. In a block, DivideSkip finds the nodes that share at least T shingles with a
    query: its long inverted lists are left out, the short ones merged, and what
    occurs T - L times there is probed in the L long lists. Pairs that links
    connect already are not compared, and queries stop once all nodes that have
    not been one are connected: a block of n near copies takes few searches.
-4. Blocks above `block_nodes` are cut. Each part holds the anchor; nodes that
+4. Blocks above `block_shingles` are cut. Each part holds the anchor; nodes that
    are not connected to it there meet all parts in a second search.
 
 Defined results: a null or empty text, or one without words, has an empty set
@@ -26,6 +27,8 @@ columns are not looked at.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,8 +43,11 @@ from gridcast.llm.components import components
 from gridcast.session import materialize
 
 SHINGLE, PERCENT = 5, 80
-SLOTS, FREQUENT = 1 << 16, 8
-BLOCK_NODES = 2000
+#: Slots of the sketch; frequency levels are half powers of two of its mean, and from HOT on a shingle is hot.
+SLOTS, HOT = 1 << 18, 6
+BLOCK_SHINGLES = 400_000
+#: Ratio of the size bands in the filter of inverted lists; lists up to this length are filtered pair by pair.
+BAND, LIST = 1.02, 256
 #: Weight of DivideSkip's rule for the number of long lists, T / (MU log2(longest) + 1).
 MU = 0.0085
 
@@ -189,101 +195,161 @@ def block_links(sets: list[np.ndarray], joined: list[int], percent: int = PERCEN
 
 # ---- tables -------------------------------------------------------------------
 
-def _frequent(docs: DataFrame) -> np.ndarray:
-    """Slots of shingle hashes that are frequent over all documents."""
-    def count(batches):
-        total = np.zeros(SLOTS, np.int64)
-        for b in text_slices(batches, "text"):
-            for s in shingle_sets(as_bytes(b.column("text"))):
-                total += np.bincount((s & U64(SLOTS - 1)).astype(np.int64), minlength=SLOTS) if len(s) > SLOTS // 8 else 0
-                if len(s) <= SLOTS // 8:
-                    np.add.at(total, (s & U64(SLOTS - 1)).astype(np.int64), 1)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["slot", "n"])
-
-    full = np.zeros(SLOTS, np.int64)
-    for r in docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        full[r["slot"]] = r["n"]  # SLOTS rows at most
-    return full > FREQUENT * max(1.0, full.mean())
+def _sized(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Set sizes and digests, and the frequency level of each slot of shingle hashes, from one pass.
 
-
-def _sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, n, node, proof): set sizes and digests. mark tells rows of one doc_id apart by their texts."""
+    The table is (doc_id, mark, n, node, proof); mark tells rows of one doc_id
+    apart by their texts. Levels count in how many documents a slot's shingles stand.
+    """
     def digest(batches):
+        total = np.zeros(SLOTS, np.int64)
         for b in text_slices(batches, "text"):
             sets = shingle_sets(as_bytes(b.column("text")))
             keys = [_node(s) for s in sets]
+            total += np.bincount((np.concatenate(sets) & U64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())],
-                names=["doc_id", "mark", "n", "node", "proof"])
+                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                 pa.nulls(len(sets), pa.int32())], names=names)
+        used = np.flatnonzero(total)
+        none = pa.nulls(len(used), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(total[used]), none, none, pa.array(used.astype(np.int32))], names=names)
+
+    names = ["doc_id", "mark", "n", "node", "proof", "slot"]
+    rows = docs.withColumn("mark", F.xxhash64("text")).mapInArrow(
+        digest, "doc_id long, mark long, n long, node long, proof long, slot int")
+    rows = materialize(rows, "jaccard-sizes")
+    full = np.zeros(SLOTS, np.int64)
+    counts = rows.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n"))
+    for b in counts.toArrow().to_batches():  # a row per slot at most
+        full[b.column(0).to_numpy(zero_copy_only=False)] = b.column(1).to_numpy(zero_copy_only=False)
+    levels = np.clip(2 * np.log2(np.maximum(full, 1) / max(1.0, full.mean())), 0, 100).astype(np.uint8)
+    return rows.where("slot is null").drop("slot"), levels
 
-    return docs.withColumn("mark", F.xxhash64("text")).mapInArrow(digest, "doc_id long, mark long, n long, node long, proof long")
 
+def _prefixes(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
+    """(node, token, place, hot): the prefix shingles of every set that can link to a different one.
 
-def _prefixes(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """(token, node, hot): the prefix shingles of every set that can link to a different one."""
+    place holds the set's size and the shingle's position in the order, both
+    rounded: 2% bands of the size, 1/1024 of the size.
+    """
     def emit(batches):
         for b in text_slices(batches, "text"):
-            tokens, nodes, hots = [], [], []
+            out = []
             for s in shingle_sets(as_bytes(b.column("text"))):
                 need = least_overlap(len(s), percent)
                 if need >= len(s):  # only equal sets link
                     continue
-                hot = frequent[(s & U64(SLOTS - 1)).astype(np.int64)]
-                first = np.argsort((s >> U64(1)) | (hot.astype(U64) << U64(63)))[:len(s) - need + 1]
-                tokens.append(s[first].view(np.int64))
-                hots.append(hot[first])
-                nodes.append(np.full(len(first), _node(s)[0], np.int64))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, nodes, hots)],
-                                                 names=["token", "node", "hot"])
+                level = levels[(s & U64(SLOTS - 1)).astype(np.int64)]
+                first = np.argsort((s >> U64(7)) | (level.astype(U64) << U64(57)), kind="stable")[:len(s) - need + 1]
+                place = (int(np.log(len(s)) / np.log(BAND)) << 10) + np.arange(len(first)) * 1024 // len(s)
+                out.append((np.full(len(first), _node(s)[0], np.int64), s[first].view(np.int64), place.astype(np.int32), level[first] >= HOT))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["node", "token", "place", "hot"])
+
+    return docs.select("text").mapInArrow(emit, "node long, token long, place int, hot boolean")
+
 
-    return docs.select("text").mapInArrow(emit, "token long, node long, hot boolean")
+def _possible(p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Whether two sets may link if the shingle at these places is their first common one (size and position filter)."""
+    low = [BAND ** (x >> 10) * 0.999 for x in (p, q)]
+    rest = [BAND ** ((x >> 10) + 1) * 1.001 * (1 - (x & 1023) / 1024) + 1 for x in (p, q)]
+    return np.minimum(*rest) >= percent / (100 + percent) * (low[0] + low[1])
 
 
-def _memberships(prefixes: DataFrame) -> DataFrame:
+def _partners(place: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of one inverted list may link to another one of it; all of a long list."""
+    if len(place) > LIST:
+        return np.ones(len(place), bool)
+    ok = _possible(place[:, None], place[None, :], percent)
+    np.fill_diagonal(ok, False)
+    return ok.any(1)
+
+
+def _memberships(prefixes: DataFrame, percent: int) -> DataFrame:
     """(anchor, node): each node with the anchors of its prefix shingles, itself not among them.
 
-    Rare shingles go through one sort: a run's first node is its anchor, and the
-    rest of the run streams by. Frequent ones are aggregated before the shuffle
-    and joined back, where a skewed join is split.
+    Rare shingles go through one sort: a list is the run of one token, nodes
+    without a possible partner in it leave it, and its first node is the anchor.
+    Frequent ones pass, spread over tasks by node, to an aggregate whose result
+    is joined back; a skewed join is split.
     """
+    def pairs(anchors: list, nodes: list, tokens: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
+        """Memberships, and frequent (token, node) rows as they are."""
+        anchors, nodes = np.concatenate(anchors), np.concatenate(nodes)
+        other = anchors != nodes
+        flag = np.concatenate([np.zeros(int(other.sum()), bool), np.ones(len(of), bool)])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([anchors[other], tokens])), pa.array(np.concatenate([nodes[other], of])),
+                                           pa.array(flag)], names=["anchor", "node", "hot"])
+
     def runs(batches):
-        last_token, anchor = None, None
-        for b in batches:
-            token, node = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            if not len(token):
+        held = None  # rows of the last list seen, which may go on
+        long_list = None  # (token, anchor) of a list so long that its rows pass at once
+        none = np.zeros(0, np.int64)
+        for b in chain(batches, [None]):
+            anchors, nodes = [none], [none]
+            if b is not None:
+                now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+                if long_list is not None:
+                    same = now[1] == long_list[0]
+                    nodes.append(now[0][same])
+                    anchors.append(np.full(int(same.sum()), long_list[1]))
+                    now = [x[~same] for x in now]
+                    if len(now[0]):
+                        long_list = None
+                held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            if held is None or not len(held[0]):
+                held = None
+                yield pairs(anchors, nodes, none, none)
                 continue
-            new = np.concatenate([[token[0] != last_token], token[1:] != token[:-1]])
-            lead = np.where(new, node, 0)
-            if not new[0]:
-                lead[0] = anchor
-            at = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            lead = lead[at]
-            last_token, anchor = token[-1], lead[-1]
-            out = np.unique(np.stack([lead, node], 1)[lead != node], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["anchor", "node"])
-
-    rare = prefixes.where("not hot").select("token", "node").repartition("token").sortWithinPartitions("token", "node")
-    rare = rare.mapInArrow(runs, "anchor long, node long")
-    hot = prefixes.where("hot").select("token", "node").distinct()
+            node, token, place, hot = held
+            new = np.ones(len(node), bool)  # repeated rows: copies
+            new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+            node, token, place, hot = node[new], token[new], place[new], hot[new]
+            begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            size = np.diff(np.concatenate([begin, [len(token)]]))
+            whole = np.ones(len(begin), bool)
+            held = None
+            if b is not None and not hot[-1]:
+                whole[-1] = False
+                if size[-1] > LIST:
+                    long_list = (token[-1], node[begin[-1]])
+                    nodes.append(node[begin[-1]:])
+                    anchors.append(np.full(size[-1], long_list[1]))
+                else:
+                    held = [x[begin[-1]:] for x in (node, token, place, hot)]
+            rare = whole & ~hot[begin]
+            two = begin[rare & (size == 2)]
+            two = two[_possible(place[two], place[two + 1], percent)]
+            anchors.append(node[two])
+            nodes.append(node[two + 1])
+            for k in np.flatnonzero(rare & (size > 2)).tolist():
+                span = slice(begin[k], begin[k] + size[k])
+                own = node[span][_partners(place[span], percent)]
+                anchors.append(np.repeat(own[:1], len(own)))
+                nodes.append(own)
+            yield pairs(anchors, nodes, token[hot], node[hot])
+
+    spread = F.when(F.col("hot"), F.col("node")).otherwise(F.lit(0).cast("long"))
+    rows = prefixes.repartition("token", spread).sortWithinPartitions("token", "node")
+    seen = materialize(rows.mapInArrow(runs, "anchor long, node long, hot boolean"), "jaccard-lists")
+    hot = seen.where("hot").select(F.col("anchor").alias("token"), "node")
     lead = hot.groupBy("token").agg(F.min("node").alias("anchor"))
-    return rare.union(hot.join(lead, "token").where("anchor <> node").select("anchor", "node")).distinct()
+    hot = hot.join(lead, "token").where("anchor <> node").select("anchor", "node")
+    return seen.where("not hot").select("anchor", "node").union(hot).distinct()
 
 
 def _payloads(docs: DataFrame) -> DataFrame:
-    """(node, doc_id, blob): compressed texts by set digest."""
+    """(doc_id, mark, blob): compressed texts."""
     def emit(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
-        for b in text_slices(batches, "text"):
-            texts = as_bytes(b.column("text"))
-            nodes = [_node(s)[0] for s in shingle_sets(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), b.column("doc_id"), pa.array([squeeze.compress(t) for t in texts], pa.binary())],
-                names=["node", "doc_id", "blob"])
+        for b in batches:
+            blobs = [squeeze.compress(t) for t in as_bytes(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(blobs, pa.binary())],
+                                             names=["doc_id", "mark", "blob"])
 
-    return docs.mapInArrow(emit, "node long, doc_id long, blob binary")
+    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    return rows.mapInArrow(emit, "doc_id long, mark long, blob binary")
 
 
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
@@ -306,54 +372,58 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return rows.groupBy(*keys).applyInArrow(search, "a long, b long, linked boolean")
 
 
-def links(docs: DataFrame, sized: DataFrame, percent: int = PERCENT, block_nodes: int = BLOCK_NODES) -> DataFrame:
+def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(a, b) links between nodes that connect them as all their links do."""
-    members = materialize(_memberships(_prefixes(docs, _frequent(docs), percent)), "jaccard-blocks")
-    parts = members.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / block_nodes).cast("int").alias("parts"))
+    members = _memberships(_prefixes(docs, levels, percent), percent)
+    one_doc = sized.groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "mark")).alias("doc"),
+                                        F.first("n").alias("n"))
+    members = materialize(members.join(one_doc.select("node", "n"), "node"), "jaccard-blocks")
+    parts = members.groupBy("anchor").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("parts"))
     whole = members.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    lead = parts.select("anchor", F.col("anchor").alias("node"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    whole = whole.select("anchor", "node", "parts", "part").union(lead)
-    one_doc = sized.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    nodes = members.select("node").union(members.select("anchor")).distinct().join(one_doc, "node")
-    texts = _payloads(docs).join(nodes.select("node", F.col("doc_id").alias("chosen")), "node").where(
-        F.col("doc_id").eqNullSafe(F.col("chosen"))).groupBy("node").agg(F.first("blob").alias("blob"))
-    texts = materialize(texts, "jaccard-texts")
-    rows = whole.join(texts, "node").withColumn("settled", F.lit(False))
-    found = materialize(_search(rows.select("anchor", "part", "node", "blob", "settled"), ["anchor", "part"], percent), "jaccard-links")
+    lead = parts.select("anchor", F.col("anchor").alias("node"), F.lit(0).cast("long").alias("n"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    whole = whole.select("anchor", "node", "n", "parts", "part").union(lead)
+    texts = _payloads(docs)
+
+    def with_text(rows: DataFrame) -> DataFrame:
+        return rows.join(one_doc, "node").select(*rows.columns, "doc.doc_id", "doc.mark").join(texts, ["doc_id", "mark"])
+
+    rows = with_text(whole.select("anchor", "part", "node", F.lit(False).alias("settled")))
+    found = materialize(_search(rows, ["anchor", "part"], percent), "jaccard-links")
     first = found.where("linked").select("a", "b")
     cut = parts.where("parts > 1")
     if cut.isEmpty():
         return first
     # blocks in several parts: what is not connected to the anchor in its part meets every part
     out = found.where("not linked").select(F.col("a").alias("anchor"), F.col("b").alias("node")).join(cut, "anchor")
-    turns = out.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / block_nodes).cast("int").alias("turns"))
+    out = out.join(one_doc.select("node", "n"), "node")
+    turns = out.groupBy("anchor").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("turns"))
     out = out.join(turns, "anchor").withColumn("turn", F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int"))
     queries = out.select("anchor", "node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "turn",
                          F.lit(False).alias("settled"))
-    others = whole.where("parts > 1").join(turns, "anchor").join(out.select("anchor", "node", F.lit(True).alias("is_out")), ["anchor", "node"], "left")
+    others = whole.where("parts > 1").join(turns, "anchor").join(
+        out.select("anchor", "node", F.lit(True).alias("is_out")), ["anchor", "node"], "left")
     others = others.select("anchor", "node", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"),
                            F.col("is_out").isNull().alias("settled"))
-    again = queries.union(others).groupBy("anchor", "part", "turn", "node").agg(F.max("settled").alias("settled")).join(texts, "node")
-    more = _search(again, ["anchor", "part", "turn"], percent).where("linked").select("a", "b")
-    return first.union(more)
+    again = queries.union(others).groupBy("anchor", "part", "turn", "node").agg(F.min("settled").alias("settled"))
+    return first.union(_search(with_text(again), ["anchor", "part", "turn"], percent).where("linked").select("a", "b"))
 
 
-def _rooted(docs: DataFrame, percent: int, block_nodes: int) -> DataFrame:
+def _rooted(docs: DataFrame, percent: int, block_shingles: int) -> DataFrame:
     """(doc_id, mark, n, root) of each document; root is null where the set is empty."""
     small_batches(docs.sparkSession)
-    sized = materialize(_sized(docs), "jaccard-sizes")
+    sized, levels = _sized(docs)
     nodes = sized.where("n > 0").groupBy("node").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
     if not nodes.where("p <> q").isEmpty():
         raise RuntimeError("two shingle sets share a 64-bit digest")
-    root = materialize(components(links(docs, sized.where("n > 0"), percent, block_nodes)), "jaccard-roots")
+    root = materialize(components(links(docs, sized.where("n > 0"), levels, percent, block_shingles)), "jaccard-roots")
     return sized.join(root, "node", "left").select(
         "doc_id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("root"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                       block_nodes: int = BLOCK_NODES) -> DataFrame:
+                       block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    rows = _rooted(doc_text(docs, id_col, text_col), percent, block_nodes)
+    rows = _rooted(doc_text(docs, id_col, text_col), percent, block_shingles)
     least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -361,9 +431,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-             block_nodes: int = BLOCK_NODES) -> DataFrame:
+             block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One document of each component, the least by (id, text hash), with all its columns; documents without words all stay."""
-    rows = materialize(_rooted(doc_text(docs, id_col, text_col), percent, block_nodes), "jaccard-rows")
+    rows = materialize(_rooted(doc_text(docs, id_col, text_col), percent, block_shingles), "jaccard-rows")
     chosen = rows.where("n > 0").groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
     key, mark, at = (free_name(docs, c) for c in ("kept_id", "kept_mark", "kept_at"))
     chosen = chosen.select(F.coalesce("first.doc_id", F.lit(NULL_ID)).alias(key), F.col("first.mark").alias(mark))

@@ -163,10 +163,44 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN g USING (r)
 """
 
+_OP10 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+ln AS (SELECT r, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM d),
+late AS (
+  SELECT r, x FROM (SELECT r, x, row_number() OVER (PARTITION BY r, x ORDER BY i) AS k FROM ln WHERE regexp_matches(x, '[^\x20\x09-\x0D]')) q WHERE k > 1),
+lines AS (
+  SELECT r, count(*) AS n_dup_lines, sum(length(array_to_string(regexp_extract_all(x, '[^\x20\x09-\x0D]+'), ''))) AS dup_line_chars FROM late GROUP BY r),
+g AS (
+  SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS t
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT unnest(range(5, 11)) AS n) WHERE len(ws) >= n)),
+dup AS (SELECT r, n, i FROM (SELECT r, n, i, count(*) OVER (PARTITION BY r, n, t) AS c FROM g) q WHERE c > 1),
+cov AS (SELECT DISTINCT r, n, i + k AS i FROM dup, (SELECT unnest(range(10)) AS k) WHERE k < n),
+cc AS (SELECT r, n, count(*) AS nw, sum(length(ws[i])) AS nc FROM cov JOIN d USING (r) GROUP BY r, n),
+p AS (
+  SELECT r, coalesce(max(nw) FILTER (n = 5), 0)::BIGINT AS n_repeat_words,
+         coalesce(max(nc) FILTER (n = 5), 0)::BIGINT AS dup_5gram_chars,
+         coalesce(max(nc) FILTER (n = 6), 0)::BIGINT AS dup_6gram_chars,
+         coalesce(max(nc) FILTER (n = 7), 0)::BIGINT AS dup_7gram_chars,
+         coalesce(max(nc) FILTER (n = 8), 0)::BIGINT AS dup_8gram_chars,
+         coalesce(max(nc) FILTER (n = 9), 0)::BIGINT AS dup_9gram_chars,
+         coalesce(max(nc) FILTER (n = 10), 0)::BIGINT AS dup_10gram_chars
+  FROM cc GROUP BY r),
+s AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars, coalesce(dup_5gram_chars, 0) AS dup_5gram_chars, coalesce(dup_6gram_chars, 0) AS dup_6gram_chars, coalesce(dup_7gram_chars, 0) AS dup_7gram_chars, coalesce(dup_8gram_chars, 0) AS dup_8gram_chars, coalesce(dup_9gram_chars, 0) AS dup_9gram_chars, coalesce(dup_10gram_chars, 0) AS dup_10gram_chars
+  FROM d LEFT JOIN lines USING (r) LEFT JOIN p USING (r)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
+SELECT *, NOT (base_failed OR 100 * dup_line_chars > 30 * word_chars OR 100 * n_symbols > 20 * n_words OR 100 * dup_5gram_chars > 30 * word_chars OR 100 * dup_6gram_chars > 29 * word_chars OR 100 * dup_7gram_chars > 28 * word_chars OR 100 * dup_8gram_chars > 27 * word_chars OR 100 * dup_9gram_chars > 26 * word_chars OR 100 * dup_10gram_chars > 25 * word_chars) AS kept FROM f
+"""
+
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": _OP3,
     "op4_format_chat": _OP4,
     "op5_mix_sources": _OP5,
     "op7_ngram_jaccard": _OP7,
     "op9_secret_ownership": _OP9,
+    "op10_repetition_quality": _OP10,
 }

@@ -30,6 +30,8 @@ from gridcast.llm.common import as_bytes, small_batches, text_slices
 
 ORDER = 3
 MAX_DOCS, MAX_CHARS = 1000, 2_000_000
+#: Times max_docs that a language's hash range should hold; most languages.
+SPARE, MAX_LANGS = 8, 1000
 #: Bytes before a text's first one.
 START = b"\n" * ORDER
 PIECE = 1 << 20
@@ -114,8 +116,17 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs:
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.length(text_col).alias("n"),
         F.col(text_col).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.coalesce("id", F.lit(""))), "id", "n")
-    chosen = rows.select("id", "lang", "n").withColumn("at", F.row_number().over(order)).where(F.col("at") <= max_docs)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()
+    if not sizes:
+        return {}
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    # a hash range of each language that holds a few times max_docs rows, so that ranking stays small however many there are
+    share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, SPARE * max_docs / r["n"])))))
+    rank = F.xxhash64(F.coalesce("id", F.lit("")))
+    order = Window.partitionBy("lang").orderBy(rank, "id", "n")
+    near = rows.select("id", "lang", "n").where(F.pmod(rank, F.lit(1 << 20)) / (1 << 20) < share[F.col("lang")])
+    chosen = near.withColumn("at", F.row_number().over(order)).where(F.col("at") <= max_docs)
     chosen = chosen.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     chosen = chosen.where((F.col("at") == 1) | (F.col("upto") <= max_chars)).select("id", "lang").distinct()
     found: dict[str, list[bytes]] = {}

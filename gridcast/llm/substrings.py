@@ -32,38 +32,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import NULL_ID, Words, as_bytes, doc_text, rolling, scramble, sliding_min, small_batches, text_slices
+from gridcast.llm.common import (
+    NULL_ID, SLOTS, Words, as_bytes, doc_text, frequent_slots, rolling, scramble, sliding_min, small_batches, text_slices)
 
 WINDOW, MINIMISER = 20, 3
 #: Windows that a bucket should hold.
 BUCKET_WINDOWS = 400_000
 SLICE_BYTES = 8 << 20
-SLOTS = 1 << 16
-#: A slot this many times as full as the mean is frequent.
-FREQUENT = 8
 
 
 def _mmers(words: Words, m: int) -> np.ndarray:
     return scramble(rolling(words.hashes, m))
 
 
-def frequent_slots(docs: DataFrame, m: int = MINIMISER) -> tuple[np.ndarray, int]:
-    """Which of SLOTS slots of m-word hashes are frequent over the whole corpus, and how many m-words there are."""
-    def count(batches):
-        total = np.zeros(SLOTS, np.int64)
-        for b in text_slices(batches, "text", SLICE_BYTES):
-            words = Words(as_bytes(b.column("text")))
-            h = _mmers(words, m)[words.window_starts(m)]
-            total += np.bincount((h & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["slot", "n"])
-
-    full = np.zeros(SLOTS, np.int64)
-    for r in docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        full[r["slot"]] = r["n"]  # SLOTS rows at most
-    return full > FREQUENT * max(1.0, full.mean()), int(full.sum())
-
-
 def _repeats(words: Words, at: np.ndarray, hashes: np.ndarray, doc: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
     """Of windows in (doc, start) order, which have an equal one with a smaller (doc, start).
 
@@ -112,7 +93,7 @@ def _pack(parts: list[tuple[np.ndarray, ...]], text: bytes) -> bytes:
     """Two tables of integer columns and the packed strings, compressed."""
     raw = [struct.pack("<II", *(len(p[0]) for p in parts))]
     raw += [np.ascontiguousarray(c, "<i8").tobytes() for p in parts for c in p]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(raw) + text)
+    return zstandard.ZstdCompressor(level=7).compress(b"".join(raw) + text)
 
 
 def _unpack(blob: bytes) -> tuple[list[np.ndarray], list[np.ndarray], bytes]:

@@ -34,8 +34,8 @@ from gridcast.session import shared_path
 
 END_ID = 1
 BLOCK_BYTES = 4 << 20
-#: Words whose ids a worker keeps; the table is emptied when it is full.
-WORD_CACHE = 800_000
+#: Words whose ids a worker keeps in each of two tables; a full table is emptied.
+WORD_CACHE = 500_000
 #: A pair must occur so often in a block to become a rule; most rounds of replacement.
 MIN_PAIRS, ROUNDS = 16, 10
 _SLOTS = 1 << 20
@@ -64,7 +64,8 @@ class WordEncoder:
         self.ends = np.zeros(size, bool)
         for word, i in self.tok.get_vocab().items():
             self.ends[i] = word.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}  # ids of words without trailing punctuation
+        self.whole: dict[bytes, bytes] = {}  # ids of words as they stand in texts
 
     def _learn(self, words: list[bytes]) -> None:
         if len(self.known) + len(words) > WORD_CACHE:
@@ -98,9 +99,13 @@ class WordEncoder:
             return np.zeros(0, np.uint32), count
         coded = pa.array(flat, pa.binary()).dictionary_encode()
         where = coded.indices.to_numpy(zero_copy_only=False)
+        vocab = coded.dictionary.to_pylist()
+        ids = [self.whole.get(w) for w in vocab]
+        missing = [i for i, x in enumerate(ids) if x is None]
         parts: list[tuple[bytes, bytes]] = []
         need: dict[bytes, None] = {}
-        for w in coded.dictionary.to_pylist():
+        for i in missing:
+            w = vocab[i]
             core = w.rstrip(b".,!")
             if core and len(core) < len(w) and not core.decode()[-1].isalnum():
                 core = w
@@ -120,7 +125,10 @@ class WordEncoder:
         if new:
             self._learn(new)
         known = self.known
-        ids = [known[a] + known[b] if b else known[a] for a, b in parts]
+        if len(self.whole) + len(missing) > WORD_CACHE:
+            self.whole.clear()
+        for i, (a, b) in zip(missing, parts):
+            ids[i] = self.whole[vocab[i]] = known[a] + known[b] if b else known[a]
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         pool = np.frombuffer(b"".join(ids), np.uint32)
         begin = np.cumsum(size) - size
