@@ -209,13 +209,16 @@ def exact_median(df: DataFrame, col: str, series, accuracy: int = 100_000) -> Da
     cnt = j.groupBy(*series).agg(
         F.count(F.when(F.col("_y") < F.col("_lo"), 1)).alias("_lt"),
         F.count(F.when(F.col("_y") == F.col("_lo"), 1)).alias("_eqlo"),
-        F.count(F.when((F.col("_y") > F.col("_lo")) & (F.col("_y") < F.col("_hi")), 1)).alias("_mid"))
+        F.count(F.when((F.col("_y") > F.col("_lo")) & (F.col("_y") < F.col("_hi")), 1)).alias("_mid"),
+        F.count(F.when(F.col("_y") <= F.col("_hi"), 1)).alias("_upto"))
     inside = j.where((F.col("_y") > F.col("_lo")) & (F.col("_y") < F.col("_hi")))
     ranked = inside.select(*series, "_y", (F.row_number().over(
         Window.partitionBy(*series).orderBy("_y")) - 1).alias("_r"))
     st = br.join(cnt, series).select(
-        *series, "_n", "_lo", "_hi", "_lt", "_eqlo", "_mid",
+        *series, "_n", "_lo", "_hi", "_lt", "_eqlo", "_mid", "_upto",
         F.floor((F.col("_n") - 1) / 2).alias("_k1"), F.floor(F.col("_n") / 2).alias("_k2"))
+    missed = (F.col("_k1") < F.col("_lt")) | (F.col("_k2") >= F.col("_upto"))
+    st = st.withColumn("_lo", F.when(missed, F.raise_error(F.lit("the sketch's bracket misses the median"))).otherwise(F.col("_lo")))
 
     def order_stat(k: str):
         base = F.col(k) - F.col("_lt") - F.col("_eqlo")
@@ -236,12 +239,10 @@ def exact_median(df: DataFrame, col: str, series, accuracy: int = 100_000) -> Da
     return st.select(*series, med.alias("median"))
 
 
-def check_target_distribution(df: DataFrame, target: str = "target_demand", series=None,
-                              approx_median: bool = False) -> DataFrame:
+def check_target_distribution(df: DataFrame, target: str = "target_demand", series=None) -> DataFrame:
     """Mean, median, std, min, max and outliers beyond mean +/- 3 std (V9).
 
-    The median is exact (``exact_median``: bounded per task);
-    ``approx_median`` uses ``percentile_approx`` alone.
+    The median is exact (``exact_median``: bounded per task).
     """
     series = [series] if isinstance(series, str) else list(series or [])
     whole = not series
@@ -250,10 +251,7 @@ def check_target_distribution(df: DataFrame, target: str = "target_demand", seri
     y = F.col(target)
     aggs = [F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"),
             F.count(F.lit(1)).alias("n")]
-    if approx_median:
-        st = df.groupBy(*series).agg(F.percentile_approx(y, 0.5, 10000).alias("median"), *aggs)
-    else:
-        st = df.groupBy(*series).agg(*aggs).join(exact_median(df, target, series), series)
+    st = df.groupBy(*series).agg(*aggs).join(exact_median(df, target, series), series)
     j = df.join(st.select(*series, "mean", "std"), series)
     out = j.groupBy(*series).agg(F.count(F.when((y < F.col("mean") - 3 * F.col("std")) |
                                                 (y > F.col("mean") + 3 * F.col("std")), 1)).alias("outliers"))
@@ -264,37 +262,55 @@ def check_target_distribution(df: DataFrame, target: str = "target_demand", seri
         "passed", F.col("outliers") == 0)
 
 
+def _one_pass_flags(df: DataFrame, target: str, series: str) -> DataFrame:
+    """Per series, the checks that one aggregation decides: V3, V5, V7, V8 and the outlier flag of V9.
+
+    A value lies beyond mean +/- 3 std exactly when the least or the greatest does.
+    """
+    def total(conditions):
+        return sum((F.count_if(F.coalesce(c, F.lit(False))) for c in conditions), F.lit(0))
+
+    inf = float("inf")
+    rules = {c: r for c, r in EXPECTED_RANGES.items() if c in df.columns}
+    pairs = [(a, b) for a, b in LEAKAGE_PAIRS if a in df.columns and b in df.columns]
+    y = F.col(target)
+    aggs = [total(F.col(c).isNull() for c in df.columns if c != series).alias("_missing"),
+            total((F.col(c) < lo) | (F.col(c) > hi) for c, (lo, hi) in rules.items()).alias("_outside"),
+            total(F.abs(F.col(c).cast("double")) == inf for c in numeric_columns(df, exclude=[series])).alias("_infinite"),
+            F.avg(y).alias("_mean"), F.stddev_samp(y).alias("_std"), F.min(y).alias("_min"), F.max(y).alias("_max"),
+            F.count(F.lit(1)).alias("_n")]
+    for i, (a, b) in enumerate(pairs):
+        x, z = F.col(a).cast("double"), F.col(b).cast("double")
+        aggs += [F.covar_pop(x, z).alias(f"_c{i}"), (F.stddev_pop(x) * F.stddev_pop(z)).alias(f"_s{i}"),
+                 F.count_if(x == z).alias(f"_e{i}")]
+    leak = F.lit(False)
+    for i in range(len(pairs)):
+        leak = leak | F.coalesce(F.try_divide(f"_c{i}", f"_s{i}") > 0.999, F.lit(False)) | (F.col(f"_e{i}") > F.col("_n") * 0.5)
+    return df.groupBy(series).agg(*aggs).select(
+        series, (F.col("_missing") == 0).alias("missing_values"), (F.col("_outside") == 0).alias("data_ranges"),
+        (F.col("_infinite") == 0).alias("infinite_values"), (~leak).alias("data_leakage"),
+        F.coalesce((F.col("_min") >= F.col("_mean") - 3 * F.col("_std")) & (F.col("_max") <= F.col("_mean") + 3 * F.col("_std")),
+                   F.lit(True)).alias("target_distribution"))
+
+
 def validation_report(df: DataFrame, ts: str = "timestamp", target: str = "target_demand",
                       series: str = "series_id") -> DataFrame:
     """All checks on one frame -> (check, passed) rows per series.
 
-    The frame is staged once in the shared folder; the seven checks read
-    the staged table instead of recomputing its lineage seven times.
+    The frame is staged once; one aggregation decides five checks, continuity
+    and repeated timestamps take one pass each.
     """
     from gridcast.operators.dedupe import duplicate_timestamps
     from gridcast.session import materialize
     df = materialize(df, "validation-frame")
-    cols = [c for c in df.columns if c != series]
-    parts = {
-        "missing_values": check_missing(df, cols, series).groupBy(series).agg(F.sum("missing") == 0),
-        "data_ranges": check_ranges(df, series=series).groupBy(series).agg(F.bool_and("passed")),
-        "temporal_continuity": check_continuity(df, series, ts).groupBy(series).agg(F.count(F.lit(1)) == 0),
-        "infinite_values": check_infinite(df, series=series).groupBy(series).agg(F.sum("infinite") == 0),
-        "duplicate_timestamps": duplicate_timestamps(df, series, ts).select(series, "passed"),
-        "data_leakage": check_leakage(df, series=series).groupBy(series).agg(~F.bool_or("suspicious")),
-        # the flag needs only the outlier count; the approximate-median variant
-        # lets Catalyst prune the (unused) median entirely
-        "target_distribution": check_target_distribution(df, target, series, approx_median=True)
-        .select(series, "passed"),
-    }
-    names = df.select(series).distinct()
-    out = None
-    for i, (name, part) in enumerate(parts.items()):
-        p = part.toDF(series, "passed")
-        r = names.join(p, series, "left").select(series, F.lit(i).alias("order"), F.lit(name).alias("check"),
-                                                 F.coalesce("passed", F.lit(True)).alias("passed"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    gaps = check_continuity(df.select(series, ts), series, ts).groupBy(series).agg(F.lit(False).alias("temporal_continuity"))
+    once = duplicate_timestamps(df, series, ts).select(series, F.col("passed").alias("duplicate_timestamps"))
+    flags = _one_pass_flags(df, target, series).join(once, series).join(gaps, series, "left")
+    checks = ["missing_values", "data_ranges", "temporal_continuity", "infinite_values", "duplicate_timestamps",
+              "data_leakage", "target_distribution"]
+    rows = F.array(*[F.struct(F.lit(i).alias("order"), F.lit(c).alias("check"), F.coalesce(c, F.lit(True)).alias("passed"))
+                     for i, c in enumerate(checks)])
+    return flags.select(series, F.inline(rows))
 
 
 def sample_issues(gaps: DataFrame, dup_keys: DataFrame, pairs: DataFrame, series: str = "series_id",
