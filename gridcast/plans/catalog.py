@@ -608,6 +608,17 @@ def q_replace_range_report(spark, sf_dir):
     return report.withColumn("rows_after", F.lit(spark.read.parquet(path).count()).cast("long"))
 
 
+@query("feed_refresh")
+def q_feed_refresh(spark, sf_dir):
+    """Feed refresh: a re-fetched window through dedupe, hourly means, forecast join and DST into the demand table."""
+    from gridcast.plans.feed_flow import hourly_feed, refresh_feed
+    feed = B.demand_feed(spark, sf_dir)
+    path = _path(spark, "feed-demand")
+    hourly_feed(feed.where("delivery = 0")).withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(path)
+    refresh_feed(spark, feed.where("delivery = 1"), path)
+    return spark.read.parquet(path).drop("day")
+
+
 @query("missing_years")
 def q_missing_years(spark, sf_dir):
     """Of {last year, next year} of the data, the years the calendar lacks."""
@@ -920,6 +931,13 @@ def q_validation_report(spark, sf_dir):
     return validation_report(_validation_frame(spark, sf_dir))
 
 
+@query("validation_flow")
+def q_validation_flow(spark, sf_dir):
+    """Validation run: near duplicates removed, the rest saved, all checks and row counts reported."""
+    from gridcast.plans.feed_flow import clean_and_report
+    return clean_and_report(spark, _validation_frame(spark, sf_dir), _path(spark, "validated"), ["target_demand", "temperature", "humidity"])
+
+
 @query("sample_issues")
 def q_sample_issues(spark, sf_dir):
     """First gaps, repeated timestamps and near-duplicate pairs per series."""

@@ -1201,3 +1201,12 @@ SELECT series_id, ts, {R('demand', 'demand')}, row_number() OVER w - 1 AS pos, {
        {R('lag(demand, 7) OVER w', 'lag_7')}, {R('lag(demand, 168) OVER w', 'lag_168')},
        {R('CASE WHEN row_number() OVER w >= 24 THEN stddev_samp(demand) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END', 'std_168')}
 FROM large_daily_series WINDOW w AS (PARTITION BY series_id ORDER BY ts)""", "large_daily_series"))
+oracle("validation_flow", f"SELECT r.*, CAST(n.n AS BIGINT) AS rows_before, CAST(n.n AS BIGINT) AS rows_after "
+                          f"FROM ({ORACLE['validation_report']}) r, ({with_ctes('SELECT count(*) AS n FROM vframe', 'vframe')}) n")
+oracle("feed_refresh", with_ctes(f"""
+SELECT series_id, ts, {R('a', 'actual_demand')}, {R('f', 'demand_forecast')},
+       NOT {dst_summer('ts')} AS daylight_savings_winter, {dst_summer('ts')} AS daylight_savings_summer
+FROM (SELECT delivery, series_id, date_trunc('hour', ts) AS ts, avg(load) AS a, avg(forecast) AS f FROM demand_feed GROUP BY 1, 2, 3) h
+WHERE delivery = 1 OR NOT EXISTS (
+  SELECT 1 FROM (SELECT series_id, min(date_trunc('hour', ts)) AS lo, max(date_trunc('hour', ts)) AS hi FROM demand_feed WHERE delivery = 1 GROUP BY 1) r
+  WHERE r.series_id = h.series_id AND h.ts BETWEEN r.lo AND r.hi)""", "demand_feed"))
