@@ -4,12 +4,13 @@ A document's set holds its distinct 5-word shingles (A-Z lower-cased); two
 documents link when 100 * |intersection| >= 80 * |union|.
 
 1. Documents with equal sets are one node (a 64-bit digest, checked by another).
-2. Linked sets share one of their first |s| - ceil(0.8 |s|) + 1 shingles in a
+2. Linked sets share 4 of their first |s| - ceil(0.8 |s|) + 4 shingles in a
    common order: rarer before more frequent ones, as a sketch of all shingle
    counts (2^18 slots, whatever the corpus) tells them, then by hash. Of the nodes that have a shingle in their prefix,
    those stay whose size and position of it allow a link to another one; the
-   least is the shingle's *anchor*. Nodes with one anchor form a block, so any two
-   linked nodes meet in a block.
+   least is the shingle's *anchor*. Nodes with one anchor form a block. Pairs that
+   share short lists only must share 4, which drops chance meetings; so any two
+   linked nodes still meet in a block.
 3. In a block, DivideSkip finds the nodes that share at least T shingles with a
    query: its long inverted lists are left out, the short ones merged, and what
    occurs T - L times there is probed in the L long lists. Pairs that links
@@ -46,8 +47,14 @@ SHINGLE, PERCENT = 5, 80
 #: Slots of the sketch; frequency levels are half powers of two of its mean, and from HOT on a shingle is hot.
 SLOTS, HOT = 1 << 18, 6
 BLOCK_SHINGLES = 400_000
+#: Slots of the bitmap that spares documents outside all blocks the join with their texts.
+NEEDED_SLOTS = 1 << 20
 #: Ratio of the size bands in the filter of inverted lists; lists up to this length are filtered pair by pair.
 BAND, LIST = 1.02, 256
+#: Linked sets share at least COMMON of their first |s| - need + COMMON shingles (4 of any 5, so 4 at most).
+#: Lists of up to SHORT nodes are taken pair by pair.
+COMMON, SHORT = 4, 8
+_LIST, _PAIR, _FREQUENT = 0, 1, 2
 #: Weight of DivideSkip's rule for the number of long lists, T / (MU log2(longest) + 1).
 MU = 0.0085
 
@@ -241,7 +248,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
                 if need >= len(s):  # only equal sets link
                     continue
                 level = levels[(s & U64(SLOTS - 1)).astype(np.int64)]
-                first = np.argsort((s >> U64(7)) | (level.astype(U64) << U64(57)), kind="stable")[:len(s) - need + 1]
+                first = np.argsort((s >> U64(7)) | (level.astype(U64) << U64(57)), kind="stable")[:len(s) - need + COMMON]
                 place = (int(np.log(len(s)) / np.log(BAND)) << 10) + np.arange(len(first)) * 1024 // len(s)
                 out.append((np.full(len(first), _node(s)[0], np.int64), s[first].view(np.int64), place.astype(np.int32), level[first] >= HOT))
             if out:
@@ -251,9 +258,9 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
 
 
 def _possible(p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
-    """Whether two sets may link if the shingle at these places is their first common one (size and position filter)."""
+    """Whether two sets may link if the shingle at these places is one of their first COMMON ones (size and position filter)."""
     low = [BAND ** (x >> 10) * 0.999 for x in (p, q)]
-    rest = [BAND ** ((x >> 10) + 1) * 1.001 * (1 - (x & 1023) / 1024) + 1 for x in (p, q)]
+    rest = [BAND ** ((x >> 10) + 1) * 1.001 * (1 - (x & 1023) / 1024) + COMMON for x in (p, q)]
     return np.minimum(*rest) >= percent / (100 + percent) * (low[0] + low[1])
 
 
@@ -269,25 +276,30 @@ def _partners(place: np.ndarray, percent: int) -> np.ndarray:
 def _memberships(prefixes: DataFrame, percent: int) -> DataFrame:
     """(anchor, node): each node with the anchors of its prefix shingles, itself not among them.
 
-    Rare shingles go through one sort: a list is the run of one token, nodes
-    without a possible partner in it leave it, and its first node is the anchor.
-    Frequent ones pass, spread over tasks by node, to an aggregate whose result
-    is joined back; a skewed join is split.
+    Rare shingles go through one sort; a list is the run of one token. Linked
+    nodes share their first COMMON shingles' lists. If one of these lists is
+    longer than SHORT, they meet under its anchor, its first node, once nodes
+    without a possible partner in it have left. Otherwise they are a possible
+    pair of COMMON short lists, so pairs of fewer (chance) are dropped; a pair
+    is a block of its lesser node. Frequent shingles pass, spread over tasks by
+    node, to an aggregate whose result is joined back; a skewed join is split.
     """
-    def pairs(anchors: list, nodes: list, tokens: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
-        """Memberships, and frequent (token, node) rows as they are."""
-        anchors, nodes = np.concatenate(anchors), np.concatenate(nodes)
-        other = anchors != nodes
-        flag = np.concatenate([np.zeros(int(other.sum()), bool), np.ones(len(of), bool)])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([anchors[other], tokens])), pa.array(np.concatenate([nodes[other], of])),
-                                           pa.array(flag)], names=["anchor", "node", "hot"])
+    def rows_of(kinds: list[tuple[int, list, list]]) -> pa.RecordBatch:
+        a, b, k = [], [], []
+        for kind, x, y in kinds:
+            x, y = np.concatenate(x), np.concatenate(y)
+            keep = (x != y) | (kind == _FREQUENT)
+            a.append(x[keep])
+            b.append(y[keep])
+            k.append(np.full(int(keep.sum()), kind, np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (a, b, k)], names=["anchor", "node", "kind"])
 
     def runs(batches):
         held = None  # rows of the last list seen, which may go on
         long_list = None  # (token, anchor) of a list so long that its rows pass at once
         none = np.zeros(0, np.int64)
         for b in chain(batches, [None]):
-            anchors, nodes = [none], [none]
+            anchors, nodes, lesser, greater = [none], [none], [none], [none]
             if b is not None:
                 now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
                 if long_list is not None:
@@ -300,7 +312,7 @@ def _memberships(prefixes: DataFrame, percent: int) -> DataFrame:
                 held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
             if held is None or not len(held[0]):
                 held = None
-                yield pairs(anchors, nodes, none, none)
+                yield rows_of([(_LIST, anchors, nodes)])
                 continue
             node, token, place, hot = held
             new = np.ones(len(node), bool)  # repeated rows: copies
@@ -321,35 +333,55 @@ def _memberships(prefixes: DataFrame, percent: int) -> DataFrame:
             rare = whole & ~hot[begin]
             two = begin[rare & (size == 2)]
             two = two[_possible(place[two], place[two + 1], percent)]
-            anchors.append(node[two])
-            nodes.append(node[two + 1])
+            lesser.append(node[two])
+            greater.append(node[two + 1])
             for k in np.flatnonzero(rare & (size > 2)).tolist():
                 span = slice(begin[k], begin[k] + size[k])
-                own = node[span][_partners(place[span], percent)]
-                anchors.append(np.repeat(own[:1], len(own)))
-                nodes.append(own)
-            yield pairs(anchors, nodes, token[hot], node[hot])
+                own = node[span]
+                if size[k] <= SHORT:
+                    i, j = np.triu_indices(len(own), 1)
+                    ok = _possible(place[span][i], place[span][j], percent)
+                    lesser.append(own[i[ok]])
+                    greater.append(own[j[ok]])
+                else:
+                    own = own[_partners(place[span], percent)]
+                    anchors.append(np.repeat(own[:1], len(own)))
+                    nodes.append(own)
+            yield rows_of([(_LIST, anchors, nodes), (_PAIR, lesser, greater), (_FREQUENT, [token[hot]], [node[hot]])])
 
     spread = F.when(F.col("hot"), F.col("node")).otherwise(F.lit(0).cast("long"))
     rows = prefixes.repartition("token", spread).sortWithinPartitions("token", "node")
-    seen = materialize(rows.mapInArrow(runs, "anchor long, node long, hot boolean"), "jaccard-lists")
-    hot = seen.where("hot").select(F.col("anchor").alias("token"), "node")
+    seen = materialize(rows.mapInArrow(runs, "anchor long, node long, kind int"), "jaccard-lists")
+    hot = seen.where(F.col("kind") == _FREQUENT).select(F.col("anchor").alias("token"), "node")
     lead = hot.groupBy("token").agg(F.min("node").alias("anchor"))
     hot = hot.join(lead, "token").where("anchor <> node").select("anchor", "node")
-    return seen.where("not hot").select("anchor", "node").union(hot).distinct()
+    pairs = seen.where(F.col("kind") == _PAIR).groupBy("anchor", "node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON)
+    lists = seen.where(F.col("kind") == _LIST).select("anchor", "node")
+    return lists.union(pairs.select("anchor", "node")).union(hot).distinct()
+
 
+def _payloads(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(doc_id, mark, blob): compressed texts of the documents in `needed` (doc_id, mark), and of a few others.
+
+    A bitmap of hash slots, of fixed size, keeps most others out of the join
+    that follows; however many are needed, none of them is left out.
+    """
+    slot = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(NEEDED_SLOTS))
+    bitmap = np.zeros(NEEDED_SLOTS, bool)
+    bitmap[needed.select(slot.alias("slot")).distinct().toArrow().column(0).to_numpy()] = True  # a row per slot at most
+    bits = np.packbits(bitmap)
 
-def _payloads(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, blob): compressed texts."""
     def emit(batches):
-        squeeze = zstandard.ZstdCompressor(level=3)
+        wanted = np.unpackbits(bits).astype(bool)
+        squeeze = zstandard.ZstdCompressor(level=8)
         for b in batches:
+            b = b.filter(pa.array(wanted[b.column("slot").to_numpy(zero_copy_only=False)]))
             blobs = [squeeze.compress(t) for t in as_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(blobs, pa.binary())],
                                              names=["doc_id", "mark", "blob"])
 
     rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    return rows.mapInArrow(emit, "doc_id long, mark long, blob binary")
+    return rows.withColumn("slot", slot).mapInArrow(emit, "doc_id long, mark long, blob binary")
 
 
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
@@ -374,6 +406,8 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
 
 def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(a, b) links between nodes that connect them as all their links do."""
+    if percent < 100 and 100 // (100 - percent) - 1 < COMMON:
+        raise ValueError(f"at {percent} percent the smallest sets that can link to others share fewer than {COMMON} shingles")
     members = _memberships(_prefixes(docs, levels, percent), percent)
     one_doc = sized.groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "mark")).alias("doc"),
                                         F.first("n").alias("n"))
@@ -382,10 +416,10 @@ def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int =
     whole = members.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     lead = parts.select("anchor", F.col("anchor").alias("node"), F.lit(0).cast("long").alias("n"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     whole = whole.select("anchor", "node", "n", "parts", "part").union(lead)
-    texts = _payloads(docs)
 
     def with_text(rows: DataFrame) -> DataFrame:
-        return rows.join(one_doc, "node").select(*rows.columns, "doc.doc_id", "doc.mark").join(texts, ["doc_id", "mark"])
+        rows = rows.join(one_doc, "node").select(*rows.columns, "doc.doc_id", "doc.mark")
+        return rows.join(_payloads(docs, rows.select("doc_id", "mark")), ["doc_id", "mark"])
 
     rows = with_text(whole.select("anchor", "part", "node", F.lit(False).alias("settled")))
     found = materialize(_search(rows, ["anchor", "part"], percent), "jaccard-links")

@@ -49,13 +49,14 @@ def corpus(seed, n=200):
     return rows + [(None, None), (900, ""), (901, "a b"), (902, "A  b"), (None, rows[0][1])]
 
 
-@pytest.mark.parametrize("block,length", [(2000, 256), (5, 3)])
-def test_components_equal_all_pairs(spark, monkeypatch, block, length):
+@pytest.mark.parametrize("block,length,short", [(400_000, 256, 8), (150, 3, 2)])
+def test_components_equal_all_pairs(spark, monkeypatch, block, length, short):
     monkeypatch.setattr(j, "LIST", length)
+    monkeypatch.setattr(j, "SHORT", short)
     monkeypatch.setattr(common, "ARROW_ROWS", 7)
-    rows = corpus(block)
+    rows = corpus(length)
     want, _ = brute(rows)
-    got = [tuple(r) for r in j.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), block_nodes=block).collect()]
+    got = [tuple(r) for r in j.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), block_shingles=block).collect()]
     order = lambda r: tuple((x is not None, x or 0) for x in r)
     assert sorted(got, key=order) == sorted(want, key=order)
 
