@@ -244,9 +244,9 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
         for b in text_slices(batches, "text"):
             out = []
             for s in shingle_sets(as_bytes(b.column("text"))):
-                need = least_overlap(len(s), percent)
-                if need >= len(s):  # only equal sets link
+                if percent * (len(s) + 1) > 100 * len(s):  # not even a set of one shingle more links: only equal sets do
                     continue
+                need = least_overlap(len(s), percent)
                 level = levels[(s & U64(SLOTS - 1)).astype(np.int64)]
                 first = np.argsort((s >> U64(7)) | (level.astype(U64) << U64(57)), kind="stable")[:len(s) - need + COMMON]
                 place = (int(np.log(len(s)) / np.log(BAND)) << 10) + np.arange(len(first)) * 1024 // len(s)

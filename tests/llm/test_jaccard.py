@@ -86,3 +86,26 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 501), (501, 502), (502, 500)]
     got = dict(tuple(r) for r in components.components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 500: 500, 501: 500, 502: 500}
+
+
+@pytest.mark.parametrize("block,length,short", [(400_000, 256, 8), (10, 3, 2)])
+def test_sets_of_four_link_to_sets_of_five(spark, monkeypatch, block, length, short):
+    monkeypatch.setattr(j, "LIST", length)
+    monkeypatch.setattr(j, "SHORT", short)
+    rows, doc = [], iter(range(1000))
+    for g in range(12):
+        w = [f"g{g}x{i}" for i in range(10)]
+        rows.append((next(doc), " ".join(w[:8])))  # four shingles, in five with the next one
+        rows.append((next(doc), " ".join(w[:9])))
+        v = [f"h{g}x{i}" for i in range(10)]  # a chain: nine words, the eight inside, nine
+        rows += [(next(doc), " ".join(v[:9])), (next(doc), " ".join(v[1:9])), (next(doc), " ".join(v[1:10]))]
+        u = [f"k{g}x{i}" for i in range(8)]  # three in four shingles do not link
+        rows += [(next(doc), " ".join(u[:7])), (next(doc), " ".join(u))]
+    common = [f"c{i}" for i in range(8)]  # one passage in many documents, with a word more at either end
+    rows += [(next(doc), " ".join(common))]
+    rows += [(next(doc), " ".join([f"a{i}", *common] if i % 2 else [*common, f"a{i}"])) for i in range(30)]
+    want, groups = brute(rows)
+    got = [tuple(r) for r in j.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), block_shingles=block).collect()]
+    assert sorted(got) == sorted(want)
+    assert groups == 12 * 4 + 1
+    assert j.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), block_shingles=block).count() == groups
