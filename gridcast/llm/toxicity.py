@@ -1,16 +1,17 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine (operator 8).
 
-A bounded sample of labelled rows is the example set. Its vocabulary holds the
-terms that significantly more toxic examples hold than others; there, examples
-that repeat much of an earlier one do not count, so copies of one toxic text do
-not make its ordinary words suspicious. Examples and documents are unit TF-IDF
-vectors over it, and the k nearest examples are found exactly with a
-block-max inverted index: blocks of examples are visited in order of their upper
-bound, until the bound is below the k-th best cosine. Cosines weigh the votes,
+A bounded sample of labelled rows is the example set. Examples and documents are
+unit TF-IDF vectors over all of its terms. Terms that significantly more toxic
+examples hold than others are listed, however many, and all other terms weigh
+REST of what they would; there, examples that repeat much of an earlier one do
+not count, so copies of one toxic text do not make its ordinary words suspicious.
+The k nearest examples are found exactly with a block-max inverted index: blocks
+of examples are visited in order of their upper bound, in groups of growing
+size, until the bound is below the k-th best cosine. Cosines weigh the votes,
 shrunk to the share of toxic rows; isotonic regression on leave-one-out votes,
 weighted to the class sizes of all labelled rows, calibrates the score.
 
-Defined results: a null or empty text, and any text without a vocabulary term,
+Defined results: a null or empty text, and any text without a word of an example,
 gets the score of a document without evidence; equal cosines go to the example
 that stands first (by doc_id); repeated rows get equal results; without labelled
 rows every score is 0; null labels are left out; other columns are not looked at.
@@ -25,14 +26,17 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import Words, as_bytes, rolling, small_batches, text_slices
 
-#: Labelled rows of each class in the example set; terms in the vocabulary; neighbours that vote.
-MAX_PER_CLASS, MAX_TERMS, NEIGHBOURS = 2000, 256, 15
+#: Labelled rows of each class in the example set; neighbours that vote.
+MAX_PER_CLASS, NEIGHBOURS = 2000, 15
+#: Weight of a term that is not listed, as a part of a listed one's.
+REST = 0.1
 MIN_TEXTS, MIN_G = 5, 20.0
 #: A text is a copy if a larger share of its shingles stands in texts before it.
 SHINGLE, COPIED = 5, 0.3
 #: Cosine weight of the prior in a vote.
 SHRINK = 0.25
-BLOCK = 64
+#: Examples in a block; blocks visited first.
+BLOCK, FIRST = 64, 4
 EVIDENCE = 3
 _EDGE = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
@@ -53,19 +57,22 @@ def term_counts(words: Words, term_of: dict[str, int]) -> tuple[np.ndarray, np.n
 
 def originals(words: Words) -> np.ndarray:
     """Which texts have at most COPIED of their shingles in texts before them."""
-    seen: set[int] = set()
-    shingles = rolling(words.hashes, SHINGLE)
-    out = np.zeros(len(words.starts) - 1, bool)
-    for i, (lo, hi) in enumerate(zip(words.starts[:-1].tolist(), words.starts[1:].tolist())):
-        own = set(shingles[lo:max(lo, hi - SHINGLE + 1)].tolist())
-        out[i] = len(own & seen) <= COPIED * len(own)
-        seen |= own
-    return out
-
-
-def choose_terms(texts: list[bytes], label: np.ndarray) -> list[str]:
+    n, at = len(words.starts) - 1, words.window_starts(SHINGLE)
+    doc = words.doc_of()[at].astype(np.int32)
+    shingle = rolling(words.hashes, SHINGLE)[at]
+    order = np.lexsort((doc, shingle))
+    shingle, doc = shingle[order], doc[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = shingle[1:] != shingle[:-1]
+    again = ~new  # in an earlier text; a shingle repeated in one text counts once
+    again[1:] &= doc[1:] != doc[:-1]
+    own = np.bincount(doc[new | again], minlength=n)
+    return np.bincount(doc[again], minlength=n) <= COPIED * own
+
+
+def choose_terms(texts: list[bytes], label: np.ndarray, words: Words | None = None) -> list[str]:
     """Terms that more toxic texts hold than expected, by a G-test over texts that are no copies."""
-    words = Words(texts)
+    words = words or Words(texts)
     names = [normal(w) for w in words.vocab]
     number = {w: i for i, w in enumerate(dict.fromkeys(names))}
     own = np.fromiter((number[w] for w in names), np.int64, len(names))
@@ -82,27 +89,45 @@ def choose_terms(texts: list[bytes], label: np.ndarray) -> list[str]:
             g += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
     more = a * size[0] > b * size[1]
     scored = [(-g[i], w) for w, i in number.items() if w and a[i] >= MIN_TEXTS and more[i] and g[i] >= MIN_G]
-    return [w for _, w in sorted(scored)[:MAX_TERMS]]
+    return [w for _, w in sorted(scored)]
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers begin .. begin + size - 1 of each range, end to end."""
+    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
 class Examples:
-    """Labelled examples under a block-max inverted index, and the calibration of their votes."""
+    """Labelled examples under a block-max inverted index, and the calibration of their votes.
+
+    rest: weight of terms that are not listed; without it, the vectors hold the listed ones alone.
+    """
 
-    def __init__(self, ids: list, texts: list[bytes], label: np.ndarray, class_rows: tuple[int, int]):
+    def __init__(self, ids: list, texts: list[bytes], label: np.ndarray, class_rows: tuple[int, int], rest: float = 0.0):
         self.ids, self.label = ids, label.astype(np.float64)
-        terms = choose_terms(texts, label) if len(texts) else []
+        words = Words(texts)
+        words.flat = None  # not needed, and larger than the rest
+        terms = choose_terms(texts, label, words) if len(texts) else []
+        listed = len(terms)
+        if rest > 0:
+            terms = list(dict.fromkeys([*terms, *(t for w in words.vocab if (t := normal(w)))]))
         self.term_of = {w: i for i, w in enumerate(terms)}
         n = len(texts)
-        doc, term, count = term_counts(Words(texts), self.term_of)
+        doc, term, count = term_counts(words, self.term_of)
+        del words
         df = np.bincount(term, minlength=len(terms))
-        self.idf = np.log((1 + n) / (1 + df)) + 1
+        self.idf = (np.log((1 + n) / (1 + df)) + 1) * np.where(np.arange(len(terms)) < listed, 1.0, rest)
         weight = self._unit(doc, term, count, n)
         order = np.lexsort((doc, term))
-        self.post_doc, self.post_weight = doc[order], weight[order]
-        self.begin = np.searchsorted(term[order], np.arange(len(terms) + 1))
-        self.n_blocks = -(-n // BLOCK)
-        self.block_max = np.zeros((len(terms), max(1, self.n_blocks)))
-        np.maximum.at(self.block_max, (term, doc // BLOCK), weight)
+        self.post_doc, self.post_weight = doc[order].astype(np.int32), weight[order]
+        self.n_blocks = max(1, -(-n // BLOCK))
+        # an entry for each term and block that has postings: they follow one another
+        key = term[order] * self.n_blocks + doc[order] // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.entry_block = (key[first] % self.n_blocks).astype(np.int32)
+        self.entry_max = np.maximum.reduceat(self.post_weight, first) if len(first) else np.zeros(0)
+        self.entry_post = np.append(first, len(key))
+        self.begin = np.searchsorted(key[first], np.arange(len(terms) + 1) * self.n_blocks)
         rows = np.array(class_rows, np.float64)
         self.prior = rows[1] / rows.sum() if rows.sum() else 0.0
         votes = np.zeros(n)
@@ -122,23 +147,31 @@ class Examples:
         """The k examples with the largest positive cosines (all but one, if asked), and the cosines. Exact."""
         if not len(term):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = weight @ self.block_max[term]
+        size = self.begin[term + 1] - self.begin[term]
+        entry, w = _ranges(self.begin[term], size), np.repeat(weight, size)
+        block = self.entry_block[entry]
+        bound = np.bincount(block, w * self.entry_max[entry], self.n_blocks)
         best_doc, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bound, kind="stable").tolist():
+        order, at, group = np.argsort(-bound, kind="stable"), 0, FIRST
+        while at < self.n_blocks:
             floor = best[NEIGHBOURS - 1] if len(best) >= NEIGHBOURS else 0.0
-            if bound[block] <= 0 or bound[block] < floor - 1e-12:
+            now = order[at:at + group]
+            visit = np.zeros(self.n_blocks, bool)
+            visit[now[(bound[now] > 0) & (bound[now] >= floor - 1e-12)]] = True
+            if not visit.any():
                 break
-            cosine = np.zeros(BLOCK)
-            for t, w in zip(term.tolist(), weight.tolist()):
-                lo, hi = self.begin[t], self.begin[t + 1]
-                a, b = lo + np.searchsorted(self.post_doc[lo:hi], [block * BLOCK, (block + 1) * BLOCK])
-                cosine[self.post_doc[a:b] - block * BLOCK] += w * self.post_weight[a:b]
-            if block * BLOCK <= but < (block + 1) * BLOCK:
-                cosine[but - block * BLOCK] = 0
-            hit = np.flatnonzero(cosine > 0)
-            doc, cos = np.concatenate([best_doc, hit + block * BLOCK]), np.round(np.concatenate([best, cosine[hit]]), 12)
-            order = np.lexsort((doc, -cos))[:NEIGHBOURS]
-            best_doc, best = doc[order], cos[order]
+            inside = visit[block]
+            begin = self.entry_post[entry[inside]]
+            n = self.entry_post[entry[inside] + 1] - begin
+            post = _ranges(begin, n)
+            cosine = np.bincount(self.post_doc[post], np.repeat(w[inside], n) * self.post_weight[post], len(self.label))
+            if but >= 0:
+                cosine[but] = 0
+            hit = np.flatnonzero((cosine > 0) & (cosine >= floor - 1e-9))
+            doc, cos = np.concatenate([best_doc, hit]), np.round(np.concatenate([best, cosine[hit]]), 12)
+            best_order = np.lexsort((doc, -cos))[:NEIGHBOURS]
+            best_doc, best = doc[best_order], cos[best_order]
+            at, group = at + group, group * 2
         return best_doc, best
 
     def vote(self, doc: np.ndarray, cosine: np.ndarray) -> float:
@@ -191,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").orderBy("id", "y", "text").collect()  # 2 * max_per_class ids
     return Examples([r["id"] for r in rows], [(r["text"] or "").encode() for r in rows],
-                    np.array([r["y"] for r in rows], np.int64), (sizes.get(0, 0), sizes.get(1, 0)))
+                    np.array([r["y"] for r in rows], np.int64), (sizes.get(0, 0), sizes.get(1, 0)), REST)
 
 
 def score(docs: DataFrame, examples: Examples, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -68,3 +68,39 @@ def test_odd_rows(spark, odd):
     assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
     assert {r["score"] for r in x.score_documents(odd, labels.limit(0)).collect()} == {0.0}
     assert x.score_documents(odd.limit(0), labels).count() == 0
+
+
+def test_no_term_is_left_out(monkeypatch):
+    monkeypatch.setattr(x, "BLOCK", 8)
+    _, texts = examples()
+    label = np.array([int(i % 3 == 0) for i in range(len(texts))])
+    model = x.Examples(list(range(len(texts))), texts, label, (200, 100), x.REST)
+    assert set(model.term_of) == {w.decode() for t in texts for w in t.split()}
+    doc, term, count = x.term_counts(Words(texts), model.term_of)
+    weight = model._unit(doc, term, count, len(texts))
+    dense = np.zeros((len(texts), len(model.term_of)))
+    dense[doc, term] = weight
+    for i in range(len(texts)):
+        cosine = np.round(dense @ dense[i], 12)
+        cosine[i] = 0
+        want = [k for k in np.lexsort((np.arange(len(texts)), -cosine)).tolist() if cosine[k] > 0][:x.NEIGHBOURS]
+        near, cos = model.nearest(term[doc == i], weight[doc == i], i)
+        assert np.allclose(cos, cosine[want]) and set(near[cos > cos[-1] + 1e-9]) <= set(want)
+
+
+def test_broad_toxic_vocabulary():
+    texts = []
+    for t in range(260):  # more listed terms than 256, each in a few texts
+        texts += [f"bad{t} x{t}y{k} z{t}y{k}".encode() for k in range(10)]
+    texts += [f"good{k % 50} v{k} u{k}".encode() for k in range(5000)]
+    label = np.array([1] * 2600 + [0] * 5000)
+    assert {f"bad{t}" for t in range(260)} == set(x.choose_terms(texts, label))
+    model = x.Examples(list(range(len(texts))), texts, label, (5000, 2600), x.REST)
+    got, evidence = model.scores([f"bad{t} new{t}".encode() for t in range(260)] + [b"x5y1 z5y1", b"good3 other", b"unseen"])
+    assert (got[:261] > 0.5).all() and got[261] < 0.5 and all(evidence[:262]) and not evidence[262]
+
+
+def test_fit_keeps_all_terms(spark):
+    docs = spark.createDataFrame([(i, f"w{i} common") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    assert set(x.fit(docs, labels).term_of) == {"common", *(f"w{i}" for i in range(20))}
