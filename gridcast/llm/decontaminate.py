@@ -12,7 +12,8 @@ The benchmark is the stated query side: it is read in blocks of up to
 equal words are one: the least item_id stands for them and `n_items` counts them.
 
 Defined results: a null or empty text or item matches nothing; an item of under
-3 words is its own seed; repeated rows give equal rows; empty tables give an
+3 words is its own seed; an item without an id gives no row, but the filter
+drops documents that hold it; repeated rows give equal rows; empty tables give an
 empty table; other columns are not looked at, and pass through the filter.
 """
 
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import U64, Words, as_bytes, doc_text, rolling, scramble, small_batches, text_slices
+from gridcast.llm.common import NULL_ID, U64, Words, as_bytes, doc_text, rolling, scramble, small_batches, text_slices
 
 SEED = 3
 #: Chance of a seed at a text position, at most; items without SEEDS such ones take their rarest.
@@ -256,6 +257,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     where = [c.lower() for c in docs.columns].index(text_col.lower())
     name = docs.columns[where]
     texts = docs.select(F.col(text_col).alias("text"))
+    benchmark = benchmark.withColumn(item_col, F.coalesce(F.col(item_col).cast("long"), F.lit(NULL_ID)))  # only texts count here
     out = docs
     for items in _blocks(benchmark, item_col, item_text_col, block_words):
         shared = docs.sparkSession.sparkContext.broadcast(_with_seeds(texts, items))

@@ -78,3 +78,11 @@ def test_odd_rows(spark, odd):
     clean = d.drop_contaminated(odd, items)
     assert clean.columns == odd.columns and clean.count() == odd.count() - 3
     assert d.drop_contaminated(odd, items.limit(0)).count() == odd.count()
+
+
+def test_items_without_id_are_dropped(spark):
+    rng = random.Random(7)
+    item = " ".join(f"secret{rng.randrange(900)}" for _ in range(30))
+    docs = spark.createDataFrame([(1, f"some words {item} and more"), (2, "quite other words stand here")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (None, None)], "item_id long, text string")
+    assert [r["doc_id"] for r in d.drop_contaminated(docs, items).collect()] == [2]
