@@ -196,6 +196,55 @@ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT *, NOT (base_failed OR 100 * dup_line_chars > 30 * word_chars OR 100 * n_symbols > 20 * n_words OR 100 * dup_5gram_chars > 30 * word_chars OR 100 * dup_6gram_chars > 29 * word_chars OR 100 * dup_7gram_chars > 28 * word_chars OR 100 * dup_8gram_chars > 27 * word_chars OR 100 * dup_9gram_chars > 26 * word_chars OR 100 * dup_10gram_chars > 25 * word_chars) AS kept FROM f
 """
 
+
+
+def _rounds(n: int, first: str, codes: str) -> str:
+    """n rounds of integer k-means over part vectors x(vec_id, p, v), each round two materialized tables."""
+    nearest = """a{r} AS MATERIALIZED (
+  SELECT vec_id, label, p, any_value(v) AS v, min({{'d': list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c), 'k': k}}) AS near
+  FROM x JOIN c{r} USING (p) GROUP BY vec_id, label, p)"""
+    update = """c{s} AS MATERIALIZED (
+  SELECT p, k, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN (
+    SELECT p, k, list(floor(s / n) ORDER BY i) AS c FROM (
+      SELECT p, near.k AS k, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, LATERAL (SELECT unnest(range(1, len(v) + 1)) AS i) GROUP BY ALL)
+    GROUP BY p, k) m USING (p, k))"""
+    steps = [first]
+    for r in range(n):
+        steps += [nearest.format(r=r), update.format(r=r, s=r + 1)]
+    return "WITH " + ",\n".join([*steps, nearest.format(r=n)]) + codes.replace("@", str(n))
+
+
+_OP11 = _rounds(10, """x AS MATERIALIZED (
+  SELECT vec_id, 0 AS label, 0 AS p, [floor(1024 * e::DOUBLE) FOR e IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NOT NULL AND isfinite(e)]) = 64),
+c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (ORDER BY h) - 1 AS k, v AS c FROM (SELECT *, sha256('3:' || vec_id) AS h FROM x ORDER BY h LIMIT 8))""", """,
+g AS (SELECT near.k AS k, sum(near.d)::BIGINT AS inertia FROM a@ GROUP BY near.k)
+SELECT vec_id, near.k::INT AS cluster, near.d::BIGINT AS distance, g.inertia AS cluster_inertia, (SELECT sum(inertia) FROM g)::BIGINT AS inertia,
+       sha256(array_to_string([e::BIGINT::VARCHAR FOR e IN c.c], ',')) AS centroid_sha256
+FROM a@ JOIN g ON g.k = near.k JOIN c@ c ON c.k = near.k
+""")
+
+_OP12 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, octet_length(h)::BIGINT AS n, sha256(h) AS s FROM p),
+f AS (SELECT s, min(page_id) AS lead FROM d WHERE n >= 100 GROUP BY s)
+SELECT page_id, n AS payload_bytes, s AS payload_digest, CASE WHEN page_id > lead THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > lead THEN lead END AS refers_to
+FROM d LEFT JOIN f USING (s)
+"""
+
+_OP13 = _rounds(4, """v AS MATERIALIZED (
+  SELECT vec_id, label, [floor(1024 * e::DOUBLE) FOR e IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0),
+x AS MATERIALIZED (SELECT vec_id, label, p, v[len(v) // 4 * p + 1:len(v) // 4 * (p + 1)] AS v FROM v, (SELECT unnest(range(4)) AS p)),
+c0 AS MATERIALIZED (
+  SELECT p, k, v AS c FROM (SELECT p, v, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k FROM x) WHERE k < 256)""", """,
+e AS (SELECT vec_id, label, string_agg(printf('%02x', near.k), '' ORDER BY p) AS code, sum(near.d)::BIGINT AS error FROM a@ GROUP BY vec_id, label),
+b AS (SELECT sha256(string_agg(array_to_string([i::BIGINT::VARCHAR FOR i IN c], ','), ',' ORDER BY p, k)) AS s FROM c@)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT s FROM b) AS codebooks_sha256 FROM e
+""")
+
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": _OP3,
     "op4_format_chat": _OP4,
@@ -203,4 +252,7 @@ ORACLE: dict[str, str] = {
     "op7_ngram_jaccard": _OP7,
     "op9_secret_ownership": _OP9,
     "op10_repetition_quality": _OP10,
+    "op11_centroid_clusters": _OP11,
+    "op12_warc_index": _OP12,
+    "op13_vector_codes": _OP13,
 }

@@ -70,6 +70,25 @@ def op10_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every 64-component vector of embeddings after ten exact integer rounds over subvector dictionaries."""
+    from gridcast.llm.centroids import cluster_vectors
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, found through the two-level capture index and read back by range."""
+    from gridcast.llm.warc import archive_pages
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-byte codes of every vector of embeddings from codebooks trained in four exact integer rounds."""
+    from gridcast.llm.vector_codes import vector_codes
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_shards, op2_decontaminate, op3_substring_dedup, op4_format_chat, op5_mix_sources, op6_language_ppm,
-    op7_ngram_jaccard, op8_toxicity_knn, op9_secret_ownership, op10_repetition_quality)}
+    op7_ngram_jaccard, op8_toxicity_knn, op9_secret_ownership, op10_repetition_quality,
+    op11_centroid_clusters, op12_warc_index, op13_vector_codes)}
