@@ -1051,24 +1051,28 @@ def q_forecast(spark, sf_dir):
 # --------------------------------------------------------------------------
 # streaming
 # --------------------------------------------------------------------------
-def _land(spark, df, name):
-    """Landed files, one per day, in day order; as many as there are days."""
+def _land(spark, df, name, deliveries=1):
+    """Landed files, one per day, in deliveries one after the other; a delivery's files have no order."""
     p = _path(spark, name)
-    df.withColumn("_day", F.to_date("ts")).repartition("_day").sortWithinPartitions("ts").write.partitionBy("_day").parquet(p)
+    days = df.withColumn("_day", F.to_date("ts"))
+    span = days.agg(F.min("_day").alias("lo"), (F.datediff(F.max("_day"), F.min("_day")) + 1).alias("n")).first()
+    for i in range(deliveries):
+        turn = F.floor(F.datediff("_day", F.lit(span["lo"])) * deliveries / F.lit(span["n"])) == i
+        days.where(turn).repartition("_day").sortWithinPartitions("ts").write.mode("append").partitionBy("_day").parquet(p)
     return p, df.schema
 
 
 @query("stream_hourly_rollup")
 def q_stream_hourly_rollup(spark, sf_dir):
-    """Streaming hourly means per series over several micro-batches, open hours included."""
+    """Streaming hourly means per series over several micro-batches, closed by the watermark or open at the end."""
     from gridcast.streaming.feeds import stream_hourly_rollup
-    src, schema = _land(spark, B.demand_raw(spark, sf_dir), "stream-readings")
+    src, schema = _land(spark, B.demand_raw(spark, sf_dir), "stream-readings", deliveries=3)
     return stream_hourly_rollup(spark, src, schema, _path(spark, "stream-rollup-out"))
 
 
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
-    """R2: streaming dedupe of the two-delivery feed on (series, ts), the first delivery staying."""
+    """R2: streaming dedupe of the two-delivery feed on (series, ts), the least (delivery, reading) staying."""
     from gridcast.streaming.feeds import stream_dedupe
     feed = B.demand_feed(spark, sf_dir).select("series_id", "ts", "reading_id", "delivery")
     src, schema = _land(spark, feed, "stream-feed")

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import hourly
+from frames import hourly
 from gridcast.operators import series as S
 
 

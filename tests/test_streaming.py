@@ -9,7 +9,7 @@ from gridcast.operators.resample import resample_hourly
 from gridcast.session import shared_path
 from gridcast.sources import bindings as B
 from gridcast.sources.files import replace_range
-from gridcast.streaming.feeds import stream_dedupe, stream_hourly_rollup, stream_replace_range
+from gridcast.streaming.feeds import late_readings, stream_dedupe, stream_hourly_rollup, stream_replace_range
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,6 +46,59 @@ def test_dedupe_stream_keeps_one_row_per_key(spark, shuffled):
     assert out.where("delivery <> 0").isEmpty()
 
 
+def _readings(spark, rows):
+    df = spark.createDataFrame(rows, "series_id string, at string, reading_id long, load double")
+    return df.select("series_id", F.col("at").cast("timestamp_ntz").alias("ts"), "reading_id", "load")
+
+
+def _append(spark, src, rows):
+    _readings(spark, rows).coalesce(1).write.mode("append").parquet(src)
+
+
+def test_rollup_closes_hours_and_counts_late_readings(spark):
+    src, sink = shared_path(spark, "t-late"), shared_path(spark, "t-late-out")
+    schema = _readings(spark, []).schema
+
+    def run(**options):
+        out = stream_hourly_rollup(spark, src, schema, sink, lateness="2 hours", max_files=1, **options)
+        return {(r.series_id, r.ts.hour): r.actual_demand for r in out.collect()}
+
+    _append(spark, src, [("a", "2024-01-01 00:10:00", 1, 10.0), ("a", "2024-01-01 00:40:00", 2, 20.0), ("b", "2024-01-01 01:00:00", 3, 7.0)])
+    _append(spark, src, [("a", "2024-01-01 03:30:00", 4, 1.0)])  # closes the hours that end by 01:30
+    _append(spark, src, [("a", "2024-01-01 00:50:00", 5, 999.0),  # too late: hour 0 is closed
+                         ("a", "2024-01-01 01:30:00", 6, 5.0)])  # late, but hour 1 is open
+    assert run(flush=False) == {("a", 0): 15.0}
+    assert [(r.series_id, r.ts.hour, r.n, r.total) for r in late_readings(spark, sink).collect()] == [("a", 0, 1, 999.0)]
+    assert run() == {("a", 0): 15.0, ("a", 1): 5.0, ("b", 1): 7.0, ("a", 3): 1.0}
+    # a later run goes on from the state: open hours take more readings and close once
+    _append(spark, src, [("a", "2024-01-01 03:45:00", 7, 3.0), ("b", "2024-01-01 01:59:59", 8, 9.0)])
+    _append(spark, src, [("a", "2024-01-01 09:00:00", 9, 4.0)])
+    assert run(flush=False) == {("a", 0): 15.0, ("a", 1): 5.0, ("b", 1): 8.0, ("a", 3): 2.0}
+    assert run() == {("a", 0): 15.0, ("a", 1): 5.0, ("b", 1): 8.0, ("a", 3): 2.0, ("a", 9): 4.0}
+    assert run() == run() and late_readings(spark, sink).count() == 1
+
+
+def test_dedupe_does_not_depend_on_files(spark):
+    rng = random.Random(5)
+    rows = [("ab"[i % 2], f"2024-01-{1 + i % 9:02d} {i % 5:02d}:00:00", rng.randrange(100), float(i)) for i in range(400)]
+    want = {}
+    for s, t, r, v in rows:
+        want[s, t] = min(want.get((s, t), (r, v)), (r, v))
+    schema = _readings(spark, []).schema
+    for seed, max_files in ((1, 1), (2, 3), (3, None)):
+        random.Random(seed).shuffle(rows)
+        src, sink = shared_path(spark, "t-any"), shared_path(spark, "t-any-out")
+        for part, again in ((rows[:150], False), (rows[150:], True)):  # the second call restarts from the checkpoint
+            for lo in range(0, len(part), 60):
+                _append(spark, src, part[lo:lo + 60])
+            out = stream_dedupe(spark, src, schema, sink, order=("reading_id", "load"), max_files=max_files)
+        assert {(r.series_id, str(r.ts)): (r.reading_id, r.load) for r in out.collect()} == want
+    # state that is gone does not change the result
+    sink = shared_path(spark, "t-short-out")
+    out = stream_dedupe(spark, src, schema, sink, order=("reading_id", "load"), retention="1 second", max_files=1)
+    assert {(r.series_id, str(r.ts)): (r.reading_id, r.load) for r in out.collect()} == want
+
+
 def test_empty_stream(spark):
     raw = B.demand_raw(spark, SF).limit(0)
     src = shared_path(spark, "t-empty")
