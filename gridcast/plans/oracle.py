@@ -1160,20 +1160,93 @@ SELECT series_id, ts, reading_id, delivery FROM (
     "demand_feed"))
 oracle("stream_replace_range", _replace_sql(True))
 
-# model outputs: row keys, times, split sizes and checks that must hold
-oracle("fit_forecaster", with_ctes("""
-SELECT split, count(*) AS rows, true AS has_error FROM (
-  SELECT CASE WHEN pos < floor(n * 0.8) THEN 'train' WHEN pos < floor(n * 0.9) THEN 'val' ELSE 'test' END AS split
-  FROM (SELECT pos, CAST(count(*) OVER (PARTITION BY series_id) AS DOUBLE) AS n FROM serve_base) b) q GROUP BY split""", "serve_base"))
-oracle("forecast_backtest", "SELECT unnest(['train', 'val', 'test']) AS split, true AS not_worse_than_naive")
-oracle("feature_importance", """
-SELECT unnest(['hour_sin', 'hour_cos', 'dow_sin', 'dow_cos', 'month_sin', 'month_cos', 'is_weekend', 'is_morning_ramp',
-               'is_night', 'is_peak_hour', 'hour_squared', 'temperature', 'heating_demand', 'is_cold',
-               'demand_lag_24h', 'demand_lag_168h']) AS feature, true AS is_share, true AS shares_sum_to_1""")
-oracle("forecast", with_ctes("""
-SELECT series_id, CAST(last + h * INTERVAL 1 HOUR AS TIMESTAMP) AS timestamp, true AS adds_up, true AS in_range
-FROM (SELECT series_id, max(timestamp) AS last FROM serve_input WHERE timestamp <= TIMESTAMP '2024-01-20' GROUP BY 1) l
-CROSS JOIN range(1, 25) r(h)""", "serve_input"))
+# forecaster: a ridge solution by Gauss-Jordan steps over the standardised Gram matrix
+_MODEL_FEATURES = [
+    "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos", "is_weekend", "is_morning_ramp", "is_night", "is_peak_hour",
+    "hour_squared", "temperature", "heating_demand", "is_cold", "demand_lag_24h", "demand_lag_168h"]
+_MF = range(len(_MODEL_FEATURES))
+
+
+def _model_ctes() -> None:
+    e = _serve_expr()
+    n = len(_MODEL_FEATURES)
+    cols = ", ".join(f"CAST({e[f][0]} AS DOUBLE) AS x{i}" for i, f in enumerate(_MODEL_FEATURES))
+    cte("model_rows", f"""
+SELECT series_id, pos, timestamp, y, CASE WHEN pos < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train'
+         WHEN pos < floor(n * (CAST(0.8 AS DOUBLE) + CAST(0.1 AS DOUBLE))) THEN 'val' ELSE 'test' END AS split, {", ".join(f"x{i}" for i in _MF)}
+FROM (SELECT series_id, pos, timestamp, target_demand AS y, count(*) OVER (PARTITION BY series_id) AS n, {cols} FROM serve_lagged) q""", "serve_lagged")
+    z = ", ".join(f"CASE WHEN sd[{i + 1}] > 0 THEN (x{i} - mu[{i + 1}]) / sd[{i + 1}] ELSE 0.0 END AS z{i}" for i in _MF)
+    gram = ", ".join(f"avg(z{i} * {'zy' if j == n else f'z{j}'})" for i in _MF for j in range(n + 1))
+    steps = [f"""
+st AS MATERIALIZED (SELECT [{", ".join(f"avg(x{i})" for i in _MF)}] AS mu, [{", ".join(f"stddev_pop(x{i})" for i in _MF)}] AS sd,
+  avg(y) AS my, stddev_pop(y) AS sy FROM model_rows WHERE split = 'train'),
+g AS MATERIALIZED (SELECT [{gram}] AS g FROM (SELECT {z}, (y - my) / sy AS zy FROM model_rows, st WHERE split = 'train') q),
+e0 AS MATERIALIZED (SELECT k // {n + 1} AS i, k % {n + 1} AS j, g[k + 1] + CASE WHEN k // {n + 1} = k % {n + 1} THEN 0.001 / sy ELSE 0 END AS v
+  FROM g, st, range({n * (n + 1)}) r(k))"""]
+    for k in _MF:
+        steps.append(f"""
+e{k + 1} AS MATERIALIZED (SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v FROM e{k} a
+  JOIN e{k} c ON c.i = a.i AND c.j = {k} JOIN e{k} r ON r.i = {k} AND r.j = a.j JOIN e{k} p ON p.i = {k} AND p.j = {k})""")
+    cte("model_fit", "WITH " + ",".join(steps) + f"""
+SELECT list(b ORDER BY i) AS b, any_value(my) - sum(b * mu[i + 1]) AS c
+FROM (SELECT i, CASE WHEN sd[i + 1] > 0 THEN v * sy / sd[i + 1] ELSE 0.0 END AS b, mu, my FROM e{n}, st WHERE j = {n}) q""", "model_rows")
+
+
+_model_ctes()
+_SAID = "c + " + " + ".join(f"b[{i + 1}] * x{i}" for i in _MF)
+oracle("fit_forecaster", with_ctes(f"""
+SELECT split, series_id, count(*) AS rows, {R(f'avg(abs({_SAID} - y))', 'linear_mae', 2)}, {R('avg(abs(x14 - y))', 'naive_mae', 2)}
+FROM model_rows, model_fit GROUP BY split, series_id""", "model_rows", "model_fit"))
+
+
+def _importance_sql() -> str:
+    names = ", ".join(f"'{f}'" for f in _MODEL_FEATURES)
+    moved = ", ".join(f"avg(abs({_SAID} + b[{i + 1}] * (o{i} - x{i}) - y))" for i in _MF)
+    return with_ctes(f"""
+, held AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY series_id, pos // 1024 ORDER BY pos) AS k,
+    row_number() OVER (PARTITION BY series_id, pos // 1024 ORDER BY md5('0:' || series_id || ':' || pos)) AS m FROM model_rows WHERE split <> 'train')
+SELECT unnest([{names}]) AS feature, unnest([round(v - base, 2) + 0.0 FOR v IN moved]) AS importance
+FROM (SELECT avg(abs({_SAID} - y)) AS base, [{moved}] AS moved
+      FROM held a JOIN (SELECT series_id, pos // 1024 AS blk, m, {", ".join(f"x{i} AS o{i}" for i in _MF)} FROM held) o
+        ON o.series_id = a.series_id AND o.blk = a.pos // 1024 AND o.m = a.k, model_fit) q""".lstrip("\n"), "model_rows", "model_fit")
+
+
+oracle("feature_importance", _importance_sql())
+
+
+def _forecast_sql() -> str:
+    """48 hours after 20/01/2024: lags of the first day are known, those of the second are the first one's forecasts."""
+    e = _serve_common("last_t")
+    e["temperature"] = ("last_t", "d")
+    rest = "c + " + " + ".join(f"b[{i + 1}] * CAST({e[f][0]} AS DOUBLE)" for i, f in enumerate(_MODEL_FEATURES)
+                               if f not in ("demand_lag_24h", "demand_lag_168h"))
+    return with_ctes(f"""
+, hist AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY timestamp) - 1 AS p, count(*) OVER (PARTITION BY series_id) AS cnt FROM (
+    SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY timestamp DESC) AS rk FROM serve_input WHERE timestamp <= TIMESTAMP '2024-01-20') q
+  WHERE rk <= 248),
+fut AS MATERIALIZED (
+  SELECT f.*, CAST(hour(ts) AS INTEGER) AS h, CAST(isodow(ts) - 1 AS INTEGER) AS dw, CAST(month(ts) AS INTEGER) AS mo, CAST(year(ts) AS INTEGER) AS yr,
+         CASE WHEN last_t IS NULL THEN NULL ELSE greatest({D(18.0)} - last_t, {D(0.0)}) END AS heat,
+         CASE WHEN f.cnt - 25 + hz >= 0 THEN a.target_demand ELSE mu END AS l24, CASE WHEN f.cnt - 169 + hz >= 0 THEN w.target_demand ELSE mu END AS l168
+  FROM (SELECT series_id, hz, max(timestamp) + hz * INTERVAL 1 HOUR AS ts, arg_max(temperature, timestamp) AS last_t, avg(target_demand) AS mu, any_value(cnt) AS cnt
+        FROM hist, range(1, 49) r(hz) GROUP BY series_id, hz) f
+  LEFT JOIN hist a ON a.series_id = f.series_id AND a.p = f.cnt - 25 + hz LEFT JOIN hist w ON w.series_id = f.series_id AND w.p = f.cnt - 169 + hz),
+part AS MATERIALIZED (SELECT series_id, hz, ts, {rest} + b[16] * l168 AS rest, l24, b[15] AS b24 FROM fut, model_fit),
+one AS MATERIALIZED (SELECT series_id, hz, ts, rest + b24 * l24 AS said FROM part WHERE hz <= 24),
+said AS (SELECT * FROM one UNION ALL SELECT p.series_id, p.hz, p.ts, rest + b24 * said FROM part p JOIN one o ON o.series_id = p.series_id AND o.hz = p.hz - 24),
+n24 AS (SELECT series_id, pos, timestamp, y, lag(y, 24) OVER (PARTITION BY series_id ORDER BY pos) AS naive,
+               count(*) OVER (PARTITION BY series_id) AS n FROM model_rows),
+bias AS (
+  SELECT o.series_id, hour(o.timestamp + k * INTERVAL 1 HOUR) AS h, isodow(o.timestamp + k * INTERVAL 1 HOUR) AS d, avg(t.naive - t.y) AS v
+  FROM n24 o, range(24) r(k) JOIN n24 t ON t.series_id = o.series_id AND t.pos = o.pos + k
+  WHERE o.pos >= 48 AND o.pos <= o.n - 24 AND o.pos >= {_VEND.replace('n *', 'o.n *')} GROUP BY ALL)
+SELECT s.series_id, s.ts::TIMESTAMP AS timestamp, {R('said', 'predicted_demand', 4)}, {R('-coalesce(v, 0)', 'bias_correction', 4)},
+       {R('said - coalesce(v, 0)', 'corrected_demand', 4)}
+FROM said s LEFT JOIN bias b ON b.series_id = s.series_id AND b.h = hour(s.ts) AND b.d = isodow(s.ts)""".lstrip("\n"), "model_rows", "model_fit", "serve_input")
+
+
+oracle("forecast", _forecast_sql())
 
 
 def _skew_sql() -> str:
