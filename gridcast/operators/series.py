@@ -75,10 +75,35 @@ def core_only(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORE)).drop(CORE)
 
 
-def rolling_std(x, w, rows: int, min_periods: int) -> Column:
-    """Sample std over the last ``rows`` rows with >= min_periods values."""
-    frame = w.rowsBetween(-(rows - 1), 0)
-    return F.when(F.count(x).over(frame) >= F.lit(min_periods), F.stddev_samp(x).over(frame))
+def rolling_std(df: DataFrame, col: str, rows: int, min_periods: int, out: str, series="series_id", pos: str = "pos") -> DataFrame:
+    """Adds the sample std over the last ``rows`` rows where they hold >= min_periods values, in O(1) per row.
+
+    ``df`` is blocked with a halo of rows - 1 (dense positions). Positions are
+    cut into chunks of ``rows``: the last ``rows`` rows are the end of the
+    chunk before and the beginning of the own one, so running moments from both
+    ends of each chunk, merged pairwise, give the deviation. Nothing is
+    subtracted, so a large offset or a level shift costs no digits.
+    """
+    own = [*_cols(series), BLK, "_chunk"]
+    x = df.withColumn("_chunk", F.floor(F.col(pos) / rows))
+    running = (Window.unboundedPreceding, 0)
+
+    def moments(w):
+        return [F.count(col).over(w), F.avg(col).over(w), F.var_pop(col).over(w)]
+
+    ends = moments(Window.partitionBy(*own).orderBy(F.desc(pos)).rowsBetween(*running))
+    x = x.select("*", *[c.alias(f"_end{i}") for i, c in enumerate(ends)])
+    starts = moments(Window.partitionBy(*own).orderBy(pos).rowsBetween(*running))
+    x = x.select("*", *[c.alias(f"_start{i}") for i, c in enumerate(starts)])
+    before = F.lag(F.struct("_end0", "_end1", "_end2"), rows - 1).over(block_window(series, pos))
+    whole = F.pmod(F.col(pos), F.lit(rows)) == rows - 1  # the chunk is complete: nothing of the one before
+    x = x.select("*", F.when(~whole, before).alias("_before"))
+    n1, n2 = F.col("_start0"), F.coalesce("_before._end0", F.lit(0))
+    apart = F.coalesce(F.col("_before._end1") - F.col("_start1"), F.lit(0.0))
+    squares = (F.coalesce(n1 * F.col("_start2"), F.lit(0.0)) + F.coalesce(n2 * F.col("_before._end2"), F.lit(0.0))
+               + F.coalesce(F.try_divide(apart * apart * n1 * n2, n1 + n2), F.lit(0.0)))
+    std = F.when(n1 + n2 >= min_periods, F.sqrt(F.try_divide(squares, n1 + n2 - 1)))
+    return x.select(*df.columns, std.alias(out))
 
 
 def ffill_bfill(df: DataFrame, cols, series="series_id", pos: str = "pos",
@@ -214,9 +239,9 @@ def sequence_windows(df: DataFrame, value: str, encoder: int = 48, horizon: int
                     "encoder", "decoder")
 
 
-def _stats_join(df: DataFrame, series, col: str) -> DataFrame:
+def _with_stats(df: DataFrame, series, col: str, pos: str) -> DataFrame:
     st = df.groupBy(*_cols(series)).agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
-    return df.join(st, _cols(series))
+    return join_stats(df, st, series, pos)
 
 
 def seasonal_delta(df: DataFrame, col: str, k: int = 24, series="series_id", pos: str = "pos",
@@ -232,10 +257,8 @@ def rolling_std_train(df: DataFrame, col: str, series="series_id", pos: str = "p
                       rows: int = 168, min_periods: int = 24, out: str = "rolling_std",
                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Rolling sample std, ffill / bfill, divided by the frame std."""
-    x = _stats_join(df, series, col)
-    w = block_window(series, pos)
-    x = core_only(halo_blocks(x, pos, before=rows - 1, block_rows=block_rows)
-                  .select("*", rolling_std(F.col(col), w, rows, min_periods).alias(out)))
+    x = halo_blocks(_with_stats(df, series, col, pos), pos, before=rows - 1, block_rows=block_rows)
+    x = core_only(rolling_std(x, col, rows, min_periods, out, series, pos))
     x = ffill_bfill(x, [out], series, pos)
     return x.withColumn(out, F.try_divide(F.col(out), F.col("_sd"))).drop(BLK, "_mu", "_sd")
 
@@ -244,10 +267,8 @@ def rolling_std_serve(df: DataFrame, col: str, series="series_id", pos: str = "p
                       rows: int = 168, min_periods: int = 24, scale: float = 10_000.0,
                       out: str = "rolling_std", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Rolling sample std, missing -> frame std, divided by a scale."""
-    x = _stats_join(df, series, col)
-    w = block_window(series, pos)
-    x = core_only(halo_blocks(x, pos, before=rows - 1, block_rows=block_rows)
-                  .select("*", rolling_std(F.col(col), w, rows, min_periods).alias(out)))
+    x = halo_blocks(_with_stats(df, series, col, pos), pos, before=rows - 1, block_rows=block_rows)
+    x = core_only(rolling_std(x, col, rows, min_periods, out, series, pos))
     return x.withColumn(out, F.coalesce(F.col(out), F.col("_sd")) / F.lit(scale)).drop(BLK, "_mu", "_sd")
 
 
@@ -268,13 +289,22 @@ def latest_n_asof(df: DataFrame, as_of: str | None, n: int = 1000, series="serie
     """Latest n rows per series, with ts <= as_of if that is given.
 
     ``as_of`` is day-first text in one of four formats (A4); other text
-    raises. The rank-limited window lets Spark keep only the top n per series
-    before the shuffle (window group limit).
+    raises. Rows without a time are left out. Counts per (series, day) tell
+    which days stand whole among the latest n; only the day that is cut is
+    ranked, so no task sorts a series, whatever n.
     """
-    w = Window.partitionBy(*_cols(series)).orderBy(F.col(ts).desc())
+    series = _cols(series)
+    df = df.where(F.col(ts).isNotNull())
     if as_of is not None:
         df = df.where(F.col(ts) <= F.lit(parse_as_of(as_of)).cast("timestamp_ntz"))
-    return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= n).drop("_rk")
+    x = df.withColumn("_day", F.to_date(ts))
+    later = Window.partitionBy(*series).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    days = x.groupBy(*series, "_day").agg(F.count(F.lit(1)).alias("_n")).select(
+        *series, "_day", "_n", (F.lit(n) - F.coalesce(F.sum("_n").over(later), F.lit(0))).alias("_room")).where("_room > 0")
+    whole = x.join(days.where(F.col("_n") <= F.col("_room")).select(*series, "_day"), [*series, "_day"])
+    cut = x.join(days.where(F.col("_n") > F.col("_room")).select(*series, "_day", "_room"), [*series, "_day"])
+    ranked = cut.withColumn("_rk", F.row_number().over(Window.partitionBy(*series, "_day").orderBy(F.desc(ts)))).where("_rk <= _room")
+    return whole.select(*df.columns).unionByName(ranked.select(*df.columns))
 
 
 def parse_as_of(text: str) -> str:

@@ -259,9 +259,8 @@ def q_long_series_windows(spark, sf_dir):
     from gridcast.operators.series import block_window, core_only, positioned_blocks, rolling_std
     w = block_window("series_id", "pos")
     blk = positioned_blocks(B.large_daily_series(spark, sf_dir), "series_id", "ts", before=168, block_rows=512)
-    return core_only(blk.select(
-        "*", *[F.lag("demand", k).over(w).alias(f"lag_{k}") for k in (1, 7, 168)],
-        rolling_std(F.col("demand"), w, 168, 24).alias("std_168"))).drop("_blk")
+    blk = blk.select("*", *[F.lag("demand", k).over(w).alias(f"lag_{k}") for k in (1, 7, 168)])
+    return core_only(rolling_std(blk, "demand", 168, 24, "std_168")).drop("_blk")
 
 
 @query("sequence_windows")

@@ -148,13 +148,13 @@ def serve_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
                      F.col("is_public_holiday").cast("double").alias("is_public_holiday"), "temperature")
     w = block_window(series, "pos")
     blk = positioned_blocks(base, series, ts, "pos", before=168, block_rows=block_rows, stats=stats)
+    blk = rolling_std(blk, "target_demand", 168, 24, "_rstd", series)
     lagged = core_only(blk.select(
         "*",
         F.lag("target_demand", 24).over(w).alias("_l24"),
         F.lag("target_demand", 168).over(w).alias("_l168"),
         F.lag(d, 24).over(w).alias("_pdow"),
-        F.lag("temperature", 24).over(w).alias("_t24"),
-        rolling_std(D, w, 168, 24).alias("_rstd")))
+        F.lag("temperature", 24).over(w).alias("_t24")))
     lagged = lagged.select("*", *calendar_columns(ts), *weather_columns(T, h, d))
     mu, sd = F.col("_mu"), F.col("_sd")
     l24 = F.coalesce(F.col("_l24"), mu)

@@ -128,6 +128,7 @@ def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
     blk = positioned_blocks(base, series, ts, "pos", before=168, block_rows=block_rows, stats=stats)
     z = F.try_divide(F.col("_D") - F.col("_mu_d"), F.col("_sd_d"))
     dow = F.weekday(ts)
+    blk = rolling_std(blk, "_D", 168, 24, "_rstd", series)
     lagged = core_only(blk.withColumn("_z", z).select(
         "*",
         F.lag("temperature", 24).over(w).alias("temp_lag_24h"),
@@ -138,7 +139,6 @@ def train_features(df: DataFrame, series: str = "series_id", ts: str = "timestam
         flag(F.lag("_D", 168).over(w).isNotNull(), "double").alias("_v168"),
         flag(F.lag(dow, 1).over(w).isin(5, 6)).alias("lag_24h_was_weekend"),
         flag(F.lag(dow, 7).over(w).isin(5, 6)).alias("lag_168h_was_weekend"),
-        rolling_std(F.col("_D"), w, 168, 24).alias("_rstd"),
     )).drop("_z")
     if stage:
         # the fill reads the lagged frame twice (in-block fill, per-block carry):

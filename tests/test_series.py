@@ -35,7 +35,7 @@ def test_block_form_equals_plain_window(spark):
     assert _rows(small, *cols) == _rows(plain, *cols)
     # rolling std in block form == single window
     blk = S.halo_blocks(df, "pos", before=167, block_rows=170)
-    rs = S.core_only(blk.select("*", S.rolling_std(F.col("x"), S.block_window("series_id"), 168, 24).alias("r")))
+    rs = S.core_only(S.rolling_std(blk, "x", 168, 24, "r"))
     ref = df.select("*", F.when(F.count("x").over(w.rowsBetween(-167, 0)) >= 24,
                                 F.stddev_samp("x").over(w.rowsBetween(-167, 0))).alias("r"))
     a, b = _rows(rs, "pos", "r"), _rows(ref, "pos", "r")
@@ -132,3 +132,37 @@ def test_positioned_blocks_equals_two_step(spark):
         ra = sorted((key(r), r._core, r.x) for r in a.collect())
         rb = sorted((key(r), r._core, r.x) for r in b.collect())
         assert ra == rb, (before, after, c)
+
+
+def test_rolling_std_keeps_its_digits(spark):
+    """Offsets of 1e9, a level shift inside a window, flat runs, nulls: as the two-pass formula to 1e-9."""
+    rng = random.Random(2)
+    vals = [1e9 + rng.gauss(0, 1000) for _ in range(300)] + [5.0 + rng.gauss(0, 1) for _ in range(300)] + [7.25] * 400
+    vals += [None if i % 3 else 1e9 + i for i in range(200)] + [None] * 200
+    df = S.position_index(hourly(spark, vals), "series_id", "ts")
+    for block_rows in (200, 8192):
+        blk = S.halo_blocks(df, "pos", before=167, block_rows=block_rows)
+        got = {r.pos: r.r for r in S.core_only(S.rolling_std(blk, "x", 168, 24, "r")).collect()}
+        assert sorted(got) == list(range(len(vals)))
+        for p in range(len(vals)):
+            w = [v for v in vals[max(0, p - 167):p + 1] if v is not None]
+            if len(w) < 24:
+                assert got[p] is None
+            else:
+                m = math.fsum(w) / len(w)
+                want = math.sqrt(math.fsum((v - m) ** 2 for v in w) / (len(w) - 1))
+                assert math.isclose(got[p], want, rel_tol=1e-9, abs_tol=1e-6 if want < 1 else 0), (p, got[p], want)
+    assert got[990] == 0.0
+
+
+def test_latest_n_ranks_one_day_only(spark):
+    vals = [float(i) for i in range(6000)]
+    df = hourly(spark, vals, series="a").unionByName(hourly(spark, vals[:30], series="b")).unionByName(
+        hourly(spark, [1.0], series="b").withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    for n in (1, 24, 25, 5000, 9999):
+        got = S.latest_n_asof(df, None, n, ts="ts")
+        by = {s: sorted(r.x for r in got.collect() if r.series_id == s) for s in "ab"}
+        assert by == {"a": vals[-n:], "b": vals[:30][-n:]}
+    assert S.latest_n_asof(df, "02/01/2024", 3, ts="ts").where("series_id = 'a'").agg(F.max("x")).first()[0] == 24.0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_day" in plan.split("Window", 1)[1]
