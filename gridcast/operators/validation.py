@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from gridcast.functions.calendar import hour_floor
+from gridcast.operators.series import join_stats
+from gridcast.session import materialize
 
 # Thresholds and expected ranges.
 DUPLICATE_SIMILARITY_THRESHOLD = 0.999
@@ -102,6 +104,43 @@ def near_duplicate_pairs(df: DataFrame, id_col: str, ts: str, cols=None, series=
     return out.where(F.col("similarity") >= F.lit(threshold))
 
 
+def near_duplicate_classes(df: DataFrame, id_col: str, ts: str, cols=None, series=None,
+                           threshold: float = DUPLICATE_SIMILARITY_THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Near duplicates as classes of equal rows and links between classes (V1, J9); linear in repeated rows.
+
+    Rows with equal columns in one (series, floor hour) form a class, named by
+    its least id. Returns members (series, id, ts, class_id, class_rows) and
+    links (series, class1 < class2, similarity) between classes; `expand_pairs`
+    gives the pairs of rows behind them.
+    """
+    series = [series] if isinstance(series, str) else list(series or [])
+    cols = list(cols) if cols is not None else numeric_columns(df, exclude=[id_col, ts])
+    keys = [*series, "_bucket", *cols]
+    x = df.select(*dict.fromkeys([*series, id_col, ts, *cols])).withColumn("_bucket", hour_floor(ts))
+    groups = materialize(x.groupBy(*keys).agg(F.min(id_col).alias("class_id"), F.count(F.lit(1)).alias("class_rows"),
+                                              F.min_by(ts, id_col).alias("_ts")), "near-classes")
+    several = groups.where("class_rows > 1").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "class_id", "class_rows")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    members = x.join(several, same, "left").select(
+        *series, id_col, ts, F.coalesce("class_id", id_col).alias("class_id"), F.coalesce("class_rows", F.lit(1)).cast("long").alias("class_rows"))
+    reps = groups.select(*series, F.col("class_id").alias("_rep"), F.col("_ts").alias(ts), *cols)
+    links = near_duplicate_pairs(reps, "_rep", ts, cols, series, threshold).select(
+        *series, F.col("index1").alias("class1"), F.col("index2").alias("class2"), "similarity")
+    return members, links
+
+
+def expand_pairs(members: DataFrame, links: DataFrame, id_col: str, series=None) -> DataFrame:
+    """All pairs (index1 < index2) behind classes and links: quadratic in the size of classes, so for small sets."""
+    series = [series] if isinstance(series, str) else list(series or [])
+    one = members.select(*series, F.col("class_id").alias("_c1"), F.col(id_col).alias("_i"))
+    two = members.select(*series, F.col("class_id").alias("_c2"), F.col(id_col).alias("_j"))
+    within = one.join(two.withColumnRenamed("_c2", "_c1"), [*series, "_c1"]).where("_i < _j").select(
+        *series, F.col("_i").alias("index1"), F.col("_j").alias("index2"), F.lit(1.0).alias("similarity"))
+    across = links.join(one.withColumnRenamed("_c1", "class1"), [*series, "class1"]).join(
+        two.withColumnRenamed("_c2", "class2"), [*series, "class2"])
+    return within.unionByName(across.select(*series, F.least("_i", "_j").alias("index1"), F.greatest("_i", "_j").alias("index2"), "similarity"))
+
+
 def near_duplicate_remove(df: DataFrame, id_col: str, ts: str, cols=None, series=None,
                           threshold: float = DUPLICATE_SIMILARITY_THRESHOLD) -> DataFrame:
     """Drop every row that is the second member of a pair (V2). An anti join: no pair is made."""
@@ -187,75 +226,68 @@ def check_leakage(df: DataFrame, pairs=None, series=None) -> DataFrame:
                        F.col("_n").alias("n"), susp.alias("suspicious"))
 
 
-def exact_median(df: DataFrame, col: str, series, accuracy: int = 100_000) -> DataFrame:
-    """Exact median per group without buffering a whole group in one task.
-
-    1. ``percentile_approx`` brackets the median: [lo, hi] at ranks
-       0.5 -/+ 2/accuracy (rank error <= n/accuracy), so fewer than about
-       4n/accuracy rows lie strictly inside the bracket, however many ties.
-    2. Counts below lo, equal to lo, inside, equal to hi locate the two
-       middle order statistics; only the inside rows are ranked.
-    Interpolates the two middle values like ``percentile(x, 0.5)``.
+def _spread_join(df: DataFrame, stats: DataFrame, series) -> DataFrame:
+    """join_stats with the salts of a hot series taken from whole rows."""
+    spread = "_spread"
+    rows = df.withColumn(spread, F.xxhash64(*df.columns))
+    return join_stats(rows, stats, series, spread).drop(spread)
+
+
+def distribution(df: DataFrame, col: str, series, accuracy: int = 100_000, sigmas: float = 3.0) -> DataFrame:
+    """Per group: n, mean, std, min, max, exact median, values beyond mean +/- sigmas * std.
+
+    Two reads. The first aggregates and brackets the median by
+    ``percentile_approx`` at ranks 0.5 -/+ 2/accuracy (rank error <= n/accuracy).
+    The second counts rows below, at and above the bracket's ends and, strictly
+    inside, per value: fewer than about 4n/accuracy rows, however many ties. A
+    running sum over these counts finds the two middle order statistics, which
+    are interpolated like ``percentile(x, 0.5)``; nothing ranks rows.
     """
     series = list(series)
-    y = F.col(col).cast("double")
     eps = 2.0 / accuracy
-    x = df.select(*series, y.alias("_y")).where(F.col("_y").isNotNull())
-    br = x.groupBy(*series).agg(
-        F.percentile_approx("_y", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_q"),
-        F.count(F.lit(1)).alias("_n"))
-    br = br.select(*series, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
-    j = x.join(br, series)
-    cnt = j.groupBy(*series).agg(
-        F.count(F.when(F.col("_y") < F.col("_lo"), 1)).alias("_lt"),
-        F.count(F.when(F.col("_y") == F.col("_lo"), 1)).alias("_eqlo"),
-        F.count(F.when((F.col("_y") > F.col("_lo")) & (F.col("_y") < F.col("_hi")), 1)).alias("_mid"),
-        F.count(F.when(F.col("_y") <= F.col("_hi"), 1)).alias("_upto"))
-    inside = j.where((F.col("_y") > F.col("_lo")) & (F.col("_y") < F.col("_hi")))
-    ranked = inside.select(*series, "_y", (F.row_number().over(
-        Window.partitionBy(*series).orderBy("_y")) - 1).alias("_r"))
-    st = br.join(cnt, series).select(
-        *series, "_n", "_lo", "_hi", "_lt", "_eqlo", "_mid", "_upto",
-        F.floor((F.col("_n") - 1) / 2).alias("_k1"), F.floor(F.col("_n") / 2).alias("_k2"))
-    missed = (F.col("_k1") < F.col("_lt")) | (F.col("_k2") >= F.col("_upto"))
-    st = st.withColumn("_lo", F.when(missed, F.raise_error(F.lit("the sketch's bracket misses the median"))).otherwise(F.col("_lo")))
-
-    def order_stat(k: str):
-        base = F.col(k) - F.col("_lt") - F.col("_eqlo")
-        return (F.when(F.col(k) < F.col("_lt") + F.col("_eqlo"), F.col("_lo"))
-                .when(base < F.col("_mid"), F.lit(None).cast("double"))
-                .otherwise(F.col("_hi"))), base
-
-    v1, b1 = order_stat("_k1")
-    v2, b2 = order_stat("_k2")
-    st = st.select(*series, "_n", v1.alias("_v1"), b1.alias("_b1"), v2.alias("_v2"), b2.alias("_b2"))
-    r1 = ranked.select(*series, F.col("_r").alias("_b1"), F.col("_y").alias("_m1"))
-    r2 = ranked.select(*series, F.col("_r").alias("_b2"), F.col("_y").alias("_m2"))
-    st = st.join(r1, series + ["_b1"], "left").join(r2, series + ["_b2"], "left")
-    a, b = F.coalesce("_v1", "_m1"), F.coalesce("_v2", "_m2")
-    pos = (F.col("_n") - 1) / 2.0
-    frac = pos - F.floor(pos)
-    med = F.when(frac == 0, a).otherwise((F.lit(1.0) - frac) * a + frac * b)
-    return st.select(*series, med.alias("median"))
+    x = df.select(*series, F.col(col).cast("double").alias("_y"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(df.columns) if c not in series])
+    y = F.col("_y")
+    st = x.groupBy(*series).agg(
+        F.count(F.lit(1)).alias("n"), F.count("_y").alias("_m"), F.avg("_y").alias("mean"), F.stddev_samp("_y").alias("std"),
+        F.min("_y").alias("min"), F.max("_y").alias("max"),
+        F.percentile_approx("_y", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_q"))
+    st = materialize(st.select("*", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")).drop("_q"), "distribution")
+    j = _spread_join(x, st.select(*series, "mean", "std", "_lo", "_hi"), series)
+    place = (F.when(y < F.col("_lo"), 0).when(y == F.col("_lo"), 1).when(y < F.col("_hi"), 2).when(y == F.col("_hi"), 3).otherwise(4))
+    value = F.when(place.isin(1, 2, 3), y)
+    beyond = F.abs(y - F.col("mean")) > sigmas * F.col("std")
+    counts = j.where(y.isNotNull()).groupBy(*series, place.alias("_place"), value.alias("_value")).agg(
+        F.count(F.lit(1)).alias("_k"), F.count_if(F.coalesce(beyond, F.lit(False))).alias("_out"))
+    upto = F.sum("_k").over(Window.partitionBy(*series).orderBy("_place", "_value").rowsBetween(Window.unboundedPreceding, 0))
+    steps = counts.select("*", upto.alias("_upto")).join(st.select(*series, "_m"), series)
+    first, second = F.floor((F.col("_m") - 1) / 2), F.floor(F.col("_m") / 2)
+
+    def holds(rank):
+        return (F.col("_upto") > rank) & (F.col("_upto") - F.col("_k") <= rank)
+
+    middle = steps.groupBy(*series).agg(
+        F.sum("_out").alias("outliers"), F.max(F.when(holds(first), F.col("_value"))).alias("_a"),
+        F.max(F.when(holds(second), F.col("_value"))).alias("_b"), F.max("_m").alias("_seen"))
+    missed = F.col("_seen").isNotNull() & (F.col("_a").isNull() | F.col("_b").isNull())
+    frac = (F.col("_m") - 1) / 2.0 - F.floor((F.col("_m") - 1) / 2.0)
+    median = F.when(frac == 0, F.col("_a")).otherwise((F.lit(1.0) - frac) * F.col("_a") + frac * F.col("_b"))
+    median = F.when(missed, F.raise_error(F.lit("the sketch's bracket misses the median"))).otherwise(median)
+    return st.join(middle, series, "left").select(*series, "n", "mean", "std", "min", "max", median.cast("double").alias("median"),
+                                                  F.coalesce("outliers", F.lit(0)).alias("outliers"))
 
 
-def check_target_distribution(df: DataFrame, target: str = "target_demand", series=None) -> DataFrame:
-    """Mean, median, std, min, max and outliers beyond mean +/- 3 std (V9).
+def exact_median(df: DataFrame, col: str, series, accuracy: int = 100_000) -> DataFrame:
+    """Exact median per group (see ``distribution``)."""
+    return distribution(df, col, series, accuracy).select(*list(series), "median")
 
-    The median is exact (``exact_median``: bounded per task).
-    """
+
+def check_target_distribution(df: DataFrame, target: str = "target_demand", series=None) -> DataFrame:
+    """Mean, exact median, std, min, max and outliers beyond mean +/- 3 std (V9)."""
     series = [series] if isinstance(series, str) else list(series or [])
     whole = not series
     if whole:
         df, series = df.withColumn("_all", F.lit(1)), ["_all"]
-    y = F.col(target)
-    aggs = [F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"),
-            F.count(F.lit(1)).alias("n")]
-    st = df.groupBy(*series).agg(*aggs).join(exact_median(df, target, series), series)
-    j = df.join(st.select(*series, "mean", "std"), series)
-    out = j.groupBy(*series).agg(F.count(F.when((y < F.col("mean") - 3 * F.col("std")) |
-                                                (y > F.col("mean") + 3 * F.col("std")), 1)).alias("outliers"))
-    r = st.join(out, series)
+    r = distribution(df, target, series).select(*series, "mean", "std", "min", "max", "n", "median", "outliers")
     if whole:
         r = r.drop("_all")
     return r.withColumn("outlier_pct", F.col("outliers") / F.col("n") * 100).withColumn(
@@ -301,7 +333,6 @@ def validation_report(df: DataFrame, ts: str = "timestamp", target: str = "targe
     and repeated timestamps take one pass each.
     """
     from gridcast.operators.dedupe import duplicate_timestamps
-    from gridcast.session import materialize
     df = materialize(df, "validation-frame")
     gaps = check_continuity(df.select(series, ts), series, ts).groupBy(series).agg(F.lit(False).alias("temporal_continuity"))
     once = duplicate_timestamps(df, series, ts).select(series, F.col("passed").alias("duplicate_timestamps"))

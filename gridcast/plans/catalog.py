@@ -592,30 +592,31 @@ def _hourly_by_series(df):
 @query("replace_range")
 def q_replace_range(spark, sf_dir):
     """A10: a revised window replaces its key range per series in a day-partitioned table."""
-    from gridcast.sources.files import replace_range
+    from gridcast.sources.files import current_table, replace_range
     path, batch = _revision_batch(spark, sf_dir)
     replace_range(spark, path, _hourly_by_series(batch))
-    return spark.read.parquet(path).drop("day")
+    return current_table(spark, path).drop("day")
 
 
 @query("replace_range_report")
 def q_replace_range_report(spark, sf_dir):
     """A10: rows inserted and deleted by that replacement, and rows left."""
-    from gridcast.sources.files import replace_range
+    from gridcast.sources.files import current_table, replace_range
     path, batch = _revision_batch(spark, sf_dir)
     report = replace_range(spark, path, _hourly_by_series(batch))
-    return report.withColumn("rows_after", F.lit(spark.read.parquet(path).count()).cast("long"))
+    return report.withColumn("rows_after", F.lit(current_table(spark, path).count()).cast("long"))
 
 
 @query("feed_refresh")
 def q_feed_refresh(spark, sf_dir):
     """Feed refresh: a re-fetched window through dedupe, hourly means, forecast join and DST into the demand table."""
     from gridcast.plans.feed_flow import hourly_feed, refresh_feed
+    from gridcast.sources.files import current_table
     feed = B.demand_feed(spark, sf_dir)
     path = _path(spark, "feed-demand")
     hourly_feed(feed.where("delivery = 0")).withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(path)
     refresh_feed(spark, feed.where("delivery = 1"), path)
-    return spark.read.parquet(path).drop("day")
+    return current_table(spark, path).drop("day")
 
 
 @query("missing_years")
@@ -859,6 +860,17 @@ def q_near_duplicate_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir)
 
 
+@query("near_duplicate_classes")
+def q_near_duplicate_classes(spark, sf_dir):
+    """Each reading with its class of equal readings of the hour, the class's size and the classes it is near to."""
+    from gridcast.operators.validation import near_duplicate_classes
+    members, links = near_duplicate_classes(_readings(spark, sf_dir), "rid", "ts", ["load", "forecast", "user_id"], series="series_id")
+    ends = links.select("series_id", F.explode(F.array("class1", "class2")).alias("class_id"))
+    near = ends.groupBy("series_id", "class_id").agg(F.count(F.lit(1)).alias("near_classes"))
+    return members.join(near, ["series_id", "class_id"], "left").select(
+        "series_id", "rid", "ts", "class_id", "class_rows", F.coalesce("near_classes", F.lit(0)).alias("near_classes"))
+
+
 @query("near_duplicate_remove")
 def q_near_duplicate_remove(spark, sf_dir):
     """V2: readings left after dropping every second member of a pair."""

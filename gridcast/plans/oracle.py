@@ -1005,6 +1005,14 @@ WHERE similarity >= {D(0.999)}""", "readings")
 oracle("near_duplicate_pairs", with_ctes(f"""
 SELECT series_id, index1, index2, timestamp1, timestamp2, {R('similarity', 'similarity')},
        {R('demand1', 'demand1')}, {R('demand2', 'demand2')} FROM pairs""", "pairs"))
+oracle("near_duplicate_classes", with_ctes("""
+, m AS (SELECT *, min(rid) OVER w AS class_id, count(*) OVER w AS class_rows FROM readings
+        WINDOW w AS (PARTITION BY series_id, date_trunc('hour', ts), load, forecast, user_id)),
+l AS (SELECT p.series_id, unnest([index1, index2]) AS class_id FROM pairs p JOIN m a ON a.rid = index1 AND a.class_id = index1 AND a.series_id = p.series_id
+      JOIN m b ON b.rid = index2 AND b.class_id = index2 AND b.series_id = p.series_id)
+SELECT m.series_id, rid, ts, m.class_id, class_rows, coalesce(n, 0) AS near_classes
+FROM m LEFT JOIN (SELECT series_id, class_id, count(*) AS n FROM l GROUP BY ALL) q ON q.series_id = m.series_id AND q.class_id = m.class_id""",
+    "readings", "pairs"))
 oracle("near_duplicate_remove", with_ctes(f"""
 SELECT series_id, ts, rid, {R('load', 'load')}, {R('forecast', 'forecast')}, user_id FROM readings
 WHERE rid NOT IN (SELECT index2 FROM pairs)""", "readings", "pairs"))

@@ -1,7 +1,7 @@
 """File sources and sinks.
 
 Readers are declarative Spark scans; the only driver-side reads are of
-schema-sized things (the different CSV headers, a version listing). Landing writers
+schema-sized things (the width of CSV headers, a version listing). Landing writers
 build feed files in the reference's formats from the test tables so the
 readers have real inputs; every file set is written in parallel, one
 file per day / year, never funnelled through one task.
@@ -9,14 +9,16 @@ file per day / year, never funnelled through one task.
 
 from __future__ import annotations
 
-import csv
 import re
+import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions.calendar import dst_flags_day25
 from gridcast.functions.numeric import nan_to_null
+from gridcast.session import materialize
 
 # Input formats.
 DEMAND_TS_FORMAT = "dd/MM/yyyy HH:mm"
@@ -66,35 +68,48 @@ def normalize_wallclock(col) -> "F.Column":
 # --------------------------------------------------------------------------
 # readers (A1, A2, A7, A8)
 # --------------------------------------------------------------------------
-#: Different headers that the files of one set may have.
-MAX_LAYOUTS = 64
-
-
 def _scan_by_header(spark: SparkSession, path: str, is_header, needed) -> DataFrame:
-    """Rows of CSV files as a map column -> text, each file read by its own header line.
+    """Rows of CSV files as two arrays, `names` (the header's) and `cells`, each file read by its own header line.
 
-    A file's header is its line that `is_header` accepts, wherever it stands;
-    the lines of files with one header are parsed together. Raises where a
-    file set has no header or a header lacks a needed column.
+    A file's header is its line that `is_header` accepts, wherever it stands. Headers form a table of a row per
+    file that is joined to the lines, so any number of layouts is parsed in one pass over them. A file without a
+    header is read by the set's only layout if there is just one. Raises where a file set has no header, a header
+    lacks a needed column, a file has different headers, or a file without one could be read by several.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    heads = lines.where(is_header(F.col("value"))).distinct()
-    layouts = [r["value"] for r in heads.select("value").distinct().orderBy("value").limit(MAX_LAYOUTS + 1).collect()]
-    if not layouts or len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"{path}: {'no' if not layouts else 'too many different'} header lines")
-    out = None
-    for text in layouts:
-        names = next(csv.reader([text]))
-        if missing := [c for c in needed(names) if c not in names]:
-            raise ValueError(f"{path}: header without {missing}")
-        own = lines.where(F.col("value") != text)
-        if len(layouts) > 1:
-            own = own.join(heads.where(F.col("value") == text).select("file"), "file", "left_semi")
-        schema = ", ".join(f"c{i} string" for i in range(len(names)))
-        cells = own.select(F.from_csv("value", schema).alias("r"))
-        rows = cells.select(F.create_map(*(x for i, c in enumerate(names) for x in (F.lit(c), F.col(f"r.c{i}")))).alias("row"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    heads = materialize(lines.where(is_header(F.col("value"))).groupBy("file").agg(
+        F.min("value").alias("head"), F.max("value").alias("other")), "csv-headers")
+    width = F.max(F.regexp_count("head", F.lit(","))) + 1  # at least as many as there are columns
+    seen = heads.agg(width.alias("width"), F.min("head").alias("one"), (F.min("head") == F.max("head")).alias("alike"),
+                     F.min(F.when(F.col("head") != F.col("other"), F.col("file"))).alias("mixed")).first()
+    if seen["width"] is None:
+        raise ValueError(f"{path}: no header lines")
+    if seen["mixed"] is not None:
+        raise ValueError(f"{seen['mixed']}: different header lines")
+    schema = ", ".join(f"c{i} string" for i in range(seen["width"]))
+
+    def cells(text):
+        return F.transform(F.array(F.from_csv(text, schema)), lambda r: F.array(*[r[f"c{i}"] for i in range(seen["width"])]))[0]
+
+    layouts = heads.select("file", "head", cells(F.col("head")).alias("names"))
+    lacks = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(what)) for what, ok in needed(F.col("names"))]), lambda c: c.isNotNull())
+    bad = layouts.select("file", lacks.alias("lacks")).where(F.size("lacks") > 0).orderBy("file").limit(1).collect()
+    if bad:
+        raise ValueError(f"{bad[0]['file']}: header without {bad[0]['lacks']}")
+    rows = lines.join(layouts, "file", "left")
+    if seen["alike"]:
+        only = F.lit(seen["one"])
+        rows = rows.select("value", F.coalesce("head", only).alias("head"), F.coalesce("names", cells(only)).alias("names"))
+    else:
+        lost = F.raise_error(F.concat(F.col("file"), F.lit(": no header line, and several layouts")))
+        rows = rows.select("value", F.when(F.col("head").isNull() & (F.trim("value") != ""), lost.cast("string")).otherwise(F.col("head")).alias("head"), "names")
+    return rows.where(F.col("value") != F.col("head")).select("names", cells(F.col("value")).alias("cells"))
+
+
+def _cell(name) -> Column:
+    """The cell under a column name (text or expression) in rows of `_scan_by_header`."""
+    place = F.array_position("names", F.lit(name) if isinstance(name, str) else name)
+    return F.when(place > 0, F.get("cells", place.cast("int") - 1))
 
 
 def _number(col) -> "F.Column":
@@ -107,17 +122,15 @@ def scan_demand_csv(spark: SparkSession, path: str) -> DataFrame:
 
     Each file is read by its own header; cells that do not parse are NULL.
     """
-    def ts_name(names):
-        return next((c for c in names if "MTU" in c or "Time" in c), "MTU")
+    def time_name(names):
+        return F.get(F.filter(names, lambda c: c.contains("MTU") | c.contains("Time")), F.lit(0))
 
     def needed(names):
-        return [ts_name(names), DEMAND_ACTUAL, DEMAND_FORECAST]
+        return [("MTU", time_name(names).isNotNull()), *[(c, F.array_contains(names, c)) for c in (DEMAND_ACTUAL, DEMAND_FORECAST)]]
 
     rows = _scan_by_header(spark, path, lambda v: v.contains(DEMAND_ACTUAL), needed)
-    ts = F.element_at(F.map_values(F.map_filter("row", lambda k, _: k.contains("MTU") | k.contains("Time"))), 1)
-    return rows.select(parse_interval_timestamp(ts).alias("ts"),
-                       _number(F.col("row")[DEMAND_ACTUAL]).alias("actual_load"),
-                       _number(F.col("row")[DEMAND_FORECAST]).alias("forecast_load"))
+    return rows.select(parse_interval_timestamp(_cell(time_name(F.col("names")))).alias("ts"),
+                       _number(_cell(DEMAND_ACTUAL)).alias("actual_load"), _number(_cell(DEMAND_FORECAST)).alias("forecast_load"))
 
 
 def scan_weather_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -127,11 +140,10 @@ def scan_weather_csv(spark: SparkSession, path: str) -> DataFrame:
     rows are the lines whose time parses, cells that do not parse are NULL.
     """
     rows = _scan_by_header(spark, path, lambda v: v.startswith("time,") | v.contains(",time,") | v.endswith(",time"),
-                           lambda names: ["time", *WEATHER_COLUMNS])
-    t = F.try_to_timestamp(F.col("row")["time"])
+                           lambda names: [(c, F.array_contains(names, c)) for c in ("time", *WEATHER_COLUMNS)])
+    t = F.try_to_timestamp(_cell("time"))
     out = rows.where(t.isNotNull()).select(
-        t.cast("timestamp_ntz").alias("ts"),
-        *[_number(F.col("row")[src]).alias(dst) for src, dst in WEATHER_COLUMNS.items()])
+        t.cast("timestamp_ntz").alias("ts"), *[_number(_cell(src)).alias(dst) for src, dst in WEATHER_COLUMNS.items()])
     return out.select("*", *dst_flags_day25("ts"))
 
 
@@ -166,39 +178,108 @@ def append_table(df: DataFrame, path: str, partition_by=None, fmt: str = "parque
     w.save(path)
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a replaced table."""
+    base = f"{path.rstrip('/')}/_versions"
+    return [v for v in list_versions(spark, base) if _exists(spark, f"{base}/v={v}/_SUCCESS")]
+
+
+def _day_dirs(spark: SparkSession, path: str, day_col: str) -> dict[str, str]:
+    """Folder of each day (as text in folder names): by the newest complete version, or as they lie in a plain table."""
+    done = _versions(spark, path)
+    if done:
+        return {r["day"]: r["dir"] for r in spark.read.parquet(f"{path.rstrip('/')}/_versions/v={done[-1]}").collect()}
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [st.getPath().getName() for st in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    return {n.partition("=")[2]: path.rstrip("/") for n in names if n.startswith(f"{day_col}=")}
+
+
+def current_table(spark: SparkSession, path: str, day_col: str = "day") -> DataFrame:
+    """A day-partitioned table as its newest complete version has it; a table that was never replaced, as it lies."""
+    if not _versions(spark, path):
+        return spark.read.parquet(path)
+    by_dir: dict[str, list[str]] = {}
+    for day, folder in _day_dirs(spark, path, day_col).items():
+        by_dir.setdefault(folder, []).append(f"{folder}/{day_col}={day}")
+    parts = [spark.read.option("basePath", folder).parquet(*days) for folder, days in sorted(by_dir.items())]
+    if not parts:
+        return spark.read.parquet(path).limit(0)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def replace_range(spark: SparkSession, target_path: str, batch: DataFrame, key: str = "ts",
-                  day_col: str = "day", by=("series_id",), staging: str | None = None) -> DataFrame:
+                  day_col: str = "day", by=("series_id",)) -> DataFrame:
     """Per group `by`, delete target rows with key in [min, max] of the batch, then add the batch (A10).
 
-    The target is partitioned by day. Only days inside the batch's ranges are
-    rewritten, from a staged copy and with dynamic partition overwrite; days
-    that the deletion leaves empty are removed. Returns one row
-    (inserted, deleted); an empty batch gives (0, 0) and writes nothing.
+    The target is partitioned by day. Days that lose or gain rows are written
+    anew beside the table, and one small version table then names the folder of
+    every day: its completion switches all readers (`current_table`) at once,
+    and a job that stops before leaves the table as it was. Replaced folders
+    stay until `drop_replaced`. Returns one row (inserted, deleted); an empty
+    batch gives (0, 0) and writes nothing.
     """
-    from gridcast.session import shared_path
-    by = [by] if isinstance(by, str) else list(by)
+    by, path = [by] if isinstance(by, str) else list(by), target_path.rstrip("/")
     batch = batch.withColumn(day_col, F.to_date(key))
     whole = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     if whole["n"] == 0:
         return spark.createDataFrame([(0, 0)], "inserted long, deleted long")
     ranges = batch.groupBy(*by).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    target = spark.read.parquet(target_path)
-    affected = target.where(F.col(day_col).between(F.to_date(F.lit(whole["lo"])), F.to_date(F.lit(whole["hi"]))))
-    ranged = affected.join(ranges, by, "left")
+    target, dirs = current_table(spark, path, day_col), _day_dirs(spark, path, day_col)
+    near = target.where(F.col(day_col).between(F.to_date(F.lit(whole["lo"])), F.to_date(F.lit(whole["hi"]))) | F.col(day_col).isNull())
+    ranged = near.join(ranges, by, "left")
     gone = F.coalesce(F.col(key).between(F.col("_lo"), F.col("_hi")), F.lit(False))
-    counts = ranged.groupBy(day_col).agg(F.count_if(gone).alias("gone"), F.count_if(~gone).alias("kept"))
-    days = counts.join(batch.groupBy(day_col).agg(F.count(F.lit(1)).alias("new")), day_col, "left").collect()  # a row per day
-    staged = ranged.where(~gone).select(*target.columns).unionByName(batch.select(*target.columns))
-    stage_path = staging or shared_path(spark, "replace-stage")
-    staged.write.mode("overwrite").partitionBy(day_col).parquet(stage_path)
-    (spark.read.parquet(stage_path).select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(target_path))
+    old = ranged.groupBy(day_col).agg(F.count_if(gone).alias("gone"), F.count_if(~gone).alias("kept"))
+    new = batch.groupBy(F.col(day_col).alias("_day")).agg(F.count(F.lit(1)).alias("new"))
+    days = old.join(new, F.col(day_col).eqNullSafe(F.col("_day")), "full").select(
+        F.coalesce(F.coalesce(day_col, "_day").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("day"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("gone", "kept", "new")]).where("gone > 0 or new > 0").collect()  # a row per day
+    touched = [r["day"] for r in days]
+    folder = f"{path}/_data/{uuid.uuid4().hex[:12]}"
+    rows = ranged.where(~gone & F.coalesce(F.col(day_col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).isin(touched))
+    rows.select(*target.columns).unionByName(batch.select(*target.columns)).write.partitionBy(day_col).parquet(folder)
     for r in days:
-        if not r["kept"] and not r["new"]:
-            _delete(spark, f"{target_path.rstrip('/')}/{day_col}={r[day_col]}")
+        dirs.pop(r["day"], None)
+        if r["kept"] or r["new"]:
+            dirs[r["day"]] = folder
+    _switch(spark, path, dirs)
     return spark.createDataFrame([(int(whole["n"]), int(sum(r["gone"] for r in days)))], "inserted long, deleted long")
 
 
+def _switch(spark: SparkSession, path: str, dirs: dict[str, str]) -> None:
+    """Write the next version: complete with its _SUCCESS file; a version that another writer began raises."""
+    done = _versions(spark, path)
+    following = f"{path}/_versions/v={(done[-1] if done else 0) + 1}"
+    if _exists(spark, following) and not _exists(spark, f"{following}/_SUCCESS"):
+        _delete(spark, following)  # left by a writer that stopped
+    spark.createDataFrame(sorted(dirs.items()), "day string, dir string").coalesce(1).write.mode("error").parquet(following)
+
+
+def drop_replaced(spark: SparkSession, path: str, day_col: str = "day") -> int:
+    """Delete folders and versions that the newest version does not name; the number of day folders deleted."""
+    path, done = path.rstrip("/"), _versions(spark, path)
+    if not done:
+        return 0
+    dirs, n = _day_dirs(spark, path, day_col), 0
+    keep = {f"{d}/{day_col}={day}" for day, d in dirs.items()}
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [path] + ([f"{path}/_data/{st.getPath().getName()}" for st in fs.listStatus(fs_path(f"{path}/_data"))])
+    for folder in folders:
+        for st in fs.listStatus(fs_path(folder)):
+            name = st.getPath().getName()
+            if name.startswith(f"{day_col}=") and f"{folder}/{name}" not in keep:
+                fs.delete(st.getPath(), True)
+                n += 1
+    for v in done[:-1]:
+        _delete(spark, f"{path}/_versions/v={v}")
+    return n
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -133,10 +133,10 @@ def stream_replace_range(spark: SparkSession, src: str, schema, target: str, pre
     ``prepare`` maps a micro-batch to target rows (e.g. an hourly roll-up).
     Ranges are per series and day, so days in other micro-batches stay as they are.
     """
-    from gridcast.sources.files import replace_range
+    from gridcast.sources.files import current_table, replace_range
 
     def upsert(batch: DataFrame, epoch: int) -> None:
         replace_range(batch.sparkSession, target, prepare(batch) if prepare else batch, key=key, by=by)
 
     _run(_stream(spark, src, schema, max_files), shared_path(spark, "ckpt-upsert"), upsert)
-    return spark.read.parquet(target)
+    return current_table(spark, target)

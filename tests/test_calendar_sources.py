@@ -3,6 +3,9 @@
 import json
 import os
 
+import itertools
+
+import pytest
 from pyspark.sql import functions as F
 
 from gridcast.functions.calendar import dst_flags_day25, dst_flags_month
@@ -76,10 +79,10 @@ def test_replace_range_counts_and_idempotence(spark):
     batch = base.where("v >= 3 and v <= 6").withColumn("v", F.col("v") + 100)
     r = FS.replace_range(spark, p, batch).first()
     assert (r.inserted, r.deleted) == (4, 4)
-    first = sorted((str(x.ts), x.v) for x in spark.read.parquet(p).collect())
+    first = sorted((str(x.ts), x.v) for x in FS.current_table(spark, p).collect())
     r2 = FS.replace_range(spark, p, batch).first()
     assert (r2.inserted, r2.deleted) == (4, 4)
-    assert sorted((str(x.ts), x.v) for x in spark.read.parquet(p).collect()) == first
+    assert sorted((str(x.ts), x.v) for x in FS.current_table(spark, p).collect()) == first
     assert len(first) == 10 and sum(v for _, v in first) == 45 + 400
     empty = FS.replace_range(spark, p, batch.where("false")).first()
     assert (empty.inserted, empty.deleted) == (0, 0)
@@ -113,3 +116,71 @@ def test_staged_tables_are_dropped(spark):
     p = _STAGED[-1]
     assert df.count() == 5 and os.path.exists(p.replace("file:", ""))
     assert drop_staged(spark) == 1 and not os.path.exists(p.replace("file:", ""))
+
+
+def test_a_stopped_replacement_leaves_the_table_whole(spark, monkeypatch):
+    hours = [f"2024-01-0{d} {h:02d}:00:00" for d in (1, 2, 3, 4) for h in range(0, 24, 6)]
+    base = spark.createDataFrame([(s, t, 1.0) for s in "ab" for t in hours], "series_id string, t string, v double").select(
+        "series_id", F.col("t").cast("timestamp_ntz").alias("ts"), "v")
+    p = shared_path(spark, "t-atomic")
+    base.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(p)
+
+    def rows():
+        return sorted((r.series_id, str(r.ts), r.v) for r in FS.current_table(spark, p).collect())
+
+    before = rows()
+    batch = base.where("series_id = 'a' and day(ts) in (2, 3)").withColumn("v", F.lit(2.0))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    for again in range(2):  # on a plain table, then on a versioned one
+        held = rows()
+        with monkeypatch.context() as m:
+            m.setattr(FS, "_switch", stop)
+            with pytest.raises(RuntimeError):
+                FS.replace_range(spark, p, batch)
+        assert rows() == held  # the data were written, the switch was not
+        (spark.createDataFrame([("x", "y")], "day string, dir string").write.parquet(f"{p}/_versions/v={again + 1}"))
+        FS._delete(spark, f"{p}/_versions/v={again + 1}/_SUCCESS")  # a version begun, not completed
+        assert rows() == held
+        assert tuple(FS.replace_range(spark, p, batch).first()) == (8, 8)
+        want = sorted((s, t, 2.0 if s == "a" and "-02 " in t or s == "a" and "-03 " in t else v) for s, t, v in before)
+        assert rows() == want
+    dirs = FS._day_dirs(spark, p, "day")
+    assert dirs["2024-01-01"] == dirs["2024-01-04"] == p and dirs["2024-01-02"] != p  # untouched days stay where they are
+    assert FS.drop_replaced(spark, p) > 0 and rows() == want
+
+
+def _csv(spark, path, texts):
+    for i, lines in enumerate(texts):
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{path}/f{i:03d}")
+
+
+def test_csv_layouts_of_any_number(spark):
+    names = ["MTU (CET)", FS.DEMAND_ACTUAL, FS.DEMAND_FORECAST] + [f"extra {i}" for i in range(4)]
+    path = shared_path(spark, "t-layouts")
+    orders = list(itertools.permutations(range(6)))[:200]
+    rows = []
+    for k, order in enumerate(orders):
+        cell = {0: "01/01/2024 00:15 - 01/01/2024 00:30", 1: str(k), 2: f'"{k + 1000}"', 3: "x", 4: '"a,b"', 5: ""}
+        rows += [(f"{k:03d}", 0, ",".join(names[i] for i in order)), (f"{k:03d}", 1, ",".join(cell[i] for i in order)),
+                 (f"{k:03d}", 2, ",".join("n/e" if i == 1 else cell[i] for i in order))]
+    df = spark.createDataFrame(rows, "f string, k int, value string")
+    df.repartition("f").sortWithinPartitions("f", "k").select("f", "value").write.partitionBy("f").text(path)
+    got = FS.scan_demand_csv(spark, path).collect()
+    assert sorted((r.actual_load, r.forecast_load) for r in got if r.actual_load is not None) == [(float(k), float(k + 1000)) for k in range(200)]
+    assert sum(r.actual_load is None for r in got) == 200 and {str(r.ts) for r in got} == {"2024-01-01 00:15:00"}
+
+
+def test_csv_headers_that_do_not_fit(spark):
+    head = f"Time,{FS.DEMAND_ACTUAL},{FS.DEMAND_FORECAST}"
+    for k, (texts, said) in enumerate(((["a,b", "c,d"], "no header"), ([f"Time,{FS.DEMAND_ACTUAL}"], "header without"),
+                                       ([head, f"MTU,{FS.DEMAND_ACTUAL},{FS.DEMAND_FORECAST}"], "different"))):
+        path = shared_path(spark, f"t-heads{k}")
+        _csv(spark, path, [texts])
+        with pytest.raises(ValueError, match=said):
+            FS.scan_demand_csv(spark, f"{path}/f000")
+    path = shared_path(spark, "t-one")
+    _csv(spark, path, [[head, "01/01/2024 00:15,1,2"], ["01/01/2024 00:30,3,4"]])  # a file without a header, one layout
+    assert FS.scan_demand_csv(spark, f"{path}/*").count() == 2

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridcast.operators.resample import resample_hourly
 from gridcast.session import shared_path
 from gridcast.sources import bindings as B
-from gridcast.sources.files import replace_range
+from gridcast.sources.files import current_table, replace_range
 from gridcast.streaming.feeds import late_readings, stream_dedupe, stream_hourly_rollup, stream_replace_range
 
 SF = "/root/testdata/sf0.001"
@@ -120,12 +120,12 @@ def test_replace_range_is_per_series_and_empties_days(spark):
     batch = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     report = replace_range(spark, path, batch).first()
     assert (report.inserted, report.deleted) == (48, 72)
-    got = {(r.series_id, r.v): r.n for r in spark.read.parquet(path).groupBy("series_id", "v").agg(F.count("*").alias("n")).collect()}
+    got = {(r.series_id, r.v): r.n for r in current_table(spark, path).groupBy("series_id", "v").agg(F.count("*").alias("n")).collect()}
     assert got == {("a", 2.0): 48, ("b", 1.0): 72}
     only = shared_path(spark, "t-replace-one")
     _table(spark, [("a", t, 1.0) for t in hours], only)
     report = replace_range(spark, only, batch).first()
-    assert (report.inserted, report.deleted) == (48, 72) and spark.read.parquet(only).count() == 48
+    assert (report.inserted, report.deleted) == (48, 72) and current_table(spark, only).count() == 48
     assert tuple(replace_range(spark, only, batch.limit(0)).first()) == (0, 0)
 
 

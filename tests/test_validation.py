@@ -87,3 +87,32 @@ def test_exact_median_matches_percentile(spark):
     assert set(got) == set(want)
     for k in want:
         assert abs(got[k] - want[k]) < 1e-12, (k, got[k], want[k])
+
+
+def test_classes_stand_for_all_pairs(spark):
+    random.seed(4)
+    rows = [(i, f"2024-01-01 0{i % 3}:{i % 60:02d}:00", random.choice([100.0, 100.05, 100.4, None]), random.choice([1.0, 1.0005, None])) for i in range(150)]
+    df = _frame(spark, rows)
+    members, links = V.near_duplicate_classes(df, "rid", "ts", ["a", "b"])
+    pairs = V.near_duplicate_pairs(df, "rid", "ts", ["a", "b"])
+    want = sorted((r.index1, r.index2, round(r.similarity, 9)) for r in pairs.collect())
+    got = sorted((r.index1, r.index2, round(r.similarity, 9)) for r in V.expand_pairs(members, links, "rid").collect())
+    assert got == want and len(want) > 500
+    assert members.count() == 150 and links.count() < 40
+
+
+def test_classes_are_linear_in_equal_rows(spark):
+    n = 100_000
+    df = spark.range(n).select(F.col("id").alias("rid"), F.lit("2024-01-01 00:30:00").cast("timestamp_ntz").alias("ts"),
+                               F.when(F.col("id") % 10 == 0, 100.05).otherwise(100.0).alias("a"), F.lit(1.0).alias("b"))
+    members, links = V.near_duplicate_classes(df, "rid", "ts", ["a", "b"])
+    assert [(r.class1, r.class2) for r in links.collect()] == [(0, 1)]
+    assert {(r.class_id, r.class_rows): r.n for r in members.groupBy("class_id", "class_rows").agg(F.count("*").alias("n")).collect()} == {
+        (0, n // 10): n // 10, (1, n - n // 10): n - n // 10}
+
+
+def test_distribution_of_odd_groups(spark):
+    nan_free = [("a", 1.0), ("a", None), ("b", None), ("c", 2.0), ("c", 4.0)] + [("d", float(i % 7)) for i in range(999)] + [("d", 1e6)]
+    got = {r.s: r for r in V.distribution(spark.createDataFrame(nan_free, "s string, v double"), "v", ["s"], accuracy=50).collect()}
+    assert (got["a"].median, got["b"].median, got["c"].median, got["d"].median) == (1.0, None, 3.0, 3.0)
+    assert (got["b"].n, got["b"].outliers, got["d"].outliers) == (1, 0, 1)
