@@ -12,10 +12,13 @@ all 3-word counts (2^16 counters, whatever the corpus) makes frequent 3-word
 sequences the last choice as minimisers: windows that hold anything rarer go by
 that, so boilerplate does not gather its surroundings in one bucket.
 
-Exactness: equal 64-bit window hashes are confirmed on the words.
+Exactness: equal 64-bit window hashes are confirmed on the words. A row is known
+by its doc_id; where ids repeat (nulls count as one id), by two more independent
+64-bit hashes of its text.
 
 Defined results: a null or empty text has no words; a text of under 20 words
-keeps them all; rows with equal doc_id and text get equal results, neither being
+keeps them all; a very long text is cut into a slice of its own and whole;
+rows with equal doc_id and text get equal results, neither being
 earlier than the other; a null doc_id comes before all others; an empty table
 gives an empty table; other columns are not looked at.
 """
@@ -23,13 +26,13 @@ gives an empty table; other columns are not looked at.
 from __future__ import annotations
 
 import struct
-import zlib
 from itertools import compress as pick
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.common import (
@@ -100,18 +103,35 @@ def _unpack(blob: bytes) -> tuple[list[np.ndarray], list[np.ndarray], bytes]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     a, b = struct.unpack_from("<II", raw)
     at, cols = 8, []
-    for n in [a] * 3 + [b] * 4:
+    for n in [a] * 4 + [b] * 5:
         cols.append(np.frombuffer(raw, "<i8", n, at))
         at += 8 * n
-    return cols[:3], cols[3:], raw[at:]
+    return cols[:4], cols[4:], raw[at:]
+
+
+#: Seeds of the two text hashes; the second is Spark's hash of the integer 1.
+SEED = 42
+SEED2 = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), SEED)
+
+
+def text_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each text, equal to those of `key_columns`."""
+    return tuple(np.array([xxhash.xxh64_intdigest(t, seed) for t in texts], np.uint64).astype(np.int64) for seed in (SEED, SEED2))
+
+
+def key_columns(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
 
 def _delta(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=x[:1] * 0)
 
 
-def super_kmers(docs: DataFrame, frequent: np.ndarray, n_buckets: int, window: int, m: int) -> DataFrame:
-    """(bucket, blob): the super-k-mers of each bucket from a few MB of text, and windows already known to repeat."""
+def super_kmers(docs: DataFrame, frequent: np.ndarray, n_buckets: int, window: int, m: int, hashed: bool = True) -> DataFrame:
+    """(bucket, blob): the super-k-mers of each bucket from a few MB of text, and windows already known to repeat.
+
+    Without `hashed` (no id repeats), rows are known by their ids alone.
+    """
     def cut(batches):
         for turn, b in enumerate(text_slices(batches, "text", SLICE_BYTES)):
             ids = b.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
@@ -122,7 +142,7 @@ def super_kmers(docs: DataFrame, frequent: np.ndarray, n_buckets: int, window: i
             at = words.window_starts(window)
             if not len(at):
                 continue
-            crc = np.array([zlib.crc32(t) for t in texts], np.int64)
+            key1, key2 = text_keys(texts) if hashed else (np.zeros(len(texts), np.int64),) * 2
             which = words.doc_of()[at]
             doc, start = ids[which], at - words.starts[which]
             gone = _repeats(words, at, rolling(words.hashes, window)[at], doc, start, window)
@@ -139,7 +159,8 @@ def super_kmers(docs: DataFrame, frequent: np.ndarray, n_buckets: int, window: i
             begin, end = place[at[lo]].tolist(), (place[at[hi] + window] - 1).tolist()
             strings = [line[x:y] for x, y in zip(begin, end)]
             known_lo, known_hi = _runs(gone, at, which)
-            known = (ids[which[known_lo]], crc[which[known_lo]], start[known_lo], start[known_hi] + window)
+            of = which[known_lo]
+            known = (ids[of], key1[of], key2[of], start[known_lo], start[known_hi] + window)
             none = tuple(x[:0] for x in known)
             cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else []
             spare = [] if cuts else [turn % n_buckets]
@@ -147,36 +168,36 @@ def super_kmers(docs: DataFrame, frequent: np.ndarray, n_buckets: int, window: i
             for x, y in zip(cuts, cuts[1:]):
                 d = which[lo[x:y]]
                 o = np.lexsort((start[lo[x:y]], d))  # small steps between neighbours compress well
-                part = (_delta(ids[d[o]]), crc[d[o]], start[lo[x:y]][o])
+                part = (_delta(ids[d[o]]), key1[d[o]], key2[d[o]], start[lo[x:y]][o])
                 text = b"\n".join([strings[i] for i in (x + o).tolist()])
                 out_bucket.append(int(bucket[x]))
                 blobs.append(_pack([part, known if x == 0 else none], text))
             for x in spare:
                 out_bucket.append(x)
-                blobs.append(_pack([none[:3], known], b""))
+                blobs.append(_pack([none[:4], known], b""))
             yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     return docs.mapInArrow(cut, "bucket int, blob binary")
 
 
-_COVER = pa.schema([("doc", pa.int64()), ("crc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+_COVER = pa.schema([(c, pa.int64()) for c in ("doc", "key1", "key2", "lo", "hi")])
 
 
 def repeated_spans(packed: DataFrame, window: int) -> DataFrame:
-    """Word spans (doc, crc, lo, hi) that a window with an earlier equal covers, bucket by bucket."""
+    """Word spans (doc, key1, key2, lo, hi) that a window with an earlier equal covers, bucket by bucket."""
     def judge(group: pa.Table) -> pa.Table:
         cols, known, texts = [], [], []
         for blob in group.column("blob").to_pylist():
             part, old, text = _unpack(blob)
             known.append(old)
             if len(part[0]):
-                cols.append((np.cumsum(part[0]), part[1], part[2]))
+                cols.append((np.cumsum(part[0]), *part[1:]))
                 texts += text.split(b"\n")
         out = [np.concatenate(x) for x in zip(*known)]
         if texts:
-            doc, crc, start = (np.concatenate(x) for x in zip(*cols))
+            doc, key1, key2, start = (np.concatenate(x) for x in zip(*cols))
             order = np.lexsort((start, doc))
-            doc, crc, start = doc[order], crc[order], start[order]
+            doc, key1, key2, start = doc[order], key1[order], key2[order], start[order]
             words = Words([texts[i] for i in order.tolist()])
             del texts
             at = words.window_starts(window)
@@ -186,10 +207,11 @@ def repeated_spans(packed: DataFrame, window: int) -> DataFrame:
             at, which, begin = at[by_place], which[by_place], begin[by_place]
             gone = _repeats(words, at, rolling(words.hashes, window)[at], doc[which], begin, window)
             lo, hi = _runs(gone, at, which)
-            out = [np.concatenate([x, y]) for x, y in zip(out, (doc[which[lo]], crc[which[lo]], begin[lo], begin[hi] + window))]
+            of = which[lo]
+            out = [np.concatenate([x, y]) for x, y in zip(out, (doc[of], key1[of], key2[of], begin[lo], begin[hi] + window))]
         return pa.table(dict(zip(_COVER.names, out)), schema=_COVER)
 
-    return packed.groupBy("bucket").applyInArrow(judge, "doc long, crc long, lo long, hi long")
+    return packed.groupBy("bucket").applyInArrow(judge, "doc long, key1 long, key2 long, lo long, hi long")
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -198,11 +220,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     small_batches(docs.sparkSession)
     docs = doc_text(docs, id_col, text_col)
     frequent, total = frequent_slots(docs, m)
-    packed = super_kmers(docs, frequent, total // bucket_windows + 1, window, m)
-    spans = repeated_spans(packed, window).groupBy("doc", "crc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"),
-                        F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
-    joined = keyed.join(spans, ["doc", "crc"], "left").select("doc_id", "text", "spans")
+    hashed = not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    packed = super_kmers(docs, frequent, total // bucket_windows + 1, window, m, hashed)
+    keys = ["doc", "key1", "key2"]
+    spans = repeated_spans(packed, window).groupBy(*keys).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    one, two = key_columns(F.coalesce("text", F.lit(""))) if hashed else (F.lit(0).cast("long"),) * 2
+    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), one.alias("key1"), two.alias("key2"))
+    joined = keyed.join(spans, keys, "left").select("doc_id", "text", "spans")
 
     def strip(batches):
         for b in text_slices(batches, "text"):

@@ -1,8 +1,10 @@
 """Operator 3 against a brute-force version."""
 
 import random
+import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gridcast.llm import substrings as s
 
@@ -51,3 +53,34 @@ def test_odd_rows(odd):
     got = s.digest(s.dedup_substrings(odd)).collect()
     assert len(got) == odd.count()
     assert s.dedup_substrings(odd.limit(0)).count() == 0
+
+
+def crc_twins(n=30_000):
+    """Two texts of different lengths with one crc32."""
+    seen = {}
+    rng = random.Random(9)
+    while True:
+        words = [f"t{rng.randrange(10**9)}" for _ in range(rng.choice((3, 30)))]
+        text = " ".join(words)
+        other = seen.setdefault(zlib.crc32(text.encode()), text)
+        if len(other.split()) != len(words):
+            return other, text
+
+
+def test_texts_of_one_id_that_share_a_crc(spark):
+    a, b = crc_twins()
+    assert zlib.crc32(a.encode()) == zlib.crc32(b.encode())
+    long = a if len(a.split()) == 30 else b
+    for doc in (7, None):
+        rows = [(doc, a), (doc, b), (doc, b), (90, long + " tail words"), (3, "x y"), (doc, None), (doc, "")]
+        rows += [(-5, long)] if doc is not None else []
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        got = sorted((str(r[0]), r[1], r[2], r[3]) for r in s.dedup_substrings(df).collect())
+        assert got == brute(rows, 20)
+
+
+def test_key_columns_equal_those_of_tasks(spark):
+    texts = ["", "a", "é 😀", "x" * 1000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [tuple(r) for r in df.select(*s.key_columns(F.col("text"))).collect()]
+    assert got == list(zip(*(k.tolist() for k in s.text_keys([t.encode() for t in texts]))))
