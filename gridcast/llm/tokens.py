@@ -2,7 +2,9 @@
 
 Texts are encoded with a public tokenizer in ascending doc_id order. Each range
 partition is a shard; its blocks (a few MB of text each) are rows of a Parquet
-table, so that Spark's commit protocol covers lost executors. A block holds
+table, so that Spark's commit protocol covers lost executors. A block is what has
+a grammar of its own: rounds of replacement go on until no pair occurs MIN_PAIRS
+times in it. A block holds
 
 - `rules`: pairs of symbols, little-endian uint32; rule r makes symbol first + r,
 - `lengths`: expansion length of each rule, uint32,
@@ -13,14 +15,17 @@ Pairs never cross the end of a document, so one document is expanded from its
 own symbols (`doc_tokens_at`), and the lengths find a token inside it.
 
 Defined results: a null or empty text is the end id alone; equal doc_ids stand
-in order of their texts; a null doc_id stands first; an empty table gives an
-empty table; other columns are not looked at.
+in order of their texts; a null doc_id stands first; a text longer than a block
+is a block alone; an empty table gives an empty table; other columns are not
+looked at.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +40,9 @@ from gridcast.session import shared_path
 END_ID = 1
 BLOCK_BYTES = 4 << 20
 #: Words whose ids a worker keeps in each of two tables; a full table is emptied.
-WORD_CACHE = 500_000
-#: A pair must occur so often in a block to become a rule; most rounds of replacement.
-MIN_PAIRS, ROUNDS = 16, 10
+WORD_CACHE = 1_000_000
+#: A pair that occurs so often in a block becomes a rule; in one round, all pairs from this part of the fullest count on.
+MIN_PAIRS, STEP = 16, 16
 _SLOTS = 1 << 20
 
 BLOCKS = ("shard int, block int, first int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -46,13 +51,34 @@ BLOCKS = ("shard int, block int, first int, n_tokens long, doc_ids array<long>,
 
 # ---- encoding ---------------------------------------------------------------
 
+class _Pool:
+    """Id sequences end to end, each known by its number."""
+
+    def __init__(self):
+        self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> int:
+        """Append sequences; the number of the first."""
+        first = len(self.size)
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids])
+        return first
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sequences by number, end to end, and their sizes."""
+        size = self.size[which]
+        return self.ids[_ranges(self.begin[which], size)], size
+
+
 class WordEncoder:
     """Ids of whole texts for a tokenizer that drops white space, from ids of words.
 
     Such a tokenizer never joins what white space parts, so each distinct word
     is encoded once. Words of letters alone are one pre-token each; many are
     encoded as one text and parted at the ids that end a word. Trailing
-    `.,!` after a letter or digit are a pre-token of their own.
+    `.,!` are a pre-token of their own after a letter or digit that normalises
+    to a single one.
     """
 
     def __init__(self, path: str):
@@ -64,28 +90,67 @@ class WordEncoder:
         self.ends = np.zeros(size, bool)
         for word, i in self.tok.get_vocab().items():
             self.ends[i] = word.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}  # ids of words without trailing punctuation
-        self.whole: dict[bytes, bytes] = {}  # ids of words as they stand in texts
+        self.known, self.known_ids = {}, _Pool()  # words without trailing punctuation
+        self.whole, self.whole_ids = {}, _Pool()  # words as they stand in texts
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > WORD_CACHE:
-            self.known.clear()
-        letters, other = [], []
+        letters, other, ids, size, order = [], [], [], [], []
         for w in words:
             (letters if w.decode().isalpha() else other).append(w)
         for lo in range(0, len(letters), 500):
             part = letters[lo:lo + 500]
-            ids = np.array(self.tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part) or (len(cuts) and cuts[-1] != len(ids)):
+            got = np.array(self.tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[got]) + 1
+            if len(cuts) != len(part) or cuts[-1] != len(got):
                 other += part
                 continue
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(part, cuts.tolist()):
-                self.known[w] = raw[4 * at:4 * end]
-                at = end
-        for w, e in zip(other, self.tok.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, np.uint32).tobytes()
+            order += part
+            ids.append(got)
+            size.append(np.diff(cuts, prepend=0))
+        for e in self.tok.encode_batch_fast([w.decode() for w in other], add_special_tokens=False):
+            ids.append(np.array(e.ids, np.uint32))
+            size.append([len(e.ids)])
+        if words:
+            first = self.known_ids.add(np.concatenate(ids), np.concatenate(size))
+            self.known.update(zip(order + other, range(first, first + len(words))))
+
+    def _numbers(self, vocab: list[bytes]) -> np.ndarray:
+        """Number of each word in whole_ids; words not seen before are encoded."""
+        number = np.fromiter(map(self.whole.get, vocab, repeat(-1)), np.int64, len(vocab))
+        missing = np.flatnonzero(number < 0).tolist()
+        if not missing:
+            return number
+        if len(self.whole) + len(missing) > WORD_CACHE:  # only the words at hand stay
+            held = np.flatnonzero(number >= 0)
+            kept = _Pool()
+            kept.add(*self.whole_ids.take(number[held]))
+            number[held] = np.arange(len(held))
+            self.whole, self.whole_ids = {vocab[i]: k for k, i in enumerate(held.tolist())}, kept
+        cores, tails = [], []
+        for i in missing:
+            w = vocab[i]
+            core = w.rstrip(b".,!")
+            if len(core) < len(w):
+                if not core or not _parts(core):
+                    core = w
+                tails.append(w[len(core):])
+            else:
+                tails.append(b"")
+            cores.append(core.lower() if core.isalpha() else core)  # ASCII letters only
+        need = dict.fromkeys([*cores, *tails])
+        new = [w for w in need if w not in self.known]
+        if len(self.known) + len(new) > WORD_CACHE:
+            self.known, self.known_ids = {}, _Pool()
+            new = list(need)
+        self._learn(new)
+        pieces = np.empty((len(missing), 2), np.int64)
+        for j, some in enumerate((cores, tails)):
+            pieces[:, j] = np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
+        ids, size = self.known_ids.take(pieces.ravel())
+        first = self.whole_ids.add(ids, size[::2] + size[1::2])
+        number[missing] = np.arange(first, first + len(missing))
+        self.whole.update(zip([vocab[i] for i in missing], range(first, first + len(missing))))
+        return number
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many of them each text has."""
@@ -98,44 +163,21 @@ class WordEncoder:
         if not flat:
             return np.zeros(0, np.uint32), count
         coded = pa.array(flat, pa.binary()).dictionary_encode()
-        where = coded.indices.to_numpy(zero_copy_only=False)
-        vocab = coded.dictionary.to_pylist()
-        ids = [self.whole.get(w) for w in vocab]
-        missing = [i for i, x in enumerate(ids) if x is None]
-        parts: list[tuple[bytes, bytes]] = []
-        need: dict[bytes, None] = {}
-        for i in missing:
-            w = vocab[i]
-            core = w.rstrip(b".,!")
-            if core and len(core) < len(w) and not core.decode()[-1].isalnum():
-                core = w
-            tail = w[len(core):]
-            if not core:
-                core, tail = w, b""
-            if core.isalpha():  # ASCII letters only
-                core = core.lower()
-            parts.append((core, tail))
-            need[core] = None
-            if tail:
-                need[tail] = None
-        new = [w for w in need if w not in self.known]
-        if len(self.known) + len(new) > WORD_CACHE:
-            self.known.clear()
-            new = list(need)
-        if new:
-            self._learn(new)
-        known = self.known
-        if len(self.whole) + len(missing) > WORD_CACHE:
-            self.whole.clear()
-        for i, (a, b) in zip(missing, parts):
-            ids[i] = self.whole[vocab[i]] = known[a] + known[b] if b else known[a]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool = np.frombuffer(b"".join(ids), np.uint32)
-        begin = np.cumsum(size) - size
-        out = _ranges(begin[where], size[where])
-        ends = np.cumsum(np.concatenate([[0], size[where]]))
+        number = self._numbers(coded.dictionary.to_pylist())
+        ids, size = self.whole_ids.take(number[coded.indices.to_numpy(zero_copy_only=False)])
+        ends = np.concatenate([[0], np.cumsum(size)])
         bounds = np.concatenate([[0], np.cumsum(count)])
-        return pool[out], ends[bounds[1:]] - ends[bounds[:-1]]
+        return ids, ends[bounds[1:]] - ends[bounds[:-1]]
+
+
+def _parts(core: bytes) -> bool:
+    """Whether punctuation after a word is a pre-token of its own: its last character normalises to one letter or digit."""
+    last = core[-1]
+    if last < 128:
+        return 48 <= last <= 57 or 65 <= last <= 90 or 97 <= last <= 122
+    char = core.decode()[-1]
+    normal = unicodedata.normalize("NFC", char).lower()
+    return char.isalnum() and len(normal) == 1 and unicodedata.category(normal)[0] in "LN"
 
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -153,50 +195,55 @@ def with_end(ids: np.ndarray, count: np.ndarray, end_id: int = END_ID) -> tuple[
 # ---- grammar ------------------------------------------------------------------
 
 def _frequent(code: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent pair codes: where they occur, which one it is there, and the codes.
-
-    A pair counts as frequent from a quarter of the fullest slot of a small
-    table, `least` at the fewest; slots below that rule out most pairs unsorted.
-    """
-    slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-    filled = np.bincount(slot, minlength=_SLOTS)
-    least = max(least, int(filled.max()) // 4)
-    at = np.flatnonzero((filled >= least)[slot])
-    pairs, rank, n = np.unique(code[at], return_inverse=True, return_counts=True)
+    """Pair codes that occur at least `least` times: where, which one it is there, and the codes."""
+    pairs, rank, n = np.unique(code, return_inverse=True, return_counts=True)
     often = n >= least
     keep = often[rank]
-    return at[keep], (np.cumsum(often) - 1)[rank[keep]], pairs[often]
+    return np.flatnonzero(keep), (np.cumsum(often) - 1)[rank[keep]], pairs[often]
 
 
-def compress(ids: np.ndarray, count: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, count: np.ndarray, first: int, least: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rules (n, 2), their expansion lengths, the symbols, and the symbols of each document.
 
-    In each round the most frequent pairs become nonterminals (`_frequent`);
-    occurrences that overlap are replaced from left to right.
+    Rounds replace the most frequent pairs by nonterminals: those from a STEP-th
+    of the fullest slot of a small table of counts, then all from `least` on;
+    occurrences that overlap are replaced from left to right. Once all pairs from
+    `least` on were taken, only pairs with a symbol of the last round can reach it
+    again, so later rounds look at those alone. Ends when no pair reaches `least`.
     """
-    seq = ids.astype(np.uint64)
+    seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(count) - 1] = True
     rules, made, lengths = [], first, np.ones(first, np.uint32)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        code = (seq[:-1] << np.uint64(32)) | seq[1:]
-        inner = np.flatnonzero(~last[:-1])
-        if not len(inner):
-            break
-        at, rank, pairs = _frequent(code[inner], MIN_PAIRS)
-        if not len(pairs):  # the fullest slot held several rare pairs
+    fresh_from = None  # first symbol of the last round, once all frequent pairs were taken
+    while len(seq) > 1:
+        inner = ~last[:-1]
+        if fresh_from is not None:
+            fresh = seq >= fresh_from
+            inner &= fresh[:-1] | fresh[1:]
+        at = np.flatnonzero(inner)
+        code = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+        slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+        filled = np.bincount(slot, minlength=_SLOTS)
+        bounds = [least] if fresh_from is not None else dict.fromkeys((max(least, int(filled.max()) // STEP), least))
+        for bound in bounds:  # the second one where the fullest slots hold several rarer pairs
+            full = np.flatnonzero((filled >= bound)[slot])
+            hit, rank, pairs = _frequent(code[full], bound)
+            if len(pairs):
+                break
+        else:
             break
-        at = inner[at]
-        fresh = np.concatenate([[True], np.diff(at) != 1])  # starts of runs of overlapping pairs
-        run = np.flatnonzero(fresh)
-        even = (at - np.repeat(at[run], np.diff(np.concatenate([run, [len(at)]])))) % 2 == 0
+        if bound == least:
+            fresh_from = made
+        at = at[full[hit]]
+        begin = np.concatenate([[True], np.diff(at) != 1])  # starts of runs of overlapping pairs
+        run = np.flatnonzero(begin)
+        even = (at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0
         at, rank = at[even], rank[even]
         left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
         rules.append(np.stack([left, right], 1))
         lengths = np.concatenate([lengths, lengths[left] + lengths[right]])
-        seq[at] = (made + rank).astype(np.uint64)
+        seq[at] = made + rank
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
@@ -204,23 +251,26 @@ def compress(ids: np.ndarray, count: np.ndarray, first: int) -> tuple[np.ndarray
         made += len(pairs)
     ends = np.flatnonzero(last) + 1
     table = np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32)
-    return table, lengths[first:], seq.astype(np.uint32), np.diff(np.concatenate([[0], ends]))
+    return table, lengths[first:], seq, np.diff(ends, prepend=0)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """Ids behind symbols: nonterminals become their two parts until none is left."""
-    while len(symbols):
-        inner = symbols >= first
+    """Ids behind symbols: each rule is expanded once, then every symbol takes its ids."""
+    ids = np.arange(first, first + len(rules), dtype=np.uint32)
+    owner = np.arange(len(rules))
+    while True:  # nonterminals inside rules become their two parts until none is left
+        inner = ids >= first
         if not inner.any():
             break
-        at = np.arange(len(symbols)) + np.cumsum(inner) - inner
-        out = np.empty(len(symbols) + int(inner.sum()), np.uint32)
-        pair = rules[symbols[inner] - first]
-        out[at[~inner]] = symbols[~inner]
-        out[at[inner]] = pair[:, 0]
-        out[at[inner] + 1] = pair[:, 1]
-        symbols = out
-    return symbols
+        at = np.arange(len(ids)) + np.cumsum(inner) - inner
+        pair = rules[ids[inner] - first]
+        out, whose = np.empty(len(ids) + len(pair), np.uint32), np.repeat(owner, 1 + inner)
+        out[at[~inner]] = ids[~inner]
+        out[at[inner]], out[at[inner] + 1] = pair[:, 0], pair[:, 1]
+        ids, owner = out, whose
+    size = np.concatenate([np.ones(first, np.int64), np.bincount(owner, minlength=len(rules))])
+    begin = np.cumsum(size) - size
+    return np.concatenate([np.arange(first, dtype=np.uint32), ids])[_ranges(begin[symbols], size[symbols])]
 
 
 def doc_tokens_at(block: dict, n: int, start: int = 0, stop: int | None = None) -> np.ndarray:

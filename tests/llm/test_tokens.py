@@ -1,6 +1,8 @@
 """Operator 1: ids equal the tokenizer's, and every file round-trips."""
 
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -49,6 +51,39 @@ def test_grammar_round_trip(docs):
         assert t.doc_tokens_at(block, i, len(want) // 3, len(want) // 2).tolist() == want[len(want) // 3:len(want) // 2]
 
 
+def test_characters_that_normalise_to_several():
+    many = [c for c in map(chr, range(0x80, 0x110000)) if not 0xD800 <= ord(c) < 0xE000
+            and (len(c.lower()) > 1 or len(unicodedata.normalize("NFC", c)) > 1 or unicodedata.normalize("NFC", c) != c)]
+    assert "\u0130" in many and "\u0958" in many and len(many) > 1000
+    check([f"A{c}{p}" for c in many for p in (".", ",", "!", "..!")] + [f"{c}.a {c}, x" for c in many])
+    check([f"a{chr(c)}." for c in range(0x80, 0x3000) if not 0xD800 <= c < 0xE000])
+
+
+def pair_counts(symbols, n):
+    """Non-overlapping occurrences of each pair, from left to right, inside documents."""
+    found, at = Counter(), 0
+    for k in n.tolist():
+        taken = {}
+        for i in range(at, at + k - 1):
+            pair = (int(symbols[i]), int(symbols[i + 1]))
+            if taken.get(pair) != i:
+                found[pair] += 1
+                taken[pair] = i + 1
+        at += k
+    return found
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(3)
+    for kinds, size, least in ((4, 6000, 16), (60, 20000, 16), (3, 500, 4), (2, 4000, 16)):
+        ids, count = t.with_end(rng.zipf(1.3, size).clip(0, kinds).astype(np.uint32), np.full(size // 50, 50))
+        rules, lengths, symbols, n = t.compress(ids, count, kinds + 1, least)
+        assert t.expand(symbols, rules, kinds + 1).tolist() == ids.tolist()
+        assert max(pair_counts(symbols, n).values(), default=0) < least
+        grown = [len(t.expand(np.array([kinds + 1 + i], np.uint32), rules, kinds + 1)) for i in range(len(rules))]
+        assert grown == lengths.tolist()
+
+
 def test_small_cache_forgets_but_stays_right(monkeypatch):
     monkeypatch.setattr(t, "WORD_CACHE", 3)
     own = t.WordEncoder(t.default_tokenizer())
