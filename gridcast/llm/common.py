@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 U64 = np.uint64
 #: Odd multiplier of the polynomial rolling hash.
@@ -183,3 +184,36 @@ def frequent_slots(docs: DataFrame, n: int) -> tuple[np.ndarray, int]:
     for b in rows.toArrow().to_batches():  # a row per slot at most
         full[b.column(0).to_numpy(zero_copy_only=False)] = b.column(1).to_numpy(zero_copy_only=False)
     return full > FREQUENT * max(1.0, full.mean()), int(full.sum())
+
+
+#: Times the rows wanted of a kind that its hash range should hold.
+SPARE = 8
+
+
+def text_sample(docs: DataFrame, max_rows: int, max_chars: int, kinds: DataFrame | None = None) -> DataFrame:
+    """A bounded sample of texts per kind: (kind, id, text), at most max_rows rows and max_chars characters of a kind.
+
+    docs: id, text, and kind unless `kinds` (id, kind) tells it. Rows equal in
+    kind, id and text count once; the first ones in the order of a 64-bit hash of
+    id and text are taken, until the characters are spent. Texts longer than
+    max_chars, and rows without a text or kind, are left out; a null id is an id.
+    Only hashes and lengths are ranked, and only those in a hash range that holds
+    a few times max_rows distinct ones.
+    """
+    spark = docs.sparkSession
+    said = [F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("id").isNull(), F.col("text")]
+    keyed = docs.where(F.col("text").isNotNull()).withColumns({"key1": F.xxhash64(*said), "key2": F.xxhash64(F.lit(1), *said)})
+    narrow = keyed.select("id", "key1", "key2", F.length("text").alias("n"), *(["kind"] if kinds is None else [])).where(F.col("n") <= max_chars)
+    narrow = narrow if kinds is None else narrow.join(kinds.select("id", "kind"), "id")
+    narrow = narrow.where(F.col("kind").isNotNull())
+    sizes = narrow.groupBy("kind").agg(F.approx_count_distinct("key1").alias("rows"))
+    ranges = spark.createDataFrame([(r["kind"], min(1.0, SPARE * max_rows / max(1, r["rows"]))) for r in sizes.collect()],  # a row per kind
+                                   sizes.select("kind", F.lit(1.0).alias("share")).schema)
+    place = F.pmod("key1", F.lit(1 << 20)) / (1 << 20)
+    near = narrow.join(F.broadcast(ranges), "kind").where(place < F.col("share")).groupBy("kind", "key1", "key2").agg(F.max("n").alias("n"))
+    order = Window.partitionBy("kind").orderBy("key1", "key2")
+    chosen = near.withColumn("at", F.row_number().over(order)).where(F.col("at") <= max_rows)
+    chosen = chosen.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("upto") <= max_chars)
+    on = ["key1", "key2"] + (["kind"] if kinds is None else [])
+    return keyed.join(F.broadcast(chosen.select("kind", "key1", "key2")), on).groupBy("kind", "key1", "key2").agg(
+        F.any_value("id").alias("id"), F.any_value("text").alias("text")).select("kind", "id", "text")

@@ -9,13 +9,17 @@ trees are laid out as one table (context, byte) -> bits per language, and a
 text's exact code lengths are sums of table rows.
 
 The trees are fitted on a bounded sample: per language up to `max_docs` whole
-documents in hash order, of up to `max_chars` characters together. Only rows
-that the caller passes for training are seen.
+documents in hash order, of up to `max_chars` characters together, in the
+`max_langs` languages with the most documents. Only rows that the caller passes
+for training are seen.
 
 Defined results: a null text, or one without a letter, is `und` with score 0;
 equal code lengths go to the language that sorts first; without training rows
-everything is `und`; training rows with a null text or language are left out;
-repeated rows get equal results; other columns are not looked at.
+everything is `und`, and an empty table gives an empty table; training rows with
+a null text or language are left out, and so are texts longer than `max_chars`;
+a null doc_id is an id like others; a training row that is repeated counts once;
+texts to be told are scored whole, however long; repeated rows get equal results;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -24,14 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from gridcast.llm.common import as_bytes, small_batches, text_slices
+from gridcast.llm.common import as_bytes, small_batches, text_sample, text_slices
 
 ORDER = 3
 MAX_DOCS, MAX_CHARS = 1000, 2_000_000
-#: Times max_docs that a language's hash range should hold; most languages.
-SPARE, MAX_LANGS = 8, 1000
+#: Most languages that are learned: the table holds a code length per context, byte and language.
+MAX_LANGS = 100
 #: Bytes before a text's first one.
 START = b"\n" * ORDER
 PIECE = 1 << 20
@@ -111,27 +114,14 @@ class Trees:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: int = MAX_DOCS,
-           max_chars: int = MAX_CHARS) -> dict[str, list[bytes]]:
-    """Bounded training sample: per language the first documents in hash order."""
-    rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.length(text_col).alias("n"),
-        F.col(text_col).alias("text"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()
-    if not sizes:
-        return {}
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    # a hash range of each language that holds a few times max_docs rows, so that ranking stays small however many there are
-    share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, SPARE * max_docs / r["n"])))))
-    rank = F.xxhash64(F.coalesce("id", F.lit("")))
-    order = Window.partitionBy("lang").orderBy(rank, "id", "n")
-    near = rows.select("id", "lang", "n").where(F.pmod(rank, F.lit(1 << 20)) / (1 << 20) < share[F.col("lang")])
-    chosen = near.withColumn("at", F.row_number().over(order)).where(F.col("at") <= max_docs)
-    chosen = chosen.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    chosen = chosen.where((F.col("at") == 1) | (F.col("upto") <= max_chars)).select("id", "lang").distinct()
+           max_chars: int = MAX_CHARS, max_langs: int = MAX_LANGS) -> dict[str, list[bytes]]:
+    """Bounded training sample (`text_sample`) of the languages with the most documents; equal counts: by name."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("kind"))
+    rows = rows.where(F.col("text").isNotNull() & F.col("kind").isNotNull())
+    langs = [r["kind"] for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "kind").limit(max_langs).collect()]
     found: dict[str, list[bytes]] = {}
-    for r in rows.join(F.broadcast(chosen), ["id", "lang"]).select("id", "lang", "text").orderBy("lang", "id", "text").collect():
-        found.setdefault(r["lang"], []).append(r["text"].encode())
+    for r in text_sample(rows.where(F.col("kind").isin(langs)), max_docs, max_chars).orderBy("kind", "id", "text").collect():
+        found.setdefault(r["kind"], []).append(r["text"].encode())
     return found
 
 

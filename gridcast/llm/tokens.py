@@ -25,7 +25,7 @@ from __future__ import annotations
 import os
 import unicodedata
 import zlib
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ BLOCK_BYTES = 4 << 20
 #: Words whose ids a worker keeps in each of two tables; a full table is emptied.
 WORD_CACHE = 1_000_000
 #: A pair that occurs so often in a block becomes a rule; in one round, all pairs from this part of the fullest count on.
-MIN_PAIRS, STEP = 16, 16
+MIN_PAIRS, STEP = 16, 64
 _SLOTS = 1 << 20
 
 BLOCKS = ("shard int, block int, first int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -94,18 +94,23 @@ class WordEncoder:
         self.whole, self.whole_ids = {}, _Pool()  # words as they stand in texts
 
     def _learn(self, words: list[bytes]) -> None:
-        letters, other, ids, size, order = [], [], [], [], []
-        for w in words:
+        """Encode words and keep their ids: lower-case ASCII ones by the model alone, as nothing normalises or parts them."""
+        plain = [w for w in words if w.isalpha() and w.islower()]
+        rest = [w for w in words if not (w.isalpha() and w.islower())]
+        got = [[t.id for t in self.tok.model.tokenize(w.decode())] for w in plain]
+        letters, other, order = [], [], plain
+        ids, size = [np.fromiter(chain.from_iterable(got), np.uint32)], [np.fromiter(map(len, got), np.int64, len(got))]
+        for w in rest:
             (letters if w.decode().isalpha() else other).append(w)
         for lo in range(0, len(letters), 500):
             part = letters[lo:lo + 500]
-            got = np.array(self.tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = np.flatnonzero(self.ends[got]) + 1
-            if len(cuts) != len(part) or cuts[-1] != len(got):
+            found = np.array(self.tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[found]) + 1
+            if len(cuts) != len(part) or cuts[-1] != len(found):
                 other += part
                 continue
-            order += part
-            ids.append(got)
+            order = order + part
+            ids.append(found)
             size.append(np.diff(cuts, prepend=0))
         for e in self.tok.encode_batch_fast([w.decode() for w in other], add_special_tokens=False):
             ids.append(np.array(e.ids, np.uint32))
@@ -126,17 +131,13 @@ class WordEncoder:
             kept.add(*self.whole_ids.take(number[held]))
             number[held] = np.arange(len(held))
             self.whole, self.whole_ids = {vocab[i]: k for k, i in enumerate(held.tolist())}, kept
-        cores, tails = [], []
-        for i in missing:
-            w = vocab[i]
-            core = w.rstrip(b".,!")
-            if len(core) < len(w):
-                if not core or not _parts(core):
-                    core = w
-                tails.append(w[len(core):])
-            else:
-                tails.append(b"")
-            cores.append(core.lower() if core.isalpha() else core)  # ASCII letters only
+        words = [vocab[i] for i in missing]
+        cores = [w.rstrip(b".,!") for w in words]
+        for k, (w, core) in enumerate(zip(words, cores)):
+            if len(core) < len(w) and not (core and _parts(core)):
+                cores[k] = w
+        tails = [w[len(core):] for w, core in zip(words, cores)]
+        cores = [core.lower() if core.isalpha() else core for core in cores]  # ASCII letters only
         need = dict.fromkeys([*cores, *tails])
         new = [w for w in need if w not in self.known]
         if len(self.known) + len(new) > WORD_CACHE:
@@ -149,7 +150,7 @@ class WordEncoder:
         ids, size = self.known_ids.take(pieces.ravel())
         first = self.whole_ids.add(ids, size[::2] + size[1::2])
         number[missing] = np.arange(first, first + len(missing))
-        self.whole.update(zip([vocab[i] for i in missing], range(first, first + len(missing))))
+        self.whole.update(zip(words, range(first, first + len(missing))))
         return number
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -5,30 +5,34 @@ unit TF-IDF vectors over all of its terms. Terms that significantly more toxic
 examples hold than others are listed, however many, and all other terms weigh
 REST of what they would; there, examples that repeat much of an earlier one do
 not count, so copies of one toxic text do not make its ordinary words suspicious.
-The k nearest examples are found exactly with a block-max inverted index: blocks
-of examples are visited in order of their upper bound, in groups of growing
-size, until the bound is below the k-th best cosine. Cosines weigh the votes,
+The k nearest examples are found exactly with a block-max inverted index: the
+blocks of examples with the highest upper bounds are visited first, then all whose
+bound reaches the k-th best cosine so far. Cosines weigh the votes,
 shrunk to the share of toxic rows; isotonic regression on leave-one-out votes,
 weighted to the class sizes of all labelled rows, calibrates the score.
 
 Defined results: a null or empty text, and any text without a word of an example,
 gets the score of a document without evidence; equal cosines go to the example
-that stands first (by doc_id); repeated rows get equal results; without labelled
-rows every score is 0; null labels are left out; other columns are not looked at.
+that stands first (by doc_id); repeated rows get equal results, and count once
+among the examples; without labelled rows every score is 0; an empty table gives
+an empty table; null labels, and labels with a null doc_id, are left out; texts
+longer than MAX_CHARS are scored whole, but are no examples; documents with a null
+doc_id are scored like others; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import Words, as_bytes, rolling, small_batches, text_slices
+from gridcast.llm.common import Words, as_bytes, rolling, small_batches, text_sample, text_slices
 
-#: Labelled rows of each class in the example set; neighbours that vote.
-MAX_PER_CLASS, NEIGHBOURS = 2000, 15
-#: Weight of a term that is not listed, as a part of a listed one's.
+#: Labelled rows and characters of each class in the example set; neighbours that vote.
+MAX_PER_CLASS, MAX_CHARS, NEIGHBOURS = 2000, 8_000_000, 15
+#: Weight of a term that is not listed, as a part of a listed one's (`cross_validate`).
 REST = 0.1
 MIN_TEXTS, MIN_G = 5, 20.0
 #: A text is a copy if a larger share of its shingles stands in texts before it.
@@ -36,7 +40,9 @@ SHINGLE, COPIED = 5, 0.3
 #: Cosine weight of the prior in a vote.
 SHRINK = 0.25
 #: Examples in a block; blocks visited first.
-BLOCK, FIRST = 64, 4
+BLOCK, FIRST = 64, 8
+#: Clusters that order the examples, so that those of a block are alike and its bounds are low for others.
+CLUSTERS, CLUSTER_TERMS = 32, 1024
 EVIDENCE = 3
 _EDGE = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
@@ -97,6 +103,30 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
+def near_together(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """An order of n unit vectors in which like ones stand together: by a few rounds of k-means on the commonest terms.
+
+    It orders work only; no result depends on it.
+    """
+    if n <= BLOCK or not len(term):
+        return np.arange(n)
+    held = np.bincount(term)
+    common = np.argsort(-held, kind="stable")[:CLUSTER_TERMS]
+    column = np.full(len(held), -1)
+    column[common] = np.arange(len(common))
+    some = column[term] >= 0
+    dense = np.zeros((n, len(common)), np.float32)
+    dense[doc[some], column[term[some]]] = weight[some]
+    centre = dense[np.linspace(0, n - 1, CLUSTERS).astype(int)].copy()
+    for _ in range(8):
+        of = (dense @ centre.T).argmax(1)
+        for k in range(CLUSTERS):
+            if (of == k).any():
+                mean = dense[of == k].sum(0)
+                centre[k] = mean / max(float(np.linalg.norm(mean)), 1e-9)
+    return np.lexsort((np.arange(n), of))
+
+
 class Examples:
     """Labelled examples under a block-max inverted index, and the calibration of their votes.
 
@@ -104,7 +134,6 @@ class Examples:
     """
 
     def __init__(self, ids: list, texts: list[bytes], label: np.ndarray, class_rows: tuple[int, int], rest: float = 0.0):
-        self.ids, self.label = ids, label.astype(np.float64)
         words = Words(texts)
         words.flat = None  # not needed, and larger than the rest
         terms = choose_terms(texts, label, words) if len(texts) else []
@@ -118,6 +147,13 @@ class Examples:
         df = np.bincount(term, minlength=len(terms))
         self.idf = (np.log((1 + n) / (1 + df)) + 1) * np.where(np.arange(len(terms)) < listed, 1.0, rest)
         weight = self._unit(doc, term, count, n)
+        #: Place among the examples as given: ties go by it.
+        self.rank = near_together(doc, term, weight, n)
+        place = np.argsort(self.rank)
+        moved = np.argsort(place[doc], kind="stable")
+        doc, term, count, weight = place[doc][moved], term[moved], count[moved], weight[moved]
+        label = label[self.rank]
+        self.ids, self.label = [ids[i] for i in self.rank.tolist()], label.astype(np.float64)
         order = np.lexsort((doc, term))
         self.post_doc, self.post_weight = doc[order].astype(np.int32), weight[order]
         self.n_blocks = max(1, -(-n // BLOCK))
@@ -152,15 +188,15 @@ class Examples:
         block = self.entry_block[entry]
         bound = np.bincount(block, w * self.entry_max[entry], self.n_blocks)
         best_doc, best = np.zeros(0, np.int64), np.zeros(0)
-        order, at, group = np.argsort(-bound, kind="stable"), 0, FIRST
-        while at < self.n_blocks:
+        order, visited = np.argsort(-bound, kind="stable"), np.zeros(self.n_blocks, bool)
+        for most in (FIRST, self.n_blocks):  # the blocks of the highest bounds give a floor for all others
             floor = best[NEIGHBOURS - 1] if len(best) >= NEIGHBOURS else 0.0
-            now = order[at:at + group]
-            visit = np.zeros(self.n_blocks, bool)
-            visit[now[(bound[now] > 0) & (bound[now] >= floor - 1e-12)]] = True
+            visit = ~visited & (bound > 0) & (bound >= floor - 1e-12)
+            visit[order[visit[order]][most:]] = False
             if not visit.any():
                 break
-            inside = visit[block]
+            visited |= visit
+            inside = np.flatnonzero(visit[block])
             begin = self.entry_post[entry[inside]]
             n = self.entry_post[entry[inside] + 1] - begin
             post = _ranges(begin, n)
@@ -169,9 +205,8 @@ class Examples:
                 cosine[but] = 0
             hit = np.flatnonzero((cosine > 0) & (cosine >= floor - 1e-9))
             doc, cos = np.concatenate([best_doc, hit]), np.round(np.concatenate([best, cosine[hit]]), 12)
-            best_order = np.lexsort((doc, -cos))[:NEIGHBOURS]
+            best_order = np.lexsort((self.rank[doc], -cos))[:NEIGHBOURS]
             best_doc, best = doc[best_order], cos[best_order]
-            at, group = at + group, group * 2
         return best_doc, best
 
     def vote(self, doc: np.ndarray, cosine: np.ndarray) -> float:
@@ -213,18 +248,30 @@ class Examples:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_per_class: int = MAX_PER_CLASS) -> Examples:
-    """Examples from at most max_per_class rows of each class, the first in hash order."""
-    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = None
-    for y in (0, 1):
-        some = known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("id"), "id").limit(max_per_class)
-        chosen = some if chosen is None else chosen.union(some)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").orderBy("id", "y", "text").collect()  # 2 * max_per_class ids
-    return Examples([r["id"] for r in rows], [(r["text"] or "").encode() for r in rows],
-                    np.array([r["y"] for r in rows], np.int64), (sizes.get(0, 0), sizes.get(1, 0)), REST)
+        max_per_class: int = MAX_PER_CLASS, max_chars: int = MAX_CHARS) -> Examples:
+    """Examples from a bounded sample (`text_sample`) of the documents that the labels name."""
+    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("kind"))
+    sizes = {r["kind"]: r["n"] for r in known.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = text_sample(texts, max_per_class, max_chars, known.distinct()).orderBy("id", "kind", "text").collect()
+    return Examples([r["id"] for r in rows], [r["text"].encode() for r in rows],
+                    np.array([r["kind"] for r in rows], np.int64), (sizes.get(0, 0), sizes.get(1, 0)), REST)
+
+
+def cross_validate(texts: list[bytes], label: np.ndarray, rests: list[float], folds: int = 3) -> dict[float, float]:
+    """Mean log loss per weight of unlisted terms, each fold scored by examples of the others: how REST was chosen."""
+    fold = np.array([xxhash.xxh64_intdigest(t) % folds for t in texts])
+    out = {}
+    for rest in rests:
+        loss = []
+        for f in range(folds):
+            inside, held = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            per = np.bincount(label[inside], minlength=2)
+            model = Examples(inside.tolist(), [texts[i] for i in inside], label[inside], (int(per[0]), int(per[1])), rest)
+            p = np.clip(model.scores([texts[i] for i in held])[0], 1e-4, 1 - 1e-4)
+            loss.append(-np.where(label[held] == 1, np.log(p), np.log(1 - p)))
+        out[rest] = float(np.concatenate(loss).mean())
+    return out
 
 
 def score(docs: DataFrame, examples: Examples, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -62,3 +62,15 @@ def test_odd_rows(odd):
     none = ppm.predict_languages(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
     assert ppm.predict_languages(odd.limit(0)).count() == 0
+
+
+def test_sample_is_bounded_rows(spark):
+    rows = [(1, f"hot text {i}", "en") for i in range(400)] + [(None, f"kein id {i}", "de") for i in range(50)] + [(3, "le meme texte", "fr")] * 500
+    rows += [(4, "x" * 5000, "fr"), (5, None, "en"), (6, "no language", None), (7, "rare", "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = ppm.sample(docs, "doc_id", "text", "lang", max_docs=30, max_chars=2000)
+    assert {g: len(t) for g, t in got.items()} == {"en": 30, "de": 30, "fr": 1, "zz": 1}
+    assert got == ppm.sample(docs.repartition(5), "doc_id", "text", "lang", max_docs=30, max_chars=2000)
+    assert sum(map(len, ppm.sample(docs, "doc_id", "text", "lang", max_docs=30, max_chars=100)["en"])) <= 100
+    assert set(ppm.sample(docs, "doc_id", "text", "lang", max_langs=2)) == {"fr", "en"}
+    assert ppm.sample(docs.limit(0), "doc_id", "text", "lang") == {}

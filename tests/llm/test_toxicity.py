@@ -35,6 +35,7 @@ def test_neighbours_are_exact(monkeypatch):
         cosine = np.round(dense @ dense[i], 12)
         want = [k for k in np.lexsort((np.arange(len(texts)), -cosine)).tolist() if cosine[k] > 0][:5]
         near, cos = model.nearest(term[doc == i], weight[doc == i])
+        near = model.rank[near]
         assert np.allclose(cos, cosine[want]) and set(near[cos > cos[-1] + 1e-9] if len(cos) else []) <= set(want)
 
 
@@ -84,7 +85,8 @@ def test_no_term_is_left_out(monkeypatch):
         cosine = np.round(dense @ dense[i], 12)
         cosine[i] = 0
         want = [k for k in np.lexsort((np.arange(len(texts)), -cosine)).tolist() if cosine[k] > 0][:x.NEIGHBOURS]
-        near, cos = model.nearest(term[doc == i], weight[doc == i], i)
+        near, cos = model.nearest(term[doc == i], weight[doc == i], int(np.flatnonzero(model.rank == i)[0]))
+        near = model.rank[near]
         assert np.allclose(cos, cosine[want]) and set(near[cos > cos[-1] + 1e-9]) <= set(want)
 
 
@@ -104,3 +106,30 @@ def test_fit_keeps_all_terms(spark):
     docs = spark.createDataFrame([(i, f"w{i} common") for i in range(20)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
     assert set(x.fit(docs, labels).term_of) == {"common", *(f"w{i}" for i in range(20))}
+
+
+def test_examples_are_bounded_rows(spark):
+    """An id with a third of all rows, repeated rows, null ids: the sample is bounded in rows and characters."""
+    rows = [(1, f"hot text {i}") for i in range(300)] + [(2, "same")] * 300 + [(i, f"w{i} " * 5) for i in range(3, 300)] + [(None, "lost"), (500, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i < 3)) for i in range(600)] + [(None, 1), (7, None)], "doc_id long, toxic int")
+    model = x.fit(docs, labels, max_per_class=50)
+    assert len(model.ids) == 100 and model.label.sum() == 50 and model.ids.count(2) <= 1 and None not in model.ids
+    assert len(x.fit(docs, labels, max_per_class=50, max_chars=60).ids) < 20
+    again = x.fit(docs.repartition(7), labels, max_per_class=50)
+    assert again.ids == model.ids and (again.post_weight == model.post_weight).all()
+
+
+def test_rest_by_folds():
+    _, texts = examples()
+    label = np.array([int(i % 3 == 0) for i in range(len(texts))])
+    loss = x.cross_validate(texts, label, [0.1, 1.0])
+    assert loss[0.1] < loss[1.0] < 1.0
+
+
+def test_order_of_examples_changes_nothing(monkeypatch):
+    model, texts = examples()
+    monkeypatch.setattr(x, "near_together", lambda doc, term, weight, n: np.arange(n)[::-1])
+    other, _ = examples()
+    for t in texts[:40] + [b"bad1 w3", b"w5 w9"]:
+        assert np.allclose(model.scores([t])[0], other.scores([t])[0]) and model.scores([t])[1] == other.scores([t])[1]
