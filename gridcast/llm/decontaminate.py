@@ -9,17 +9,19 @@ partial copies. A pair counts from `least` of the item's perfect score.
 
 The benchmark is the stated query side: it is read in blocks of up to
 `block_words` words, each broadcast and run against all documents. Items with
-equal words are one: the least item_id stands for them and `n_items` counts them.
+equal words, anywhere in the benchmark, are one: the least item_id stands for
+them and `n_items` counts them.
 
 Defined results: a null or empty text or item matches nothing; an item of under
 3 words is its own seed; an item without an id gives no row, but the filter
-drops documents that hold it; repeated rows give equal rows; empty tables give an
+drops documents that hold it; very long texts are searched whole; equal scores go
+to the first place in the text; repeated rows give equal rows; empty tables give an
 empty table; other columns are not looked at, and pass through the filter.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.common import NULL_ID, U64, Words, as_bytes, doc_text, rolling, scramble, small_batches, text_slices
+from gridcast.session import materialize
 
 SEED = 3
 #: Chance of a seed at a text position, at most; items without SEEDS such ones take their rarest.
@@ -66,16 +69,11 @@ class Text:
 class Items:
     """A block of benchmark items with their seeds, sorted by hash."""
 
-    def __init__(self, ids: list, texts: list[bytes]):
-        groups: dict[bytes, list] = defaultdict(list)
+    def __init__(self, ids: list, texts: list[bytes], n_items: list[int]):
         text = Text(texts)
-        for i, x in enumerate(ids):
-            h = text.hashes[text.starts[i]:text.starts[i + 1]]
-            if len(h):
-                groups[h.tobytes()].append(x)
-        self.words = [np.frombuffer(k, U64) for k in groups]
-        self.ids = [min(g) for g in groups.values()]
-        self.n_items = [len(g) for g in groups.values()]
+        words = [text.hashes[x:y] for x, y in zip(text.starts[:-1].tolist(), text.starts[1:].tolist())]
+        held = [i for i, w in enumerate(words) if len(w)]
+        self.words, self.ids, self.n_items = [words[i] for i in held], [ids[i] for i in held], [n_items[i] for i in held]
         self.vocab = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, U64)
 
     def choose(self, counts: np.ndarray, total: int) -> None:
@@ -181,19 +179,35 @@ def matches(texts: list[bytes], items: Items, least: float) -> list[tuple[int, i
     return [(d, i, *v) for (d, i), v in sorted(found.items())]
 
 
+def distinct_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, n): items with equal normalised words as one, under their least id, over the whole benchmark."""
+    def keys(batches):
+        for b in text_slices(batches, "text"):
+            text = Text(as_bytes(b.column("text")))
+            words = [text.hashes[x:y] for x, y in zip(text.starts[:-1].tolist(), text.starts[1:].tolist())]
+            rows = pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), pa.array(
+                [hashlib.blake2b(w.tobytes(), digest_size=16).digest() if len(w) else None for w in words], pa.binary())], names=["id", "text", "words"])
+            yield rows.filter(pa.compute.is_valid(rows.column("words")))
+
+    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where(
+        F.col("id").isNotNull() & F.col("text").isNotNull())
+    return rows.mapInArrow(keys, "id long, text string, words binary").groupBy("words").agg(
+        F.min("id").alias("id"), F.min_by("text", "id").alias("text"), F.count(F.lit(1)).alias("n")).drop("words")
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int):
-    """The benchmark in blocks of bounded size, a few rows at a time on the driver."""
-    ids, texts, size = [], [], 0
-    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    for r in rows.where("id is not null and text is not null").toLocalIterator():
+    """The distinct items, by id, in blocks of bounded size, a few rows at a time on the driver."""
+    ids, texts, counts, size = [], [], [], 0
+    for r in materialize(distinct_items(benchmark, id_col, text_col), "benchmark-items").orderBy("id", "text").toLocalIterator():
         ids.append(r["id"])
         texts.append(r["text"].encode())
+        counts.append(r["n"])
         size += len(texts[-1].split())
         if size >= block_words:
-            yield Items(ids, texts)
-            ids, texts, size = [], [], 0
+            yield Items(ids, texts, counts)
+            ids, texts, counts, size = [], [], [], 0
     if ids:
-        yield Items(ids, texts)
+        yield Items(ids, texts, counts)
 
 
 def _with_seeds(docs: DataFrame, items: Items) -> Items:

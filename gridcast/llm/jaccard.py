@@ -363,6 +363,8 @@ def _memberships(prefixes: DataFrame, percent: int) -> DataFrame:
 def _payloads(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(doc_id, mark, blob): compressed texts of the documents in `needed` (doc_id, mark), and of a few others.
 
+    A row that is repeated comes as often, so callers take one per (doc_id, mark).
+
     A bitmap of hash slots, of fixed size, keeps most others out of the join
     that follows; however many are needed, none of them is left out.
     """
@@ -419,7 +421,8 @@ def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int =
 
     def with_text(rows: DataFrame) -> DataFrame:
         rows = rows.join(one_doc, "node").select(*rows.columns, "doc.doc_id", "doc.mark")
-        return rows.join(_payloads(docs, rows.select("doc_id", "mark")), ["doc_id", "mark"])
+        texts = _payloads(docs, rows.select("doc_id", "mark")).groupBy("doc_id", "mark").agg(F.any_value("blob").alias("blob"))
+        return rows.join(texts, ["doc_id", "mark"])
 
     rows = with_text(whole.select("anchor", "part", "node", F.lit(False).alias("settled")))
     found = materialize(_search(rows, ["anchor", "part"], percent), "jaccard-links")

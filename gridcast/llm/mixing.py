@@ -97,10 +97,12 @@ def mix(docs: DataFrame, domain: Column, budget_percent: int = 100, max_epochs:
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_RE)), F.lit(0)).cast("long").alias(names["tokens"]))
     narrow = materialize(sized.select(*(F.col(names[c]).alias(c) for c in (*LEAF, "tokens")),
                                       F.coalesce(F.col(id_col).cast("string"), blank).alias("id")), "mix-sizes")
-    leaves = narrow.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"))
-    plan = allocate(leaves, budget_percent, max_epochs, domain_weights or {}, lang_weights or {}, source_weights or {})
+    leaves = narrow.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    plan = allocate(leaves.drop("rows"), budget_percent, max_epochs, domain_weights or {}, lang_weights or {}, source_weights or {})
     some = F.col("tokens") > 0
-    plan = plan.select(*LEAF, F.when(some, F.expr("given div tokens")).otherwise(F.lit(0).cast("long")).alias("full"),
+    # hex digits of the key that make a bucket: about as many buckets as rows in one
+    depth = F.greatest(F.lit(3), F.ceil(F.log(16.0, F.col("rows")) / 2)).cast("int").alias("depth")
+    plan = plan.join(leaves.select(*LEAF, depth), LEAF).select(*LEAF, "depth", F.when(some, F.expr("given div tokens")).otherwise(F.lit(0).cast("long")).alias("full"),
                        F.when(some, F.expr("try_mod(given, tokens)")).otherwise(0).alias("part"))
     plan = materialize(plan, "mix-plan")
     n_leaves = plan.count()
@@ -119,7 +121,7 @@ def mix(docs: DataFrame, domain: Column, budget_percent: int = 100, max_epochs:
 
     # the last epoch's cut: by a bucket of the seeded keys first, then inside that bucket alone
     keyed = with_plan(narrow, plan.where("part > 0"), LEAF).withColumn("key", key(F.col("full"), F.col("id"))).withColumn(
-        "bucket", F.substring("key", 1, 3))
+        "bucket", F.substring(F.col("key"), F.lit(1), F.col("depth")))
     sums = keyed.groupBy(*LEAF, "bucket").agg(F.sum("tokens").alias("size"), F.first("part").alias("part"))
     run = Window.partitionBy(*LEAF).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     sums = sums.withColumn("upto", F.sum("size").over(run))
@@ -135,8 +137,8 @@ def mix(docs: DataFrame, domain: Column, budget_percent: int = 100, max_epochs:
     rows = with_plan(sized, plan, [names[c] for c in LEAF])
     rows = rows.withColumn(names["key"], key(F.col(names["full"]), F.coalesce(F.col(id_col).cast("string"), blank)))
     k, bucket = F.col(names["key"]), F.col(names["cut_bucket"])
-    taken = F.coalesce((F.substring(k, 1, 3) < bucket) | ((F.substring(k, 1, 3) == bucket) & (k <= F.col(names["cut_key"]))),
-                       F.lit(False))
+    own = F.substring(k, F.lit(1), F.length(bucket))
+    taken = F.coalesce((own < bucket) | ((own == bucket) & (k <= F.col(names["cut_key"]))), F.lit(False))
     epochs = F.col(names["full"]) + F.when(taken, 1).otherwise(0)
     rows = rows.withColumn(names["epoch"], F.explode(F.when(epochs > 0, F.sequence(F.lit(0).cast("long"), epochs - 1))))
     added = {c: names[c] for c in ("epoch", *LEAF, "tokens")}

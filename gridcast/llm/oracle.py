@@ -141,9 +141,11 @@ f AS (
   WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(v) >= 20) OR (kind = 2 AND length(v) >= 24)
      OR (kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]'))
 ),
-own AS (SELECT v, count(DISTINCT owner) <= 2 AS live FROM f GROUP BY v),
+own AS (
+  SELECT v, n_rep, n_own <= 2 AND (n_own = 1 OR n_rep <= 20) AS live FROM (
+    SELECT v, count(DISTINCT owner) AS n_own, count(DISTINCT owner || chr(10) || coalesce(doc_id::VARCHAR, '')) AS n_rep FROM f GROUP BY v)),
 j AS (
-  SELECT f.*, live, max(CASE WHEN kind < 3 THEN en END) OVER (PARTITION BY r ORDER BY st, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe,
+  SELECT f.*, live, n_rep, max(CASE WHEN kind < 3 THEN en END) OVER (PARTITION BY r ORDER BY st, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe,
          min(CASE WHEN kind < 3 THEN st END) OVER (PARTITION BY r ORDER BY st, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ns
   FROM f JOIN own USING (v)
 ),
@@ -154,12 +156,14 @@ s AS (
 g AS (
   SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
          count(*) FILTER (kind = 3) AS n_generic, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example,
+         max(n_rep) AS max_repositories,
          coalesce(string_agg(said, ',' ORDER BY st, kind) FILTER (kind < 3), '') AS base, string_agg(said, ',' ORDER BY st, kind) AS spans
   FROM s GROUP BY r
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_generic, 0) AS n_generic, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+       coalesce(n_generic, 0) AS n_generic, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+       coalesce(max_repositories, 0) AS max_repositories
 FROM d LEFT JOIN g USING (r)
 """
 

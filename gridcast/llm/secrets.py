@@ -3,12 +3,16 @@
 One pass over the texts writes a narrow table of matches (gap before it, match)
 in the shared folder; positions, ownership and verdicts are computed from that.
 A candidate value is known by its SHA-256. Values that more than `max_owners`
-owners hold are widely copied examples; the others look live. Live values that
-no base pattern covers add spans of kind `generic`.
+owners hold, or several owners in more than `max_repositories` repositories, are
+widely copied examples; the others look live, also one owner's value however
+often it stands. Live values that no base pattern covers add spans of kind
+`generic`.
 
 Defined results: a null text is empty; a row without matches keeps zero counts
 and empty spans; repeated rows each give a row and count once for ownership;
-a null owner counts as the owner ''; other columns are not looked at.
+a null owner counts as the owner '', a null doc_id as one repository; very long
+texts are scanned whole; an empty table gives an empty table; other columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ GENERIC = r"[A-Za-z0-9+/_=-]{20,}"
 #: hex digits fail anyway, and a run that long matches whole.
 KINDS = [("assign", ASSIGN), ("access", ACCESS), ("hex", r"[0-9a-f]{24,}"), ("generic", GENERIC)]
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
-MAX_OWNERS = 2
+#: A value of more owners, or of several owners and more repositories, is a copied example.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 20
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -69,7 +74,7 @@ def occurrences(scanned: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, (one(i, k, r) for i, (k, r) in enumerate(KINDS)))
 
 
-def ownership(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def ownership(found: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """Distinct repositories and owners of each candidate hash, and whether it looks live.
 
     Duplicates go first, by the full key, so a value in very many documents is
@@ -78,16 +83,17 @@ def ownership(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     each = found.select("value", "owner", "repository").distinct()
     by_owner = each.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
     return by_owner.groupBy("value").agg(F.sum("n").alias("n_repositories"), F.count(F.lit(1)).alias("n_owners")).withColumn(
-        "live", F.col("n_owners") <= max_owners)
+        "live", (F.col("n_owners") <= max_owners) & ((F.col("n_owners") == 1) | (F.col("n_repositories") <= max_repositories)))
 
 
 def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: Column | None = None,
-            repository: Column | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """One row per document: its base counts, base digest, all spans, and live / example counts."""
+            repository: Column | None = None, max_owners: int = MAX_OWNERS,
+            max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """One row per document: base counts, base digest, all spans, live / example counts, most repositories of a value."""
     scanned = scan(docs, id_col, text_col, F.col("source") if owner is None else owner,
                    F.col(id_col) if repository is None else repository)
     found = materialize(occurrences(scanned), "secret-occurrences")
-    judged = found.join(ownership(found, max_owners), "value")
+    judged = found.join(ownership(found, max_owners, max_repositories), "value")
     is_base = F.col("kind") < 3
     order = Window.partitionBy("row").orderBy("start", "kind")
     before = F.max(F.when(is_base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -103,10 +109,11 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own
     per_row = spans.groupBy("row").agg(
         *(F.count_if(F.col("kind") == i).alias(f"n_{k}") for i, (k, _) in enumerate(KINDS)),
         said(is_base).alias("base"), said(F.lit(True)).alias("spans"),
-        F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example"))
+        F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example"),
+        F.max("n_repositories").alias("max_repositories"))
     out = scanned.select("row", "doc_id").join(per_row, "row", "left")
     zero = F.lit(0).cast("long")
     return out.select(
         "doc_id", *(F.coalesce(f"n_{k}", zero).alias(f"n_{k}") for k, _ in KINDS[:3]),
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"),
-        *(F.coalesce(c, zero).alias(c) for c in ("n_generic", "n_live", "n_example")))
+        *(F.coalesce(c, zero).alias(c) for c in ("n_generic", "n_live", "n_example", "max_repositories")))

@@ -55,7 +55,8 @@ def test_planted_copies(spark):
     docs, items, want = corpus(spark)
     for block in (d.BLOCK_WORDS, 200):
         got = d.contaminated(docs, items, block_words=block).collect()
-        assert {(r["doc_id"], r["item_id"]) for r in got} - {(r["doc_id"], 90) for r in got} == want
+        assert {(r["doc_id"], r["item_id"]) for r in got} == want  # item 90 equals item 0, also in another block
+        assert all(r["n_items"] == 1 + (r["item_id"] == 0) for r in got)
         assert all(r["score"] == 1.0 for r in got if r["doc_id"] is not None and r["doc_id"] % 4 == 1 and r["doc_id"] < 120)
         clean = d.drop_contaminated(docs, items, block_words=block)
         assert {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in docs.collect()} - {x for x, _ in want}
@@ -86,3 +87,47 @@ def test_items_without_id_are_dropped(spark):
     docs = spark.createDataFrame([(1, f"some words {item} and more"), (2, "quite other words stand here")], "doc_id long, text string")
     items = spark.createDataFrame([(None, item), (None, None)], "item_id long, text string")
     assert [r["doc_id"] for r in d.drop_contaminated(docs, items).collect()] == [2]
+
+
+def all_pairs(docs, items):
+    """Score of every (document, item) pair that full Smith-Waterman puts at LEAST or above."""
+    distinct = {}
+    for i, t in sorted(items):
+        w = d.Text([(t or "").encode()]).hashes
+        if len(w):
+            distinct.setdefault(w.tobytes(), (i, w))
+    pairs = [(doc, i, a, b) for doc, t in docs for i, b in distinct.values() if len(a := d.Text([(t or "").encode()]).hashes)]
+    best, _ = d.align([b for *_, b in pairs], [a for *_, a, _ in pairs])
+    return {(doc, i): s / (d.MATCH * len(b)) for (doc, i, _, b), s in zip(pairs, best.tolist()) if s >= d.LEAST * d.MATCH * len(b)}
+
+
+def test_recall_on_given_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in d.contaminated(docs, bench).collect()}
+    want = all_pairs([(r["doc_id"], r["text"]) for r in docs.collect()], [(r["item_id"], r["text"]) for r in bench.collect()])
+    assert want and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_recall_of_edited_copies(spark):
+    """Items with up to half of their words changed, dropped or added, whole or in part."""
+    rng = random.Random(11)
+    vocab = [f"v{i}" for i in range(1500)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(12, 60)))) for i in range(40)]
+    docs = []
+    for i in range(400):
+        rate, out = rng.random() * 0.5, []
+        for w in items[i % 40][1].split():
+            x = rng.random()
+            out += [] if x < rate / 3 else [rng.choice(vocab)] if x < 2 * rate / 3 else [w, rng.choice(vocab)] if x < rate else [w]
+        cut = rng.randint(0, len(out) // 2) if i % 5 == 0 else 0
+        body = [rng.choice(vocab) for _ in range(rng.randint(10, 120))]
+        docs.append((i, " ".join(body[:8] + out[cut:] + body[8:])))
+    want = all_pairs(docs, items)
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in d.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got.keys() <= want.keys() and all(got[k] <= want[k] + 1e-9 for k in got)
+    recall = len(got) / len(want)
+    print(f"recall {recall:.4f} of {len(want)} pairs")
+    assert len(want) > 250 and recall >= 0.95
+    assert sum(abs(got[k] - want[k]) < 1e-9 for k in got) >= 0.95 * len(got)

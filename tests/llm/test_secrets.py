@@ -23,13 +23,14 @@ def brute(rows):
     spans = [base(t or "") for _, t, _ in rows]
     extra = [[(m.start(), 3, m.end(), m[0]) for m in GENERIC.finditer(t or "") if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
              for _, t, _ in rows]
-    owners = {}
-    for (_, _, o), a, b in zip(rows, spans, extra):
+    owners, held = {}, {}
+    for (d, _, o), a, b in zip(rows, spans, extra):
         for x in a + b:
             owners.setdefault(x[3], set()).add(o or "")
+            held.setdefault(x[3], set()).add((o or "", d))
     names, out = ["assign", "access", "hex", "generic"], []
     for (d, _, _), a, b in zip(rows, spans, extra):
-        free = [x for x in b if len(owners[x[3]]) <= 2 and all(y[2] <= x[0] or y[0] >= x[2] for y in a)]
+        free = [x for x in b if len(owners[x[3]]) <= 2 and (len(owners[x[3]]) == 1 or len(held[x[3]]) <= 20) and all(y[2] <= x[0] or y[0] >= x[2] for y in a)]
         said = lambda z: ",".join(f"{names[k]}:{i}:{j}" for i, k, j, _ in sorted(z))
         out.append((str(d), *(sum(x[1] == k for x in a) for k in range(3)), hashlib.sha256(said(a).encode()).hexdigest(), said(a + free)))
     return sorted(out)
@@ -46,6 +47,8 @@ def test_planted(spark):
     texts = [f"é😀 password = 'hunter22' {key}", f"Token:{h} and {h[:23]}", f"secret==abc api-key: x apikey=abcdef_{h}", f"{live} {live}", None, "",
              f"API_KEY\" : \"{'a1' * 12}", "passwd: short", f"{h}{h} {key}9", "PASSWORD=token=secret=value99", f"x{live}"]
     rows = [(i, t, f"s{i % 3}") for i, t in enumerate(texts)] + [(50 + i, f"copied {'Ex4' * 9}", f"s{i}") for i in range(4)]
+    rows += [(100 + i, f"one owner {'Ow5' * 9}", "s9") for i in range(25)]  # live however many repositories
+    rows += [(200 + i, f"two owners {'Tw6' * 9} or {'Fe7' * 9 if i < 20 else ''}", f"s{i % 2}") for i in range(21)]
     check(spark, rows + [(None, texts[0], None), rows[0]])
 
 
