@@ -7,8 +7,12 @@ shows only when its whole subtree is used up, and then its siblings take it.
 Each leaf's allocation is a token prefix of its seeded epochs: whole epochs,
 then the documents of one more epoch in seeded order while their tokens fit.
 
+Scale: a leaf's last epoch is cut by buckets of the seeded key, about the square
+root of its rows of them, and only the cut bucket is ordered by key.
+
 Defined results: a null domain, language or source is ''; a null text has no
-tokens; documents of one leaf that share a doc_id go together; shares are
+tokens, a very long one counts whole; repeated rows and documents of one leaf
+that share a doc_id (nulls too) go together; shares are
 rounded down, so fewer tokens than children of a node stay unused at it; an
 empty table gives an empty table; other columns pass through unchanged.
 """

@@ -5,8 +5,11 @@ more; the rules measure the characters inside them and inside repeated lines.
 Equal hashes are confirmed on the word ids, so the counts are exact.
 
 Defined results: a null or empty text has no words and fails the base rule
-(under 10 words); repeated rows are judged each on its own; an empty table
-gives an empty table; columns besides id and text are not looked at.
+(under 10 words); very long texts are judged whole; repeated rows, and rows with a
+null or repeated doc_id, are judged each on its own text; an n-gram or line that
+stands twice counts each time but the first (words: the first too); an empty table
+gives an empty table; columns besides id and text are not looked at, and pass
+through the filter.
 """
 
 from __future__ import annotations
