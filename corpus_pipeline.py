@@ -1,8 +1,16 @@
 """Training corpus pipeline: each stage takes the documents that the one before kept.
 
 run() writes every stage's result as Parquet into the shared folder and rereads
-it. All stages but the last return the columns of documents. After mixing, a
-document stands once for each epoch that takes it.
+it. All stages but the last return the columns of documents, other columns
+included. After mixing, a document stands once for each epoch that takes it.
+
+Defined results (each operator's docstring has its own): a null or empty text has
+under 10 words, so the quality rules drop it; repeated rows are near duplicates,
+and one of them stays, the least by (doc_id, text hash) of its group; a null
+doc_id comes before all others there, is like others in mixing and stands first in
+the shards; a null lang or source is the empty one; ties in mixing go by the
+seeded key of the doc_id; very long texts are worked on whole; an empty table
+gives an empty table from every stage.
 """
 
 from __future__ import annotations
