@@ -23,6 +23,7 @@ looked at.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from itertools import chain, repeat
@@ -42,7 +43,7 @@ BLOCK_BYTES = 4 << 20
 #: Words whose ids a worker keeps in each of two tables; a full table is emptied.
 WORD_CACHE = 1_000_000
 #: A pair that occurs so often in a block becomes a rule; in one round, all pairs from this part of the fullest count on.
-MIN_PAIRS, STEP = 16, 64
+MIN_PAIRS, STEP = 16, 256
 _SLOTS = 1 << 20
 
 BLOCKS = ("shard int, block int, first int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -51,6 +52,13 @@ BLOCKS = ("shard int, block int, first int, n_tokens long, doc_ids array<long>,
 
 # ---- encoding ---------------------------------------------------------------
 
+#: Words of letters of U+0041 to U+00FF alone: one pre-token each, and lower case is all that normalising does to them.
+_LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Byte-level alphabet: a printable byte stands for itself, the n-th other one for U+0100 + n.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LEVEL = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
+
+
 class _Pool:
     """Id sequences end to end, each known by its number."""
 
@@ -94,14 +102,14 @@ class WordEncoder:
         self.whole, self.whole_ids = {}, _Pool()  # words as they stand in texts
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode words and keep their ids: lower-case ASCII ones by the model alone, as nothing normalises or parts them."""
-        plain = [w for w in words if w.isalpha() and w.islower()]
-        rest = [w for w in words if not (w.isalpha() and w.islower())]
-        got = [[t.id for t in self.tok.model.tokenize(w.decode())] for w in plain]
-        letters, other, order = [], [], plain
+        """Encode words and keep their ids: lower-case Latin letters by the model alone, as nothing normalises or parts them."""
+        plain, letters, other = [], [], []
+        for w in words:
+            (plain if _LATIN.fullmatch(w) else letters if w.decode().isalpha() else other).append(w)
+        tokenize = self.tok.model.tokenize
+        got = [[t.id for t in tokenize(w.decode("latin-1").translate(_BYTE_LEVEL))] for w in plain]
+        order = plain
         ids, size = [np.fromiter(chain.from_iterable(got), np.uint32)], [np.fromiter(map(len, got), np.int64, len(got))]
-        for w in rest:
-            (letters if w.decode().isalpha() else other).append(w)
         for lo in range(0, len(letters), 500):
             part = letters[lo:lo + 500]
             found = np.array(self.tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
@@ -137,7 +145,7 @@ class WordEncoder:
             if len(core) < len(w) and not (core and _parts(core)):
                 cores[k] = w
         tails = [w[len(core):] for w, core in zip(words, cores)]
-        cores = [core.lower() if core.isalpha() else core for core in cores]  # ASCII letters only
+        cores = [core.decode().lower().encode() if _LATIN.fullmatch(core) else core for core in cores]
         need = dict.fromkeys([*cores, *tails])
         new = [w for w in need if w not in self.known]
         if len(self.known) + len(new) > WORD_CACHE:

@@ -59,6 +59,12 @@ def test_characters_that_normalise_to_several():
     check([f"a{chr(c)}." for c in range(0x80, 0x3000) if not 0xD800 <= c < 0xE000])
 
 
+def test_latin_words():
+    rng = np.random.default_rng(6)
+    letters = [chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)] if c not in (0xD7, 0xF7)]
+    check(["".join(rng.choice(letters, rng.integers(1, 14))) + rng.choice(["", ".", "!!", ",."]) for _ in range(4000)] + letters + ["×÷", "a×b", "÷."])
+
+
 def pair_counts(symbols, n):
     """Non-overlapping occurrences of each pair, from left to right, inside documents."""
     found, at = Counter(), 0
