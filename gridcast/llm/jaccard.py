@@ -11,7 +11,9 @@ documents link when 100 * |intersection| >= 80 * |union|.
    least is the shingle's *anchor*. Nodes with one anchor form a block. Pairs that
    share short lists only must share 4, which drops chance meetings; so any two
    linked nodes still meet in a block.
-3. In a block, DivideSkip finds the nodes that share at least T shingles with a
+3. A bitmap of each set bounds what two sets can share; in blocks of one part,
+   sets that cannot link to any other one there leave before texts are sent.
+   In a block, DivideSkip finds the nodes that share at least T shingles with a
    query: its long inverted lists are left out, the short ones merged, and what
    occurs T - L times there is probed in the L long lists. Pairs that links
    connect already are not compared, and queries stop once all nodes that have
@@ -55,6 +57,8 @@ BAND, LIST = 1.02, 256
 #: Lists of up to SHORT nodes are taken pair by pair.
 COMMON, SHORT = 4, 8
 _LIST, _PAIR, _FREQUENT = 0, 1, 2
+#: Words of bitmaps compared at once; blocks of more sets than MANY are not compared by bitmaps.
+PAIR_WORDS, MANY = 1 << 20, 4096
 #: Weight of DivideSkip's rule for the number of long lists, T / (MU log2(longest) + 1).
 MU = 0.0085
 
@@ -99,6 +103,47 @@ def _pairs_needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+# ---- bitmaps ------------------------------------------------------------------
+
+def bitmap(s: np.ndarray) -> bytes:
+    """A bit per hash of the set, in the least power of two of 2 bits a shingle (64 at least)."""
+    width = 1 << max(6, (2 * len(s) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[((s >> U64(20)) & U64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(size: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np.ndarray:
+    """Which sets may link to another of these. A bit that one set has and the other lacks is a shingle not shared.
+
+    Bitmaps of twice the width are folded; linked sets differ in size by less,
+    so only equal and neighbouring widths are compared. Never drops a link.
+    """
+    out = np.zeros(len(size), bool)
+    width = np.array([len(b) for b in bits])
+    rows = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
+    table = {w: np.frombuffer(b"".join(bits[i] for i in at.tolist()), np.uint64).reshape(len(at), -1) for w, at in rows.items()}
+
+    def compare(one, a, other, b):
+        step = max(1, PAIR_WORDS // max(1, b.size))
+        for lo in range(0, len(one), step):
+            i = one[lo:lo + step]
+            x = a[lo:lo + step, None, :]
+            mine = size[i][:, None] - np.bitwise_count(x & ~b[None]).sum(2, dtype=np.int64)
+            others = size[other][None, :] - np.bitwise_count(b[None] & ~x).sum(2, dtype=np.int64)
+            ok = np.minimum(mine, others) >= _pairs_needed(size[i][:, None], size[other][None, :], percent)
+            ok &= i[:, None] != other[None, :]
+            out[i] |= ok.any(1)
+            out[other] |= ok.any(0)
+
+    for w, at in rows.items():
+        compare(at, table[w], at, table[w])
+        if 2 * w in rows:
+            half = table[2 * w].shape[1] // 2
+            compare(at, table[w], rows[2 * w], table[2 * w][:, :half] | table[2 * w][:, half:])
+    return out
+
+
 # ---- search -------------------------------------------------------------------
 
 class _Union:
@@ -205,8 +250,8 @@ def block_links(sets: list[np.ndarray], joined: list[int], percent: int = PERCEN
 def _sized(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """Set sizes and digests, and the frequency level of each slot of shingle hashes, from one pass.
 
-    The table is (doc_id, mark, n, node, proof); mark tells rows of one doc_id
-    apart by their texts. Levels count in how many documents a slot's shingles stand.
+    The table is (doc_id, mark, n, node, proof, bits); mark tells rows of one doc_id
+    apart by their texts, bits is the set's bitmap. Levels count in how many documents a slot's shingles stand.
     """
     def digest(batches):
         total = np.zeros(SLOTS, np.int64)
@@ -217,14 +262,15 @@ def _sized(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                 pa.nulls(len(sets), pa.int32())], names=names)
+                 pa.array([bitmap(s) for s in sets], pa.binary()), pa.nulls(len(sets), pa.int32())], names=names)
         used = np.flatnonzero(total)
         none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.array(total[used]), none, none, pa.array(used.astype(np.int32))], names=names)
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(total[used]), none, none, pa.nulls(len(used), pa.binary()),
+                                           pa.array(used.astype(np.int32))], names=names)
 
-    names = ["doc_id", "mark", "n", "node", "proof", "slot"]
+    names = ["doc_id", "mark", "n", "node", "proof", "bits", "slot"]
     rows = docs.withColumn("mark", F.xxhash64("text")).mapInArrow(
-        digest, "doc_id long, mark long, n long, node long, proof long, slot int")
+        digest, "doc_id long, mark long, n long, node long, proof long, bits binary, slot int")
     rows = materialize(rows, "jaccard-sizes")
     full = np.zeros(SLOTS, np.int64)
     counts = rows.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n"))
@@ -360,6 +406,30 @@ def _memberships(prefixes: DataFrame, percent: int) -> DataFrame:
     return lists.union(pairs.select("anchor", "node")).union(hot).distinct()
 
 
+def _promising(rows: DataFrame, percent: int) -> DataFrame:
+    """(anchor, node) of the rows (anchor, node, n, bits) that may link to another one of their anchor, by their bitmaps."""
+    def keep(batches):
+        held = None
+        for b in chain(batches, [None]):
+            if b is not None:
+                now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)] + [b.column(3).to_pylist()]
+                held = now if held is None else [*(np.concatenate(x) for x in zip(held[:3], now[:3])), held[3] + now[3]]
+            if held is None or not len(held[0]):
+                continue
+            anchor, node, size, bits = held
+            begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+            end = np.append(begin[1:], len(anchor))
+            if b is not None:  # the last block may go on
+                held = [x[begin[-1]:] for x in held]
+                begin, end = begin[:-1], end[:-1]
+            good = np.zeros(len(anchor), bool)
+            for x, y in zip(begin.tolist(), end.tolist()):
+                good[x:y] = True if y - x > MANY else may_link(size[x:y], bits[x:y], percent)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor[good]), pa.array(node[good])], names=["anchor", "node"])
+
+    return rows.select("anchor", "node", "n", "bits").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(keep, "anchor long, node long")
+
+
 def _payloads(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(doc_id, mark, blob): compressed texts of the documents in `needed` (doc_id, mark), and of a few others.
 
@@ -412,9 +482,14 @@ def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int =
         raise ValueError(f"at {percent} percent the smallest sets that can link to others share fewer than {COMMON} shingles")
     members = _memberships(_prefixes(docs, levels, percent), percent)
     one_doc = sized.groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "mark")).alias("doc"),
-                                        F.first("n").alias("n"))
+                                        F.first("n").alias("n"), F.first("bits").alias("bits"))
     members = materialize(members.join(one_doc.select("node", "n"), "node"), "jaccard-blocks")
     parts = members.groupBy("anchor").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("parts"))
+    # blocks in one part: only what may link by the bitmaps goes on; larger ones go on as they are
+    single = parts.where("parts = 1")
+    near = members.join(single, "anchor").select("anchor", "node").union(single.select("anchor", F.col("anchor").alias("node")))
+    near = materialize(_promising(near.join(one_doc.select("node", "n", "bits"), "node"), percent), "jaccard-near")
+    parts = parts.where("parts > 1")
     whole = members.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     lead = parts.select("anchor", F.col("anchor").alias("node"), F.lit(0).cast("long").alias("n"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     whole = whole.select("anchor", "node", "n", "parts", "part").union(lead)
@@ -424,10 +499,11 @@ def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int =
         texts = _payloads(docs, rows.select("doc_id", "mark")).groupBy("doc_id", "mark").agg(F.any_value("blob").alias("blob"))
         return rows.join(texts, ["doc_id", "mark"])
 
-    rows = with_text(whole.select("anchor", "part", "node", F.lit(False).alias("settled")))
+    rows = whole.select("anchor", "part", "node").union(near.select("anchor", F.lit(0).alias("part"), "node"))
+    rows = with_text(rows.withColumn("settled", F.lit(False)))
     found = materialize(_search(rows, ["anchor", "part"], percent), "jaccard-links")
     first = found.where("linked").select("a", "b")
-    cut = parts.where("parts > 1")
+    cut = parts
     if cut.isEmpty():
         return first
     # blocks in several parts: what is not connected to the anchor in its part meets every part
@@ -437,7 +513,7 @@ def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int =
     out = out.join(turns, "anchor").withColumn("turn", F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int"))
     queries = out.select("anchor", "node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "turn",
                          F.lit(False).alias("settled"))
-    others = whole.where("parts > 1").join(turns, "anchor").join(
+    others = whole.join(turns, "anchor").join(
         out.select("anchor", "node", F.lit(True).alias("is_out")), ["anchor", "node"], "left")
     others = others.select("anchor", "node", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"),
                            F.col("is_out").isNull().alias("settled"))

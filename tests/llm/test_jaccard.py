@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from gridcast.llm import common, components
@@ -109,3 +110,28 @@ def test_sets_of_four_link_to_sets_of_five(spark, monkeypatch, block, length, sh
     assert sorted(got) == sorted(want)
     assert groups == 12 * 4 + 1
     assert j.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), block_shingles=block).count() == groups
+
+
+def test_bitmaps_never_drop_a_link():
+    rng = np.random.default_rng(7)
+    for _ in range(40):
+        sets = []
+        for _ in range(12):
+            base = rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64)
+            for _ in range(rng.integers(1, 4)):
+                kept = base[rng.random(len(base)) > rng.choice([0, 0.05, 0.2, 0.6])]
+                sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, rng.integers(0, 30)).astype(np.uint64)])))
+        sets = [s for s in sets if len(s)]
+        got = j.may_link(np.array([len(s) for s in sets]), [j.bitmap(s) for s in sets])
+        for a, x in enumerate(sets):
+            linked = any(a != b and 100 * (k := len(np.intersect1d(x, y))) >= 80 * (len(x) + len(y) - k) for b, y in enumerate(sets))
+            assert got[a] or not linked
+
+
+def test_bitmaps_drop_sets_that_share_a_passage():
+    rng = np.random.default_rng(8)
+    passage = rng.integers(0, 1 << 63, 46).astype(np.uint64)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 1 << 63, 250).astype(np.uint64)])) for _ in range(100)]
+    sets += [np.append(sets[0][5:], np.uint64(1)), sets[1]]
+    got = j.may_link(np.array([len(s) for s in sets]), [j.bitmap(s) for s in sets])
+    assert sorted(np.flatnonzero(got).tolist()) == [0, 1, 100, 101]
