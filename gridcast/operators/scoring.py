@@ -248,21 +248,26 @@ def category_importance(importance: DataFrame, series: str = "series_id") -> Dat
 
 
 def score_report(preds: DataFrame, series: str = "series_id") -> DataFrame:
-    """Overall, by hour, by weekday and best / worst hour as report rows."""
-    o = score_overall(preds, series).select(
-        series, F.lit("overall").alias("section"), F.lit(None).cast("int").alias("item"),
-        F.bround("mae", 0).alias("mae"), F.bround("bias", 0).alias("bias"), F.bround("rmse", 0).alias("rmse"))
-    bh = score_by(preds, "hour", series)
-    h = bh.select(series, F.lit("hour").alias("section"), F.col("hour").alias("item"), "mae", "bias",
-                  F.lit(None).cast("double").alias("rmse"))
-    d = score_by_dow(preds, series).where(F.col("mae").isNotNull()).select(
-        series, F.lit("dow").alias("section"), F.col("dow").alias("item"), "mae", "bias",
-        F.lit(None).cast("double").alias("rmse"))
-    bw = best_worst_hour(bh, series)
-    best = bw.select(series, F.lit("best_hour").alias("section"), F.col("best_hour").alias("item"),
-                     F.col("best_mae").alias("mae"), F.lit(None).cast("double").alias("bias"),
-                     F.lit(None).cast("double").alias("rmse"))
-    worst = bw.select(series, F.lit("worst_hour").alias("section"), F.col("worst_hour").alias("item"),
-                      F.col("worst_mae").alias("mae"), F.lit(None).cast("double").alias("bias"),
-                      F.lit(None).cast("double").alias("rmse"))
-    return o.unionByName(h).unionByName(d).unionByName(best).unionByName(worst)
+    """Overall, by hour, by weekday and best / worst hour as report rows.
+
+    One aggregation of the predictions into (hour, weekday) sums; every section
+    folds these few rows per series, by grouping sets.
+    """
+    error = F.col("error")
+    cells = preds.groupBy(series, "hour", "dow").agg(
+        F.count("error").alias("_n"), F.sum("abs_error").alias("_abs"), F.sum(error).alias("_err"), F.sum(error * error).alias("_sq"))
+
+    def mean(total: str) -> Column:
+        return F.bround(F.try_divide(F.sum(total), F.sum("_n")), 0)
+
+    none = F.lit(None).cast("double")
+    by_hour, by_dow = F.grouping("hour") == 0, F.grouping("dow") == 0
+    rows = cells.groupingSets([[series], [series, "hour"], [series, "dow"]], series, "hour", "dow").agg(
+        F.when(by_hour, "hour").when(by_dow, "dow").otherwise("overall").alias("section"), F.coalesce("hour", "dow").alias("item"),
+        mean("_abs").alias("mae"), mean("_err").alias("bias"), F.when(by_hour | by_dow, none).otherwise(
+            F.bround(F.sqrt(F.try_divide(F.sum("_sq"), F.sum("_n"))), 0)).alias("rmse"))
+    rows = rows.where((F.col("section") != "dow") | F.col("mae").isNotNull()).select(series, "section", "item", "mae", "bias", "rmse")
+    bw = best_worst_hour(rows.where("section = 'hour'").withColumnRenamed("item", "hour"), series)
+    ends = F.array(*[F.struct(F.lit(f"{end}_hour").alias("section"), F.col(f"{end}_hour").alias("item"), F.col(f"{end}_mae").alias("mae"))
+                     for end in ("best", "worst")])
+    return rows.unionByName(bw.select(series, F.inline(ends)).select("*", none.alias("bias"), none.alias("rmse")))
