@@ -11,8 +11,8 @@ documents link when 100 * |intersection| >= 80 * |union|.
    least is the shingle's *anchor*. Nodes with one anchor form a block. Pairs that
    share short lists only must share 4, which drops chance meetings; so any two
    linked nodes still meet in a block.
-3. A bitmap of each set bounds what two sets can share; in blocks of one part,
-   sets that cannot link to any other one there leave before texts are sent.
+3. A bitmap of each set bounds what two sets can share; sets that cannot link to
+   any other one of their block, or of its part, leave before texts are sent.
    In a block, DivideSkip finds the nodes that share at least T shingles with a
    query: its long inverted lists are left out, the short ones merged, and what
    occurs T - L times there is probed in the L long lists. Pairs that links
@@ -106,16 +106,17 @@ def _pairs_needed(a, b, percent: int):
 # ---- bitmaps ------------------------------------------------------------------
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A bit per hash of the set, in the least power of two of 2 bits a shingle (64 at least)."""
-    width = 1 << max(6, (2 * len(s) - 1).bit_length())
+    """A bit per hash of the set, in the least power of two from 5/4 bits a shingle on (64 at least)."""
+    width = 1 << max(6, (5 * len(s) // 4).bit_length())
     bits = np.zeros(width, bool)
     bits[((s >> U64(20)) & U64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def may_link(size: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np.ndarray:
+def may_link(size: np.ndarray, bits: list[bytes], settled: np.ndarray | None = None, percent: int = PERCENT) -> np.ndarray:
     """Which sets may link to another of these. A bit that one set has and the other lacks is a shingle not shared.
 
+    Pairs of two settled sets do not count.
     Bitmaps of twice the width are folded; linked sets differ in size by less,
     so only equal and neighbouring widths are compared. Never drops a link.
     """
@@ -133,6 +134,8 @@ def may_link(size: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np.
             others = size[other][None, :] - np.bitwise_count(b[None] & ~x).sum(2, dtype=np.int64)
             ok = np.minimum(mine, others) >= _pairs_needed(size[i][:, None], size[other][None, :], percent)
             ok &= i[:, None] != other[None, :]
+            if settled is not None:
+                ok &= ~(settled[i][:, None] & settled[other][None, :])
             out[i] |= ok.any(1)
             out[other] |= ok.any(0)
 
@@ -406,28 +409,36 @@ def _memberships(prefixes: DataFrame, percent: int) -> DataFrame:
     return lists.union(pairs.select("anchor", "node")).union(hot).distinct()
 
 
-def _promising(rows: DataFrame, percent: int) -> DataFrame:
-    """(anchor, node) of the rows (anchor, node, n, bits) that may link to another one of their anchor, by their bitmaps."""
-    def keep(batches):
+def _promising(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """rows (keys, node, settled, n, bits) without sizes and bitmaps, and whether each may link to another one of its group."""
+    names = [*keys, "node", "settled"]
+
+    def judge(batches):
         held = None
         for b in chain(batches, [None]):
             if b is not None:
-                now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)] + [b.column(3).to_pylist()]
-                held = now if held is None else [*(np.concatenate(x) for x in zip(held[:3], now[:3])), held[3] + now[3]]
+                now = [c.to_numpy(zero_copy_only=False) for c in b.columns[:-1]] + [b.columns[-1].to_pylist()]
+                held = now if held is None else [*(np.concatenate(x) for x in zip(held[:-1], now[:-1])), held[-1] + now[-1]]
             if held is None or not len(held[0]):
                 continue
-            anchor, node, size, bits = held
-            begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-            end = np.append(begin[1:], len(anchor))
-            if b is not None:  # the last block may go on
+            new = np.zeros(len(held[0]), bool)
+            new[0] = True
+            for key in held[:len(keys)]:
+                new[1:] |= key[1:] != key[:-1]
+            begin = np.flatnonzero(new)
+            end = np.append(begin[1:], len(new))
+            done, size, bits = held, held[-2], held[-1]
+            if b is not None:  # the last group may go on
                 held = [x[begin[-1]:] for x in held]
                 begin, end = begin[:-1], end[:-1]
-            good = np.zeros(len(anchor), bool)
+            stop = int(end[-1]) if len(end) else 0
+            good = np.zeros(stop, bool)
             for x, y in zip(begin.tolist(), end.tolist()):
-                good[x:y] = True if y - x > MANY else may_link(size[x:y], bits[x:y], percent)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor[good]), pa.array(node[good])], names=["anchor", "node"])
+                good[x:y] = True if y - x > MANY else may_link(size[x:y], bits[x:y], done[len(keys) + 1][x:y], percent)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[:stop]) for c in done[:len(names)]), pa.array(good)], names=[*names, "good"])
 
-    return rows.select("anchor", "node", "n", "bits").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(keep, "anchor long, node long")
+    kinds = ", ".join(f"{c} {'boolean' if c == 'settled' else 'int' if c in ('part', 'turn') else 'long'}" for c in names)
+    return rows.select(*names, "n", "bits").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(judge, f"{kinds}, good boolean")
 
 
 def _payloads(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -485,40 +496,44 @@ def links(docs: DataFrame, sized: DataFrame, levels: np.ndarray, percent: int =
                                         F.first("n").alias("n"), F.first("bits").alias("bits"))
     members = materialize(members.join(one_doc.select("node", "n"), "node"), "jaccard-blocks")
     parts = members.groupBy("anchor").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("parts"))
-    # blocks in one part: only what may link by the bitmaps goes on; larger ones go on as they are
-    single = parts.where("parts = 1")
-    near = members.join(single, "anchor").select("anchor", "node").union(single.select("anchor", F.col("anchor").alias("node")))
-    near = materialize(_promising(near.join(one_doc.select("node", "n", "bits"), "node"), percent), "jaccard-near")
-    parts = parts.where("parts > 1")
     whole = members.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     lead = parts.select("anchor", F.col("anchor").alias("node"), F.lit(0).cast("long").alias("n"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     whole = whole.select("anchor", "node", "n", "parts", "part").union(lead)
 
+    def promising(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+        """By the bitmaps: sets that can link to no other one of their group need no text."""
+        return materialize(_promising(rows.join(one_doc.select("node", "n", "bits"), "node"), keys, percent), name)
+
     def with_text(rows: DataFrame) -> DataFrame:
         rows = rows.join(one_doc, "node").select(*rows.columns, "doc.doc_id", "doc.mark")
         texts = _payloads(docs, rows.select("doc_id", "mark")).groupBy("doc_id", "mark").agg(F.any_value("blob").alias("blob"))
         return rows.join(texts, ["doc_id", "mark"])
 
-    rows = whole.select("anchor", "part", "node").union(near.select("anchor", F.lit(0).alias("part"), "node"))
-    rows = with_text(rows.withColumn("settled", F.lit(False)))
+    judged = promising(whole.select("anchor", "part", "node", F.lit(False).alias("settled")), ["anchor", "part"], "jaccard-near")
+    cut = parts.where("parts > 1")
+    cut_rows = judged.join(cut.select("anchor"), "anchor", "left_semi")
+    leads = cut_rows.where(~F.col("good") & (F.col("node") == F.col("anchor"))).drop("good")  # a part is held against its anchor
+    rows = with_text(judged.where("good").drop("good").union(leads.select("anchor", "part", "node", "settled")))
     found = materialize(_search(rows, ["anchor", "part"], percent), "jaccard-links")
     first = found.where("linked").select("a", "b")
-    cut = parts
     if cut.isEmpty():
         return first
     # blocks in several parts: what is not connected to the anchor in its part meets every part
-    out = found.where("not linked").select(F.col("a").alias("anchor"), F.col("b").alias("node")).join(cut, "anchor")
+    out = found.where("not linked").select(F.col("a").alias("anchor"), F.col("b").alias("node")).union(
+        cut_rows.where(~F.col("good") & (F.col("node") != F.col("anchor"))).select("anchor", "node")).join(cut, "anchor")
     out = out.join(one_doc.select("node", "n"), "node")
     turns = out.groupBy("anchor").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("turns"))
     out = out.join(turns, "anchor").withColumn("turn", F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int"))
     queries = out.select("anchor", "node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "turn",
                          F.lit(False).alias("settled"))
-    others = whole.join(turns, "anchor").join(
+    others = whole.where("parts > 1").join(turns, "anchor").join(
         out.select("anchor", "node", F.lit(True).alias("is_out")), ["anchor", "node"], "left")
     others = others.select("anchor", "node", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"),
                            F.col("is_out").isNull().alias("settled"))
     again = queries.union(others).groupBy("anchor", "part", "turn", "node").agg(F.min("settled").alias("settled"))
-    return first.union(_search(with_text(again), ["anchor", "part", "turn"], percent).where("linked").select("a", "b"))
+    keys = ["anchor", "part", "turn"]
+    again = promising(again, keys, "jaccard-near-again").where("good").drop("good")
+    return first.union(_search(with_text(again), keys, percent).where("linked").select("a", "b"))
 
 
 def _rooted(docs: DataFrame, percent: int, block_shingles: int) -> DataFrame:
