@@ -16,7 +16,7 @@ own symbols (`doc_tokens_at`), and the lengths find a token inside it.
 
 Defined results: a null or empty text is the end id alone; equal doc_ids stand
 in order of their texts; a null doc_id stands first; a text longer than a block
-is a block alone; an empty table gives an empty table; other columns are not
+ends its block; an empty table gives an empty table; other columns are not
 looked at.
 """
 
@@ -26,6 +26,7 @@ import os
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
@@ -300,6 +301,19 @@ def doc_tokens_at(block: dict, n: int, start: int = 0, stop: int | None = None)
 
 # ---- files ----------------------------------------------------------------------
 
+def _blocks(batches) -> Iterator[pa.Table]:
+    """Rows of BLOCK_BYTES of text and up to a quarter more, whatever the size of the batches; a longer text ends its block."""
+    held, size = [], 0
+    for b in text_slices(batches, "text", BLOCK_BYTES // 4):
+        held.append(b)
+        size += pa.compute.sum(pa.compute.binary_length(b.column("text"))).as_py() or 0
+        if size >= BLOCK_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID, n_shards: int | None = None) -> None:
     """Encode every whole text in ascending doc_id order and write the shards under `path`."""
@@ -311,7 +325,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     def encode(batches):
         encoder = worker_state(f"encoder:{tokenizer}", lambda: WordEncoder(tokenizer))
         shard = TaskContext.get().partitionId()
-        for n, b in enumerate(text_slices(batches, "text", BLOCK_BYTES)):
+        for n, b in enumerate(_blocks(batches)):
             ids, count = with_end(*encoder.encode(as_bytes(b.column("text"))), end_id)
             rules, lengths, symbols, doc_symbols = compress(ids, count, encoder.first)
             yield pa.RecordBatch.from_pylist([{
