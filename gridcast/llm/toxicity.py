@@ -259,7 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def cross_validate(texts: list[bytes], label: np.ndarray, rests: list[float], folds: int = 3) -> dict[float, float]:
-    """Mean log loss per weight of unlisted terms, each fold scored by examples of the others: how REST was chosen."""
+    """Mean log loss per weight of unlisted terms, each fold scored by examples of the others: what REST is held to."""
     fold = np.array([xxhash.xxh64_intdigest(t) % folds for t in texts])
     out = {}
     for rest in rests:
