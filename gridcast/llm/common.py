@@ -2,7 +2,7 @@
 
 A *word* is a run of bytes other than 0x20 and 0x09-0x0D, which is what
 `bytes.split()` yields. All hashes are 64-bit; callers that need exact
-results compare the word ids behind equal hashes.
+results compare the words behind equal hashes.
 """
 
 from __future__ import annotations
@@ -10,9 +10,11 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +64,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int =
         n = b.num_rows
         if n == 0:
             continue
-        size = pa.compute.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        size = pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         piece = np.cumsum(size) // max_bytes
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), n]
         for lo, hi in zip(cuts, cuts[1:]):
@@ -75,27 +77,86 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+#: Which bytes part words.
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def word_column(texts: list[bytes]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The words of texts end to end, each with one space after it, and the first word of each text (and the total).
+
+    The values of the array are one buffer: the words with single spaces.
+    """
+    line = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    space = _SPACE[line]
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    last = np.flatnonzero(space[1:] & ~space[:-1]) + 1  # the space after each word
+    starts = np.searchsorted(last, np.concatenate([[0], ends]))
+    keep = ~space
+    keep[last] = True
+    line, space = line[keep], space[keep]
+    line = np.where(space, np.uint8(0x20), line)
+    offsets = np.concatenate([[0], np.flatnonzero(space) + 1])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(last), [None, pa.py_buffer(offsets), pa.py_buffer(line)]), starts
+
+
+#: The low bytes of a word of 8; words up to LONG bytes are hashed 8 bytes at a time.
+_LOW, LONG = np.array([(1 << 8 * n) - 1 for n in range(9)], U64), 64
+
+
 class Words:
-    """The words of several texts, as ids into a vocabulary, end to end.
+    """The words of several texts, end to end.
 
-    flat: the words; ids: int32 per word; starts: first word of each text (and
-    the total); vocab: distinct words; hashes: a 64-bit hash per word position.
+    starts: first word of each text (and the total); line, place: the words, each
+    with a space after it, and where each begins (and the total). When asked for:
+    flat, the words; ids, int32 per word into the distinct words, vocab; hashes
+    and quick, two 64-bit hashes per word position, the second without a vocabulary.
     """
 
     def __init__(self, texts: list[bytes]):
-        self.flat = flat = []
-        self.starts = np.zeros(len(texts) + 1, np.int64)
-        for i, t in enumerate(texts):
-            flat += t.split()
-            self.starts[i + 1] = len(flat)
-        coded = pa.array(flat, pa.binary()).dictionary_encode()
-        self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        self.vocab = coded.dictionary.to_pylist()
-        own = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.vocab), U64, len(self.vocab))
-        self.hashes = own[self.ids] if len(self.vocab) else np.zeros(0, U64)
+        column, self.starts = word_column(texts)
+        self.place, self.line = np.frombuffer(column.buffers()[1], np.int64), column.buffers()[2].to_pybytes()
+
+    @cached_property
+    def _coded(self) -> pa.DictionaryArray:
+        parts = [None, pa.py_buffer(self.place), pa.py_buffer(self.line)]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self), parts).dictionary_encode()
+
+    @cached_property
+    def flat(self) -> list[bytes]:
+        return self.line.split(b" ")[:-1]
+
+    @cached_property
+    def ids(self) -> np.ndarray:
+        return self._coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+
+    @cached_property
+    def vocab(self) -> list[bytes]:
+        distinct = self._coded.dictionary  # each with its space, so that one cut parts them all
+        end = np.frombuffer(distinct.buffers()[1], np.int64)[len(distinct)]
+        return distinct.buffers()[2].to_pybytes()[:end].split(b" ")[:-1]
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        own = np.fromiter(map(xxhash.xxh64_intdigest, self.vocab), U64, len(self.vocab))
+        return own[self.ids] if len(self.vocab) else np.zeros(0, U64)
+
+    @cached_property
+    def quick(self) -> np.ndarray:
+        begin, size = self.place[:-1], np.diff(self.place) - 1
+        h = size.astype(U64) * BASE
+        eight = np.ndarray(len(self.line) + 1, "<u8", self.line + bytes(8), strides=(1,))  # the 8 bytes from each one on
+        at, done = np.flatnonzero(size <= LONG), 0
+        while len(at):
+            x = h[at] ^ (eight[begin[at] + done] & _LOW[np.minimum(size[at] - done, 8)])
+            h[at] = scramble(x)
+            done += 8
+            at = at[size[at] > done]
+        for i in np.flatnonzero(size > LONG).tolist():
+            h[i] = xxhash.xxh64_intdigest(self.line[begin[i]:begin[i] + size[i]])
+        return h
 
     def __len__(self) -> int:
-        return len(self.ids)
+        return len(self.place) - 1
 
     def doc_of(self) -> np.ndarray:
         """Text number of each word."""
@@ -174,7 +235,7 @@ def frequent_slots(docs: DataFrame, n: int) -> tuple[np.ndarray, int]:
         total = np.zeros(SLOTS, np.int64)
         for b in text_slices(batches, "text"):
             words = Words(as_bytes(b.column("text")))
-            h = scramble(rolling(words.hashes, n))[words.window_starts(n)]
+            h = scramble(rolling(words.quick, n))[words.window_starts(n)]
             total += np.bincount((h & U64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["slot", "n"])

@@ -45,7 +45,7 @@ SLICE_BYTES = 8 << 20
 
 
 def _mmers(words: Words, m: int) -> np.ndarray:
-    return scramble(rolling(words.hashes, m))
+    return scramble(rolling(words.quick, m))
 
 
 def _repeats(words: Words, at: np.ndarray, hashes: np.ndarray, doc: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
@@ -60,21 +60,21 @@ def _repeats(words: Words, at: np.ndarray, hashes: np.ndarray, doc: np.ndarray,
     if not len(same):
         return out
     left, right = at[order[same]], at[order[same + 1]]
-    equal = np.ones(len(same), bool)
-    for j in range(n):
-        equal &= words.ids[left + j] == words.ids[right + j]
+    line, place = words.line, words.place
+    spans = zip(*(x.tolist() for x in (place[left], place[left + n], place[right], place[right + n])))
+    equal = np.fromiter((line[a:b] == line[c:d] for a, b, c, d in spans), bool, len(same))
     first = np.arange(len(order))
     first[same + 1] = 0
     first = np.maximum.accumulate(first)  # where each run of equal hashes begins
     mine, lead = order[same + 1], order[first[same + 1]]
     out[mine] = (doc[lead] < doc[mine]) | ((doc[lead] == doc[mine]) & (start[lead] < start[mine]))
-    if not equal.all():  # two window texts share a 64-bit hash: tell them apart by their ids
+    if not equal.all():  # two window texts share a 64-bit hash: tell them apart by their words
         for run in np.unique(first[same[~equal] + 1]).tolist():
             seen: dict[bytes, int] = {}
             end = run
             while end < len(key) and key[end] == key[run]:
                 w = int(order[end])
-                lead1 = seen.setdefault(words.ids[at[w]:at[w] + n].tobytes(), w)
+                lead1 = seen.setdefault(line[place[at[w]]:place[at[w] + n]], w)
                 out[w] = (doc[lead1], start[lead1]) < (doc[w], start[w])
                 end += 1
     return out
@@ -145,7 +145,7 @@ def super_kmers(docs: DataFrame, frequent: np.ndarray, n_buckets: int, window: i
             key1, key2 = text_keys(texts) if hashed else (np.zeros(len(texts), np.int64),) * 2
             which = words.doc_of()[at]
             doc, start = ids[which], at - words.starts[which]
-            gone = _repeats(words, at, rolling(words.hashes, window)[at], doc, start, window)
+            gone = _repeats(words, at, rolling(words.quick, window)[at], doc, start, window)
             h = _mmers(words, m)
             h = (h >> np.uint64(1)) | (frequent[(h & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(63))
             least = sliding_min(h, window - m + 1)[at]
@@ -153,10 +153,8 @@ def super_kmers(docs: DataFrame, frequent: np.ndarray, n_buckets: int, window: i
             bucket = (least[lo] % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             lo, hi, bucket = lo[order], hi[order], bucket[order]
-            size = np.fromiter(map(len, words.vocab), np.int64, len(words.vocab))[words.ids] + 1
-            place = np.concatenate([[0], np.cumsum(size)])
-            line = b" ".join(words.flat)
-            begin, end = place[at[lo]].tolist(), (place[at[hi] + window] - 1).tolist()
+            line = words.line
+            begin, end = words.place[at[lo]].tolist(), (words.place[at[hi] + window] - 1).tolist()
             strings = [line[x:y] for x, y in zip(begin, end)]
             known_lo, known_hi = _runs(gone, at, which)
             of = which[known_lo]
@@ -205,7 +203,7 @@ def repeated_spans(packed: DataFrame, window: int) -> DataFrame:
             begin = start[which] + at - words.starts[which]
             by_place = np.lexsort((begin, doc[which]))
             at, which, begin = at[by_place], which[by_place], begin[by_place]
-            gone = _repeats(words, at, rolling(words.hashes, window)[at], doc[which], begin, window)
+            gone = _repeats(words, at, rolling(words.quick, window)[at], doc[which], begin, window)
             lo, hi = _runs(gone, at, which)
             of = which[lo]
             out = [np.concatenate([x, y]) for x, y in zip(out, (doc[of], key1[of], key2[of], begin[lo], begin[hi] + window))]

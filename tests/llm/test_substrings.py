@@ -49,6 +49,25 @@ def test_equal_hashes_of_different_windows():
     assert flat.tolist() == [False, False, False, False, True, True, False, False, False, False]
 
 
+def test_words_are_hashed_without_a_vocabulary(monkeypatch):
+    from gridcast.llm.common import Words
+    texts = [b"", b" \t", b"a b\x0ba\x00  long-" + b"x" * 58 + b" " + b"y" * 64 + b"\r\n" + b"y" * 65, "b \u00a0 \x1c a".encode(), b" a"]
+    flat = [w for t in texts for w in t.split()]
+    words = Words(texts)
+    assert words.flat == flat and [words.vocab[i] for i in words.ids] == flat
+    assert words.starts.tolist() == [0, *np.cumsum([len(t.split()) for t in texts]).tolist()]
+    assert [words.line[a:b - 1] for a, b in zip(words.place, words.place[1:])] == flat
+    of = dict(zip(flat, words.quick.tolist()))
+    assert [of[w] for w in flat] == words.quick.tolist() and len(set(of.values())) == len(of)
+    monkeypatch.setattr(Words, "_coded", property(lambda self: 1 / 0))  # the vocabulary cost half of the operator's time
+    again = Words([b"a b c d e f", b"x b c d e f"])
+    at = again.window_starts(5)
+    which = again.doc_of()[at]
+    from gridcast.llm.common import rolling
+    got = s._repeats(again, at, rolling(again.quick, 5)[at], which, at - again.starts[which], 5)
+    assert got.tolist() == [False, False, False, True]
+
+
 def test_odd_rows(odd):
     got = s.digest(s.dedup_substrings(odd)).collect()
     assert len(got) == odd.count()
