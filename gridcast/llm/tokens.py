@@ -36,13 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridcast.llm.common import as_bytes, doc_text, small_batches, text_slices, worker_state
+from gridcast.llm.common import Words, as_bytes, doc_text, small_batches, text_slices, worker_state
 from gridcast.session import shared_path
 
 END_ID = 1
 BLOCK_BYTES = 4 << 20
-#: Words whose ids a worker keeps in each of two tables; a full table is emptied.
-WORD_CACHE = 1_000_000
+#: Words whose ids a worker keeps as they stand in texts, and a fourth of that without punctuation; a full table
+#: keeps those that were looked up again.
+WORD_CACHE = 400_000
 #: A pair that occurs so often in a block becomes a rule; in one round, all pairs from this part of the fullest count on.
 MIN_PAIRS, STEP = 16, 256
 _SLOTS = 1 << 20
@@ -80,6 +81,41 @@ class _Pool:
         return self.ids[_ranges(self.begin[which], size)], size
 
 
+class _Table:
+    """Id sequences of up to `most` words, and of more if they are needed at once."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.number, self.pool, self.again = {}, _Pool(), np.zeros(0, bool)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """Number of each word, -1 for those not held. Makes room for these first: numbers hold until the next call."""
+        got = self._look(words)
+        if len(self.number) + np.count_nonzero(got < 0) > self.most:
+            if np.count_nonzero(self.again) > self.most // 2:
+                self.again[:] = False
+                self.again[got[got >= 0]] = True
+            kept = np.flatnonzero(self.again)
+            names, pool = list(self.number), _Pool()
+            pool.add(*self.pool.take(kept))
+            self.number = {names[i]: k for k, i in enumerate(kept.tolist())}
+            self.pool, self.again = pool, np.zeros(len(kept), bool)
+            got = self._look(words)
+        return got
+
+    def _look(self, words: list[bytes]) -> np.ndarray:
+        got = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        self.again[got[got >= 0]] = True
+        return got
+
+    def add(self, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> int:
+        """Take in words that are not held; the number of the first."""
+        first = self.pool.add(ids, size)
+        self.number.update(zip(words, range(first, first + len(words))))
+        self.again = np.concatenate([self.again, np.zeros(len(words), bool)])
+        return first
+
+
 class WordEncoder:
     """Ids of whole texts for a tokenizer that drops white space, from ids of words.
 
@@ -99,8 +135,8 @@ class WordEncoder:
         self.ends = np.zeros(size, bool)
         for word, i in self.tok.get_vocab().items():
             self.ends[i] = word.endswith("</w>")
-        self.known, self.known_ids = {}, _Pool()  # words without trailing punctuation
-        self.whole, self.whole_ids = {}, _Pool()  # words as they stand in texts
+        self.known = _Table(WORD_CACHE // 4)  # words without trailing punctuation
+        self.whole = _Table(WORD_CACHE)  # words as they stand in texts
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode words and keep their ids: lower-case Latin letters by the model alone, as nothing normalises or parts them."""
@@ -125,21 +161,14 @@ class WordEncoder:
             ids.append(np.array(e.ids, np.uint32))
             size.append([len(e.ids)])
         if words:
-            first = self.known_ids.add(np.concatenate(ids), np.concatenate(size))
-            self.known.update(zip(order + other, range(first, first + len(words))))
+            self.known.add(order + other, np.concatenate(ids), np.concatenate(size))
 
     def _numbers(self, vocab: list[bytes]) -> np.ndarray:
         """Number of each word in whole_ids; words not seen before are encoded."""
-        number = np.fromiter(map(self.whole.get, vocab, repeat(-1)), np.int64, len(vocab))
+        number = self.whole.find(vocab)
         missing = np.flatnonzero(number < 0).tolist()
         if not missing:
             return number
-        if len(self.whole) + len(missing) > WORD_CACHE:  # only the words at hand stay
-            held = np.flatnonzero(number >= 0)
-            kept = _Pool()
-            kept.add(*self.whole_ids.take(number[held]))
-            number[held] = np.arange(len(held))
-            self.whole, self.whole_ids = {vocab[i]: k for k, i in enumerate(held.tolist())}, kept
         words = [vocab[i] for i in missing]
         cores = [w.rstrip(b".,!") for w in words]
         for k, (w, core) in enumerate(zip(words, cores)):
@@ -147,37 +176,23 @@ class WordEncoder:
                 cores[k] = w
         tails = [w[len(core):] for w, core in zip(words, cores)]
         cores = [core.decode().lower().encode() if _LATIN.fullmatch(core) else core for core in cores]
-        need = dict.fromkeys([*cores, *tails])
-        new = [w for w in need if w not in self.known]
-        if len(self.known) + len(new) > WORD_CACHE:
-            self.known, self.known_ids = {}, _Pool()
-            new = list(need)
-        self._learn(new)
+        need = list(dict.fromkeys([*cores, *tails]))
+        self._learn([need[i] for i in np.flatnonzero(self.known.find(need) < 0).tolist()])
         pieces = np.empty((len(missing), 2), np.int64)
         for j, some in enumerate((cores, tails)):
-            pieces[:, j] = np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
-        ids, size = self.known_ids.take(pieces.ravel())
-        first = self.whole_ids.add(ids, size[::2] + size[1::2])
+            pieces[:, j] = np.fromiter(map(self.known.number.__getitem__, some), np.int64, len(some))
+        ids, size = self.known.pool.take(pieces.ravel())
+        first = self.whole.add(words, ids, size[::2] + size[1::2])
         number[missing] = np.arange(first, first + len(missing))
-        self.whole.update(zip(words, range(first, first + len(missing))))
         return number
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many of them each text has."""
-        flat: list[bytes] = []
-        count = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            got = t.split()
-            count[i] = len(got)
-            flat += got
-        if not flat:
-            return np.zeros(0, np.uint32), count
-        coded = pa.array(flat, pa.binary()).dictionary_encode()
-        number = self._numbers(coded.dictionary.to_pylist())
-        ids, size = self.whole_ids.take(number[coded.indices.to_numpy(zero_copy_only=False)])
+        words = Words(texts)
+        number = self._numbers(words.vocab)
+        ids, size = self.whole.pool.take(number[words.ids])
         ends = np.concatenate([[0], np.cumsum(size)])
-        bounds = np.concatenate([[0], np.cumsum(count)])
-        return ids, ends[bounds[1:]] - ends[bounds[:-1]]
+        return ids, np.diff(ends[words.starts])
 
 
 def _parts(core: bytes) -> bool:

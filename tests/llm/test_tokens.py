@@ -97,6 +97,16 @@ def test_small_cache_forgets_but_stays_right(monkeypatch):
         assert own.encode([text.encode()])[0].tolist() == plain(text)
 
 
+def test_full_tables_keep_words_that_return(monkeypatch):
+    monkeypatch.setattr(t, "WORD_CACHE", 100)
+    own = t.WordEncoder(t.default_tokenizer())
+    for n in range(30):
+        text = " ".join(f"common Word{n}x word{n}y, {'z' * (n + 1)}{i}" for i in range(20))
+        assert own.encode([text.encode()])[0].tolist() == plain(text)
+    assert len(own.whole.number) <= 100 and b"common" in own.whole.number
+    assert len(own.known.number) <= 25 + 24  # what one text needs at once may exceed a fourth
+
+
 def test_files(spark, documents, odd):
     for df in (documents.select("doc_id", "text").repartition(5), odd):
         rows = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] is not None, r["text"] or "") for r in df.collect()))
