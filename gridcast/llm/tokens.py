@@ -41,8 +41,8 @@ from gridcast.session import shared_path
 
 END_ID = 1
 BLOCK_BYTES = 4 << 20
-#: Words whose ids a worker keeps as they stand in texts, and a fourth of that without punctuation; a full table
-#: keeps those that were looked up again.
+#: Pieces whose ids a worker keeps, and a fourth of that for cores of words that are not plain; a full table keeps
+#: those that were looked up again.
 WORD_CACHE = 400_000
 #: A pair that occurs so often in a block becomes a rule; in one round, all pairs from this part of the fullest count on.
 MIN_PAIRS, STEP = 16, 256
@@ -54,11 +54,49 @@ BLOCKS = ("shard int, block int, first int, n_tokens long, doc_ids array<long>,
 
 # ---- encoding ---------------------------------------------------------------
 
-#: Words of letters of U+0041 to U+00FF alone: one pre-token each, and lower case is all that normalising does to them.
-_LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-#: Byte-level alphabet: a printable byte stands for itself, the n-th other one for U+0100 + n.
+#: Plain words: printable ASCII and letters of U+00C0 to U+00FF, which normalising only turns to lower case; without
+#: `'`, whose contractions are pre-tokens, and `<`, which begins special tokens.
+_PLAIN = re.compile(rb"(?:[!-&(-;=-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Kinds of bytes: a plain word's pre-tokens are runs of letters, single digits and runs of signs.
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[[*b" "]] = _SPACE
+_KIND[[c for c in range(33, 127) if c not in b"'<"]] = _SIGN
+_KIND[[*b"0123456789"]] = _DIGIT
+_KIND[[c for c in range(128) if chr(c).isalpha()]] = _LETTER
+_LOWER = np.array([*bytes(range(256)).lower()], np.uint8)
+#: Second bytes of the letters of U+00C0 to U+00FF after 0xC3.
+_SECOND = np.isin(np.arange(256), [c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)])
+#: Byte-level alphabet: a printable byte stands for itself, the n-th other one for U+0100 + n. Spaces stay, to part words.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE_LEVEL = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
+_BYTE_LEVEL = np.arange(256, dtype="<u4")
+_BYTE_LEVEL[[b for b in range(256) if b not in _PRINTABLE]] = np.arange(256, 512 - len(_PRINTABLE))
+_BYTE_LEVEL[32] = 32
+
+
+class Pieces(Words):
+    """Words, of which plain ones are in lower case and cut into their pre-tokens, each with a space after it.
+
+    A tokenizer that drops white space gives the same ids. Other words stay as they are.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        super().__init__(texts)
+        raw = np.frombuffer(self.line, np.uint8)
+        kind, line = _KIND[raw], _LOWER[raw]
+        second = np.flatnonzero(raw[:-1] == 0xC3) + 1
+        second = second[_SECOND[raw[second]]]
+        kind[second - 1] = kind[second] = _LETTER
+        line[second] |= 0x20 * (raw[second] < 0x9F).astype(np.uint8)
+        odd = np.searchsorted(self.place, np.flatnonzero(kind == _ODD), "right") - 1
+        odd = odd[np.diff(odd, prepend=-1) > 0]
+        at = _ranges(self.place[odd], self.place[odd + 1] - self.place[odd])
+        kind[at], line[at] = _SPACE, raw[at]
+        left, right = kind[:-1], kind[1:]
+        cuts = np.flatnonzero((left != _SPACE) & (right != _SPACE) & ((left != right) | (left == _DIGIT))) + 1
+        line = np.insert(line, cuts, 0x20)
+        self.starts = self.starts + np.searchsorted(cuts, self.place[self.starts])
+        self.line, self.place = line.tobytes(), np.concatenate([[0], np.flatnonzero(line == 0x20) + 1])
 
 
 class _Pool:
@@ -119,34 +157,45 @@ class _Table:
 class WordEncoder:
     """Ids of whole texts for a tokenizer that drops white space, from ids of words.
 
-    Such a tokenizer never joins what white space parts, so each distinct word
-    is encoded once. Words of letters alone are one pre-token each; many are
-    encoded as one text and parted at the ids that end a word. Trailing
-    `.,!` are a pre-token of their own after a letter or digit that normalises
-    to a single one.
+    Such a tokenizer never joins what white space parts, so each distinct piece is
+    encoded once. Pieces of plain words are pre-tokens, which the tokenizer's model
+    takes as they are. Of other words, those of letters alone are one pre-token each;
+    many are encoded as one text and parted at the ids that end a word. Their
+    trailing `.,!` are a pre-token of their own after a letter or digit that
+    normalises to a single one.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tok.model)  # takes pre-tokens
         size = self.tok.get_vocab_size()
         self.first = size
         self.ends = np.zeros(size, bool)
         for word, i in self.tok.get_vocab().items():
             self.ends[i] = word.endswith("</w>")
-        self.known = _Table(WORD_CACHE // 4)  # words without trailing punctuation
-        self.whole = _Table(WORD_CACHE)  # words as they stand in texts
+        self.known = _Table(WORD_CACHE // 4)  # words that are not plain, without trailing punctuation
+        self.whole = _Table(WORD_CACHE)  # pieces
+
+    def _plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain pieces, end to end, and their sizes: by the model alone, as nothing normalises or parts them."""
+        said = _BYTE_LEVEL[np.frombuffer(b" ".join(words), np.uint8)].tobytes().decode("utf-32-le").split(" ")
+        got = [self.model.encode_batch_fast([said[lo:lo + 500]], is_pretokenized=True, add_special_tokens=False)[0].ids
+               for lo in range(0, len(said), 500)]
+        ids = np.fromiter(chain.from_iterable(got), np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(words):
+            return ids, np.diff(ends, prepend=0)
+        got = [e.ids for e in self.model.encode_batch_fast(said, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode words and keep their ids: lower-case Latin letters by the model alone, as nothing normalises or parts them."""
-        plain, letters, other = [], [], []
+        """Encode words that are not plain and keep their ids."""
+        letters, other = [], []
         for w in words:
-            (plain if _LATIN.fullmatch(w) else letters if w.decode().isalpha() else other).append(w)
-        tokenize = self.tok.model.tokenize
-        got = [[t.id for t in tokenize(w.decode("latin-1").translate(_BYTE_LEVEL))] for w in plain]
-        order = plain
-        ids, size = [np.fromiter(chain.from_iterable(got), np.uint32)], [np.fromiter(map(len, got), np.int64, len(got))]
+            (letters if w.decode().isalpha() else other).append(w)
+        order, ids, size = [], [], []
         for lo in range(0, len(letters), 500):
             part = letters[lo:lo + 500]
             found = np.array(self.tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
@@ -163,36 +212,40 @@ class WordEncoder:
         if words:
             self.known.add(order + other, np.concatenate(ids), np.concatenate(size))
 
-    def _numbers(self, vocab: list[bytes]) -> np.ndarray:
-        """Number of each word in whole_ids; words not seen before are encoded."""
-        number = self.whole.find(vocab)
-        missing = np.flatnonzero(number < 0).tolist()
-        if not missing:
-            return number
-        words = [vocab[i] for i in missing]
+    def _odd(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are not plain, end to end, and their sizes."""
         cores = [w.rstrip(b".,!") for w in words]
         for k, (w, core) in enumerate(zip(words, cores)):
             if len(core) < len(w) and not (core and _parts(core)):
                 cores[k] = w
         tails = [w[len(core):] for w, core in zip(words, cores)]
-        cores = [core.decode().lower().encode() if _LATIN.fullmatch(core) else core for core in cores]
         need = list(dict.fromkeys([*cores, *tails]))
         self._learn([need[i] for i in np.flatnonzero(self.known.find(need) < 0).tolist()])
-        pieces = np.empty((len(missing), 2), np.int64)
+        pieces = np.empty((len(words), 2), np.int64)
         for j, some in enumerate((cores, tails)):
             pieces[:, j] = np.fromiter(map(self.known.number.__getitem__, some), np.int64, len(some))
         ids, size = self.known.pool.take(pieces.ravel())
-        first = self.whole.add(words, ids, size[::2] + size[1::2])
-        number[missing] = np.arange(first, first + len(missing))
+        return ids, size[::2] + size[1::2]
+
+    def _numbers(self, vocab: list[bytes]) -> np.ndarray:
+        """Number of each piece in whole; those not seen before are encoded."""
+        number = self.whole.find(vocab)
+        missing = np.flatnonzero(number < 0)
+        plain = np.array([_PLAIN.fullmatch(vocab[i]) is not None for i in missing.tolist()], bool)
+        for some, encode in ((missing[plain], self._plain), (missing[~plain], self._odd)):
+            if len(some):
+                words = [vocab[i] for i in some.tolist()]
+                first = self.whole.add(words, *encode(words))
+                number[some] = np.arange(first, first + len(words))
         return number
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many of them each text has."""
-        words = Words(texts)
-        number = self._numbers(words.vocab)
-        ids, size = self.whole.pool.take(number[words.ids])
+        pieces = Pieces(texts)
+        number = self._numbers(pieces.vocab)
+        ids, size = self.whole.pool.take(number[pieces.ids])
         ends = np.concatenate([[0], np.cumsum(size)])
-        return ids, np.diff(ends[words.starts])
+        return ids, np.diff(ends[pieces.starts])
 
 
 def _parts(core: bytes) -> bool:
@@ -219,6 +272,14 @@ def with_end(ids: np.ndarray, count: np.ndarray, end_id: int = END_ID) -> tuple[
 
 # ---- grammar ------------------------------------------------------------------
 
+def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs of symbols as one number each."""
+    code = left.astype(np.uint64)
+    code <<= np.uint64(32)
+    code |= right
+    return code
+
+
 def _frequent(code: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pair codes that occur at least `least` times: where, which one it is there, and the codes."""
     pairs, rank, n = np.unique(code, return_inverse=True, return_counts=True)
@@ -242,17 +303,24 @@ def compress(ids: np.ndarray, count: np.ndarray, first: int, least: int = MIN_PA
     rules, made, lengths = [], first, np.ones(first, np.uint32)
     fresh_from = None  # first symbol of the last round, once all frequent pairs were taken
     while len(seq) > 1:
-        inner = ~last[:-1]
-        if fresh_from is not None:
+        if fresh_from is None:  # nearly all pairs count: take all but those across documents
+            at, cross = None, np.flatnonzero(last[:-1])
+            code = _codes(seq[:-1], seq[1:])
+        else:
             fresh = seq >= fresh_from
-            inner &= fresh[:-1] | fresh[1:]
-        at = np.flatnonzero(inner)
-        code = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+            at, cross = np.flatnonzero((fresh[:-1] | fresh[1:]) & ~last[:-1]), []
+            code = _codes(seq[at], seq[at + 1])
+        slot = code * np.uint64(0x9E3779B97F4A7C15)
+        slot >>= np.uint64(44)
+        slot = slot.view(np.int64)
         filled = np.bincount(slot, minlength=_SLOTS)
+        if len(cross):
+            filled -= np.bincount(slot[cross], minlength=_SLOTS)
         bounds = [least] if fresh_from is not None else dict.fromkeys((max(least, int(filled.max()) // STEP), least))
         for bound in bounds:  # the second one where the fullest slots hold several rarer pairs
-            full = np.flatnonzero((filled >= bound)[slot])
+            full = (filled >= bound)[slot]
+            full[cross] = False
+            full = np.flatnonzero(full)
             hit, rank, pairs = _frequent(code[full], bound)
             if len(pairs):
                 break
@@ -260,7 +328,7 @@ def compress(ids: np.ndarray, count: np.ndarray, first: int, least: int = MIN_PA
             break
         if bound == least:
             fresh_from = made
-        at = at[full[hit]]
+        at = full[hit] if at is None else at[full[hit]]
         begin = np.concatenate([[True], np.diff(at) != 1])  # starts of runs of overlapping pairs
         run = np.flatnonzero(begin)
         even = (at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0

@@ -65,6 +65,29 @@ def test_latin_words():
     check(["".join(rng.choice(letters, rng.integers(1, 14))) + rng.choice(["", ".", "!!", ",."]) for _ in range(4000)] + letters + ["×÷", "a×b", "÷."])
 
 
+def test_each_pre_token_is_encoded_once():
+    own = t.WordEncoder(t.default_tokenizer())
+    text = "Word word, (word) WORD: 12 21. 1.2 É é! don't x×y"
+    assert own.encode([text.encode()])[0].tolist() == plain(text)
+    assert set(own.whole.number) == {x.encode() for x in ["word", ",", "(", ")", ":", "1", "2", ".", "é", "!", "don't", "x×y"]}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*map(chr, range(128)), *map(chr, range(0xA0, 0x100)), "\u0301", "\u0130", "Σ", "字", "²", "'s", "'LL",
+                                          "<|endoftext|>", "<|ENDOFTEXT|>", " ", " ", "  "]), max_size=30).map("".join), min_size=1, max_size=4))
+def test_mixed_signs(texts):
+    check(texts)
+
+
+def test_full_table_of_odd_words(monkeypatch):
+    monkeypatch.setattr(t, "WORD_CACHE", 100)
+    own = t.WordEncoder(t.default_tokenizer())
+    for n in range(30):
+        text = " ".join(f"don't слово, x'{'z' * (n + 1)}{i}. Ωμ{'α' * n}{'β' * i}!" for i in range(20))
+        assert own.encode([text.encode()])[0].tolist() == plain(text)
+    assert len(own.whole.number) <= 100 and len(own.known.number) <= 25 + 44  # what one text needs at once may exceed a fourth
+
+
 def pair_counts(symbols, n):
     """Non-overlapping occurrences of each pair, from left to right, inside documents."""
     found, at = Counter(), 0
