@@ -6,8 +6,9 @@ documents link when 100 * |intersection| >= 80 * |union|.
 1. Documents with equal sets are one node (a 64-bit digest, checked by another).
 2. Linked sets share 4 of their first |s| - ceil(0.8 |s|) + 4 shingles in a
    common order: rarer before more frequent ones, as a sketch of all shingle
-   counts (2^18 slots, whatever the corpus) tells them, then by hash. Of the nodes that have a shingle in their prefix,
-   those stay whose size and position of it allow a link to another one; the
+   counts tells them, then by hash. The sketch has 2^26 slots that no task holds
+   at once, so that it tells a passage of some hundred documents from chance in a
+   large corpus too. Of the nodes that have a shingle in their prefix, those stay whose size and position of it allow a link to another one; the
    least is the shingle's *anchor*. Nodes with one anchor form a block. Pairs that
    share short lists only must share 4, which drops chance meetings; so any two
    linked nodes still meet in a block.
@@ -46,8 +47,12 @@ from gridcast.llm.components import components
 from gridcast.session import materialize
 
 SHINGLE, PERCENT = 5, 80
-#: Slots of the sketch; frequency levels are half powers of two of its mean, and from HOT on a shingle is hot.
-SLOTS, HOT = 1 << 18, 6
+#: Slots of the sketch of shingle counts, the ranges of them that tasks add up, and shingles packed at once.
+SLOTS, RANGES, PACKED = 1 << 26, 1 << 10, 1 << 22
+#: A shingle is rare below this count and twice the sketch's mean. A range names its KEPT fullest frequent slots at most.
+RARE, KEPT = 64, 1 << 10
+#: Frequency levels are half powers of two (0 is rare); from HOT on, 1/2^15 of all shingles, a shingle is hot.
+HOT, HOT_SHARE = 40, 1 << 15
 BLOCK_SHINGLES = 400_000
 #: Slots of the bitmap that spares documents outside all blocks the join with their texts.
 NEEDED_SLOTS = 1 << 20
@@ -171,7 +176,11 @@ class _Union:
 
 
 class Index:
-    """Inverted lists of a few thousand sets, as one sorted array of token * n + set."""
+    """Inverted lists of a few thousand sets, as one sorted array of token * n + set.
+
+    Lists of n/64 sets or more, which together take no more bits than the array,
+    are also columns of a bit matrix with a row per set, the longest first.
+    """
 
     def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
         self.percent, self.n = percent, len(sets)
@@ -187,6 +196,15 @@ class Index:
         self.of = np.split(token, np.searchsorted(owner, np.arange(1, self.n))) if self.n else []
         self.posting = np.sort(token * self.n + owner, kind="stable")
         self.begin = np.searchsorted(self.posting, np.arange(len(df) + 1) * self.n)
+        self.member = self.posting % max(1, self.n)
+        length = np.diff(self.begin)
+        wide = np.flatnonzero((length > 1) & (64 * length >= self.n))
+        self.column = np.full(len(df), -1)
+        self.column[wide[np.argsort(-length[wide], kind="stable")]] = np.arange(len(wide))
+        self.bits = np.zeros((self.n, -(-len(wide) // 64)), U64)
+        at = self.column[token]
+        owner, at = owner[at >= 0], at[at >= 0]
+        np.bitwise_or.at(self.bits, (owner, at >> 6), U64(1) << (at & 63).astype(U64))
 
     def search(self, q: int, skip) -> list[int]:
         """Sets that link to set q, by DivideSkip; skip(r) tells those that need no comparison."""
@@ -202,19 +220,33 @@ class Index:
         part = length[:len(short)]
         total = int(part.sum())
         where = np.arange(total) + np.repeat(self.begin[short] - (np.cumsum(part) - part), part)
-        found, count = np.unique(self.posting[where] % self.n, return_counts=True)  # merges the short lists
+        if 8 * total < self.n:
+            found, count = np.unique(self.member[where], return_counts=True)  # merges the short lists
+        else:
+            count = np.bincount(self.member[where], minlength=self.n)
+            found = np.flatnonzero(count)
+            count = count[found]
         big, small = np.maximum(self.size[found], self.size[q]), np.minimum(self.size[found], self.size[q])
         good = (count >= need - n_long) & (found != q) & (100 * small >= self.percent * big)
         found, count = found[good], count[good]
-        if len(found):
-            new = np.array([not skip(r) for r in found.tolist()])
-            found, count = found[new], count[new]
         if not len(found):
             return []
-        want = longer[None, :] * self.n + found[:, None]  # binary probes of the long lists
-        at = np.minimum(np.searchsorted(self.posting, want), len(self.posting) - 1)
-        count = count + (self.posting[at] == want).sum(1)
-        return found[count >= _pairs_needed(self.size[found], self.size[q], self.percent)].tolist()
+        # long lists that are columns are probed all at once, the others by binary search
+        at = self.column[longer]
+        longer, at = longer[at < 0], at[at >= 0]
+        mask = np.zeros(self.bits.shape[1], U64)
+        np.bitwise_or.at(mask, at >> 6, U64(1) << (at & 63).astype(U64))
+        used = np.flatnonzero(mask)
+        count = count + np.bitwise_count(self.bits[found[:, None], used] & mask[used]).sum(1, dtype=np.int64)
+        want = _pairs_needed(self.size[found], self.size[q], self.percent)
+        good = count + len(longer) >= want
+        good[good] = [not skip(r) for r in found[good].tolist()]
+        found, count, want = found[good], count[good], want[good]
+        if len(longer) and len(found):
+            probe = longer[None, :] * self.n + found[:, None]
+            at = np.minimum(np.searchsorted(self.posting, probe), len(self.posting) - 1)
+            count = count + (self.posting[at] == probe).sum(1)
+        return found[count >= want].tolist()
 
 
 def block_links(sets: list[np.ndarray], joined: list[int], percent: int = PERCENT) -> tuple[list[tuple[int, int]], _Union]:
@@ -250,37 +282,96 @@ def block_links(sets: list[np.ndarray], joined: list[int], percent: int = PERCEN
 
 # ---- tables -------------------------------------------------------------------
 
+def _packed(slots: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Sorted uint32 slots by range, as compressed gaps: a byte 255 passes so many slots, a lower one names the slot it leads to."""
+    width = SLOTS // RANGES
+    cut = np.searchsorted(slots, np.arange(RANGES + 1, dtype=np.uint32) * np.uint32(width))
+    used = np.flatnonzero(np.diff(cut)).tolist()
+    squeeze, blobs = zstandard.ZstdCompressor(level=1), []
+    for r in used:
+        gap = np.diff(slots[cut[r]:cut[r + 1]], prepend=np.uint32(r * width))
+        skip = (gap // 255).astype(np.int64)
+        line = np.full(len(gap) + int(skip.sum()), 255, np.uint8)
+        line[np.cumsum(skip + 1) - 1] = gap % 255
+        blobs.append(squeeze.compress(line.tobytes()))
+    return used, blobs
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    """Places in its range of the slots in a blob of _packed."""
+    line = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.cumsum(line, dtype=np.int64)[line < 255]
+
+
 def _sized(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Set sizes and digests, and the frequency level of each slot of shingle hashes, from one pass.
+    """Set sizes and digests, and the frequency levels of shingle hashes, from one pass.
 
     The table is (doc_id, mark, n, node, proof, bits); mark tells rows of one doc_id
-    apart by their texts, bits is the set's bitmap. Levels count in how many documents a slot's shingles stand.
+    apart by their texts, bits is the set's bitmap.
     """
+    def counted(slots: list[np.ndarray]) -> pa.RecordBatch:
+        used, blobs = _packed(np.sort(np.concatenate(slots)))
+        none = pa.nulls(len(used), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array(blobs, pa.binary()), pa.array(used, pa.int32())], names=names)
+
     def digest(batches):
-        total = np.zeros(SLOTS, np.int64)
+        slots, held = [np.zeros(0, np.uint32)], 0
         for b in text_slices(batches, "text"):
             sets = shingle_sets(as_bytes(b.column("text")))
             keys = [_node(s) for s in sets]
-            total += np.bincount((np.concatenate(sets) & U64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+            slots.append((np.concatenate(sets) & U64(SLOTS - 1)).astype(np.uint32))
+            held += len(slots[-1])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array([bitmap(s) for s in sets], pa.binary()), pa.nulls(len(sets), pa.int32())], names=names)
-        used = np.flatnonzero(total)
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.array(total[used]), none, none, pa.nulls(len(used), pa.binary()),
-                                           pa.array(used.astype(np.int32))], names=names)
+            if held >= PACKED:
+                yield counted(slots)
+                slots, held = slots[:1], 0
+        yield counted(slots)
 
     names = ["doc_id", "mark", "n", "node", "proof", "bits", "slot"]
     rows = docs.withColumn("mark", F.xxhash64("text")).mapInArrow(
         digest, "doc_id long, mark long, n long, node long, proof long, bits binary, slot int")
     rows = materialize(rows, "jaccard-sizes")
-    full = np.zeros(SLOTS, np.int64)
-    counts = rows.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n"))
-    for b in counts.toArrow().to_batches():  # a row per slot at most
-        full[b.column(0).to_numpy(zero_copy_only=False)] = b.column(1).to_numpy(zero_copy_only=False)
-    levels = np.clip(2 * np.log2(np.maximum(full, 1) / max(1.0, full.mean())), 0, 100).astype(np.uint8)
-    return rows.where("slot is null").drop("slot"), levels
+    sized = rows.where("slot is null").drop("slot")
+    total = sized.agg(F.sum("n")).first()[0] or 0
+    return sized, _levels(rows.where("slot is not null").select("slot", "bits"), total)
+
+
+def _levels(ranges: DataFrame, total: int) -> np.ndarray:
+    """The frequency level of a shingle by the low bits of its hash, from packed slots (slot: their range, bits). total: all shingles.
+
+    Levels count in how many documents a slot's shingles stand. The table is as
+    small as the frequent slots allow; a rare shingle that meets one of them in it
+    comes late in the order, which no result depends on.
+    """
+    width, least = SLOTS // RANGES, RARE + 2 * total // SLOTS
+
+    def add(batches):
+        at, full = None, None
+
+        def frequent() -> pa.RecordBatch:
+            place = np.flatnonzero(full >= least)
+            place = place[np.argsort(-full[place], kind="stable")[:KEPT]]
+            return pa.RecordBatch.from_arrays([pa.array((at * width + place).astype(np.int32)), pa.array(full[place])], names=["slot", "n"])
+
+        for b in batches:
+            for r, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if r != at:
+                    if at is not None:
+                        yield frequent()
+                    at, full = r, np.zeros(width, np.int64)
+                np.add.at(full, _unpacked(blob), 1)
+        if at is not None:
+            yield frequent()
+
+    found = ranges.repartition("slot").sortWithinPartitions("slot").mapInArrow(add, "slot int, n long").toArrow()  # KEPT rows a range at most
+    slot, n = found.column(0).to_numpy(), found.column(1).to_numpy()
+    levels = np.zeros(1 << max(18, (16 * len(slot)).bit_length()), np.uint8)
+    level = np.clip(HOT + np.floor(2 * np.log2(n / max(8.0, total / HOT_SHARE))), 1, 100).astype(np.uint8)
+    np.maximum.at(levels, slot & (len(levels) - 1), level)
+    return levels
 
 
 def _prefixes(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
@@ -296,7 +387,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
                 if percent * (len(s) + 1) > 100 * len(s):  # not even a set of one shingle more links: only equal sets do
                     continue
                 need = least_overlap(len(s), percent)
-                level = levels[(s & U64(SLOTS - 1)).astype(np.int64)]
+                level = levels[(s & U64(len(levels) - 1)).astype(np.int64)]
                 first = np.argsort((s >> U64(7)) | (level.astype(U64) << U64(57)), kind="stable")[:len(s) - need + COMMON]
                 place = (int(np.log(len(s)) / np.log(BAND)) << 10) + np.arange(len(first)) * 1024 // len(s)
                 out.append((np.full(len(first), _node(s)[0], np.int64), s[first].view(np.int64), place.astype(np.int32), level[first] >= HOT))

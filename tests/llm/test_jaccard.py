@@ -135,3 +135,68 @@ def test_bitmaps_drop_sets_that_share_a_passage():
     sets += [np.append(sets[0][5:], np.uint64(1)), sets[1]]
     got = j.may_link(np.array([len(s) for s in sets]), [j.bitmap(s) for s in sets])
     assert sorted(np.flatnonzero(got).tolist()) == [0, 1, 100, 101]
+
+
+def test_packed_slots_come_back():
+    rng = np.random.default_rng(9)
+    width = j.SLOTS // j.RANGES
+    for n in (0, 1, 50, 100_000):
+        slots = np.sort(rng.integers(0, j.SLOTS, n).astype(np.uint32))
+        slots = np.sort(np.concatenate([slots, slots[::3], np.array([0, 254, 255, 256, width - 1, width, j.SLOTS - 1], np.uint32)]))
+        used, blobs = j._packed(slots)
+        assert np.array_equal(np.concatenate([r * width + j._unpacked(b) for r, b in zip(used, blobs)]), slots)
+
+
+def test_sketch_tells_passages_of_a_large_corpus(spark):
+    import pyarrow as pa
+    rng = np.random.default_rng(10)
+    passages = rng.integers(0, j.SLOTS, 100).astype(np.uint32)  # 80 times among 24 million shingles
+    packs = [j._packed(np.sort(np.concatenate([rng.integers(0, j.SLOTS, 2_000_000).astype(np.uint32), np.repeat(passages, 8 if i < 8 else 4)]))) for i in range(12)]
+    table = pa.table({"slot": pa.array([r for used, _ in packs for r in used], pa.int32()), "bits": pa.array([b for _, blobs in packs for b in blobs], pa.binary())})
+    levels = j._levels(spark.createDataFrame(table), 24_000_000)
+    assert (levels[passages & (len(levels) - 1)] > 0).all()
+    assert (levels > 0).mean() < 0.01
+    assert levels.max() < j.HOT
+
+
+def test_order_does_not_change_components(spark, monkeypatch):
+    monkeypatch.setattr(j, "RARE", 2)  # frequent from 2 on, hot from 8 on
+    monkeypatch.setattr(j, "PACKED", 50)
+    rows = corpus(12, 120)
+    want, _ = brute(rows)
+    got = [tuple(r) for r in j.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), block_shingles=900).collect()]
+    order = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted(got, key=order) == sorted(want, key=order)
+
+
+def test_index_search_is_exact_with_lists_outside_the_matrix():
+    rng = np.random.default_rng(11)
+    every = rng.integers(0, 1 << 63, 30).astype(np.uint64)
+    sets = []
+    for g in range(150):
+        base = rng.integers(0, 1 << 63, 40).astype(np.uint64)
+        for _ in range(3):
+            kept = np.concatenate([base, every[:10 * (g % 4)]])
+            sets.append(np.unique(np.concatenate([kept[rng.random(len(kept)) > 0.08], rng.integers(0, 1 << 63, 2).astype(np.uint64)])))
+    index = j.Index(sets)
+    assert 0 < (index.column >= 0).sum() < (np.diff(index.begin) > 1).sum()
+    near = 0
+    for q in range(len(sets)):
+        want = [r for r in range(len(sets)) if r != q and 100 * (k := len(np.intersect1d(sets[q], sets[r], True))) >= 80 * (len(sets[q]) + len(sets[r]) - k)]
+        assert sorted(index.search(q, lambda r: False)) == want
+        assert index.search(q, lambda r: True) == []
+        near += len(want)
+    assert near
+
+
+def test_block_of_copies_on_the_brink_takes_little_time():
+    import time
+    rng = np.random.default_rng(12)
+    base, sets = rng.integers(0, 1 << 63, 400).astype(np.uint64), []
+    for _ in range(900):  # edited so much that most pairs do not link
+        kept = base[rng.random(400) > rng.choice([0.06, 0.16])]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, 400 - len(kept)).astype(np.uint64)])))
+    began = time.process_time()
+    _, known = j.block_links(sets, [])
+    assert time.process_time() - began < 4  # 22 s by binary probes alone
+    assert 300 < len({known.find(i) for i in range(900)}) < 600
